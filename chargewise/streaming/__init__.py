@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The chargeback rules are a weekly batch over a closed reporting window;
+nothing in them is continuous, windowed by event time or stateful across
+runs. Incremental runs are expressed as batch jobs with a date window
+(see `chargewise.jobs`), so this package is intentionally empty.
+"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from chargewise.params import TestDataParams
 from chargewise.plans import combine, families, rule_702, rule_706, rule_710, runlog
 from chargewise.session import tune
-from chargewise.sources.tpch import TEST_AS_OF, TEST_WINDOW, tpch_inputs
+from chargewise.sources.tpch import TEST_AS_OF, TEST_WINDOW, staged_tpch_inputs
 
 TP = TestDataParams()
 START, END = TEST_WINDOW
@@ -23,7 +23,7 @@ START, END = TEST_WINDOW
 
 def inputs_for(spark: SparkSession, sf_dir: str):
     tune(spark)
-    return tpch_inputs(spark, sf_dir)
+    return staged_tpch_inputs(spark, sf_dir)
 
 
 def feed_702(inputs) -> DataFrame:

@@ -17,6 +17,8 @@ Shared sub-results (both the exemption list and the candidates use them):
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from chargewise import schemas
 from chargewise.functions import dates, money, text
 from chargewise.operators import joins, predicates as pred
 from chargewise.operators.ranking import latest_with_total, top_ties
+from chargewise.session import ensure_checkpoint_dir
 
 COST = "decimal(18,4)"
 
@@ -62,23 +65,30 @@ def lines_active_in(inputs, start: dt.date, end: dt.date) -> DataFrame:
             .select("line_key").distinct())
 
 
-def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small working set as parquet under the checkpoint folder and read it back.
+
+    Later steps reuse it instead of re-reading the history tables it came
+    from (one computation, then column-pruned scans with size statistics),
+    and a lost executor does not send recomputation back to them.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-work/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def rank_top_status(inputs, status_rows: DataFrame, materialize_ranked: bool = False) -> DataFrame:
     """Per PO line: the status rows with the greatest status code among the rows
     sitting at some schedule's latest timestamp (ties kept).
 
     A status row competes when its timestamp equals the latest timestamp of
     any schedule of its line; it appears once per such schedule (the join is
-    on line and timestamp, not on the schedule).
-
-    With a window, only lines with a status row in the window are ranked. A
-    line's top rows are among its own rows, so a line without any row in the
-    window cannot have a top row in it: the result, filtered to the window,
-    is unchanged, and whole lines are kept so maxima and ranks stay intact.
+    on line and timestamp, not on the schedule). Lines whose order date is
+    not on the calendar have no latest timestamp and drop out.
     """
-    ors = inputs["rel_status"].select("status_key", "release_key", "line_key", "order_key",
-                                      "sched", "status", "status_ts", "qty")
-    if start is not None:
-        ors = joins.exists_in(ors, lines_active_in(inputs, start, end), "line_key")
+    ors = status_rows.select("status_key", "release_key", "line_key", "order_key",
+                             "sched", "status", "status_ts", "qty")
     lines = inputs["oms_line"].select(F.col("line_key").alias("_ol_line"), "item_id",
                                       F.col("order_ts").alias("_ol_ts"))
     orders = _po_orders(inputs).select(F.col("order_key").alias("_ord_key"), "order_no", "doc_type")
@@ -92,28 +102,71 @@ def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None)
         inputs["status_dim"].filter(F.col("ptype") == P.PO_PROCESS_TYPE)
         .select(F.col("status").alias("_st"), "descr"))
     ranked = (rows.join(latest, (F.col("line_key") == F.col("_m_line")) & (F.col("status_ts") == F.col("_m_ts")))
-                  .join(statuses, F.col("status") == F.col("_st")))
+                  .join(statuses, F.col("status") == F.col("_st"))
+                  .select("status", "descr", "order_no", "item_id", "line_key", "status_ts", "status_key",
+                          "_m_sched", "release_key", "order_key", "qty", "doc_type"))
+    if materialize_ranked:
+        # The top-k step reads its input twice (per-line maximum, then the rows
+        # at it); reading a written working set avoids redoing the joins.
+        ranked = materialize(ranked)
     top = top_ties(ranked, ["line_key"], "status")
     return top.select(F.lit(1).alias("rco"), "status", "descr", "order_no", "item_id", "line_key",
                       "status_ts", "status_key", F.col("_m_sched").alias("sched"), "release_key",
                       "order_key", "qty", "doc_type")
 
 
+@dataclass
+class Week:
+    """The window's working set, shared by the exemption list and the candidates.
+
+    `status_rows`: every release-status row of the lines that have a status
+    row in the window. A line's top rows are among its own rows, so a line
+    without a row in the window cannot have a top row there; keeping whole
+    lines keeps maxima and ranks exact. `top`: their top-status rows.
+    """
+
+    start: dt.date
+    end: dt.date
+    status_rows: DataFrame
+    top: DataFrame
+
+    def top_in_window(self) -> DataFrame:
+        return self.top.filter(dates.ts_within(F.col("status_ts"), self.start, self.end))
+
+
+def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
+    status_rows = materialize(joins.exists_in(inputs["rel_status"], lines_active_in(inputs, start, end),
+                                              "line_key"))
+    top = materialize(rank_top_status(inputs, status_rows, materialize_ranked=True))
+    return Week(start, end, status_rows, top)
+
+
+def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Top-status rows over the whole history, or over the window's lines."""
+    if start is None:
+        return rank_top_status(inputs, inputs["rel_status"])
+    return prepare_week(inputs, start, end).top
+
+
 def top_status_report(inputs) -> DataFrame:
     """`top_status` over the whole history, with the source's column names."""
     top = top_status(inputs)
     return top.select(*(F.col(src).alias(name) for name, src in TOP_STATUS_COLUMNS.items()))
 
 
-def created_lines(inputs) -> DataFrame:
+def created_lines(status_rows: DataFrame) -> DataFrame:
     """Distinct (order, line, qty) of '1100' status rows (the MIN timestamp is unused)."""
-    return (inputs["rel_status"].filter(F.col("status") == P.STATUS_CREATED)
+    return (status_rows.filter(F.col("status") == P.STATUS_CREATED)
             .select("order_key", "line_key", "qty").distinct())
 
 
-def latest_cancel(inputs) -> DataFrame:
-    """Cancel rows at each line's latest create time (ties kept), with the line's total qty."""
+def latest_cancel(inputs, line_keys: DataFrame | None = None) -> DataFrame:
+    """Cancel rows at each line's latest create time (ties kept), with the line's
+    total qty. With `line_keys` (column `line_key`), only those lines are read;
+    the result per line does not depend on other lines."""
     cl = inputs["cancel_line"].select("line_key", "create_ts", "cancel_qty", "code", "note")
+    if line_keys is not None:
+        cl = joins.exists_in(cl, line_keys, "line_key")
     latest = latest_with_total(cl, "line_key", "create_ts", "cancel_qty", "total_qty")
     return latest.select(F.col("line_key").alias("OMS_ORDER_LINE_KEY"),
                          F.col("code").alias("OMS_ORDER_CANCEL_RESN_CODE"),
@@ -121,11 +174,13 @@ def latest_cancel(inputs) -> DataFrame:
                          F.col("total_qty").alias("OMS_ORDER_CANCEL_QTY"))
 
 
-def unit_cost(inputs) -> DataFrame:
+def unit_cost(inputs, po_keys: DataFrame | None = None) -> DataFrame:
     """Distinct (PO, article, unit price) of PO lines delivered on a calendar day
     to a drop-ship store, with known article and vendor. One PO/article with two
-    prices gives two rows."""
+    prices gives two rows. With `po_keys` (column `po_no`), only those POs are read."""
     po = inputs["po_line"].select("po_no", "article_no", "price", "deliv_date", "store_no", "vendor_id")
+    if po_keys is not None:
+        po = joins.exists_in(po, po_keys, "po_no")
     po = joins.on_calendar(po, F.col("deliv_date"), inputs["time_dim"])
     po = joins.exists_in(po, inputs["store"].filter(F.col("chan") == P.DROPSHIP_CHANNEL), "store_no")
     po = joins.exists_in(po, inputs["article"], "article_no")
@@ -138,11 +193,6 @@ def unit_cost(inputs) -> DataFrame:
 # The two staging results and the feed
 # ---------------------------------------------------------------------------
 
-def _week_top(inputs, start, end, top: DataFrame | None) -> DataFrame:
-    top = top if top is not None else top_status(inputs, start, end)
-    return top.filter(dates.ts_within(F.col("status_ts"), start, end))
-
-
 def _line_order_frame(inputs, top_rows: DataFrame, line_filter=None) -> DataFrame:
     """Top rows joined to their line, their (calendar-dated) PO order and the
     chained customer order; the chained line must exist."""
@@ -167,7 +217,7 @@ def _line_order_frame(inputs, top_rows: DataFrame, line_filter=None) -> DataFram
 
 
 def rule_710_exempt(inputs, start: dt.date, end: dt.date,
-                    p: P.Rule710Params = P.Rule710Params(), top: DataFrame | None = None) -> DataFrame:
+                    p: P.Rule710Params = P.Rule710Params(), week: Week | None = None) -> DataFrame:
     """Distinct (status date, PO, order, exemption flag) of in-window top-status
     lines; a line's PO is exempt when any note on the PO order matches.
 
@@ -175,10 +225,11 @@ def rule_710_exempt(inputs, start: dt.date, end: dt.date,
     semi joins; the audit and cancel joins of the source feed no column of
     this result and are left out (rows only repeat, and the result is distinct).
     """
-    rows = _week_top(inputs, start, end, top).select("line_key", F.to_date("status_ts").alias("STATUS_DATE"))
+    week = week or prepare_week(inputs, start, end)
+    rows = week.top_in_window().select("line_key", F.to_date("status_ts").alias("STATUS_DATE"))
     frame = _line_order_frame(inputs, rows)
     frame = joins.exists_in(frame, inputs["ship_node"], "ship_node")
-    frame = joins.exists_in(frame, created_lines(inputs), "line_key")
+    frame = joins.exists_in(frame, created_lines(week.status_rows), "line_key")
     notes = inputs["note"].select(F.col("table_key").alias("_n_key"), F.col("code").alias("_n_code"),
                                   F.col("txt").alias("_n_txt"))
     frame = frame.join(notes, F.col("_o_key") == F.col("_n_key"), "left")
@@ -187,10 +238,15 @@ def rule_710_exempt(inputs, start: dt.date, end: dt.date,
 
 
 def rule_710_cancels(inputs, start: dt.date, end: dt.date,
-                     p: P.Rule710Params = P.Rule710Params(), top: DataFrame | None = None) -> DataFrame:
+                     p: P.Rule710Params = P.Rule710Params(), week: Week | None = None) -> DataFrame:
     """Cancelled in-window PO lines with demand, audit, cancel and cost columns,
-    distinct over all 18 columns (the unit price takes part in the distinct)."""
-    rows = (_week_top(inputs, start, end, top)
+    distinct over all 18 columns (the unit price takes part in the distinct).
+
+    The candidate lines are materialized first; the cancel and PO-line
+    histories are then read only for the candidates' chained lines and POs.
+    """
+    week = week or prepare_week(inputs, start, end)
+    rows = (week.top_in_window()
             .filter(F.col("status") == P.STATUS_CANCELLED)
             .select("line_key", F.to_date("status_ts").alias("STATUS_DATE"), "status", "descr",
                     F.col("qty").alias("STATUS_QTY")))
@@ -200,12 +256,13 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
     audits = (inputs["audit"].filter(F.col("code").isNotNull())
               .select(F.col("order_key").alias("_a_key"), F.col("code").alias("_a_code"),
                       F.col("text").alias("_a_text")))
-    created = created_lines(inputs).select(F.col("line_key").alias("_r_line"), F.col("qty").alias("_r_qty")).distinct()
-    cancels = latest_cancel(inputs)
-    frame = (frame.join(nodes, F.col("ship_node") == F.col("_sn"))
-                  .join(audits, F.col("_o_key") == F.col("_a_key"), "left")
-                  .join(created, F.col("line_key") == F.col("_r_line"))
-                  .join(cancels, F.col("chain_line_key") == F.col("OMS_ORDER_LINE_KEY"), "left"))
+    created = (created_lines(week.status_rows)
+               .select(F.col("line_key").alias("_r_line"), F.col("qty").alias("_r_qty")).distinct())
+    frame = materialize(frame.join(nodes, F.col("ship_node") == F.col("_sn"))
+                             .join(audits, F.col("_o_key") == F.col("_a_key"), "left")
+                             .join(created, F.col("line_key") == F.col("_r_line")))
+    cancels = latest_cancel(inputs, frame.select(F.col("chain_line_key").alias("line_key")))
+    frame = frame.join(cancels, F.col("chain_line_key") == F.col("OMS_ORDER_LINE_KEY"), "left")
     demand_qty = F.coalesce(F.col("_r_qty"), F.col("orig_qty"))
     cand = frame.select(
         F.col("_o_date").alias("ORDER_DATE"), "STATUS_DATE", "PO_ORDER_NO", "ORDER_NO",
@@ -216,7 +273,7 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
         F.col("_a_code").alias("OMS_ORDER_AUDIT_RESN_CODE"), F.col("_a_text").alias("OMS_ORDER_AUDIT_RESN_TEXT"),
         "OMS_ORDER_CANCEL_RESN_CODE", "OMS_ORDER_CANCEL_RESN_NOTE",
         F.col("_sn").alias("OMS_SHIP_NODE_KEY"), F.col("node_desc").alias("OMS_SHIP_NODE_DESC"))
-    costs = unit_cost(inputs)
+    costs = unit_cost(inputs, frame.select(F.col("PO_ORDER_NO").alias("po_no")))
     with_cost = cand.join(costs, (F.col("PO_ORDER_NO") == F.col("PO_NO")) & (F.col("OMS_ITEM_ID") == F.col("ARTICLE_NO")),
                           "left")
     keys = list(CANCEL_COLUMNS[:-1])
@@ -254,7 +311,7 @@ def rule_710(cancels: DataFrame, exempt: DataFrame, as_of: dt.date | None,
 
 def run_rule_710(inputs, start: dt.date, end: dt.date, as_of: dt.date | None,
                  p: P.Rule710Params = P.Rule710Params()) -> DataFrame:
-    """Both staging results over one shared top-status plan, then the feed."""
-    top = top_status(inputs, start, end)
-    return rule_710(rule_710_cancels(inputs, start, end, p, top),
-                    rule_710_exempt(inputs, start, end, p, top), as_of, p)
+    """Both staging results over one shared working set, then the feed."""
+    week = prepare_week(inputs, start, end)
+    return rule_710(rule_710_cancels(inputs, start, end, p, week),
+                    rule_710_exempt(inputs, start, end, p, week), as_of, p)

@@ -81,9 +81,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
+def columns_and_types(schema: T.StructType) -> list[tuple[str, T.DataType]]:
+    """(name, type) pairs; nullability is left out (Spark infers it per plan)."""
+    return [(f.name, f.dataType) for f in schema.fields]
+
+
 def assert_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    got = [(f.name, f.dataType) for f in df.schema.fields]
-    want = [(f.name, f.dataType) for f in schema.fields]
+    got, want = columns_and_types(df.schema), columns_and_types(schema)
     if got != want:
         raise AssertionError(f"schema mismatch:\n got  {got}\n want {want}")
     return df

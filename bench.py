@@ -39,7 +39,8 @@ def main() -> None:
         inputs = CQ.inputs_for(spark_, sf)
         # Rank the whole status history, lazily, instead of the window's lines.
         history = inputs["rel_status"]
-        week = rule_710.Week(CQ.START, CQ.END, history, rule_710.rank_top_status(inputs, history))
+        week = rule_710.Week(inputs, CQ.START, CQ.END, history, rule_710.rank_top_status(inputs, history),
+                             materialized=False)
         cancels = rule_710.rule_710_cancels(inputs, CQ.START, CQ.END, CQ.TP.rule_710, week)
         exempt = rule_710.rule_710_exempt(inputs, CQ.START, CQ.END, CQ.TP.rule_710, week)
         return rule_710.rule_710(cancels, exempt, CQ.TEST_AS_OF, CQ.TP.rule_710)

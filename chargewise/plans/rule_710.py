@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -125,20 +125,33 @@ class Week:
     lines keeps maxima and ranks exact. `top`: their top-status rows.
     """
 
+    inputs: object
     start: dt.date
     end: dt.date
     status_rows: DataFrame
     top: DataFrame
+    materialized: bool = True
+    _lines: DataFrame | None = field(default=None, repr=False)
 
     def top_in_window(self) -> DataFrame:
         return self.top.filter(dates.ts_within(F.col("status_ts"), self.start, self.end))
 
+    def lines(self) -> DataFrame:
+        """In-window top rows with their line, PO order and chained order (built once)."""
+        if self._lines is None:
+            rows = self.top_in_window().select(
+                "line_key", F.to_date("status_ts").alias("STATUS_DATE"), "status", "descr",
+                F.col("qty").alias("STATUS_QTY"))
+            frame = _line_order_frame(self.inputs, rows)
+            self._lines = materialize(frame) if self.materialized else frame
+        return self._lines
+
 
 def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
     status_rows = materialize(joins.exists_in(inputs["rel_status"], lines_active_in(inputs, start, end),
                                               "line_key"))
     top = materialize(rank_top_status(inputs, status_rows, materialize_ranked=True))
-    return Week(start, end, status_rows, top)
+    return Week(inputs, start, end, status_rows, top)
 
 
 def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
@@ -193,15 +206,12 @@ def unit_cost(inputs, po_keys: DataFrame | None = None) -> DataFrame:
 # The two staging results and the feed
 # ---------------------------------------------------------------------------
 
-def _line_order_frame(inputs, top_rows: DataFrame, line_filter=None) -> DataFrame:
+def _line_order_frame(inputs, top_rows: DataFrame) -> DataFrame:
     """Top rows joined to their line, their (calendar-dated) PO order and the
     chained customer order; the chained line must exist."""
-    lines = inputs["oms_line"]
-    if line_filter is not None:
-        lines = lines.filter(line_filter)
-    lines = lines.select(F.col("line_key").alias("_l_key"), F.col("order_key").alias("_l_order"),
-                         "chain_order_key", "chain_line_key", "ship_node", F.col("item_id").alias("_l_item"),
-                         "unit_price", "orig_qty")
+    lines = inputs["oms_line"].select(
+        F.col("line_key").alias("_l_key"), F.col("order_key").alias("_l_order"), "chain_order_key",
+        "chain_line_key", "ship_node", F.col("item_id").alias("_l_item"), "unit_price", "orig_qty", "cat")
     orders = joins.on_calendar(_po_orders(inputs), F.to_date("order_ts"), inputs["time_dim"]).select(
         F.col("order_key").alias("_o_key"), F.col("order_no").alias("_o_no"),
         F.to_date("order_ts").alias("_o_date"))
@@ -226,8 +236,7 @@ def rule_710_exempt(inputs, start: dt.date, end: dt.date,
     this result and are left out (rows only repeat, and the result is distinct).
     """
     week = week or prepare_week(inputs, start, end)
-    rows = week.top_in_window().select("line_key", F.to_date("status_ts").alias("STATUS_DATE"))
-    frame = _line_order_frame(inputs, rows)
+    frame = week.lines().select("line_key", "STATUS_DATE", "PO_ORDER_NO", "ORDER_NO", "ship_node", "_o_key")
     frame = joins.exists_in(frame, inputs["ship_node"], "ship_node")
     frame = joins.exists_in(frame, created_lines(week.status_rows), "line_key")
     notes = inputs["note"].select(F.col("table_key").alias("_n_key"), F.col("code").alias("_n_code"),
@@ -246,12 +255,10 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
     histories are then read only for the candidates' chained lines and POs.
     """
     week = week or prepare_week(inputs, start, end)
-    rows = (week.top_in_window()
-            .filter(F.col("status") == P.STATUS_CANCELLED)
-            .select("line_key", F.to_date("status_ts").alias("STATUS_DATE"), "status", "descr",
-                    F.col("qty").alias("STATUS_QTY")))
-    frame = _line_order_frame(inputs, rows,
-                              pred.not_in_dropping_null(F.col("cat"), p.excluded_categories))
+    # The category filter is on the line, so it commutes with the inner joins of `lines()`.
+    frame = (week.lines()
+             .filter(F.col("status") == P.STATUS_CANCELLED)
+             .filter(pred.not_in_dropping_null(F.col("cat"), p.excluded_categories)))
     nodes = inputs["ship_node"].select(F.col("ship_node").alias("_sn"), "node_desc")
     audits = (inputs["audit"].filter(F.col("code").isNotNull())
               .select(F.col("order_key").alias("_a_key"), F.col("code").alias("_a_code"),

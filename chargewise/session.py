@@ -26,9 +26,13 @@ JOB_SQL_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # Semi-join reduction of the large side of a join by a runtime bloom filter.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    # Plan-time broadcast only below this estimated size (Spark checks the plan stats).
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Broadcast a join side only below this size: estimated from plan statistics
+    # at planning time, measured from the shuffle output under AQE.
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    # Build the bloom filter from a selective side up to this size (default 10MB);
+    # it is applied to scans of at least 10GB before their shuffle.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
 }
 
 

@@ -60,7 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "chargewise", event_log_dir: str | None = None) -> SparkSession:
+                  app: str = "chargewise", event_log_dir: str | None = None,
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Single-JVM session for tests and the bench (UI off, no extra ports)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -71,6 +72,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.files.maxPartitionBytes", "128MB")
     )
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")
                    .config("spark.eventLog.dir", event_log_dir))

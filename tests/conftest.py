@@ -12,8 +12,11 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from chargewise.session import local_session
-    session = local_session("*", shuffle_partitions=8, app="chargewise-tests")
+    warehouse = tempfile.mkdtemp(prefix="chargewise-warehouse-")
+    session = local_session("*", shuffle_partitions=8, app="chargewise-tests",
+                            extra_conf={"spark.sql.warehouse.dir": warehouse})
     yield session
     session.stop()
 

@@ -78,22 +78,30 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def rank_top_status(inputs, status_rows: DataFrame, materialize_ranked: bool = False) -> DataFrame:
-    """Per PO line: the status rows with the greatest status code among the rows
-    sitting at some schedule's latest timestamp (ties kept).
+def with_line_and_order(inputs, status_rows: DataFrame, how: str = "inner") -> DataFrame:
+    """Status rows with their line's item and order time and their PO order's number.
 
-    A status row competes when its timestamp equals the latest timestamp of
-    any schedule of its line; it appears once per such schedule (the join is
-    on line and timestamp, not on the schedule). Lines whose order date is
-    not on the calendar have no latest timestamp and drop out.
+    With `how="left"` every status row is kept (attributes NULL when the line or
+    the PO order is missing), so one frame serves both the ranking (rows with
+    both matches) and the created-row lookup (all rows).
     """
-    ors = status_rows.select("status_key", "release_key", "line_key", "order_key",
-                             "sched", "status", "status_ts", "qty")
     lines = inputs["oms_line"].select(F.col("line_key").alias("_ol_line"), "item_id",
                                       F.col("order_ts").alias("_ol_ts"))
     orders = _po_orders(inputs).select(F.col("order_key").alias("_ord_key"), "order_no", "doc_type")
-    rows = (ors.join(lines, F.col("line_key") == F.col("_ol_line"))
-               .join(orders, F.col("order_key") == F.col("_ord_key")))
+    return (status_rows.join(lines, F.col("line_key") == F.col("_ol_line"), how)
+                       .join(orders, F.col("order_key") == F.col("_ord_key"), how))
+
+
+def rank_top_status(inputs, rows: DataFrame) -> DataFrame:
+    """Per PO line: the status rows with the greatest status code among the rows
+    sitting at some schedule's latest timestamp (ties kept).
+
+    `rows` are status rows joined to their line and PO order
+    (`with_line_and_order`). A status row competes when its timestamp equals
+    the latest timestamp of any schedule of its line; it appears once per such
+    schedule (the join is on line and timestamp, not on the schedule). Lines
+    whose order date is not on the calendar have no latest timestamp and drop out.
+    """
     latest = (joins.on_calendar(rows, F.to_date("_ol_ts"), inputs["time_dim"])
               .groupBy(F.col("order_key").alias("_m_order"), F.col("line_key").alias("_m_line"),
                        F.col("sched").alias("_m_sched"))
@@ -105,10 +113,6 @@ def rank_top_status(inputs, status_rows: DataFrame, materialize_ranked: bool = F
                   .join(statuses, F.col("status") == F.col("_st"))
                   .select("status", "descr", "order_no", "item_id", "line_key", "status_ts", "status_key",
                           "_m_sched", "release_key", "order_key", "qty", "doc_type"))
-    if materialize_ranked:
-        # The top-k step reads its input twice (per-line maximum, then the rows
-        # at it); reading a written working set avoids redoing the joins.
-        ranked = materialize(ranked)
     top = top_ties(ranked, ["line_key"], "status")
     return top.select(F.lit(1).alias("rco"), "status", "descr", "order_no", "item_id", "line_key",
                       "status_ts", "status_key", F.col("_m_sched").alias("sched"), "release_key",
@@ -120,9 +124,10 @@ class Week:
     """The window's working set, shared by the exemption list and the candidates.
 
     `status_rows`: every release-status row of the lines that have a status
-    row in the window. A line's top rows are among its own rows, so a line
-    without a row in the window cannot have a top row there; keeping whole
-    lines keeps maxima and ranks exact. `top`: their top-status rows.
+    row in the window (with line and order attributes). A line's top rows are
+    among its own rows, so a line without a row in the window cannot have a
+    top row there; keeping whole lines keeps maxima and ranks exact.
+    `top`: their top-status rows.
     """
 
     inputs: object
@@ -148,16 +153,17 @@ class Week:
 
 
 def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
-    status_rows = materialize(joins.exists_in(inputs["rel_status"], lines_active_in(inputs, start, end),
-                                              "line_key"))
-    top = materialize(rank_top_status(inputs, status_rows, materialize_ranked=True))
-    return Week(inputs, start, end, status_rows, top)
+    """Read the status history once for the window's lines; rank them lazily."""
+    active = joins.exists_in(inputs["rel_status"], lines_active_in(inputs, start, end), "line_key")
+    status_rows = materialize(with_line_and_order(inputs, active, "left"))
+    matched = status_rows.filter(F.col("_ol_line").isNotNull() & F.col("_ord_key").isNotNull())
+    return Week(inputs, start, end, status_rows, rank_top_status(inputs, matched))
 
 
 def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Top-status rows over the whole history, or over the window's lines."""
     if start is None:
-        return rank_top_status(inputs, inputs["rel_status"])
+        return rank_top_status(inputs, with_line_and_order(inputs, inputs["rel_status"]))
     return prepare_week(inputs, start, end).top
 
 

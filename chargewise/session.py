@@ -46,17 +46,23 @@ def tune(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; create a scratch one only if unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    scratch = tempfile.mkdtemp(prefix="chargewise-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    context = _context(spark)
+    current = context.getCheckpointDir() if context is not None else None
+    folder = configured or current
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="chargewise-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if context is not None and not current:
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

@@ -17,6 +17,7 @@ from chargewise import params as P
 from chargewise import schemas
 from chargewise.functions import dates, money, text
 from chargewise.operators import predicates as pred
+from chargewise.operators.working_set import materialize
 
 AUDIT_COLUMNS = (
     "PO_NUMBER", "ORDER_NO", "ORDER_DATE", "OMS_ORDER_LINE_SCAC",
@@ -28,9 +29,12 @@ AUDIT_COLUMNS = (
 def expedited_audit(inputs, start: dt.date, end: dt.date,
                     p: P.Rule702Params = P.Rule702Params()) -> DataFrame:
     """Distinct ground-ordered shipments in the window with a non-ground invoice."""
-    freight = (inputs["fsc"]
-               .filter(F.col("po").isNotNull() & F.col("order_date").between(F.lit(start), F.lit(end)))
-               .select("po", "order_no", "order_date", "line_key", "scac", "trk", "trans_amt"))
+    # The window's freight rows are a small slice of the freight history; written
+    # first, their real size decides between broadcasting them against the line
+    # and invoice histories and a shuffled join (with bloom-filtered history scans).
+    freight = materialize(inputs["fsc"]
+                          .filter(F.col("po").isNotNull() & dates.within(F.col("order_date"), start, end))
+                          .select("po", "order_no", "order_date", "line_key", "scac", "trk", "trans_amt"))
     # Left join + a filter on the line's service code = inner join.
     ground_lines = (inputs["oms_line"]
                     .filter(F.col("carrier_service").isin(list(p.ground_service_codes)))

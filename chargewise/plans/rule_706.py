@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from chargewise import params as P
 from chargewise import schemas
 from chargewise.functions import dates, money, text
+from chargewise.operators.working_set import materialize
 
 
 def bol_input(inputs, start: dt.date, end: dt.date) -> DataFrame:
@@ -29,13 +30,13 @@ def bol_input(inputs, start: dt.date, end: dt.date) -> DataFrame:
     each side first and multiplying by the header count gives the same
     numbers without building the product.
     """
-    headers = (inputs["ltl"]
-               .filter(F.col("pickup_date").between(F.lit(start), F.lit(end)))
-               .groupBy("pro_no")
-               .agg(F.count(F.lit(1)).alias("n_head"),
-                    F.max("ltl_po_no").alias("po_max"),
-                    F.max("shipper_name").alias("SHIPPER_NAME"),
-                    F.max("pickup_date").alias("PICKUP_DATE")))
+    headers = materialize(inputs["ltl"]
+                          .filter(dates.within(F.col("pickup_date"), start, end))
+                          .groupBy("pro_no")
+                          .agg(F.count(F.lit(1)).alias("n_head"),
+                               F.max("ltl_po_no").alias("po_max"),
+                               F.max("shipper_name").alias("SHIPPER_NAME"),
+                               F.max("pickup_date").alias("PICKUP_DATE")))
     charges = (inputs["ltl_yw"]
                .join(headers.select(F.col("pro_no").alias("_pro")), F.col("pro_no") == F.col("_pro"), "left_semi")
                .groupBy("pro_no")

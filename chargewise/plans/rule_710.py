@@ -17,7 +17,6 @@ Shared sub-results (both the exemption list and the candidates use them):
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -28,7 +27,7 @@ from chargewise import schemas
 from chargewise.functions import dates, money, text
 from chargewise.operators import joins, predicates as pred
 from chargewise.operators.ranking import latest_with_total, top_ties
-from chargewise.session import ensure_checkpoint_dir
+from chargewise.operators.working_set import materialize
 
 COST = "decimal(18,4)"
 
@@ -65,19 +64,6 @@ def lines_active_in(inputs, start: dt.date, end: dt.date) -> DataFrame:
             .select("line_key").distinct())
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a small working set as parquet under the checkpoint folder and read it back.
-
-    Later steps reuse it instead of re-reading the history tables it came
-    from (one computation, then column-pruned scans with size statistics),
-    and a lost executor does not send recomputation back to them.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-work/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def with_line_and_order(inputs, status_rows: DataFrame, how: str = "inner") -> DataFrame:
     """Status rows with their line's item and order time and their PO order's number.
 
@@ -154,7 +140,7 @@ class Week:
 
 def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
     """Read the status history once for the window's lines; rank them lazily."""
-    active = joins.exists_in(inputs["rel_status"], lines_active_in(inputs, start, end), "line_key")
+    active = joins.exists_in(inputs["rel_status"], materialize(lines_active_in(inputs, start, end)), "line_key")
     status_rows = materialize(with_line_and_order(inputs, active, "left"))
     matched = status_rows.filter(F.col("_ol_line").isNotNull() & F.col("_ord_key").isNotNull())
     return Week(inputs, start, end, status_rows, rank_top_status(inputs, matched))

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import os
+import threading
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -251,6 +252,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 # Relations that are derived from other staged relations are written last.
 _STAGE_ORDER = tuple(n for n in schemas.INPUTS if n != "flags") + ("flags",)
 _staged: dict[str, str] = {}
+_stage_lock = threading.Lock()
 
 
 def _source_signature(sf_dir: str) -> str:
@@ -272,15 +274,16 @@ def staged_tpch_inputs(spark: SparkSession, sf_dir: str, root: str | None = None
     """
     root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-inputs"
     target = f"{root}/{_source_signature(sf_dir)}"
-    if _staged.get(target) != "done":
-        derived = tpch_inputs(spark, sf_dir)
-        staged = parquet_inputs(spark, target)
-        for name in _STAGE_ORDER:
-            path = f"{target}/{name}"
-            if not _is_written(spark, path):
-                frame = derived[name] if name != "flags" else tpch_inputs_flags(staged)
-                frame.write.mode("overwrite").parquet(path)
-        _staged[target] = "done"
+    with _stage_lock:
+        if _staged.get(target) != "done":
+            derived = tpch_inputs(spark, sf_dir)
+            staged = parquet_inputs(spark, target)
+            for name in _STAGE_ORDER:
+                path = f"{target}/{name}"
+                if not _is_written(spark, path):
+                    frame = derived[name] if name != "flags" else tpch_inputs_flags(staged)
+                    frame.write.mode("overwrite").parquet(path)
+            _staged[target] = "done"
     return parquet_inputs(spark, target)
 
 

@@ -139,11 +139,18 @@ class Week:
 
 
 def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
-    """Read the status history once for the window's lines; rank them lazily."""
-    active = joins.exists_in(inputs["rel_status"], materialize(lines_active_in(inputs, start, end)), "line_key")
+    """Read the status history once for the window's lines, then rank them.
+
+    Each step that meets a history table (status, line, order) starts from a
+    written slice, so the planner sizes the join from the slice's real size
+    (broadcast it, or shuffle with a bloom filter on the history scan) instead
+    of estimating a filtered history or a join output as the whole table.
+    """
+    keys = materialize(lines_active_in(inputs, start, end))
+    active = materialize(joins.exists_in(inputs["rel_status"], keys, "line_key"))
     status_rows = materialize(with_line_and_order(inputs, active, "left"))
     matched = status_rows.filter(F.col("_ol_line").isNotNull() & F.col("_ord_key").isNotNull())
-    return Week(inputs, start, end, status_rows, rank_top_status(inputs, matched))
+    return Week(inputs, start, end, status_rows, materialize(rank_top_status(inputs, matched)))
 
 
 def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:

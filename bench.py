@@ -40,7 +40,7 @@ def main() -> None:
         # Rank the whole status history, lazily, instead of the window's lines.
         history = inputs["rel_status"]
         top = rule_710.rank_top_status(inputs, rule_710.with_line_and_order(inputs, history))
-        week = rule_710.Week(inputs, CQ.START, CQ.END, history, top, materialized=False)
+        week = rule_710.Week(inputs, CQ.START, CQ.END, history, top, materialized=False)  # full tables
         cancels = rule_710.rule_710_cancels(inputs, CQ.START, CQ.END, CQ.TP.rule_710, week)
         exempt = rule_710.rule_710_exempt(inputs, CQ.START, CQ.END, CQ.TP.rule_710, week)
         return rule_710.rule_710(cancels, exempt, CQ.TEST_AS_OF, CQ.TP.rule_710)

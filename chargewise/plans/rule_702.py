@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from chargewise import params as P
 from chargewise import schemas
 from chargewise.functions import dates, money, text
-from chargewise.operators import predicates as pred
+from chargewise.operators import joins, predicates as pred
 from chargewise.operators.working_set import materialize
 
 AUDIT_COLUMNS = (
@@ -36,11 +36,14 @@ def expedited_audit(inputs, start: dt.date, end: dt.date,
                           .filter(F.col("po").isNotNull() & dates.within(F.col("order_date"), start, end))
                           .select("po", "order_no", "order_date", "line_key", "scac", "trk", "trans_amt"))
     # Left join + a filter on the line's service code = inner join.
-    ground_lines = (inputs["oms_line"]
+    # Line and invoice histories cut to the window's keys by semi joins (no history
+    # shuffle); the invoice joins are left outer, which could not broadcast the
+    # small freight side.
+    ground_lines = (joins.exists_in(inputs["oms_line"], freight, "line_key")
                     .filter(F.col("carrier_service").isin(list(p.ground_service_codes)))
                     .select(F.col("line_key").alias("ol_line_key"), "line_scac", "carrier_service", "ship_node"))
-    fdx = inputs["fdx"].select(F.col("trk").alias("fdx_trk"), "svc")
-    ups = inputs["ups"].select(F.col("trk").alias("ups_trk"), "zone")
+    fdx = joins.exists_in(inputs["fdx"], freight, "trk").select(F.col("trk").alias("fdx_trk"), "svc")
+    ups = joins.exists_in(inputs["ups"], freight, "trk").select(F.col("trk").alias("ups_trk"), "zone")
     joined = (freight
               .join(ground_lines, F.col("line_key") == F.col("ol_line_key"), "inner")
               .join(fdx, F.col("trk") == F.col("fdx_trk"), "left")

@@ -64,16 +64,20 @@ def lines_active_in(inputs, start: dt.date, end: dt.date) -> DataFrame:
             .select("line_key").distinct())
 
 
-def with_line_and_order(inputs, status_rows: DataFrame, how: str = "inner") -> DataFrame:
+def with_line_and_order(inputs, status_rows: DataFrame, how: str = "inner",
+                        lines: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
     """Status rows with their line's item and order time and their PO order's number.
 
     With `how="left"` every status row is kept (attributes NULL when the line or
     the PO order is missing), so one frame serves both the ranking (rows with
-    both matches) and the created-row lookup (all rows).
+    both matches) and the created-row lookup (all rows). `lines` / `orders`
+    replace the full tables by slices already cut to the keys at hand.
     """
-    lines = inputs["oms_line"].select(F.col("line_key").alias("_ol_line"), "item_id",
-                                      F.col("order_ts").alias("_ol_ts"))
-    orders = _po_orders(inputs).select(F.col("order_key").alias("_ord_key"), "order_no", "doc_type")
+    lines = (lines if lines is not None else inputs["oms_line"]).select(
+        F.col("line_key").alias("_ol_line"), "item_id", F.col("order_ts").alias("_ol_ts"))
+    orders = (orders if orders is not None else inputs["oms_order"])
+    orders = (orders.filter(F.col("doc_type") == P.PO_DOC_TYPE)
+              .select(F.col("order_key").alias("_ord_key"), "order_no", "doc_type"))
     return (status_rows.join(lines, F.col("line_key") == F.col("_ol_line"), how)
                        .join(orders, F.col("order_key") == F.col("_ord_key"), how))
 
@@ -110,10 +114,11 @@ class Week:
     """The window's working set, shared by the exemption list and the candidates.
 
     `status_rows`: every release-status row of the lines that have a status
-    row in the window (with line and order attributes). A line's top rows are
-    among its own rows, so a line without a row in the window cannot have a
-    top row there; keeping whole lines keeps maxima and ranks exact.
-    `top`: their top-status rows.
+    row in the window. A line's top rows are among its own rows, so a line
+    without a row in the window cannot have a top row there; keeping whole
+    lines keeps maxima and ranks exact. `lines` / `orders`: the order lines of
+    those status rows and every order they refer to (own, chained), cut from
+    the histories once. `top`: the lines' top-status rows.
     """
 
     inputs: object
@@ -121,6 +126,8 @@ class Week:
     end: dt.date
     status_rows: DataFrame
     top: DataFrame
+    lines_slice: DataFrame | None = None
+    orders_slice: DataFrame | None = None
     materialized: bool = True
     _lines: DataFrame | None = field(default=None, repr=False)
 
@@ -133,24 +140,29 @@ class Week:
             rows = self.top_in_window().select(
                 "line_key", F.to_date("status_ts").alias("STATUS_DATE"), "status", "descr",
                 F.col("qty").alias("STATUS_QTY"))
-            frame = _line_order_frame(self.inputs, rows)
+            frame = _line_order_frame(self.inputs, rows, self.lines_slice, self.orders_slice)
             self._lines = materialize(frame) if self.materialized else frame
         return self._lines
 
 
 def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
-    """Read the status history once for the window's lines, then rank them.
+    """Cut the status, line and order histories to the window's lines, then rank.
 
-    Each step that meets a history table (status, line, order) starts from a
-    written slice, so the planner sizes the join from the slice's real size
-    (broadcast it, or shuffle with a bloom filter on the history scan) instead
-    of estimating a filtered history or a join output as the whole table.
+    Every history table is met through a semi join against a written key set
+    (broadcast when small, so the history is scanned but not shuffled); the
+    joins after that run on the written slices, whose real sizes the planner
+    sees.
     """
     keys = materialize(lines_active_in(inputs, start, end))
     active = materialize(joins.exists_in(inputs["rel_status"], keys, "line_key"))
-    status_rows = materialize(with_line_and_order(inputs, active, "left"))
+    lines = materialize(joins.exists_in(inputs["oms_line"], keys, "line_key"))
+    order_keys = (active.select(F.col("order_key").alias("k"))
+                  .union(lines.select(F.col("order_key").alias("k")))
+                  .union(lines.select(F.col("chain_order_key").alias("k"))))
+    orders = materialize(joins.exists_in(inputs["oms_order"], order_keys, "order_key", "k"))
+    status_rows = with_line_and_order(inputs, active, "left", lines, orders)
     matched = status_rows.filter(F.col("_ol_line").isNotNull() & F.col("_ord_key").isNotNull())
-    return Week(inputs, start, end, status_rows, materialize(rank_top_status(inputs, matched)))
+    return Week(inputs, start, end, active, rank_top_status(inputs, matched), lines, orders)
 
 
 def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
@@ -205,20 +217,25 @@ def unit_cost(inputs, po_keys: DataFrame | None = None) -> DataFrame:
 # The two staging results and the feed
 # ---------------------------------------------------------------------------
 
-def _line_order_frame(inputs, top_rows: DataFrame) -> DataFrame:
+def _line_order_frame(inputs, top_rows: DataFrame, lines: DataFrame | None = None,
+                      orders: DataFrame | None = None) -> DataFrame:
     """Top rows joined to their line, their (calendar-dated) PO order and the
-    chained customer order; the chained line must exist."""
-    lines = inputs["oms_line"].select(
+    chained customer order; the chained line must exist. `lines` / `orders`
+    are slices of the line and order tables holding at least the keys met."""
+    lines = (lines if lines is not None else inputs["oms_line"]).select(
         F.col("line_key").alias("_l_key"), F.col("order_key").alias("_l_order"), "chain_order_key",
         "chain_line_key", "ship_node", F.col("item_id").alias("_l_item"), "unit_price", "orig_qty", "cat")
-    orders = joins.on_calendar(_po_orders(inputs), F.to_date("order_ts"), inputs["time_dim"]).select(
+    orders = orders if orders is not None else inputs["oms_order"]
+    po_orders = joins.on_calendar(orders.filter(F.col("doc_type") == P.PO_DOC_TYPE),
+                                  F.to_date("order_ts"), inputs["time_dim"]).select(
         F.col("order_key").alias("_o_key"), F.col("order_no").alias("_o_no"),
         F.to_date("order_ts").alias("_o_date"))
-    chained = inputs["oms_order"].select(F.col("order_key").alias("_c_key"), F.col("order_no").alias("_c_no"))
+    chained = orders.select(F.col("order_key").alias("_c_key"), F.col("order_no").alias("_c_no"))
     frame = (top_rows.join(lines, F.col("line_key") == F.col("_l_key"))
-                     .join(orders, F.col("_l_order") == F.col("_o_key"))
+                     .join(po_orders, F.col("_l_order") == F.col("_o_key"))
                      .join(chained, F.col("chain_order_key") == F.col("_c_key"), "left"))
-    frame = joins.exists_in(frame, inputs["oms_line"], "chain_line_key", "line_key")
+    chain_lines = joins.exists_in(inputs["oms_line"].select("line_key"), lines, "line_key", "chain_line_key")
+    frame = joins.exists_in(frame, chain_lines, "chain_line_key", "line_key")
     return frame.withColumns({
         "PO_ORDER_NO": F.when(F.col("_c_no").isNotNull(), F.col("_o_no")),
         "ORDER_NO": F.coalesce(F.col("_c_no"), F.col("_o_no")),
@@ -238,8 +255,10 @@ def rule_710_exempt(inputs, start: dt.date, end: dt.date,
     frame = week.lines().select("line_key", "STATUS_DATE", "PO_ORDER_NO", "ORDER_NO", "ship_node", "_o_key")
     frame = joins.exists_in(frame, inputs["ship_node"], "ship_node")
     frame = joins.exists_in(frame, created_lines(week.status_rows), "line_key")
-    notes = inputs["note"].select(F.col("table_key").alias("_n_key"), F.col("code").alias("_n_code"),
-                                  F.col("txt").alias("_n_txt"))
+    # Notes of the frame's orders only: the history is filtered by a semi join, not shuffled.
+    notes = (joins.exists_in(inputs["note"], week.lines(), "table_key", "_o_key")
+             .select(F.col("table_key").alias("_n_key"), F.col("code").alias("_n_code"),
+                     F.col("txt").alias("_n_txt")))
     frame = frame.join(notes, F.col("_o_key") == F.col("_n_key"), "left")
     flag = text.exemption_flag(F.col("_n_code"), F.col("_n_txt"), p.exempt_note_codes, p.exempt_note_texts)
     return frame.select("STATUS_DATE", "PO_ORDER_NO", "ORDER_NO", flag.alias("DSV_EXCEPTION")).distinct()
@@ -258,8 +277,9 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
     frame = (week.lines()
              .filter(F.col("status") == P.STATUS_CANCELLED)
              .filter(pred.not_in_dropping_null(F.col("cat"), p.excluded_categories)))
-    nodes = inputs["ship_node"].select(F.col("ship_node").alias("_sn"), "node_desc")
-    audits = (inputs["audit"].filter(F.col("code").isNotNull())
+    nodes = (joins.exists_in(inputs["ship_node"], frame, "ship_node")
+             .select(F.col("ship_node").alias("_sn"), "node_desc"))
+    audits = (joins.exists_in(inputs["audit"].filter(F.col("code").isNotNull()), frame, "order_key", "_o_key")
               .select(F.col("order_key").alias("_a_key"), F.col("code").alias("_a_code"),
                       F.col("text").alias("_a_text")))
     created = (created_lines(week.status_rows)

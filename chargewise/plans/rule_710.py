@@ -53,10 +53,6 @@ TOP_STATUS_COLUMNS = {
 # Shared sub-results
 # ---------------------------------------------------------------------------
 
-def _po_orders(inputs) -> DataFrame:
-    return inputs["oms_order"].filter(F.col("doc_type") == P.PO_DOC_TYPE)
-
-
 def lines_active_in(inputs, start: dt.date, end: dt.date) -> DataFrame:
     """Line keys with at least one release-status row dated in the window."""
     return (inputs["rel_status"]
@@ -116,9 +112,9 @@ class Week:
     `status_rows`: every release-status row of the lines that have a status
     row in the window. A line's top rows are among its own rows, so a line
     without a row in the window cannot have a top row there; keeping whole
-    lines keeps maxima and ranks exact. `lines` / `orders`: the order lines of
-    those status rows and every order they refer to (own, chained), cut from
-    the histories once. `top`: the lines' top-status rows.
+    lines keeps maxima and ranks exact. `lines_slice` / `orders_slice`: the
+    order lines of those status rows and every order they refer to (own,
+    chained), cut from the histories once. `top`: the lines' top-status rows.
     """
 
     inputs: object

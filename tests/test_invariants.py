@@ -28,6 +28,15 @@ def test_feed_schemas(inputs):
     assert schemas.columns_and_types(CQ.feed_710(inputs).schema) == schemas.columns_and_types(schemas.feed_schema(P.FEED_710_COLUMNS))
 
 
+def test_staging_column_lists(inputs):
+    from chargewise.plans import rule_702
+    assert tuple(rule_702.expedited_audit(inputs, CQ.START, CQ.END, CQ.TP.rule_702).columns) == rule_702.AUDIT_COLUMNS
+    exempt = rule_710.rule_710_exempt(inputs, CQ.START, CQ.END, CQ.TP.rule_710)
+    assert tuple(exempt.columns) == rule_710.EXEMPT_COLUMNS
+    cancels = rule_710.rule_710_cancels(inputs, CQ.START, CQ.END, CQ.TP.rule_710)
+    assert tuple(cancels.columns) == rule_710.CANCEL_COLUMNS
+
+
 def test_702_has_no_zero_or_null_amounts(inputs):
     f = CQ.feed_702(inputs)
     assert f.filter(F.col("CHARGEBACK_AMOUNT").isNull() | (F.col("CHARGEBACK_AMOUNT") == 0)).count() == 0

@@ -26,10 +26,17 @@ def on_calendar(df: DataFrame, day: Column, calendar: DataFrame) -> DataFrame:
     return df.join(cal, day == F.col("_cal_date"), "left_semi")
 
 
-def exists_in(df: DataFrame, keys: DataFrame, left: str, right: str | None = None) -> DataFrame:
-    """Semi join: keep rows of `df` whose `left` value occurs in `keys[right]`."""
+def exists_in(df: DataFrame, keys: DataFrame, left: str, right: str | None = None,
+              keys_unique: bool = False) -> DataFrame:
+    """Semi join: keep rows of `df` whose `left` value occurs in `keys[right]`.
+
+    The key side is de-duplicated first (partial aggregation, so a key repeated
+    many times is collapsed before any shuffle) unless it is known to be unique.
+    """
     right = right or left
-    k = keys.select(F.col(right).alias("_k")).distinct()
+    k = keys.select(F.col(right).alias("_k"))
+    if not keys_unique:
+        k = k.distinct()
     return df.join(k, F.col(left) == F.col("_k"), "left_semi")
 
 

@@ -150,8 +150,9 @@ def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
     sees.
     """
     keys = materialize(lines_active_in(inputs, start, end))
-    active = materialize(joins.exists_in(inputs["rel_status"], keys, "line_key"))
-    lines = materialize(joins.exists_in(inputs["oms_line"], keys, "line_key"))
+    # `keys` is a distinct set already.
+    active = materialize(joins.exists_in(inputs["rel_status"], keys, "line_key", keys_unique=True))
+    lines = materialize(joins.exists_in(inputs["oms_line"], keys, "line_key", keys_unique=True))
     order_keys = (active.select(F.col("order_key").alias("k"))
                   .union(lines.select(F.col("order_key").alias("k")))
                   .union(lines.select(F.col("chain_order_key").alias("k"))))

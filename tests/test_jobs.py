@@ -27,3 +27,27 @@ def test_combine_job_skips_missing_tables(spark):
     msg = jobs.run_combine(spark, "702, 710", table="T_COMBINED")
     assert "Combined rules: 710" in msg and "Skipped: 702" in msg
     assert spark.table("T_COMBINED").count() == 1
+
+
+def test_706_two_steps_with_reviewer_file(spark):
+    from decimal import Decimal as D
+
+    from pyspark.sql import functions as F
+
+    from chargewise.sources.inputs import reviewer_flags
+    from tests.test_rules import DAY
+
+    charges = [("A", D("10"), D("1"), D("1"), D("0")), ("B", D("4"), D("0"), D("0"), D("0"))]
+    headers = [("A", "po-1 ", "S1", DAY), ("B", "po-2", "S2", DAY)]
+    inputs = make_inputs(spark, ltl_yw=charges, ltl=headers)
+    bol = jobs.run_rule_706_input(spark, inputs, DAY, DAY, table="T706_IN")
+    assert {r.PO_NUMBER: r.TOTAL_CHARGE_AMT for r in bol.collect()} == {"PO-1": D("12.00"), "PO-2": D("4.00")}
+    # reviewers return the table with a flag per PRO number
+    returned = tempfile.mkdtemp(prefix="chargewise-flags-") + "/flags"
+    (spark.table("T706_IN")
+        .select("TRACKING_NUMBER", "PO_NUMBER", "TOTAL_CHARGE_AMT",
+                F.when(F.col("TRACKING_NUMBER") == "A", "Y").otherwise("N").alias("VIOLATE_FLAG"), "PICKUP_DATE")
+        .write.parquet(returned))
+    feed = jobs.run_rule_706(spark, reviewer_flags(spark, returned), DAY, DAY, DAY, table="T706_OUT")
+    got = feed.collect()
+    assert len(got) == 1 and got[0].PO_NUMBER == "PO-1" and got[0].CHARGEBACK_AMOUNT == 7.8

@@ -79,16 +79,26 @@ FROM lo WHERE o_orderstatus <> 'O'"""
 
 CTES["ship_node"] = "SELECT s_suppkey AS ship_node, s_name AS node_desc FROM supplier"
 
-CTES["rel_status"] = f"""
-SELECT line_key || '-' || sched || '-' || status AS status_key, order_key || '-' || sched AS release_key,
-       line_key, order_key, sched, status, CAST(sd + off AS TIMESTAMP) AS status_ts,
-       CASE WHEN status = '1100' AND n = 7 THEN NULL ELSE qty END AS qty
-FROM (SELECT 'P' || CAST(ok AS {V}) || '-' || CAST(n AS {V}) AS line_key, 'P' || CAST(ok AS {V}) AS order_key,
-             n, rf, sd, qty
-      FROM lo WHERE o_orderstatus <> 'O') p
-CROSS JOIN (VALUES ('1'), ('2')) s(sched)
-CROSS JOIN (VALUES ('1100', 0), ('3200', 1), ('9000', 2)) st(status, off)
-WHERE (sched = '1' OR n % 3 = 0) AND (status <> '9000' OR rf = 'R')"""
+CTES["po_lines"] = f"""
+SELECT 'P' || CAST(ok AS {V}) || '-' || CAST(n AS {V}) AS line_key, 'P' || CAST(ok AS {V}) AS order_key,
+       n, rf, sd, qty
+FROM lo WHERE o_orderstatus <> 'O'"""
+
+
+def _status_step(sched: str, status: str, off: int, where: str) -> str:
+    return (f"SELECT line_key || '-{sched}-{status}' AS status_key, order_key || '-{sched}' AS release_key, "
+            f"line_key, order_key, '{sched}' AS sched, '{status}' AS status, "
+            f"CAST(sd + {off} AS TIMESTAMP) AS status_ts, "
+            f"CASE WHEN '{status}' = '1100' AND n = 7 THEN NULL ELSE qty END AS qty "
+            f"FROM po_lines WHERE {where}")
+
+
+# schedule 1 for every PO line, schedule 2 when n % 3 = 0; '9000' only for returned lines
+CTES["rel_status"] = "\nUNION ALL\n".join(
+    _status_step(sched, status, off, " AND ".join(w for w in (
+        "TRUE" if sched == "1" else "n % 3 = 0",
+        "rf = 'R'" if status == "9000" else "TRUE")))
+    for sched in ("1", "2") for status, off in (("1100", 0), ("3200", 1), ("9000", 2)))
 
 CTES["status_dim"] = """
 SELECT * FROM (VALUES ('1100', 'Created', 'PO_FULFILLMENT'), ('3200', 'Released', 'PO_FULFILLMENT'),

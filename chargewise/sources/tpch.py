@@ -275,10 +275,12 @@ def staged_tpch_inputs(spark: SparkSession, sf_dir: str, root: str | None = None
     relations the same way keeps each query's plan a plan over table scans
     (with pushdown and size statistics) instead of re-deriving every relation
     at each use. The folder lives under the cluster's checkpoint directory
-    and is keyed by the source files, so changed inputs are staged again.
+    and is keyed by the source files (changed inputs are staged again) and
+    by the process (concurrent processes never share a folder being written).
     """
     root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-inputs"
-    target = f"{root}/{_source_signature(sf_dir)}"
+    # One folder per process: two processes staging at once never write the same files.
+    target = f"{root}/{_source_signature(sf_dir)}-{os.getpid()}"
     with _stage_lock:
         if _staged.get(target) != "done":
             derived = tpch_inputs(spark, sf_dir)

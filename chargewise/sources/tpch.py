@@ -14,6 +14,7 @@ import datetime as dt
 import hashlib
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -285,13 +286,20 @@ def staged_tpch_inputs(spark: SparkSession, sf_dir: str, root: str | None = None
         if _staged.get(target) != "done":
             derived = tpch_inputs(spark, sf_dir)
             staged = parquet_inputs(spark, target)
-            for name in _STAGE_ORDER:
+
+            def write(name: str) -> None:
                 path = f"{target}/{name}"
-                if not _is_written(spark, path):
-                    frame = derived[name] if name != "flags" else tpch_inputs_flags(staged)
-                    if name in _CLUSTER_BY:
-                        frame = frame.sortWithinPartitions(_CLUSTER_BY[name])
-                    frame.write.mode("overwrite").parquet(path)
+                if _is_written(spark, path):
+                    return
+                frame = derived[name] if name != "flags" else tpch_inputs_flags(staged)
+                if name in _CLUSTER_BY:
+                    frame = frame.sortWithinPartitions(_CLUSTER_BY[name])
+                frame.write.mode("overwrite").parquet(path)
+
+            # The base relations are independent Spark jobs: submit them side by side.
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                list(pool.map(write, [n for n in _STAGE_ORDER if n != "flags"]))
+            write("flags")
             _staged[target] = "done"
     return parquet_inputs(spark, target)
 

@@ -38,8 +38,8 @@ def feed_710(inputs) -> DataFrame:
     return rule_710.run_rule_710(inputs, START, END, TEST_AS_OF, TP.rule_710)
 
 
-def combined(inputs) -> DataFrame:
-    feeds = {"702": feed_702(inputs), "706": feed_706(inputs), "710": feed_710(inputs)}
+def combined(inputs, feeds: dict[str, DataFrame] | None = None) -> DataFrame:
+    feeds = feeds or {"702": feed_702(inputs), "706": feed_706(inputs), "710": feed_710(inputs)}
     return combine.combine_frames(feeds, "702,706,710").frame
 
 
@@ -48,12 +48,13 @@ def _q(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _run_log(inputs) -> DataFrame:
+    feeds = {"702": feed_702(inputs), "706": feed_706(inputs), "710": feed_710(inputs)}
     outputs = {
-        "rule_702": feed_702(inputs),
+        "rule_702": feeds["702"],
         "rule_706_input": rule_706.bol_input(inputs, START, END),
-        "rule_706": feed_706(inputs),
-        "rule_710": feed_710(inputs),
-        "combine": combined(inputs),
+        "rule_706": feeds["706"],
+        "rule_710": feeds["710"],
+        "combine": combined(inputs, feeds),   # built from the same feeds, not recomputed
     }
     rows = None
     for job, out in outputs.items():

@@ -33,7 +33,7 @@ def parents_of_history_scans(plan: str) -> set[tuple[str, str]]:
     lines = plan.split("\n")
     found = set()
     for i, line in enumerate(lines):
-        m = re.search(r"chargewise-inputs/[0-9a-f]+/(\w+)\]", line)
+        m = re.search(r"chargewise-inputs/[0-9a-f]+(?:-\d+)?/(\w+)\]", line)
         if not m or m.group(1) not in HISTORY:
             continue
         depth = len(line) - len(line.lstrip(" :+-"))

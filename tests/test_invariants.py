@@ -76,3 +76,13 @@ def test_staged_inputs_equal_derived_inputs(spark, inputs):
     for name in ("rel_status", "oms_line", "fsc", "flags"):
         assert inputs[name].exceptAll(derived[name]).count() == 0
         assert derived[name].exceptAll(inputs[name]).count() == 0
+
+
+def test_empty_window_gives_empty_feeds(inputs):
+    """A week without data: every written working set is empty and the feeds are too."""
+    import datetime as dt
+    from chargewise.plans import rule_702, rule_706
+    start, end = dt.date(2031, 1, 5), dt.date(2031, 1, 11)
+    assert rule_710.run_rule_710(inputs, start, end, end, CQ.TP.rule_710).count() == 0
+    assert rule_702.rule_702(inputs, start, end, end, CQ.TP.rule_702).count() == 0
+    assert rule_706.bol_input(inputs, start, end).count() == 0

@@ -65,8 +65,14 @@ def combine_frames(feeds: Mapping[str, DataFrame | None], rules: str | Sequence[
     return CombineResult(suffix_duplicate_ids(materialize(df), id_col), merged, skipped)
 
 
+# Rule 706 writes its feed under its own name; the other rules follow the pattern.
+RULE_TABLES = {"706": "BOL_706_FINAL_OUTPUT"}
+
+
 def combine_tables(spark: SparkSession, rules: str | Sequence[str],
-                   table_pattern: str = "DMC{rule}_OUT") -> CombineResult:
+                   table_pattern: str = "DMC{rule}_OUT",
+                   tables: Mapping[str, str] | None = None) -> CombineResult:
     """Combine feeds stored as catalog tables; absent tables are skipped."""
-    feeds = {r: optional_table(spark, table_pattern.format(rule=r)) for r in parse_rule_list(rules)}
+    names = {**RULE_TABLES, **(tables or {})}
+    feeds = {r: optional_table(spark, names.get(r, table_pattern.format(rule=r))) for r in parse_rule_list(rules)}
     return combine_frames(feeds, rules)

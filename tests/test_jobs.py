@@ -48,6 +48,9 @@ def test_706_two_steps_with_reviewer_file(spark):
         .select("TRACKING_NUMBER", "PO_NUMBER", "TOTAL_CHARGE_AMT",
                 F.when(F.col("TRACKING_NUMBER") == "A", "Y").otherwise("N").alias("VIOLATE_FLAG"), "PICKUP_DATE")
         .write.parquet(returned))
-    feed = jobs.run_rule_706(spark, reviewer_flags(spark, returned), DAY, DAY, DAY, table="T706_OUT")
+    feed = jobs.run_rule_706(spark, reviewer_flags(spark, returned), DAY, DAY, DAY)
     got = feed.collect()
     assert len(got) == 1 and got[0].PO_NUMBER == "PO-1" and got[0].CHARGEBACK_AMOUNT == 7.8
+    # the combine job finds the 706 feed under its own table name
+    msg = jobs.run_combine(spark, "706", table="T_COMBINED_706")
+    assert msg.startswith("Combined rules: 706") and spark.table("T_COMBINED_706").count() == 1

@@ -43,15 +43,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_fallback_dir: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; create a scratch one only if unset."""
+    """Return the cluster's checkpoint folder; create a scratch one only if unset.
+
+    `spark.checkpoint.dir` cannot be changed on a running session, so a scratch
+    folder (tests, local runs without the setting) is kept per process and
+    handed to the SparkContext.
+    """
+    global _fallback_dir
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = _context(spark)
     current = context.getCheckpointDir() if context is not None else None
-    folder = configured or current
+    folder = configured or current or _fallback_dir
     if not folder:
-        folder = tempfile.mkdtemp(prefix="chargewise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _fallback_dir = tempfile.mkdtemp(prefix="chargewise-ckpt-")
     if context is not None and not current:
         context.setCheckpointDir(folder)
     return folder
@@ -71,6 +79,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """Single-JVM session for tests and the bench (UI off, no extra ports)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.checkpoint.dir", os.environ.get("CHARGEWISE_CHECKPOINT_DIR",
+                                                       os.path.join(tempfile.gettempdir(), "checkpoints")))
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -318,7 +318,7 @@ def tpch_inputs_flags(staged: Inputs) -> DataFrame:
 def _is_written(spark: SparkSession, path: str) -> bool:
     """A completed write leaves a _SUCCESS marker; a partial one does not."""
     try:
-        spark.read.text(f"{path}/_SUCCESS")
+        spark.read.text(f"{path}/_SUCCESS").schema  # analysed eagerly, also under Spark Connect
         return True
     except AnalysisException:
         return False

@@ -19,6 +19,8 @@ from tests.conftest import SF_ORACLE
 HISTORY = ("rel_status", "oms_line", "oms_order", "note", "audit", "cancel_line", "po_line", "fdx", "ups")
 WEEK = (dt.date(1998, 6, 7), dt.date(1998, 6, 13))
 LIMITS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+# explain() shortens scan locations to this many characters; the table name is at the end
+METADATA_LENGTH = "spark.sql.maxMetadataStringLength"
 
 
 def physical_plan(df) -> str:
@@ -50,7 +52,8 @@ def parents_of_history_scans(plan: str) -> set[tuple[str, str]]:
 
 @pytest.fixture
 def small_broadcast_limit(spark):
-    old = {k: spark.conf.get(k) for k in LIMITS}
+    old = {k: spark.conf.get(k) for k in (*LIMITS, METADATA_LENGTH)}
+    spark.conf.set(METADATA_LENGTH, "1000")
     yield
     for k, v in old.items():
         spark.conf.set(k, v)

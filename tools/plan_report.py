@@ -79,6 +79,7 @@ def main() -> None:
     inputs = CQ.inputs_for(spark, args.sf)
     for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
         spark.conf.set(key, args.limit)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # keep scan locations whole
     original = working_set.materialize
     step = [0]
 

@@ -17,6 +17,7 @@ Shared sub-results (both the exemption list and the candidates use them):
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -150,9 +151,14 @@ def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
     sees.
     """
     keys = materialize(lines_active_in(inputs, start, end))
-    # `keys` is a distinct set already.
-    active = materialize(joins.exists_in(inputs["rel_status"], keys, "line_key", keys_unique=True))
-    lines = materialize(joins.exists_in(inputs["oms_line"], keys, "line_key", keys_unique=True))
+    # `keys` is a distinct set already. The status and line slices are independent
+    # jobs; submitting them together lets both history scans run at once.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        active_job = pool.submit(materialize, joins.exists_in(inputs["rel_status"], keys, "line_key",
+                                                              keys_unique=True))
+        lines_job = pool.submit(materialize, joins.exists_in(inputs["oms_line"], keys, "line_key",
+                                                             keys_unique=True))
+        active, lines = active_job.result(), lines_job.result()
     order_keys = (active.select(F.col("order_key").alias("k"))
                   .union(lines.select(F.col("order_key").alias("k")))
                   .union(lines.select(F.col("chain_order_key").alias("k"))))

@@ -86,3 +86,9 @@ def test_empty_window_gives_empty_feeds(inputs):
     assert rule_710.run_rule_710(inputs, start, end, end, CQ.TP.rule_710).count() == 0
     assert rule_702.rule_702(inputs, start, end, end, CQ.TP.rule_702).count() == 0
     assert rule_706.bol_input(inputs, start, end).count() == 0
+
+
+def test_entry_is_repeatable(spark):
+    first, second = E.entry(spark), E.entry(spark)
+    assert first.schema == second.schema
+    assert rows(first) == rows(second)

@@ -78,3 +78,26 @@ def test_duplicate_suffix_hot_group_of_copies(spark, monkeypatch):
                            .otherwise(F.concat("PO_NUMBER", F.lit("_dup")))).drop("_r"))
     assert out.count() == n
     assert rows(out.filter(~F.col("PO_NUMBER").startswith("P"))) == rows(brute.filter(~F.col("PO_NUMBER").startswith("P")))
+
+
+def test_latest_cancel_hot_line_is_split_and_exact(spark, skew_conf):
+    from chargewise.operators.ranking import latest_with_total
+    n = 300_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("L"), (F.col("id") % 2000).cast("string")))
+         .alias("line_key"),
+        # the hot line's latest time is shared by many rows (ties kept)
+        F.timestamp_seconds(F.when(F.col("id") % 3 == 0, F.col("id") % 5).otherwise(F.col("id") % 11)).alias("ts"),
+        (F.col("id") % 4).cast("decimal(18,2)").alias("qty"),
+        F.col("id"))
+    out = latest_with_total(df, "line_key", "ts", "qty", "total")
+    out.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    assert "skew=true" in buf.getvalue()
+    w = Window.partitionBy("line_key")
+    brute = (df.withColumn("m", F.max("ts").over(w)).withColumn("total", F.sum("qty").over(w))
+               .filter(F.col("ts") == F.col("m")).drop("m", "qty"))
+    assert out.count() == brute.count()
+    assert out.select(*brute.columns).exceptAll(brute).count() == 0

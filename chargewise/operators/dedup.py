@@ -35,10 +35,14 @@ def repeat_rows(df: DataFrame, count: str, partitions: int | None = None) -> Dat
     return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_len"))).alias("_i")).drop("_i")
 
 
-def suffix_duplicate_ids(df: DataFrame, id_col: str, suffix: str = "_dup") -> DataFrame:
+def suffix_duplicate_ids(df: DataFrame, id_col: str, suffix: str = "_dup",
+                         rows_distinct: bool = False) -> DataFrame:
+    """`rows_distinct=True` when no two rows are identical (e.g. after a set union):
+    every row then has one copy and step 1 is skipped."""
     cols = list(df.columns)
     rest = [c for c in cols if c != id_col]
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    counted = (df.withColumn("_n", F.lit(1).cast("long")) if rows_distinct
+               else df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")))
 
     null_ids = counted.filter(F.col(id_col).isNull())
     keyed = counted.filter(F.col(id_col).isNotNull())

@@ -62,7 +62,9 @@ def combine_frames(feeds: Mapping[str, DataFrame | None], rules: str | Sequence[
         id_col = "ROW_ID"
     # The suffix step reads its input more than once; write the (feed-sized)
     # union once instead of recomputing every rule's feed per read.
-    return CombineResult(suffix_duplicate_ids(materialize(df), id_col), merged, skipped)
+    # With two or more feeds the union removed duplicate rows already.
+    return CombineResult(suffix_duplicate_ids(materialize(df), id_col, rows_distinct=len(merged) > 1),
+                         merged, skipped)
 
 
 # Rule 706 writes its feed under its own name; the other rules follow the pattern.

@@ -9,6 +9,7 @@ import contextlib
 import datetime as dt
 import io
 import re
+import threading
 
 import pytest
 
@@ -65,9 +66,11 @@ def test_history_tables_are_not_shuffled(spark, small_broadcast_limit, monkeypat
         spark.conf.set(k, "200KB")
     seen = []
     original = rule_710.materialize
+    lock = threading.Lock()  # two slices are written from two threads; stdout capture is global
 
     def spy(df):
-        seen.append(parents_of_history_scans(physical_plan(df)))
+        with lock:
+            seen.append(parents_of_history_scans(physical_plan(df)))
         return original(df)
 
     monkeypatch.setattr(rule_710, "materialize", spy)

@@ -19,6 +19,7 @@ import io
 import os
 import re
 import sys
+import threading
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -88,9 +89,12 @@ def main() -> None:
         for line in scans(df):
             print("   " + line)
 
+    lock = threading.Lock()  # some slices are written from two threads; explain() output is captured globally
+
     def spy(df):
-        step[0] += 1
-        report(f"working set {step[0]}", df)
+        with lock:
+            step[0] += 1
+            report(f"working set {step[0]}", df)
         return original(df)
 
     for module in (rule_702, rule_706, rule_710):

@@ -11,6 +11,8 @@ lineage, so a lost executor does not send recomputation back to the history.
 
 from __future__ import annotations
 
+import datetime
+import os
 import uuid
 
 from pyspark.sql import DataFrame
@@ -18,8 +20,13 @@ from pyspark.sql import DataFrame
 from chargewise.session import ensure_checkpoint_dir
 
 
+# All working sets of one process live under one dated folder, so a retention
+# policy on the checkpoint folder can expire whole runs by age.
+RUN_FOLDER = f"{datetime.datetime.now():%Y%m%d-%H%M%S}-{os.getpid()}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-work/{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-work/{RUN_FOLDER}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

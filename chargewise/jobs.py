@@ -4,7 +4,7 @@ Each computes the reporting window from the run date (the previous full
 Sunday-Saturday week for rules 702 and 710), runs the rule, overwrites its
 output table, appends one row to the run log, and returns the written frame.
 
-    python -m chargewise.jobs rule_710 --inputs-root s3://bucket/edw --as-of 2025-08-04
+    python -m chargewise.jobs rule_710 --inputs-root /data/inputs --as-of 2025-08-04 --staging
     python -m chargewise.jobs combine --rules 702,710
 """
 
@@ -24,6 +24,9 @@ from chargewise.sources import sinks
 from chargewise.sources.inputs import Inputs, catalog_inputs, parquet_inputs, reviewer_flags
 
 OUT_702 = "DMC702_OUT"
+STAGE_702 = "EXPEDITED_AUDIT"
+STAGE_710_EXEMPT = "CANCELLATION_EXEMPT_QUERY"
+STAGE_710_CANCELS = "CHARGEBACK_CANCELS_QUERY"
 OUT_706_INPUT = "BOL_706_OFFSHORE_INPUT"
 OUT_706 = "BOL_706_FINAL_OUTPUT"
 OUT_710 = "DMC710_OUT"
@@ -40,10 +43,15 @@ def _finish(spark: SparkSession, feed: DataFrame, table: str, job: str, start, e
 
 def run_rule_702(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = None,
                  table: str = OUT_702, log_path: str | None = None,
-                 p: P.Rule702Params = P.Rule702Params()) -> DataFrame:
+                 p: P.Rule702Params = P.Rule702Params(), staging: bool = False) -> DataFrame:
+    """`staging=True` also keeps the audit rows the feed is built from, as a table."""
     as_of = as_of or dt.date.today()
     start, end = previous_week(as_of)
-    feed = rule_702.rule_702(inputs, start, end, as_of, p)
+    audit = rule_702.expedited_audit(inputs, start, end, p)
+    if staging:
+        sinks.overwrite_table(audit, STAGE_702)
+        audit = spark.table(STAGE_702)
+    feed = rule_702.feed_from_audit(audit, as_of, p)
     return _finish(spark, feed, table, "rule_702", start, end, as_of, log_path)
 
 
@@ -65,10 +73,18 @@ def run_rule_706(spark: SparkSession, flags: DataFrame, start: dt.date, end: dt.
 
 def run_rule_710(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = None,
                  table: str = OUT_710, log_path: str | None = None,
-                 p: P.Rule710Params = P.Rule710Params()) -> DataFrame:
+                 p: P.Rule710Params = P.Rule710Params(), staging: bool = False) -> DataFrame:
+    """`staging=True` also keeps the exemption list and the candidates as tables."""
     as_of = as_of or dt.date.today()
     start, end = previous_week(as_of)
-    feed = rule_710.run_rule_710(inputs, start, end, as_of, p)
+    week = rule_710.prepare_week(inputs, start, end)
+    cancels = rule_710.rule_710_cancels(inputs, start, end, p, week)
+    exempt = rule_710.rule_710_exempt(inputs, start, end, p, week)
+    if staging:
+        sinks.overwrite_table(exempt, STAGE_710_EXEMPT)
+        sinks.overwrite_table(cancels, STAGE_710_CANCELS)
+        exempt, cancels = spark.table(STAGE_710_EXEMPT), spark.table(STAGE_710_CANCELS)
+    feed = rule_710.rule_710(cancels, exempt, as_of, p)
     return _finish(spark, feed, table, "rule_710", start, end, as_of, log_path)
 
 
@@ -99,6 +115,7 @@ def main(argv=None) -> None:
     ap.add_argument("--end", type=dt.date.fromisoformat)
     ap.add_argument("--rules", default="702,710")
     ap.add_argument("--run-log")
+    ap.add_argument("--staging", action="store_true", help="also write the rules' staging tables")
     args = ap.parse_args(argv)
     spark = tune(SparkSession.builder.getOrCreate())
     if args.job == "combine":
@@ -109,9 +126,9 @@ def main(argv=None) -> None:
     elif args.job == "rule_706_input":
         run_rule_706_input(spark, _inputs(spark, args), args.start, args.end, log_path=args.run_log)
     elif args.job == "rule_702":
-        run_rule_702(spark, _inputs(spark, args), args.as_of, log_path=args.run_log)
+        run_rule_702(spark, _inputs(spark, args), args.as_of, log_path=args.run_log, staging=args.staging)
     else:
-        run_rule_710(spark, _inputs(spark, args), args.as_of, log_path=args.run_log)
+        run_rule_710(spark, _inputs(spark, args), args.as_of, log_path=args.run_log, staging=args.staging)
 
 
 if __name__ == "__main__":

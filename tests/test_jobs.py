@@ -54,3 +54,11 @@ def test_706_two_steps_with_reviewer_file(spark):
     # the combine job finds the 706 feed under its own table name
     msg = jobs.run_combine(spark, "706", table="T_COMBINED_706")
     assert msg.startswith("Combined rules: 706") and spark.table("T_COMBINED_706").count() == 1
+
+
+def test_rule_710_job_keeps_staging_tables(spark):
+    inputs = make_inputs(spark, **base_710(note=[("PO1", "Other", "hello")]))
+    out = jobs.run_rule_710(spark, inputs, MONDAY, table="T710_STAGED", staging=True)
+    assert out.count() == 1
+    assert spark.table(jobs.STAGE_710_CANCELS).count() == 1
+    assert [r.DSV_EXCEPTION for r in spark.table(jobs.STAGE_710_EXEMPT).collect()] == ["N"]

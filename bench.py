@@ -59,8 +59,8 @@ def main() -> None:
             run(name)
         except Exception as exc:  # report and keep measuring the others
             errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
-    timings = {name: round(statistics.median(run(name) for _ in range(runs)), 3)
-               for name in names if name not in errors}
+    samples = {name: [run(name) for _ in range(runs)] for name in names if name not in errors}
+    timings = {name: round(statistics.median(v), 3) for name, v in samples.items()}
     headline = [n for n in timings if n != "rule_710_no_reduction"]
     result = {
         "metric": "chargeback_jobs_total_sec",
@@ -71,6 +71,8 @@ def main() -> None:
         "cpus": int(cpus),
         "shuffle_partitions": shuffle,
         "runs": runs,
+        # min and max per query: run-to-run spread on a shared machine can be wide
+        "spread": {name: [round(min(v), 3), round(max(v), 3)] for name, v in samples.items()},
     }
     if errors:
         result["errors"] = errors

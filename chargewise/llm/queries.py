@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chargewise.llm import simhash
+from chargewise.llm import bpe, langid, linededup, pii, simhash
 from chargewise.llm.common import read_table
 
 
@@ -14,8 +15,73 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(read_table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(
+            ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def of_kind(kind):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda x: x["base"])
+    return found.select(
+        "doc_id",
+        *[of_kind(kind) for kind in pii.BASE_KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _tokenizer("word_bpe_49k.json")
+    both = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = langid.is_held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(~held_out))
+    return langid.classify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return linededup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+OP7_SQL = """
+WITH lines AS (
+  SELECT source, trim(unnest(string_split(text, chr(10)))) AS line FROM documents
+), boiler AS (
+  SELECT line FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10
+), split AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts,
+         (SELECT coalesce(list(line), []) FROM boiler) AS gone
+  FROM documents
+), kept AS (
+  SELECT doc_id, text, parts, list_filter(parts, lambda x: NOT list_contains(gone, trim(x))) AS stay FROM split
+)
+SELECT doc_id,
+       CASE WHEN text IS NULL THEN 0 ELSE len(parts) END AS n_lines,
+       CASE WHEN text IS NULL THEN 0 ELSE len(parts) - len(stay) END AS n_removed,
+       CASE WHEN text IS NULL THEN NULL ELSE array_to_string(stay, chr(10)) END AS text
+FROM kept
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_pii": op3_pii,
+    "op5_bpe": op5_bpe,
+    "op6_langid": op6_langid,
+    "op7_linededup": op7_linededup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_linededup": OP7_SQL}

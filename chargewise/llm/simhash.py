@@ -183,11 +183,11 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None, t
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, words: int = SHINGLE_WORDS,
                     blocks: int | None = None, tree_size: int = 4096) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of `docs` (doc_id, text).
+    """(doc_id, fingerprint, component_id, root) for every row of `docs` (doc_id, text).
 
     A null text has no words: fingerprint zero, linked like any other. Repeated rows each get a
-    result row. `component_id` is the smallest non-null doc_id of the group (null if it has none).
-    An empty table gives an empty result; other columns are ignored.
+    result row. `component_id` is the smallest non-null doc_id of the group (null if it has none);
+    `root` is the group's least fingerprint as a signed long. An empty table gives an empty result; other columns are ignored.
     """
     fps = written(fingerprints(docs, words), "simhash")
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
@@ -195,6 +195,30 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, words: int = SHIN
     rooted = nodes.join(members.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     firsts = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = rooted.join(firsts, "root").select("fp", "component_id")
+    groups = rooted.join(firsts, "root").select("fp", "component_id", "root")
     return fps.join(groups, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
+
+
+def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, words: int = SHINGLE_WORDS) -> DataFrame:
+    """The row of `docs` (any columns) with the smallest doc_id of each group (null last, then by fingerprint).
+
+    Rows that share doc_id and group count as one document: one of them stays.
+    """
+    groups = written(near_duplicates(docs, max_bits, words), "simhash-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint")
+    first = (groups.groupBy("root").agg(F.min(order).alias("least"))
+             .select("root", F.col("least.doc_id").alias("_id"), F.col("least.fingerprint").alias("_fp")))
+    shared = groups.groupBy("doc_id").agg(F.count_distinct("fingerprint").alias("n")).where("n > 1 or doc_id is null")
+    first = first.join(shared.select(F.col("doc_id").alias("_shared")), F.col("_id").eqNullSafe(F.col("_shared")), "left") \
+        .withColumn("_many", F.col("_id").isNull() | F.col("_shared").isNotNull())
+
+    @F.pandas_udf("string")
+    def print_of(texts):
+        return texts.map(lambda t: None if t is None else format(fingerprint(t, words), "016x"))
+
+    # The text decides only where several documents share the id; elsewhere no fingerprint is computed again.
+    joined = docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]))
+    text = F.when(F.col("_many"), F.coalesce(docs["text"], F.lit("")))
+    return (joined.withColumn("_own", print_of(text)).where("_own is null or _own = _fp")
+            .dropDuplicates(["root"]).select(*[docs[c] for c in docs.columns]))

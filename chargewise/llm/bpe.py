@@ -23,13 +23,14 @@ from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargewise.llm.common import batch, texts_of, written
+from chargewise.llm.common import batch, rows_of, texts_of, written
 
 CHUNK_CHARS = 32_000_000
 BUCKET_CHARS = 32_000_000
@@ -138,12 +139,13 @@ class _Chunk:
         rank[by_count] = np.arange(len(words), dtype=np.uint32)
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         own = np.array([xxhash.xxh64_intdigest(w) % buckets for w in raw], np.int64)
-        order = sorted(range(len(words)), key=lambda i: (own[i], raw[i]))      # place of each entry of all lists
+        order = np.array(sorted(range(len(words)), key=raw.__getitem__), np.int64)
+        order = order[np.argsort(own[order], kind="stable")]                   # by bucket, then by word
         place = np.empty(len(words), np.uint32)
         place[order] = np.arange(len(words), dtype=np.uint32)
         cuts = np.searchsorted(own[order], np.arange(buckets + 1)) if words else np.zeros(buckets + 1, int)
         chunk = uuid.uuid4().hex
-        lists = [(b, zstandard.compress(b"\n".join(raw[i] for i in order[cuts[b]:cuts[b + 1]]), 3))
+        lists = [(b, zstandard.compress(b"\n".join(raw[i] for i in order[cuts[b]:cuts[b + 1]].tolist()), 3))
                  for b in range(buckets) if cuts[b] < cuts[b + 1]]
         ids = np.array([0 if d is None else d for d in self.doc_ids], np.int64).view(np.uint64)
         null = np.array([d is None for d in self.doc_ids], np.uint8)
@@ -151,13 +153,15 @@ class _Chunk:
         return batch(_PARTS, [[chunk] * (len(lists) + 1), [b for b, _ in lists] + [_DOCS], [w for _, w in lists] + [data]])
 
 
-def encode(docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, buckets: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, buckets: int | None = None,
+           decoded: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids) for every row of `docs` (doc_id, text): ids as little-endian unsigned
     32-bit integers, as the library gives them without added special tokens, truncation and padding.
 
     A null text counts as empty: no ids. Null doc_ids and repeated rows keep their own result rows;
     an empty table gives an empty result; other columns are ignored. `path`: the tokenizer's file,
     at the same place on all machines. `buckets`: parts of the word table, by default from its size.
+    `decoded`: also decode the ids where they are placed and add the column text, as `decode` does.
     """
     docs = texts_of(docs, "doc_id")
     if buckets is None:
@@ -166,43 +170,41 @@ def encode(docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, buckets:
 
     def split(batches):
         splitter, chunk = _splitter(path), _Chunk()
-        for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                chunk.add(doc_id, text, splitter.words(text))
-                if chunk.chars >= chunk_chars:
-                    yield chunk.rows(buckets)
-                    chunk = _Chunk()
+        for doc_id, text in rows_of(batches):
+            chunk.add(doc_id, text, splitter.words(text))
+            if chunk.chars >= chunk_chars:
+                yield chunk.rows(buckets)
+                chunk = _Chunk()
         if chunk.docs:
             yield chunk.rows(buckets)
 
     def encode_words(batches):
         tokenizer, bucket, known = load(path), None, {}
-        for b in batches:
-            for chunk, own, data in zip(*(c.to_pylist() for c in b.columns)):
-                if own != bucket:
-                    bucket, known = own, {}
-                words = zstandard.decompress(data).split(b"\n")
-                new = [w for w in words if w not in known]
-                for lo in range(0, len(new), 10_000):
-                    part = new[lo:lo + 10_000]
-                    for w, e in zip(part, tokenizer.encode_batch([w.decode("utf-8", "surrogatepass") for w in part], add_special_tokens=False)):
-                        known[w] = np.array(e.ids, "<u4").tobytes()
-                ids = [known[w] for w in words]
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-                yield batch(_PARTS, [[chunk], [own], [_pack(sizes, np.frombuffer(b"".join(ids), "<u4"))]])
+        for chunk, own, data in rows_of(batches, 8):
+            if own != bucket:
+                bucket, known = own, {}
+            words = zstandard.decompress(data).split(b"\n")
+            new = [w for w in words if w not in known]
+            for lo in range(0, len(new), 10_000):
+                part = new[lo:lo + 10_000]
+                for w, e in zip(part, tokenizer.encode_batch([w.decode("utf-8", "surrogatepass") for w in part], add_special_tokens=False)):
+                    known[w] = np.array(e.ids, "<u4").tobytes()
+            ids = [known[w] for w in words]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            yield batch(_PARTS, [[chunk], [own], [_pack(sizes, np.frombuffer(b"".join(ids), "<u4"))]])
 
     def place_ids(batches):
         chunk, sizes, ids = None, [], []
-        for b in batches:
-            for own, bucket, data in zip(*(c.to_pylist() for c in b.columns)):
-                if own != chunk:
-                    chunk, sizes, ids = own, [], []
-                if bucket != _DOCS:
-                    n, values = _unpack(data)
-                    sizes.append(n.astype(np.int64))
-                    ids.append(values.astype("<u4"))
-                    continue
-                yield from _documents(data, sizes, ids)
+        text_of = _decoder(path) if decoded else None
+        for own, bucket, data in rows_of(batches, 8):
+            if own != chunk:
+                chunk, sizes, ids = own, [], []
+            if bucket != _DOCS:
+                n, values = _unpack(data)
+                sizes.append(n.astype(np.uint16 if not len(n) or n.max() < 1 << 16 else np.int64))
+                ids.append(values.astype("<u4"))
+            else:
+                yield from _documents(data, sizes, ids, text_of)
 
     parts = written(docs.mapInArrow(split, "chunk string, bucket int, data binary"), "bpe-parts", compression="none")
     lists = parts.where(F.col("bucket") != _DOCS)
@@ -210,13 +212,13 @@ def encode(docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, buckets:
              .mapInArrow(encode_words, "chunk string, bucket int, data binary"))
     return (coded.unionByName(parts.where(F.col("bucket") == _DOCS))
             .repartition("chunk").sortWithinPartitions("chunk", "bucket")
-            .mapInArrow(place_ids, "doc_id long, n_tokens long, ids binary"))
+            .mapInArrow(place_ids, "doc_id long, n_tokens long, ids binary" + ", text string" * decoded))
 
 
-def _documents(data: bytes, sizes: list[np.ndarray], ids: list[np.ndarray]):
-    """The ids of a chunk's documents, from its positions and its words' ids."""
+def _documents(data: bytes, sizes: list[np.ndarray], ids: list[np.ndarray], text_of=None):
+    """The ids of a chunk's documents, from its positions and its words' ids; also as text if `text_of` is given."""
     doc_ids, null, lengths, place, codes = _unpack(data)
-    size = np.concatenate([*sizes, np.zeros(0, np.int64)])
+    size = np.concatenate([*sizes, np.zeros(0, np.int64)]).astype(np.int64)
     flat = np.concatenate([*ids, np.zeros(0, "<u4")])
     if len(size) != len(place):
         raise ValueError("a chunk's word lists are incomplete")
@@ -225,8 +227,8 @@ def _documents(data: bytes, sizes: list[np.ndarray], ids: list[np.ndarray]):
     doc_ids, lengths = doc_ids.astype(np.uint64).view(np.int64), lengths.astype(np.int64)
     ends = np.cumsum(lengths)
     lo = 0
-    while lo < len(lengths):                       # documents of about a million words at a time, one at least
-        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + 1_000_000)))
+    while lo < len(lengths):                       # documents of about 200,000 words at a time, one at least
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + 200_000)))
         own = codes[ends[lo] - lengths[lo]:ends[hi - 1]]
         n = size[own]
         stop = np.cumsum(n)
@@ -234,11 +236,26 @@ def _documents(data: bytes, sizes: list[np.ndarray], ids: list[np.ndarray]):
         stops = np.concatenate(([0], stop))[ends[lo:hi] - (ends[lo] - lengths[lo])]
         starts = np.concatenate(([0], stops[:-1]))
         raw = out.tobytes()
-        yield batch(_IDS, [pa.array(doc_ids[lo:hi], mask=null[lo:hi].astype(bool)), stops - starts,
-                           [raw[4 * s:4 * e] for s, e in zip(starts.tolist(), stops.tolist())]])
+        columns = [pa.array(doc_ids[lo:hi], mask=null[lo:hi].astype(bool)), stops - starts,
+                   [raw[4 * s:4 * e] for s, e in zip(starts.tolist(), stops.tolist())]]
+        if text_of is None:
+            yield batch(_IDS, columns)
+        else:
+            yield batch(_IDS.append(pa.field("text", pa.string())), [*columns, list(map(text_of, columns[2]))])
         lo = hi
 
 
+def _decoder(path: str):
+    """From ids as bytes to the library's decoded text, special tokens kept, through the id-to-piece table."""
+    tokenizer = load(path)
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    pieces: list = [None] * (max(vocabulary.values()) + 1)
+    for piece, i in vocabulary.items():
+        pieces[i] = piece
+    join = " ".join if tokenizer.decoder is None else tokenizer.decoder.decode
+    return lambda raw: None if raw is None else join([pieces[i] for i in np.frombuffer(raw, "<u4").tolist()])
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """`encoded` (with ids, as `encode` returns them) with the decoded text added, special tokens kept.
 
@@ -247,13 +264,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     Null ids give a null text, no ids the empty text. A column named text is replaced.
     """
     @F.pandas_udf("string")
-    def pieces_of(column):
-        tokenizer = load(path)
-        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-        pieces: list = [None] * (max(vocabulary.values()) + 1)
-        for piece, i in vocabulary.items():
-            pieces[i] = piece
-        join = " ".join if tokenizer.decoder is None else tokenizer.decoder.decode
-        return column.map(lambda raw: None if raw is None else join([pieces[i] for i in np.frombuffer(raw, "<u4").tolist()]))
-
-    return encoded.withColumn("text", pieces_of("ids"))
+    def text_of(column: pd.Series) -> pd.Series:
+        return column.map(_decoder(path))
+
+    return encoded.withColumn("text", text_of("ids"))

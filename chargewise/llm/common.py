@@ -55,6 +55,13 @@ def ints(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
+def rows_of(batches, size: int = 512):
+    """The rows of Arrow batches as Python tuples, turned into Python objects a few at a time."""
+    for b in batches:
+        for lo in range(0, b.num_rows, size):
+            yield from zip(*(c.to_pylist() for c in b.slice(lo, size).columns))
+
+
 def key_runs(keys: list[np.ndarray]) -> np.ndarray:
     """Start offsets of the runs of equal keys (and the end) in arrays sorted by them."""
     n = len(keys[0])

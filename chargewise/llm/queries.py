@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chargewise.llm import bpe, langid, linededup, pii, simhash
+from chargewise.llm import bpe, decontam, langid, linededup, pii, simhash
 from chargewise.llm.common import read_table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("root")
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,8 +38,7 @@ def _tokenizer(name: str) -> str:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _tokenizer("word_bpe_49k.json")
-    both = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
+    both = bpe.encode(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), decoded=True)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
@@ -57,6 +56,10 @@ def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 OP7_SQL = """
 WITH lines AS (
   SELECT source, trim(unnest(string_split(text, chr(10)))) AS line FROM documents
@@ -82,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_langid": op6_langid,
     "op7_linededup": op7_linededup,
+    "op9_decontam": op9_decontam,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_linededup": OP7_SQL}

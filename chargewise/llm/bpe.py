@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargewise.llm.common import batch, rows_of, texts_of, written
+from chargewise.llm.common import batch, pack, rows_of, texts_of, unpack, written
 
 CHUNK_CHARS = 32_000_000
 BUCKET_CHARS = 32_000_000
@@ -91,31 +91,6 @@ def _splitter(path: str) -> Splitter:
     return Splitter(path)
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Integer arrays as compressed byte planes."""
-    out = []
-    for a in arrays:
-        width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
-        planes = np.ascontiguousarray(a.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
-        out.append(len(a).to_bytes(8, "little") + width.to_bytes(1, "little") + b"".join(
-            len(z).to_bytes(8, "little") + z for z in (zstandard.compress(planes[:, i].tobytes(), 3) for i in range(width))))
-    return b"".join(out)
-
-
-def _unpack(data: bytes) -> list[np.ndarray]:
-    at, out = 0, []
-    while at < len(data):
-        n, width = int.from_bytes(data[at:at + 8], "little"), data[at + 8]
-        at += 9
-        a = np.zeros(n, np.uint32 if width <= 4 else np.uint64)
-        for i in range(width):
-            size = int.from_bytes(data[at:at + 8], "little")
-            a |= np.frombuffer(zstandard.decompress(data[at + 8:at + 8 + size], max_output_size=n), np.uint8).astype(a.dtype) << a.dtype.type(8 * i)
-            at += 8 + size
-        out.append(a)
-    return out
-
-
 class _Chunk:
     """The documents of a chunk as codes of its own words."""
 
@@ -149,7 +124,7 @@ class _Chunk:
                  for b in range(buckets) if cuts[b] < cuts[b + 1]]
         ids = np.array([0 if d is None else d for d in self.doc_ids], np.int64).view(np.uint64)
         null = np.array([d is None for d in self.doc_ids], np.uint8)
-        data = _pack(ids, null, np.array([len(d) for d in self.docs]), place[by_count], rank[all_codes])
+        data = pack(ids, null, np.array([len(d) for d in self.docs]), place[by_count], rank[all_codes])
         return batch(_PARTS, [[chunk] * (len(lists) + 1), [b for b, _ in lists] + [_DOCS], [w for _, w in lists] + [data]])
 
 
@@ -191,7 +166,7 @@ def encode(docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, buckets:
                     known[w] = np.array(e.ids, "<u4").tobytes()
             ids = [known[w] for w in words]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            yield batch(_PARTS, [[chunk], [own], [_pack(sizes, np.frombuffer(b"".join(ids), "<u4"))]])
+            yield batch(_PARTS, [[chunk], [own], [pack(sizes, np.frombuffer(b"".join(ids), "<u4"))]])
 
     def place_ids(batches):
         chunk, sizes, ids = None, [], []
@@ -200,7 +175,7 @@ def encode(docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, buckets:
             if own != chunk:
                 chunk, sizes, ids = own, [], []
             if bucket != _DOCS:
-                n, values = _unpack(data)
+                n, values = unpack(data)
                 sizes.append(n.astype(np.uint16 if not len(n) or n.max() < 1 << 16 else np.int64))
                 ids.append(values.astype("<u4"))
             else:
@@ -217,7 +192,7 @@ def encode(docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, buckets:
 
 def _documents(data: bytes, sizes: list[np.ndarray], ids: list[np.ndarray], text_of=None):
     """The ids of a chunk's documents, from its positions and its words' ids; also as text if `text_of` is given."""
-    doc_ids, null, lengths, place, codes = _unpack(data)
+    doc_ids, null, lengths, place, codes = unpack(data)
     size = np.concatenate([*sizes, np.zeros(0, np.int64)]).astype(np.int64)
     flat = np.concatenate([*ids, np.zeros(0, "<u4")])
     if len(size) != len(place):

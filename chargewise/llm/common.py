@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,32 @@ def rows_of(batches, size: int = 512):
             yield from zip(*(c.to_pylist() for c in b.slice(lo, size).columns))
 
 
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of non-negative integers as compressed byte planes."""
+    out = []
+    for a in arrays:
+        width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
+        planes = np.ascontiguousarray(a.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
+        out.append(len(a).to_bytes(8, "little") + width.to_bytes(1, "little") + b"".join(
+            len(z).to_bytes(8, "little") + z for z in (zstandard.compress(planes[:, i].tobytes(), 3) for i in range(width))))
+    return b"".join(out)
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    """The arrays that `pack` was given, as unsigned 32-bit or, where needed, 64-bit integers."""
+    at, out = 0, []
+    while at < len(data):
+        n, width = int.from_bytes(data[at:at + 8], "little"), data[at + 8]
+        at += 9
+        a = np.zeros(n, np.uint32 if width <= 4 else np.uint64)
+        for i in range(width):
+            size = int.from_bytes(data[at:at + 8], "little")
+            a |= np.frombuffer(zstandard.decompress(data[at + 8:at + 8 + size], max_output_size=n), np.uint8).astype(a.dtype) << a.dtype.type(8 * i)
+            at += 8 + size
+        out.append(a)
+    return out
+
+
 def key_runs(keys: list[np.ndarray]) -> np.ndarray:
     """Start offsets of the runs of equal keys (and the end) in arrays sorted by them."""
     n = len(keys[0])

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chargewise.llm import bpe, decontam, langid, linededup, pii, simhash
-from chargewise.llm.common import read_table
+from chargewise.llm import bpe, decontam, langid, linededup, pii, repair, simhash
+from chargewise.llm.common import read_table, scratch
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +60,12 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "repair")
+    repair.write(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), path)
+    return repair.checksums(spark, path)
+
+
 OP7_SQL = """
 WITH lines AS (
   SELECT source, trim(unnest(string_split(text, chr(10)))) AS line FROM documents
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_langid": op6_langid,
     "op7_linededup": op7_linededup,
     "op9_decontam": op9_decontam,
+    "op10_repair": op10_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_linededup": OP7_SQL}

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_SITES = 10
+SALTS = 16
 
 
 def _lines(docs: DataFrame, site: str) -> DataFrame:
@@ -36,17 +37,21 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, band: float = 0.25
 
     Estimates within `band` of the threshold (about 15 standard errors at lg_k = 12) are counted exactly.
     """
+    lines = lines.where("site is not null")
     site = F.xxhash64("site")
-    often = (lines.where("site is not null").groupBy("k1", "k2")
-             .agg(F.count(F.lit(1)).alias("n"), F.min(site).alias("lo"), F.max(site).alias("hi"))
+    often = (lines.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min(site).alias("lo"), F.max(site).alias("hi"))
              .where((F.col("n") >= min_sites) & ((F.col("lo") != F.col("hi")) | F.lit(min_sites <= 1))).select("k1", "k2"))
-    suspects = lines.where("site is not null").join(often, ["k1", "k2"], "left_semi").select("k1", "k2", "site")
-    spread = (suspects.groupBy("k1", "k2").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
+    # A line may hold a third of all rows: its rows are dealt over SALTS parts, each with a sketch of its own.
+    salted = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    suspects = (lines.withColumn("salt", F.pmod(F.xxhash64("row_key", "pos"), F.lit(SALTS)).cast("int"))
+                .join(salted, ["k1", "k2", "salt"], "left_semi"))
+    spread = (suspects.groupBy("k1", "k2", "salt").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
+              .groupBy("k1", "k2").agg(F.hll_union_agg("sketch").alias("sketch"))
               .select("k1", "k2", F.hll_sketch_estimate("sketch").alias("sites")))
     sure = spread.where(F.col("sites") > min_sites * (1 + band)).select("k1", "k2")
     near = spread.where(F.col("sites").between(min_sites * (1 - band), min_sites * (1 + band))).select("k1", "k2")
-    exact = (suspects.join(near, ["k1", "k2"], "left_semi").groupBy("k1", "k2")
-             .agg(F.count_distinct("site").alias("sites")).where(F.col("sites") >= min_sites).select("k1", "k2"))
+    exact = (suspects.select("k1", "k2", "site").distinct().join(near, ["k1", "k2"], "left_semi")
+             .groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("sites")).where(F.col("sites") >= min_sites).select("k1", "k2"))
     return sure.unionByName(exact)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chargewise.llm import bpe, decontam, langid, linededup, pii, repair, simhash
+from chargewise.llm import ann, bpe, decontam, langid, linededup, pii, repair, simhash
 from chargewise.llm.common import read_table, scratch
 
 
@@ -32,6 +32,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
+def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def _tokenizer(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -88,6 +92,7 @@ FROM kept
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_pii": op3_pii,
+    "op4_hilbert": op4_hilbert,
     "op5_bpe": op5_bpe,
     "op6_langid": op6_langid,
     "op7_linededup": op7_linededup,

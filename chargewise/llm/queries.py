@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chargewise.llm import ann, bpe, decontam, langid, linededup, pii, repair, simhash
+from chargewise.llm import ann, bpe, decontam, langid, linededup, pii, repair, rlbwt, simhash
 from chargewise.llm.common import read_table, scratch
 
 
@@ -60,6 +60,11 @@ def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op8_rlbwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlbwt.remove_repeats(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_langid": op6_langid,
     "op7_linededup": op7_linededup,
+    "op8_rlbwt": op8_rlbwt,
     "op9_decontam": op9_decontam,
     "op10_repair": op10_repair,
 }

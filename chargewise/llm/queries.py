@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chargewise.llm import ann, bpe, decontam, langid, linededup, pii, repair, rlbwt, simhash
+from chargewise.llm import ann, bpe, decontam, katz, langid, linededup, pii, repair, rlbwt, simhash
 from chargewise.llm.common import read_table, scratch
 
 
@@ -15,6 +15,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("root")
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(read_table(spark, sf_dir, "documents"), langid.is_held_out(F.col("doc_id"), 7, 2))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(read_table(spark, sf_dir, "documents"))
 
@@ -96,6 +100,7 @@ FROM kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_katz": op2_katz,
     "op3_pii": op3_pii,
     "op4_hilbert": op4_hilbert,
     "op5_bpe": op5_bpe,

@@ -57,13 +57,13 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         """Makes `known` hold all of `words`."""
-        new = words - self.known.keys()
+        new = words.difference(self.known)       # looks each word up; with keys() it would walk the whole table
         if len(self.known) + len(new) > _CACHE_WORDS:
             self.known, self.older = {}, self.known
             new = words
-        kept = new & self.older.keys()
-        self.known.update((w, self.older[w]) for w in kept)
-        fresh = list(new - kept)
+        kept = {w: self.older[w] for w in new if w in self.older}
+        self.known.update(kept)
+        fresh = list(new.difference(kept))
         for w, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
             ids = e.ids
             self.known[w] = struct.pack(f"<{len(ids)}I", *ids)

@@ -101,7 +101,7 @@ class Model:
         return languages, scores, rejected
 
 
-def fit(train: DataFrame, clusters: int = 4, sample: int = 400, reject_at: float = 0.5) -> Model:
+def fit(train: DataFrame, clusters: int = 4, sample: int = 400, reject_at: float = 0.35) -> Model:
     """Learn from `train` (text, lang); rows with a null text or lang don't count.
 
     `sample`: labelled documents per language that the centroids are fitted on, about. `reject_at`:

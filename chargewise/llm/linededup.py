@@ -13,6 +13,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 MIN_SITES = 10
 SALTS = 16
@@ -55,7 +56,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, band: float = 0.25
     return sure.unionByName(exact)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())      # not "string": that needs a session when the module is imported
 def _without(texts: pd.Series, drop: pd.Series) -> pd.Series:
     def one(text, at):
         if text is None or at is None:

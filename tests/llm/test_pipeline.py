@@ -1,0 +1,46 @@
+import corpus_pipeline
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import __spark_entry__
+from chargewise.llm import decontam, langid
+from tests.llm.conftest import SF
+from tests.llm.test_linededup import slow as slow_lines
+from tests.llm.test_simhash import expected as slow_groups
+
+
+def test_queries_are_registered():
+    names = __spark_entry__.queries()
+    assert "pipeline" in names
+    assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in names)] == []
+    assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_against_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source").collect()]
+    kept = [r for r in rows if r[1] and langid.has_letter(r[1])]                   # these documents are all near a language
+    lines = {d: t for d, t, _, _ in slow_lines(kept, 10)}
+    kept = [(d, lines[d]) for d, _, _ in kept if lines[d].strip(" ")]
+    first = {c for _, _, c in slow_groups(kept)}
+    kept = [r for r in kept if r[0] in first]
+    items = [decontam.words_of(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    clean = []
+    for doc_id, text in kept:
+        flat = b" " + b" ".join(decontam.words_of(text)) + b" "
+        if not any(b" " + b" ".join(i) + b" " in flat for i in items):             # its leaks are exact copies
+            clean.append((doc_id, text))
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {d: tokenizer.encode(t, add_special_tokens=False).ids for d, t in clean}
+    got = {r["doc_id"]: (r["n_tokens"], r["text"]) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == {d: (len(ids), tokenizer.decode(ids, skip_special_tokens=False)) for d, ids in want.items()}
+    assert len(got) < len(rows)
+
+
+def test_empty_and_awkward_documents(spark, awkward, tmp_path):
+    docs = awkward.selectExpr("doc_id", "text", "lang", "source", "length(text) n_chars")
+    for name, table in (("some", docs), ("none", docs.limit(0))):
+        table.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
+        assert out.columns == ["doc_id", "n_tokens", "ids", "text"]
+        assert (out.count() > 0) == (name == "some")

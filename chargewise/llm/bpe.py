@@ -23,14 +23,13 @@ from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargewise.llm.common import batch, pack, rows_of, texts_of, unpack, written
+from chargewise.llm.common import batch, pack, rows_of, slices_of, texts_of, unpack, written
 
 CHUNK_CHARS = 32_000_000
 BUCKET_CHARS = 32_000_000
@@ -108,6 +107,7 @@ class _Chunk:
 
     def rows(self, buckets: int) -> pa.RecordBatch:
         words = list(self.codes)
+        self.codes.clear()                 # the largest part of a chunk's memory
         all_codes = np.concatenate(self.docs)
         by_count = np.argsort(-np.bincount(all_codes, minlength=len(words)), kind="stable")
         rank = np.empty(len(words), np.uint32)
@@ -238,8 +238,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     task holds it). Without a decoder the library joins the pieces by spaces; with one it is applied.
     Null ids give a null text, no ids the empty text. A column named text is replaced.
     """
-    @F.pandas_udf("string")
-    def text_of(column: pd.Series) -> pd.Series:
-        return column.map(_decoder(path))
+    @F.arrow_udf("string")
+    def text_of(column: pa.Array) -> pa.Array:
+        decoder = _decoder(path)
+        return pa.array([decoder(raw) for own in slices_of(column) for raw in own], pa.string())
 
     return encoded.withColumn("text", text_of("ids"))

@@ -56,6 +56,12 @@ def ints(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
+def slices_of(column: pa.Array, size: int = 512):
+    """The values of an Arrow column as lists of Python objects, a few at a time."""
+    for lo in range(0, len(column), size):
+        yield column.slice(lo, size).to_pylist()
+
+
 def rows_of(batches, size: int = 512):
     """The rows of Arrow batches as Python tuples, turned into Python objects a few at a time."""
     for b in batches:

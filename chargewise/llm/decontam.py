@@ -21,12 +21,11 @@ from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargewise.llm.common import batch, texts_of
+from chargewise.llm.common import batch, rows_of, slices_of, texts_of
 
 SEED_WORDS = 3
 MIN_SCORE = 0.6
@@ -126,7 +125,7 @@ def _frequencies(texts: DataFrame, items: Items) -> dict[int, np.ndarray]:
     def run(batches):
         total = {n: np.zeros(len(g), np.int64) for n, g in items.grams.items()}
         for b in batches:
-            for text in b.column(0).to_pylist():
+            for (text,) in rows_of([b]):
                 ids = items.read(words_of(text))
                 for n in total:
                     total[n][np.unique(items.hits(ids, n)[1])] += 1
@@ -244,7 +243,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, min_score: float = MIN
         def run(batches, held=held):
             for b in batches:
                 rows = [(doc_id, held.value.items.ids[i], score, lo, hi)
-                        for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+                        for doc_id, text in rows_of([b])
                         for i, score, lo, hi in held.value.matches(text)]
                 yield batch(schema, list(zip(*rows)) if rows else [[]] * 5)
 
@@ -256,9 +255,9 @@ def clean(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE,
           seed_words: int = SEED_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of `docs` (any columns) whose text contains no item; nulls and ties as in `contaminated_pairs`."""
     def finder(held):
-        @F.pandas_udf("boolean")
-        def leaks(texts: pd.Series) -> pd.Series:
-            return pd.Series([bool(held.value.matches(t)) for t in texts], dtype=bool)
+        @F.arrow_udf("boolean")
+        def leaks(texts: pa.Array) -> pa.Array:
+            return pa.array([bool(held.value.matches(t)) for own in slices_of(texts) for t in own], pa.bool_())
         return leaks
 
     kept = docs

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargewise.llm.common import batch
+from chargewise.llm.common import batch, rows_of, slices_of
 
 DIMS = 1 << 13
 GRAMS = (2, 3, 4)
@@ -118,7 +118,7 @@ def fit(train: DataFrame, clusters: int = 4, sample: int = 400, reject_at: float
     def frequencies(batches):
         seen = np.zeros(DIMS, np.int64)
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for (t,) in rows_of([b]):
                 seen += counts(t) > 0
         slots = np.flatnonzero(seen)
         yield batch(pa.schema([("slot", pa.int32()), ("n", pa.int64())]), [slots.astype(np.int32), seen[slots]])
@@ -154,10 +154,11 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)    # bounded: see MAX_LANGUAGES and DIMS
     names = {"lang_pred", "score", "rejected"}
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        languages, scores, rejected = held.value.predict(texts.tolist())
-        return pd.DataFrame({"lang_pred": languages, "score": scores, "rejected": rejected})
+    @F.arrow_udf("lang_pred string, score double, rejected boolean")
+    def predict(texts: pa.Array) -> pa.Array:
+        parts = [held.value.predict(own) for own in slices_of(texts)] or [([], [], [])]
+        columns = [pa.array([x for p in parts for x in p[i]], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
+        return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "rejected"])
 
     kept = docs.select(*[F.col(c) for c in docs.columns if c not in names], predict("text").alias("_language"))
     return kept.select(*[c for c in docs.columns if c not in names], "_language.*")

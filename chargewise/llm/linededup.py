@@ -10,11 +10,13 @@ sketch: an exact, cheap pre-aggregation of counts removes nearly all distinct li
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from chargewise.llm.common import slices_of
+
 MIN_SITES = 10
 SALTS = 16
 
@@ -56,14 +58,16 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, band: float = 0.25
     return sure.unionByName(exact)
 
 
-@F.pandas_udf(StringType())      # not "string": that needs a session when the module is imported
-def _without(texts: pd.Series, drop: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())      # not "string": that needs a session when the module is imported
+def _without(texts: pa.Array, drop: pa.Array) -> pa.Array:
     def one(text, at):
         if text is None or at is None:
             return text
-        gone = set(at.tolist() if hasattr(at, "tolist") else at)
+        gone = set(at)
         return "\n".join([line for i, line in enumerate(text.split("\n")) if i not in gone])
-    return pd.Series([one(t, a) for t, a in zip(texts, drop)], dtype=object)
+
+    parts = [pa.array(list(map(one, *own)), pa.string()) for own in zip(slices_of(texts), slices_of(drop))]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:

@@ -19,7 +19,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from chargewise.llm.common import texts_of
+from chargewise.llm.common import slices_of, texts_of
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "iban", "account", "address", "secret")
@@ -156,7 +156,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             spans = [[{"kind": KINDS[k], "start": s, "end": e, "base": k < len(BASE_KINDS)}
-                      for s, k, e in spans_of(t)] for t in b.column(1).to_pylist()]
+                      for s, k, e in spans_of(t)] for own in slices_of(b.column(1)) for t in own]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).cast(pa.int64()), pa.array(spans, _OUT.field(1).type)], schema=_OUT)
     return texts_of(docs, "doc_id").mapInArrow(

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargewise.llm.common import batch, sorted_groups, texts_of, written
+from chargewise.llm.common import batch, slices_of, sorted_groups, texts_of, written
 from chargewise.llm.components import connected_components
 
 MAX_BITS = 3
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long. Null texts count as empty."""
     def run(batches):
         for b in batches:
-            values = [fingerprint(t, words) for t in b.column(1).to_pylist()]
+            values = [fingerprint(t, words) for own in slices_of(b.column(1)) for t in own]
             yield batch(_FP, [b.column(0).cast(pa.int64()), np.array(values, np.uint64).view(np.int64)])
     return texts_of(docs, "doc_id").mapInArrow(run, "doc_id long, fp long")
 
@@ -213,9 +213,9 @@ def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, words: int = SHINGLE_
     first = first.join(shared.select(F.col("doc_id").alias("_shared")), F.col("_id").eqNullSafe(F.col("_shared")), "left") \
         .withColumn("_many", F.col("_id").isNull() | F.col("_shared").isNotNull())
 
-    @F.pandas_udf("string")
-    def print_of(texts):
-        return texts.map(lambda t: None if t is None else format(fingerprint(t, words), "016x"))
+    @F.arrow_udf("string")
+    def print_of(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else format(fingerprint(t, words), "016x") for own in slices_of(texts) for t in own], pa.string())
 
     # The text decides only where several documents share the id; elsewhere no fingerprint is computed again.
     joined = docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]))

@@ -7,15 +7,19 @@ work grows with the scale factor.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chargewise.functions import dates
 from chargewise.params import TestDataParams
 from chargewise.plans import combine, families, rule_702, rule_706, rule_710, runlog
 from chargewise.session import tune
-from chargewise.sources.tpch import TEST_AS_OF, TEST_WINDOW, staged_tpch_inputs
+from chargewise.sources import sinks
+from chargewise.sources.tpch import TEST_AS_OF, TEST_WINDOW, full_list_inputs, staged_tpch_inputs
 
 TP = TestDataParams()
 START, END = TEST_WINDOW
@@ -47,23 +51,41 @@ def _q(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: build(inputs_for(spark, sf_dir))
 
 
+def _months() -> list[tuple[dt.date, dt.date]]:
+    firsts = [dt.date(START.year, m, 1) for m in range(START.month, END.month + 1)]
+    return [(d, (d.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)) for d in firsts]
+
+
 def _run_log(inputs) -> DataFrame:
-    feeds = {"702": feed_702(inputs), "706": feed_706(inputs), "710": feed_710(inputs)}
-    outputs = {
-        "rule_702": feeds["702"],
-        "rule_706_input": rule_706.bol_input(inputs, START, END),
-        "rule_706": feeds["706"],
-        "rule_710": feeds["710"],
-        "combine": combined(inputs, feeds),   # built from the same feeds, not recomputed
-    }
+    """A year of monthly runs of both 706 jobs; each job's newest five."""
     rows = None
-    for job, out in outputs.items():
-        amount = "CHARGEBACK_AMOUNT" if "CHARGEBACK_AMOUNT" in out.columns else None
-        row = runlog.run_summary(out, job, START, END, TEST_AS_OF, amount)
-        rows = row if rows is None else rows.unionByName(row)
+    for first, last in _months():
+        run_date = last + dt.timedelta(days=2)
+        pickup = dates.within(F.col("PICKUP_DATE"), first, last)
+        for job, out, hour, rows_in, amount in (
+                ("rule_706", rule_706.rule_706(inputs["flags"], first, last, run_date), 6,
+                 inputs["flags"].filter(pickup), "CHARGEBACK_AMOUNT"),
+                ("rule_706_input", rule_706.bol_input(inputs, first, last), 5,
+                 inputs["ltl"].filter(dates.within(F.col("pickup_date"), first, last)), None)):
+            started = dt.datetime.combine(run_date, dt.time(hour))
+            row = runlog.run_summary(out, job, first, last, run_date, amount, started, rows_in)
+            rows = row if rows is None else rows.unionByName(row)
     return runlog.latest_runs(rows, 5)
 
 
+def _combine_tables(inputs) -> DataFrame:
+    """Two feeds as catalog tables, the third rule without one."""
+    spark = inputs["flags"].sparkSession
+    tables = {rule: f"chargewise_feed_{rule}_{uuid.uuid4().hex}" for rule in ("702", "706", "710")}
+    try:
+        sinks.overwrite_table(feed_702(inputs), tables["702"])
+        sinks.overwrite_table(feed_706(inputs), tables["706"])
+        return combine.combine_tables(spark, "702,706,710", tables=tables).frame     # written before the tables go
+    finally:
+        for rule in ("702", "706"):
+            spark.sql(f"DROP TABLE IF EXISTS {tables[rule]}")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_702": _q(feed_702),
     "rule_706_input": _q(lambda i: rule_706.bol_input(i, START, END)),
@@ -76,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_710_cancels": _q(lambda i: rule_710.rule_710_cancels(i, START, END, TP.rule_710)),
     "rule_710": _q(feed_710),
     "combine": _q(combined),
+    "combine_tables": _q(_combine_tables),
+    "rule_702_full_lists": _q(lambda i: rule_702.rule_702(full_list_inputs(i), START, END, TEST_AS_OF)),
+    "rule_710_full_lists": _q(lambda i: rule_710.run_rule_710(full_list_inputs(i), START, END, TEST_AS_OF)),
     "run_log_top5": _q(_run_log),
     "op_not_in_or": families.not_in_or,
     "op_null_tolerant_exclusion": families.null_tolerant_exclusion,

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 def previous_week(as_of: dt.date) -> tuple[dt.date, dt.date]:
     """The last full Sunday-Saturday week that ended before `as_of`.
 
-    On a Sunday the week that ended the day before is returned as well,
-    so a Monday run and a Sunday run report the same week.
+    Its Saturday is the latest one before the run date (six days back for a
+    Friday run, one for a Sunday run), its Sunday six days earlier.
     """
-    days_since_sunday = (as_of.weekday() + 1) % 7
-    start = as_of - dt.timedelta(days=days_since_sunday + 7)
-    return start, start + dt.timedelta(days=6)
+    saturdays = (as_of - dt.timedelta(days=back) for back in range(1, 8))
+    end = next(day for day in saturdays if day.isoweekday() == 6)
+    return end - dt.timedelta(days=6), end
 
 
 def previous_week_col(as_of: Column) -> tuple[Column, Column]:
@@ -25,14 +25,22 @@ def previous_week_col(as_of: Column) -> tuple[Column, Column]:
     return start, F.date_add(start, 6)
 
 
+def require_window(start: dt.date | None, end: dt.date | None) -> None:
+    """A missing bound would match nothing and empty the output without a word."""
+    if start is None or end is None:
+        raise ValueError("the reporting window needs a start and an end date")
+
+
 def within(col: Column, start: dt.date, end: dt.date) -> Column:
     """Inclusive window on a DATE column (pushed into the scan as two bounds)."""
+    require_window(start, end)
     return col.between(F.lit(start), F.lit(end))
 
 
 def ts_within(col: Column, start: dt.date, end: dt.date) -> Column:
     """`to_date(ts) BETWEEN start AND end` written as a half-open range on the raw
     timestamp, so parquet row-group statistics can skip data."""
+    require_window(start, end)
     lo = F.lit(start.isoformat()).cast("timestamp_ntz")
     hi = F.lit((end + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz")
     return (col >= lo) & (col < hi)

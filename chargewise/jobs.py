@@ -15,9 +15,11 @@ import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chargewise import params as P
-from chargewise.functions.dates import previous_week
+from chargewise.functions.dates import previous_week, ts_within, within
+from chargewise.operators.working_set import scoped
 from chargewise.plans import combine, rule_702, rule_706, rule_710, runlog
 from chargewise.session import tune
 from chargewise.sources import sinks
@@ -32,50 +34,68 @@ OUT_706 = "BOL_706_FINAL_OUTPUT"
 OUT_710 = "DMC710_OUT"
 
 
+def _today(spark: SparkSession) -> dt.date:
+    """The session's current day: windows and the stamp in the feed then agree."""
+    return spark.range(1).select(F.current_date()).first()[0]
+
+
 def _finish(spark: SparkSession, feed: DataFrame, table: str, job: str, start, end, as_of: dt.date,
-            log_path: str | None, amount: str | None = "CHARGEBACK_AMOUNT") -> DataFrame:
+            log_path: str | None, started_at: dt.datetime, rows_in: DataFrame | None,
+            amount: str | None = "CHARGEBACK_AMOUNT") -> DataFrame:
     sinks.overwrite_table(feed, table)
     written = spark.table(table)
     if log_path:
-        runlog.append_run(runlog.run_summary(written, job, start, end, as_of, amount), log_path)
+        runlog.append_run(runlog.run_summary(written, job, start, end, as_of, amount, started_at, rows_in), log_path)
     return written
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.UTC).replace(tzinfo=None)
+
+
+@scoped
 def run_rule_702(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = None,
                  table: str = OUT_702, log_path: str | None = None,
                  p: P.Rule702Params = P.Rule702Params(), staging: bool = False) -> DataFrame:
     """`staging=True` also keeps the audit rows the feed is built from, as a table."""
-    as_of = as_of or dt.date.today()
+    began, as_of = _now(), as_of or _today(spark)
     start, end = previous_week(as_of)
     audit = rule_702.expedited_audit(inputs, start, end, p)
     if staging:
         sinks.overwrite_table(audit, STAGE_702)
         audit = spark.table(STAGE_702)
     feed = rule_702.feed_from_audit(audit, as_of, p)
-    return _finish(spark, feed, table, "rule_702", start, end, as_of, log_path)
+    return _finish(spark, feed, table, "rule_702", start, end, as_of, log_path, began,
+                   inputs["fsc"].filter(within(F.col("order_date"), start, end)))
 
 
+@scoped
 def run_rule_706_input(spark: SparkSession, inputs: Inputs, start: dt.date, end: dt.date,
                        table: str = OUT_706_INPUT, log_path: str | None = None) -> DataFrame:
     """Step 1: the per-PRO table the reviewers flag."""
+    began = _now()
     out = rule_706.bol_input(inputs, start, end)
-    return _finish(spark, out, table, "rule_706_input", start, end, dt.date.today(), log_path, None)
+    return _finish(spark, out, table, "rule_706_input", start, end, _today(spark), log_path, began,
+                   inputs["ltl"].filter(within(F.col("pickup_date"), start, end)), None)
 
 
+@scoped
 def run_rule_706(spark: SparkSession, flags: DataFrame, start: dt.date, end: dt.date,
                  as_of: dt.date | None = None, table: str = OUT_706,
                  log_path: str | None = None) -> DataFrame:
     """Step 2: charge the rows the reviewers flagged."""
-    as_of = as_of or dt.date.today()
+    began, as_of = _now(), as_of or _today(spark)
     feed = rule_706.rule_706(flags, start, end, as_of)
-    return _finish(spark, feed, table, "rule_706", start, end, as_of, log_path)
+    return _finish(spark, feed, table, "rule_706", start, end, as_of, log_path, began,
+                   flags.filter(within(F.col("PICKUP_DATE"), start, end)))
 
 
+@scoped
 def run_rule_710(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = None,
                  table: str = OUT_710, log_path: str | None = None,
                  p: P.Rule710Params = P.Rule710Params(), staging: bool = False) -> DataFrame:
     """`staging=True` also keeps the exemption list and the candidates as tables."""
-    as_of = as_of or dt.date.today()
+    began, as_of = _now(), as_of or _today(spark)
     start, end = previous_week(as_of)
     week = rule_710.prepare_week(inputs, start, end)
     cancels = rule_710.rule_710_cancels(inputs, start, end, p, week)
@@ -85,15 +105,17 @@ def run_rule_710(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = No
         sinks.overwrite_table(cancels, STAGE_710_CANCELS)
         exempt, cancels = spark.table(STAGE_710_EXEMPT), spark.table(STAGE_710_CANCELS)
     feed = rule_710.rule_710(cancels, exempt, as_of, p)
-    return _finish(spark, feed, table, "rule_710", start, end, as_of, log_path)
+    return _finish(spark, feed, table, "rule_710", start, end, as_of, log_path, began,
+                   inputs["rel_status"].filter(ts_within(F.col("status_ts"), start, end)))
 
 
+@scoped
 def run_combine(spark: SparkSession, rules: str = "702,710",
                 table: str = combine.COMBINED_TABLE, log_path: str | None = None) -> str:
     """Combine the rule tables that exist; returns the status message."""
+    began = _now()
     result = combine.combine_tables(spark, rules)
-    as_of = dt.date.today()
-    _finish(spark, result.frame, table, "combine", None, None, as_of, log_path)
+    _finish(spark, result.frame, table, "combine", None, None, _today(spark), log_path, began, result.rows_in)
     return result.status(table)
 
 
@@ -109,7 +131,8 @@ def main(argv=None) -> None:
     ap.add_argument("job", choices=["rule_702", "rule_706_input", "rule_706", "rule_710", "combine"])
     ap.add_argument("--inputs-root", help="folder holding one parquet folder per input relation")
     ap.add_argument("--catalog-map", help="JSON file mapping input relation names to catalog tables")
-    ap.add_argument("--flags", help="reviewer flag file for rule 706 (parquet)")
+    ap.add_argument("--flags", help="reviewer flag file for rule 706")
+    ap.add_argument("--flags-format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--as-of", type=dt.date.fromisoformat)
     ap.add_argument("--start", type=dt.date.fromisoformat)
     ap.add_argument("--end", type=dt.date.fromisoformat)
@@ -117,11 +140,17 @@ def main(argv=None) -> None:
     ap.add_argument("--run-log")
     ap.add_argument("--staging", action="store_true", help="also write the rules' staging tables")
     args = ap.parse_args(argv)
+    if args.job.startswith("rule_706") and (args.start is None or args.end is None):
+        ap.error(f"{args.job} needs --start and --end")
+    if args.job == "rule_706" and not args.flags:
+        ap.error("rule_706 needs --flags")
+    if args.job != "combine" and args.job != "rule_706" and not (args.inputs_root or args.catalog_map):
+        ap.error(f"{args.job} needs --inputs-root or --catalog-map")
     spark = tune(SparkSession.builder.getOrCreate())
     if args.job == "combine":
         print(run_combine(spark, args.rules, log_path=args.run_log))
     elif args.job == "rule_706":
-        run_rule_706(spark, reviewer_flags(spark, args.flags), args.start, args.end, args.as_of,
+        run_rule_706(spark, reviewer_flags(spark, args.flags, args.flags_format), args.start, args.end, args.as_of,
                      log_path=args.run_log)
     elif args.job == "rule_706_input":
         run_rule_706_input(spark, _inputs(spark, args), args.start, args.end, log_path=args.run_log)

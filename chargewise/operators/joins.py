@@ -1,8 +1,6 @@
 """Join helpers.
 
-Broadcast is used only for relations with a size bound fixed by their
-meaning (a calendar has one row per day, a status table one row per code).
-Every other join is left to the planner: plan-time broadcast below
+No join is hinted: the planner decides by size. Plan-time broadcast below
 `spark.sql.autoBroadcastJoinThreshold` (estimated size), AQE's runtime
 switch to broadcast below `spark.sql.adaptive.autoBroadcastJoinThreshold`
 (measured size), otherwise a shuffled join with skew splitting.
@@ -14,28 +12,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_dimension(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a code table or calendar (size bounded by definition)."""
-    return F.broadcast(df)
-
-
 def on_calendar(df: DataFrame, day: Column, calendar: DataFrame) -> DataFrame:
     """Rows whose day appears in the calendar (inner join to a date dimension
     whose columns are never read, under a later DISTINCT/MAX/anti join)."""
-    cal = bounded_dimension(calendar.select(F.col("cal_date").alias("_cal_date")).distinct())
+    cal = calendar.select(F.col("cal_date").alias("_cal_date")).distinct()
     return df.join(cal, day == F.col("_cal_date"), "left_semi")
 
 
 def exists_in(df: DataFrame, keys: DataFrame, left: str, right: str | None = None,
-              keys_unique: bool = False) -> DataFrame:
+              keys_unique: bool = False, written: bool = False) -> DataFrame:
     """Semi join: keep rows of `df` whose `left` value occurs in `keys[right]`.
 
     The key side is de-duplicated first (partial aggregation, so a key repeated
     many times is collapsed before any shuffle) unless it is known to be unique.
+
+    `written`: `keys` is a written slice with text keys, met by a history. If it is
+    too large to broadcast, the history is pruned before its shuffle by a bloom
+    filter of the keys; the planner builds one only from a scan with a selective
+    predicate, so the slice gets one that is true of every key. No aggregate may
+    stand between, so the keys aren't de-duplicated.
     """
     right = right or left
     k = keys.select(F.col(right).alias("_k"))
-    if not keys_unique:
+    if written:
+        k = k.filter(F.col("_k") >= F.lit(""))
+    elif not keys_unique:
         k = k.distinct()
     return df.join(k, F.col(left) == F.col("_k"), "left_semi")
 
@@ -49,3 +50,13 @@ def anti_keeping_null(df: DataFrame, keys: DataFrame, left: str, right: str | No
     right = right or left
     k = keys.select(F.col(right).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
     return df.join(k, F.col(left) == F.col("_k"), "left_anti")
+
+
+def left_join(df: DataFrame, right: DataFrame, key: str, right_key: str) -> DataFrame:
+    """Left outer equi-join whose NULL-keyed rows, which can't match, stay out of the shuffle.
+
+    Hashed, all of them would land in one partition however many they are.
+    """
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    matched = df.filter(F.col(key).isNotNull()).join(right, F.col(key) == F.col(right_key), "left")
+    return matched.unionByName(df.filter(F.col(key).isNull()).select("*", *absent))

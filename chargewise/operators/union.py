@@ -12,16 +12,17 @@ def superset_columns(frames: Sequence[DataFrame]) -> list[str]:
     return sorted({c for f in frames for c in f.columns})
 
 
-def aligned_union(frames: Sequence[DataFrame]) -> DataFrame:
+def aligned_union(frames: Sequence[DataFrame], distinct: bool = True) -> DataFrame:
     """Union by column name over the sorted superset of columns.
 
     A column a frame lacks is NULL in its rows. The union removes duplicate
     rows when two or more frames are combined (set union); a single frame
-    passes through with its duplicates, as no union takes place.
+    passes through with its duplicates, as no union takes place, and so do all
+    with `distinct=False`.
     """
     if not frames:
         raise ValueError("aligned_union needs at least one frame")
     cols = superset_columns(frames)
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     merged = merged.select(*cols)
-    return merged.distinct() if len(frames) > 1 else merged
+    return merged.distinct() if distinct and len(frames) > 1 else merged

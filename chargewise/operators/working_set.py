@@ -4,29 +4,66 @@ A window's freight rows or status-line keys are a small slice of history
 tables. Written as parquet under the cluster's checkpoint folder, the slice
 has a known size when the next joins are planned: Spark broadcasts it when
 it is under the broadcast limit (so the history table is scanned, not
-shuffled), and otherwise plans a shuffled join and can build a runtime bloom
-filter from it for the history scan. Reading a written slice also cuts the
-lineage, so a lost executor does not send recomputation back to the history.
+shuffled), and otherwise plans a shuffled join whose history side is pruned
+by a bloom filter of the slice (`joins.exists_in(written=True)`). Reading a
+written slice also cuts the lineage, so a lost executor does not send
+recomputation back to the history.
 """
 
 from __future__ import annotations
 
 import datetime
+import functools
 import os
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from chargewise.session import ensure_checkpoint_dir
 
-
 # All working sets of one process live under one dated folder, so a retention
 # policy on the checkpoint folder can expire whole runs by age.
-RUN_FOLDER = f"{datetime.datetime.now():%Y%m%d-%H%M%S}-{os.getpid()}"
+RUN_FOLDER = f"{datetime.datetime.now():%Y%m%d-%H%M%S}-{os.getpid()}-{uuid.uuid4().hex[:8]}"
+
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
 def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-work/{RUN_FOLDER}/{uuid.uuid4().hex}"
+    folder = _job_folder.get() or _root(spark)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-work/{RUN_FOLDER}"
+
+
+@contextmanager
+def job_scope(spark: SparkSession):
+    """Working sets written inside are removed at the end; nothing read from them may leave."""
+    folder = f"{_root(spark)}/job-{uuid.uuid4().hex}"
+    token = _job_folder.set(folder)
+    try:
+        yield
+    finally:
+        _job_folder.reset(token)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system it is (local, distributed, object store)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def scoped(job):
+    """A job whose first argument is the session and whose result is a written table or a message."""
+    @functools.wraps(job)
+    def run(spark, *args, **kwargs):
+        with job_scope(spark):
+            return job(spark, *args, **kwargs)
+    return run

@@ -137,12 +137,6 @@ FEED_710_COLUMNS = (
     "SITE", "AUDIT_TIMESTAMP", "PO_NUMBER", "RULE_NUMBER", "VIOLATE_FLAG",
     "AUDIT_COMMENTS", "ANCHOR_CONSTANT", "CHARGEBACK_AMOUNT",
 )
-BOL_INPUT_COLUMNS = (
-    "TRACKING_NUMBER", "PO_NUMBER", "SHIPPER_NAME", "PICKUP_DATE",
-    "GROSS_CHARGE_AMT", "FUEL_SURCHARGE_AMT", "ACCESSORIAL_AMT", "DISC_AMT",
-    "TOTAL_CHARGE_AMT",
-)
-
 # ---------------------------------------------------------------------------
 # Tunable parameters (lists a deployment may replace)
 # ---------------------------------------------------------------------------

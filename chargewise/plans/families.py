@@ -50,8 +50,9 @@ def null_tolerant_exclusion(spark, sf_dir) -> DataFrame:
 def left_anti_null(spark, sf_dir) -> DataFrame:
     """J14: left anti join keeps rows whose key is NULL, even when the other side has NULLs."""
     def key(c):
-        return F.when(F.col(c) % 50 == 0, F.lit(None)).otherwise(F.col(c) % 50)
-    exempt = _t(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0).select(key("c_custkey").alias("k"))
+        return F.when(F.col(c) % 50 == 0, F.lit(None)).otherwise(F.col(c))
+    exempt = _t(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0).select(
+        F.when(F.col("c_custkey") % 7 == 0, F.lit(None)).otherwise(F.col("c_custkey")).alias("k"))
     rows = _t(spark, sf_dir, "orders").select("o_orderstatus", key("o_custkey").alias("k"))
     kept = joins.anti_keeping_null(rows, exempt, "k")
     return kept.groupBy("o_orderstatus", F.col("k").isNull().alias("null_key")).agg(

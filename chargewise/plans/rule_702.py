@@ -32,18 +32,22 @@ def expedited_audit(inputs, start: dt.date, end: dt.date,
     # The window's freight rows are a small slice of the freight history; written
     # first, their real size decides between broadcasting them against the line
     # and invoice histories and a shuffled join (with bloom-filtered history scans).
+    # A parcel without a tracking number has no invoice, so nothing can charge it.
     freight = materialize(inputs["fsc"]
-                          .filter(F.col("po").isNotNull() & dates.within(F.col("order_date"), start, end))
+                          .filter(F.col("po").isNotNull() & F.col("trk").isNotNull()
+                                  & dates.within(F.col("order_date"), start, end))
                           .select("po", "order_no", "order_date", "line_key", "scac", "trk", "trans_amt"))
     # Left join + a filter on the line's service code = inner join.
     # Line and invoice histories cut to the window's keys by semi joins (no history
     # shuffle); the invoice joins are left outer, which could not broadcast the
     # small freight side.
-    ground_lines = (joins.exists_in(inputs["oms_line"], freight, "line_key")
+    ground_lines = (joins.exists_in(inputs["oms_line"], freight, "line_key", written=True)
                     .filter(F.col("carrier_service").isin(list(p.ground_service_codes)))
                     .select(F.col("line_key").alias("ol_line_key"), "line_scac", "carrier_service", "ship_node"))
-    fdx = joins.exists_in(inputs["fdx"], freight, "trk").select(F.col("trk").alias("fdx_trk"), "svc")
-    ups = joins.exists_in(inputs["ups"], freight, "trk").select(F.col("trk").alias("ups_trk"), "zone")
+    # Only the type and the zone are read, under a DISTINCT: an invoice repeated m times
+    # met with one repeated n times would be m x n rows.
+    fdx = joins.exists_in(inputs["fdx"], freight, "trk", written=True).select(F.col("trk").alias("fdx_trk"), "svc").distinct()
+    ups = joins.exists_in(inputs["ups"], freight, "trk", written=True).select(F.col("trk").alias("ups_trk"), "zone").distinct()
     joined = (freight
               .join(ground_lines, F.col("line_key") == F.col("ol_line_key"), "inner")
               .join(fdx, F.col("trk") == F.col("fdx_trk"), "left")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from chargewise import params as P
 from chargewise import schemas
 from chargewise.functions import dates, money, text
+from chargewise.operators import joins
 from chargewise.operators.working_set import materialize
 
 
@@ -38,7 +39,7 @@ def bol_input(inputs, start: dt.date, end: dt.date) -> DataFrame:
                                F.max("shipper_name").alias("SHIPPER_NAME"),
                                F.max("pickup_date").alias("PICKUP_DATE")))
     charges = (inputs["ltl_yw"]
-               .join(headers.select(F.col("pro_no").alias("_pro")), F.col("pro_no") == F.col("_pro"), "left_semi")
+               .transform(lambda yw: joins.exists_in(yw, headers, "pro_no", written=True))
                .groupBy("pro_no")
                .agg(F.sum("gross").alias("g"), F.sum("fuel").alias("f"), F.sum("acc").alias("a"),
                     F.sum("disc_amt").alias("d"),
@@ -61,7 +62,7 @@ def bol_input(inputs, start: dt.date, end: dt.date) -> DataFrame:
 def rule_706(flags: DataFrame, start: dt.date, end: dt.date, as_of: dt.date | None) -> DataFrame:
     """Charge every flagged row picked up in the window."""
     rows = (flags
-            .filter(F.col("PICKUP_DATE").between(F.lit(start), F.lit(end)))
+            .filter(dates.within(F.col("PICKUP_DATE"), start, end))
             .filter(F.col("VIOLATE_FLAG") == F.lit(P.VIOLATE)))
     feed = rows.select(
         F.lit(P.SITE).alias("SITE"),

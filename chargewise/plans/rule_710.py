@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,9 +95,8 @@ def rank_top_status(inputs, rows: DataFrame) -> DataFrame:
               .groupBy(F.col("order_key").alias("_m_order"), F.col("line_key").alias("_m_line"),
                        F.col("sched").alias("_m_sched"))
               .agg(F.max("status_ts").alias("_m_ts")))
-    statuses = joins.bounded_dimension(
-        inputs["status_dim"].filter(F.col("ptype") == P.PO_PROCESS_TYPE)
-        .select(F.col("status").alias("_st"), "descr"))
+    statuses = (inputs["status_dim"].filter(F.col("ptype") == P.PO_PROCESS_TYPE)
+                .select(F.col("status").alias("_st"), "descr"))
     ranked = (rows.join(latest, (F.col("line_key") == F.col("_m_line")) & (F.col("status_ts") == F.col("_m_ts")))
                   .join(statuses, F.col("status") == F.col("_st"))
                   .select("status", "descr", "order_no", "item_id", "line_key", "status_ts", "status_key",
@@ -153,16 +154,15 @@ def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
     keys = materialize(lines_active_in(inputs, start, end))
     # `keys` is a distinct set already. The status and line slices are independent
     # jobs; submitting them together lets both history scans run at once.
+    write = inheritable_thread_target(keys.sparkSession)(materialize)     # threads keep the job group
     with ThreadPoolExecutor(max_workers=2) as pool:
-        active_job = pool.submit(materialize, joins.exists_in(inputs["rel_status"], keys, "line_key",
-                                                              keys_unique=True))
-        lines_job = pool.submit(materialize, joins.exists_in(inputs["oms_line"], keys, "line_key",
-                                                             keys_unique=True))
+        active_job = pool.submit(copy_context().run, write, joins.exists_in(inputs["rel_status"], keys, "line_key", written=True))
+        lines_job = pool.submit(copy_context().run, write, joins.exists_in(inputs["oms_line"], keys, "line_key", written=True))
         active, lines = active_job.result(), lines_job.result()
-    order_keys = (active.select(F.col("order_key").alias("k"))
-                  .union(lines.select(F.col("order_key").alias("k")))
-                  .union(lines.select(F.col("chain_order_key").alias("k"))))
-    orders = materialize(joins.exists_in(inputs["oms_order"], order_keys, "order_key", "k"))
+    order_keys = materialize(active.select(F.col("order_key").alias("k"))
+                             .union(lines.select(F.col("order_key").alias("k")))
+                             .union(lines.select(F.col("chain_order_key").alias("k"))).distinct())
+    orders = materialize(joins.exists_in(inputs["oms_order"], order_keys, "order_key", "k", written=True))
     status_rows = with_line_and_order(inputs, active, "left", lines, orders)
     matched = status_rows.filter(F.col("_ol_line").isNotNull() & F.col("_ord_key").isNotNull())
     return Week(inputs, start, end, active, rank_top_status(inputs, matched), lines, orders)
@@ -171,7 +171,9 @@ def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
 def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Top-status rows over the whole history, or over the window's lines."""
     if start is None:
-        return rank_top_status(inputs, with_line_and_order(inputs, inputs["rel_status"]))
+        # The joined rows are read three times (latest times, candidates, their maximum):
+        # written once, the history is read once.
+        return rank_top_status(inputs, materialize(with_line_and_order(inputs, inputs["rel_status"])))
     return prepare_week(inputs, start, end).top
 
 
@@ -193,7 +195,7 @@ def latest_cancel(inputs, line_keys: DataFrame | None = None) -> DataFrame:
     the result per line does not depend on other lines."""
     cl = inputs["cancel_line"].select("line_key", "create_ts", "cancel_qty", "code", "note")
     if line_keys is not None:
-        cl = joins.exists_in(cl, line_keys, "line_key")
+        cl = joins.exists_in(cl, line_keys, "line_key", written=True)
     latest = latest_with_total(cl, "line_key", "create_ts", "cancel_qty", "total_qty")
     return latest.select(F.col("line_key").alias("OMS_ORDER_LINE_KEY"),
                          F.col("code").alias("OMS_ORDER_CANCEL_RESN_CODE"),
@@ -207,7 +209,7 @@ def unit_cost(inputs, po_keys: DataFrame | None = None) -> DataFrame:
     prices gives two rows. With `po_keys` (column `po_no`), only those POs are read."""
     po = inputs["po_line"].select("po_no", "article_no", "price", "deliv_date", "store_no", "vendor_id")
     if po_keys is not None:
-        po = joins.exists_in(po, po_keys, "po_no")
+        po = joins.exists_in(po, po_keys, "po_no", written=True)
     po = joins.on_calendar(po, F.col("deliv_date"), inputs["time_dim"])
     po = joins.exists_in(po, inputs["store"].filter(F.col("chan") == P.DROPSHIP_CHANNEL), "store_no")
     po = joins.exists_in(po, inputs["article"], "article_no")
@@ -225,7 +227,8 @@ def _line_order_frame(inputs, top_rows: DataFrame, lines: DataFrame | None = Non
     """Top rows joined to their line, their (calendar-dated) PO order and the
     chained customer order; the chained line must exist. `lines` / `orders`
     are slices of the line and order tables holding at least the keys met."""
-    lines = (lines if lines is not None else inputs["oms_line"]).select(
+    sliced = lines is not None
+    lines = (lines if sliced else inputs["oms_line"]).select(
         F.col("line_key").alias("_l_key"), F.col("order_key").alias("_l_order"), "chain_order_key",
         "chain_line_key", "ship_node", F.col("item_id").alias("_l_item"), "unit_price", "orig_qty", "cat")
     orders = orders if orders is not None else inputs["oms_order"]
@@ -234,10 +237,10 @@ def _line_order_frame(inputs, top_rows: DataFrame, lines: DataFrame | None = Non
         F.col("order_key").alias("_o_key"), F.col("order_no").alias("_o_no"),
         F.to_date("order_ts").alias("_o_date"))
     chained = orders.select(F.col("order_key").alias("_c_key"), F.col("order_no").alias("_c_no"))
-    frame = (top_rows.join(lines, F.col("line_key") == F.col("_l_key"))
-                     .join(po_orders, F.col("_l_order") == F.col("_o_key"))
-                     .join(chained, F.col("chain_order_key") == F.col("_c_key"), "left"))
-    chain_lines = joins.exists_in(inputs["oms_line"].select("line_key"), lines, "line_key", "chain_line_key")
+    frame = joins.left_join(top_rows.join(lines, F.col("line_key") == F.col("_l_key"))
+                            .join(po_orders, F.col("_l_order") == F.col("_o_key")),
+                            chained, "chain_order_key", "_c_key")
+    chain_lines = joins.exists_in(inputs["oms_line"].select("line_key"), lines, "line_key", "chain_line_key", written=sliced)
     frame = joins.exists_in(frame, chain_lines, "chain_line_key", "line_key")
     return frame.withColumns({
         "PO_ORDER_NO": F.when(F.col("_c_no").isNotNull(), F.col("_o_no")),
@@ -258,13 +261,15 @@ def rule_710_exempt(inputs, start: dt.date, end: dt.date,
     frame = week.lines().select("line_key", "STATUS_DATE", "PO_ORDER_NO", "ORDER_NO", "ship_node", "_o_key")
     frame = joins.exists_in(frame, inputs["ship_node"], "ship_node")
     frame = joins.exists_in(frame, created_lines(week.status_rows), "line_key")
-    # Notes of the frame's orders only: the history is filtered by a semi join, not shuffled.
-    notes = (joins.exists_in(inputs["note"], week.lines(), "table_key", "_o_key")
-             .select(F.col("table_key").alias("_n_key"), F.col("code").alias("_n_code"),
-                     F.col("txt").alias("_n_txt")))
+    # Notes of the frame's orders only: the history is filtered by a semi join. A note-heavy
+    # order brings at most two rows, one per flag, to the join.
+    flag = text.exemption_flag(F.col("code"), F.col("txt"), p.exempt_note_codes, p.exempt_note_texts)
+    notes = (joins.exists_in(inputs["note"], week.lines(), "table_key", "_o_key", written=week.materialized)
+             .select(F.col("table_key").alias("_n_key"), flag.alias("_flag")).distinct())
     frame = frame.join(notes, F.col("_o_key") == F.col("_n_key"), "left")
-    flag = text.exemption_flag(F.col("_n_code"), F.col("_n_txt"), p.exempt_note_codes, p.exempt_note_texts)
-    return frame.select("STATUS_DATE", "PO_ORDER_NO", "ORDER_NO", flag.alias("DSV_EXCEPTION")).distinct()
+    unflagged = text.exemption_flag(F.lit(None).cast("string"), F.lit(None).cast("string"), p.exempt_note_codes, p.exempt_note_texts)
+    return frame.select("STATUS_DATE", "PO_ORDER_NO", "ORDER_NO",
+                        F.coalesce("_flag", unflagged).alias("DSV_EXCEPTION")).distinct()
 
 
 def rule_710_cancels(inputs, start: dt.date, end: dt.date,
@@ -282,15 +287,17 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
              .filter(pred.not_in_dropping_null(F.col("cat"), p.excluded_categories)))
     nodes = (joins.exists_in(inputs["ship_node"], frame, "ship_node")
              .select(F.col("ship_node").alias("_sn"), "node_desc"))
-    audits = (joins.exists_in(inputs["audit"].filter(F.col("code").isNotNull()), frame, "order_key", "_o_key")
+    audits = (joins.exists_in(inputs["audit"].filter(F.col("code").isNotNull()), week.lines(), "order_key", "_o_key",
+                              written=week.materialized)
               .select(F.col("order_key").alias("_a_key"), F.col("code").alias("_a_code"),
-                      F.col("text").alias("_a_text")))
+                      F.col("text").alias("_a_text")).distinct())
     created = (created_lines(week.status_rows)
                .select(F.col("line_key").alias("_r_line"), F.col("qty").alias("_r_qty")).distinct())
     frame = materialize(frame.join(nodes, F.col("ship_node") == F.col("_sn"))
                              .join(audits, F.col("_o_key") == F.col("_a_key"), "left")
                              .join(created, F.col("line_key") == F.col("_r_line")))
-    cancels = latest_cancel(inputs, frame.select(F.col("chain_line_key").alias("line_key")))
+    cancels = (latest_cancel(inputs, frame.select(F.col("chain_line_key").alias("line_key")))
+               .drop("OMS_ORDER_CANCEL_QTY").distinct())
     frame = frame.join(cancels, F.col("chain_line_key") == F.col("OMS_ORDER_LINE_KEY"), "left")
     demand_qty = F.coalesce(F.col("_r_qty"), F.col("orig_qty"))
     cand = frame.select(
@@ -302,9 +309,13 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
         F.col("_a_code").alias("OMS_ORDER_AUDIT_RESN_CODE"), F.col("_a_text").alias("OMS_ORDER_AUDIT_RESN_TEXT"),
         "OMS_ORDER_CANCEL_RESN_CODE", "OMS_ORDER_CANCEL_RESN_NOTE",
         F.col("_sn").alias("OMS_SHIP_NODE_KEY"), F.col("node_desc").alias("OMS_SHIP_NODE_DESC"))
-    costs = unit_cost(inputs, frame.select(F.col("PO_ORDER_NO").alias("po_no")))
-    with_cost = cand.join(costs, (F.col("PO_ORDER_NO") == F.col("PO_NO")) & (F.col("OMS_ITEM_ID") == F.col("ARTICLE_NO")),
-                          "left")
+    costs = unit_cost(inputs, materialize(frame.select(F.col("PO_ORDER_NO").alias("po_no")).distinct()))
+    # Rows without a PO can't match; they stay out of the join's shuffle.
+    priced = cand.filter(F.col("PO_ORDER_NO").isNotNull()).join(
+        costs, (F.col("PO_ORDER_NO") == F.col("PO_NO")) & (F.col("OMS_ITEM_ID") == F.col("ARTICLE_NO")), "left")
+    cost = costs.schema["PO_LINE_UNIT_PRICE"].dataType
+    with_cost = priced.select(*cand.columns, "PO_LINE_UNIT_PRICE").unionByName(
+        cand.filter(F.col("PO_ORDER_NO").isNull()).withColumn("PO_LINE_UNIT_PRICE", F.lit(None).cast(cost)))
     keys = list(CANCEL_COLUMNS[:-1])
     distinct = with_cost.select(*keys, "PO_LINE_UNIT_PRICE").distinct()
     return distinct.select(*keys, (F.col("PO_LINE_UNIT_PRICE") * F.col("STATUS_QTY")).cast(COST).alias("ITEM_COST"))

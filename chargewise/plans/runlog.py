@@ -1,15 +1,15 @@
-"""Run log: one row per job run, and the latest runs.
+"""Run log: one row per job run, and each job's latest runs.
 
-Each run appends (job, window, run date, rows written, amount total) to a
-log table computed from the written output by one aggregate; the newest
-runs are read back ordered by run date.
+A run appends (job, window, run date, start time, rows in, rows out, amount
+total), computed from its written output and the rows it read. Runs are read
+back newest first by their start time, per job.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,24 +18,33 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("WINDOW_START", T.DateType()),
     T.StructField("WINDOW_END", T.DateType()),
     T.StructField("RUN_DATE", T.DateType()),
+    T.StructField("STARTED_AT", T.TimestampNTZType()),
+    T.StructField("ROWS_IN", T.LongType()),
     T.StructField("ROWS_OUT", T.LongType()),
     T.StructField("AMOUNT_TOTAL", T.DecimalType(38, 6)),
 ])
+_AMOUNT = "decimal(38,6)"
 
 
 def run_summary(output: DataFrame, job: str, start: dt.date | None, end: dt.date | None,
-                run_date: dt.date, amount_col: str | None = "CHARGEBACK_AMOUNT") -> DataFrame:
-    """One row describing a job's output (one aggregate over the output)."""
-    amount = (F.sum(F.col(amount_col).cast("decimal(38,6)")) if amount_col and amount_col in output.columns
-              else F.lit(None).cast("decimal(38,6)"))
-    summary = output.agg(F.count(F.lit(1)).alias("ROWS_OUT"), amount.alias("AMOUNT_TOTAL"))
+                run_date: dt.date, amount_col: str | None = "CHARGEBACK_AMOUNT",
+                started_at: dt.datetime | None = None, rows_in: DataFrame | None = None) -> DataFrame:
+    """One row describing a run: one aggregate over the output and one over what it read."""
+    amount = (F.sum(F.col(amount_col).cast(_AMOUNT)) if amount_col and amount_col in output.columns
+              else F.lit(None).cast(_AMOUNT))
+    unknown = F.lit(None).cast("long")
+    parts = output.agg(F.count(F.lit(1)).alias("ROWS_OUT"), amount.cast(_AMOUNT).alias("AMOUNT_TOTAL"), unknown.alias("ROWS_IN"))
+    if rows_in is not None:
+        parts = parts.unionByName(rows_in.agg(unknown.alias("ROWS_OUT"), F.lit(None).cast(_AMOUNT).alias("AMOUNT_TOTAL"),
+                                              F.count(F.lit(1)).alias("ROWS_IN")))
+    summary = parts.agg(*(F.max(c).alias(c) for c in ("ROWS_OUT", "AMOUNT_TOTAL", "ROWS_IN")))
     return summary.select(
         F.lit(job).alias("JOB"),
         F.lit(start).cast("date").alias("WINDOW_START"),
         F.lit(end).cast("date").alias("WINDOW_END"),
-        F.lit(run_date).alias("RUN_DATE"),
-        F.col("ROWS_OUT").cast("long").alias("ROWS_OUT"),
-        F.col("AMOUNT_TOTAL").cast("decimal(38,6)").alias("AMOUNT_TOTAL"),
+        F.lit(run_date).cast("date").alias("RUN_DATE"),
+        F.lit(started_at).cast("timestamp_ntz").alias("STARTED_AT"),
+        F.col("ROWS_IN"), F.col("ROWS_OUT"), F.col("AMOUNT_TOTAL"),
     )
 
 
@@ -43,9 +52,13 @@ def append_run(summary: DataFrame, log_path: str) -> None:
     summary.write.mode("append").parquet(log_path)
 
 
-def latest_runs(log: DataFrame, n: int = 5) -> DataFrame:
-    """Newest runs first (ties by job name), at most `n` rows: a top-k report."""
-    return log.orderBy(F.col("RUN_DATE").desc(), F.col("JOB").asc()).limit(n)
+def latest_runs(log: DataFrame, n: int = 5, job: str | None = None) -> DataFrame:
+    """The `n` newest runs of each job, or of one job, by start time (then run date): a top-k report."""
+    if job is not None:
+        log = log.where(F.col("JOB") == job)
+    newest = Window.partitionBy("JOB").orderBy(F.col("STARTED_AT").desc_nulls_last(), F.col("RUN_DATE").desc_nulls_last())
+    return log.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= n).drop("_n").orderBy(
+        F.col("STARTED_AT").desc_nulls_last(), "JOB")
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:

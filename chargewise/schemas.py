@@ -30,10 +30,10 @@ INPUTS: dict[str, T.StructType] = {
     # order management: orders, lines, ship nodes
     "oms_order": _struct(("order_key", S), ("order_no", S), ("order_ts", TS), ("doc_type", S)),
     "oms_line": _struct(("line_key", S), ("order_key", S), ("chain_order_key", S),
-                        ("chain_line_key", S), ("item_id", L), ("ship_node", L),
+                        ("chain_line_key", S), ("item_id", S), ("ship_node", S),
                         ("unit_price", MONEY), ("orig_qty", MONEY), ("cat", S),
                         ("order_ts", TS), ("carrier_service", S), ("line_scac", S)),
-    "ship_node": _struct(("ship_node", L), ("node_desc", S)),
+    "ship_node": _struct(("ship_node", S), ("node_desc", S)),
     # release status history and status dimension
     "rel_status": _struct(("status_key", S), ("release_key", S), ("line_key", S),
                           ("order_key", S), ("sched", S), ("status", S),
@@ -45,10 +45,10 @@ INPUTS: dict[str, T.StructType] = {
     "cancel_line": _struct(("line_key", S), ("create_ts", TS), ("cancel_qty", MONEY),
                            ("code", S), ("note", S)),
     # purchasing: PO lines and their dimensions
-    "po_line": _struct(("po_no", S), ("article_no", L), ("price", MONEY),
+    "po_line": _struct(("po_no", S), ("article_no", S), ("price", MONEY),
                        ("deliv_date", D), ("store_no", I), ("vendor_id", L)),
     "store": _struct(("store_no", I), ("chan", I)),
-    "article": _struct(("article_no", L)),
+    "article": _struct(("article_no", S)),
     "vendor": _struct(("vendor_id", L)),
     # less-than-truckload shipments: charges and headers
     "ltl_yw": _struct(("pro_no", S), ("gross", MONEY), ("fuel", MONEY), ("acc", MONEY),
@@ -59,6 +59,40 @@ INPUTS: dict[str, T.StructType] = {
                      ("VIOLATE_FLAG", S), ("PICKUP_DATE", D)),
 }
 
+# The warehouse's name of each column.
+SOURCE_COLUMNS: dict[str, dict[str, str]] = {
+    "fsc": {"po": "PO_ORDER_NO", "order_no": "ORDER_NO", "order_date": "ORDER_DATE", "line_key": "ORDER_LINE_KEY",
+            "scac": "SCAC", "trk": "TRACKING_NO", "trans_amt": "TRANS_AMT"},
+    "fdx": {"trk": "SC_FDX_EXPRESS_OR_GROUND_TRACKING_ID", "svc": "SC_FDX_SERVICE_TYPE"},
+    "ups": {"trk": "SC_UPS_TRACKING_NO", "zone": "SC_UPS_ZONE"},
+    "time_dim": {"cal_date": "CAL_DATE"},
+    "oms_order": {"order_key": "OMS_ORDER_KEY", "order_no": "OMS_ORDER_NO", "order_ts": "OMS_ORDER_TS", "doc_type": "OMS_DOC_TYPE"},
+    "oms_line": {"line_key": "OMS_ORDER_LINE_KEY", "order_key": "OMS_ORDER_KEY", "chain_order_key": "OMS_CHAIN_ORDER_KEY",
+                 "chain_line_key": "OMS_CHAIN_ORDER_LINE_KEY", "item_id": "OMS_ITEM_ID", "ship_node": "OMS_SHIP_NODE_KEY",
+                 "unit_price": "OMS_ORDER_LINE_UNIT_PRICE", "orig_qty": "OMS_ORDER_LINE_ORIG_ORDER_QTY",
+                 "cat": "OMS_ITEM_CAT_CODE", "order_ts": "OMS_ORDER_TS",
+                 "carrier_service": "OMS_ORDER_LINE_CARRIER_SERVICE_CODE", "line_scac": "OMS_ORDER_LINE_SCAC"},
+    "ship_node": {"ship_node": "OMS_SHIP_NODE_KEY", "node_desc": "OMS_SHIP_NODE_DESC"},
+    "rel_status": {"status_key": "OMS_ORDER_RELEASE_STATUS_KEY", "release_key": "OMS_ORDER_RELEASE_KEY",
+                   "line_key": "OMS_ORDER_LINE_KEY", "order_key": "OMS_ORDER_KEY", "sched": "OMS_ORDER_LINE_SCHEDULE_KEY",
+                   "status": "OMS_ORDER_RELEASE_STATUS", "status_ts": "OMS_ORDER_RELEASE_STATUS_TS",
+                   "qty": "OMS_ORDER_RELEASE_STATUS_TOTAL_QTY"},
+    "status_dim": {"status": "OMS_STATUS", "descr": "OMS_STATUS_DESC", "ptype": "OMS_PROCESS_TYPE_KEY"},
+    "audit": {"order_key": "OMS_ORDER_KEY", "code": "OMS_ORDER_AUDIT_RESN_CODE", "text": "OMS_ORDER_AUDIT_RESN_TEXT"},
+    "note": {"table_key": "OMS_TABLE_KEY", "code": "OMS_NOTE_RESN_CODE", "txt": "OMS_NOTE_TEXT"},
+    "cancel_line": {"line_key": "OMS_ORDER_LINE_KEY", "create_ts": "OMS_CREATE_TS", "cancel_qty": "OMS_ORDER_CANCEL_QTY",
+                    "code": "OMS_ORDER_CANCEL_RESN_CODE", "note": "OMS_ORDER_CANCEL_RESN_NOTE"},
+    "po_line": {"po_no": "PO_NO", "article_no": "ARTICLE_NO", "price": "PO_LINE_UNIT_PRICE", "deliv_date": "DELIV_DATE",
+                "store_no": "STORE_NO", "vendor_id": "VENDOR_ID"},
+    "store": {"store_no": "STORE_NO", "chan": "DISTB_CHAN_CODE"},
+    "article": {"article_no": "ARTICLE_NO"},
+    "vendor": {"vendor_id": "VENDOR_ID"},
+    "ltl_yw": {"pro_no": "PRO_NO", "gross": "GROSS_CHARGE_AMT", "fuel": "FUEL_SURCHARGE_AMT", "acc": "ACCESSORIAL_AMT",
+               "disc_amt": "DISC_AMT"},
+    "ltl": {"pro_no": "PRO_NO", "ltl_po_no": "LTL_PO_NO", "shipper_name": "SHIPPER_NAME", "pickup_date": "PICKUP_DATE"},
+    "flags": {c: c for c in ("TRACKING_NUMBER", "PO_NUMBER", "TOTAL_CHARGE_AMT", "VIOLATE_FLAG", "PICKUP_DATE")},
+}
+
 _FEED_TYPES = {
     "AUDIT_TIMESTAMP": S, "PO_NUMBER": S, "RULE_NUMBER": S, "VIOLATE_FLAG": S,
     "AUDIT_COMMENTS": S, "CHARGEBACK_AMOUNT": T.DoubleType(), "ANCHOR_CONSTANT": S,

@@ -33,6 +33,13 @@ JOB_SQL_CONF = {
     # Build the bloom filter from a selective side up to this size (default 10MB);
     # it is applied to scans of at least 10GB before their shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+    # One query meets up to a dozen histories; the default stops at ten filters.
+    "spark.sql.optimizer.runtimeFilter.number.threshold": "64",
+    # Sized for a week's keys (some millions): 16 MB of bits, whatever the history.
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "134217728",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "134217728",
 }
 
 
@@ -47,7 +54,9 @@ _fallback_dir: str | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; create a scratch one only if unset.
+    """Return the cluster's checkpoint folder; with a local master, make a scratch one if unset.
+
+    On a cluster without the setting this is an error: executors would write to their own disks.
 
     `spark.checkpoint.dir` cannot be changed on a running session, so a scratch
     folder (tests, local runs without the setting) is kept per process and
@@ -59,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir() if context is not None else None
     folder = configured or current or _fallback_dir
     if not folder:
+        if not str(spark.conf.get("spark.master", "")).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = _fallback_dir = tempfile.mkdtemp(prefix="chargewise-ckpt-")
     if context is not None and not current:
         context.setCheckpointDir(folder)
@@ -79,8 +90,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """Single-JVM session for tests and the bench (UI off, no extra ports)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
-        .config("spark.checkpoint.dir", os.environ.get("CHARGEWISE_CHECKPOINT_DIR",
-                                                       os.path.join(tempfile.gettempdir(), "checkpoints")))
+        .config("spark.checkpoint.dir", os.environ.get("CHARGEWISE_CHECKPOINT_DIR")
+                or tempfile.mkdtemp(prefix="chargewise-ckpt-"))
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -3,6 +3,10 @@
 A rule receives an `Inputs` mapping and reads only the relations it
 needs; each is a lazy DataFrame, so Catalyst prunes columns and pushes
 the date filters into the scans.
+
+Tables may carry the warehouse's column names (`schemas.SOURCE_COLUMNS`)
+or this package's short ones; a table that lacks a column under both names
+is an error, never a column of NULLs.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chargewise import schemas
 
@@ -33,6 +38,7 @@ class Inputs(Mapping[str, DataFrame]):
         return len(self._loaders)
 
     def with_frame(self, name: str, frame: DataFrame) -> Inputs:
+        """The same relations with one of them replaced."""
         loaders = dict(self._loaders)
         loaders[name] = lambda: frame
         out = Inputs(loaders)
@@ -40,17 +46,32 @@ class Inputs(Mapping[str, DataFrame]):
         return out
 
 
+def named(df: DataFrame, relation: str) -> DataFrame:
+    """The relation's columns under their short names and declared types, found by source or short name."""
+    have = {c.lower(): c for c in df.columns}
+    columns, absent = [], []
+    for f in schemas.INPUTS[relation].fields:
+        source = schemas.SOURCE_COLUMNS[relation][f.name]
+        found = have.get(f.name.lower()) or have.get(source.lower())
+        if found is None:
+            absent.append(f"{f.name} ({source})")
+        else:
+            columns.append(F.col(f"`{found}`").cast(f.dataType).alias(f.name))
+    if absent:
+        raise ValueError(f"relation {relation}: no column for {', '.join(absent)}; it has {', '.join(df.columns)}")
+    return df.select(*columns)
+
+
 def catalog_inputs(spark: SparkSession, tables: Mapping[str, str]) -> Inputs:
     """Relations from catalog tables, e.g. {'fsc': 'edw.freight_shipping_cost'}."""
-    return Inputs({name: (lambda t=table: spark.table(t)) for name, table in tables.items()})
+    return Inputs({name: (lambda n=name, t=table: named(spark.table(t), n)) for name, table in tables.items()})
 
 
 def parquet_inputs(spark: SparkSession, root: str, names=None) -> Inputs:
-    """Relations stored as `<root>/<name>` parquet folders, read with the declared schema."""
-    names = list(names or schemas.INPUTS)
+    """Relations stored as `<root>/<name>` parquet folders."""
     return Inputs({
-        name: (lambda n=name: spark.read.schema(schemas.INPUTS[n]).parquet(f"{root}/{n}"))
-        for name in names
+        name: (lambda n=name: named(spark.read.parquet(f"{root}/{n}"), n))
+        for name in list(names or schemas.INPUTS)
     })
 
 
@@ -60,8 +81,18 @@ def optional_table(spark: SparkSession, name: str) -> DataFrame | None:
 
 
 def reviewer_flags(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The flag file reviewers send back for rule 706, read with a fixed schema."""
-    reader = spark.read.schema(schemas.INPUTS["flags"])
-    if fmt == "csv":
-        return reader.option("header", "true").csv(path)
-    return reader.format(fmt).load(path)
+    """The flag file reviewers send back for rule 706.
+
+    CSV files need a header with the declared columns in any order; a value that does not fit its
+    type fails the read instead of turning into NULL.
+    """
+    if fmt != "csv":
+        return named(spark.read.format(fmt).load(path), "flags")
+    header = named(spark.read.option("header", "true").csv(path), "flags")
+    types = {f.name: f.dataType for f in schemas.INPUTS["flags"].fields}
+    order = [next(n for n in types if n.lower() == c.strip().lower())
+             for c in spark.read.option("header", "true").csv(path).columns if c.strip().lower() in {n.lower() for n in types}]
+    if len(order) != len(spark.read.option("header", "true").csv(path).columns):
+        raise ValueError(f"reviewer file {path}: only the columns {', '.join(header.columns)} are expected")
+    reader = spark.read.schema(", ".join(f"`{n}` {types[n].simpleString()}" for n in order))
+    return reader.options(header="true", enforceSchema="false", mode="FAILFAST").csv(path).select(*types)

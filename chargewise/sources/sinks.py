@@ -1,4 +1,4 @@
-"""Output sinks: overwrite a feed as a catalog table or a parquet folder."""
+"""Output sink: overwrite a feed as a catalog table."""
 
 from __future__ import annotations
 
@@ -7,7 +7,3 @@ from pyspark.sql import DataFrame
 
 def overwrite_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
-
-
-def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.mode("overwrite").format(fmt).save(path)

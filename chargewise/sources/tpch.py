@@ -12,16 +12,18 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import os
 import threading
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from chargewise import params as P
 from chargewise import schemas
+from chargewise.operators.working_set import RUN_FOLDER
 from chargewise.plans import rule_706
 from chargewise.session import ensure_checkpoint_dir
 from chargewise.sources.inputs import Inputs, parquet_inputs
@@ -48,23 +50,30 @@ def _day_ts(day: Column, offset: int = 0) -> Column:
 
 
 def _lines(li: DataFrame) -> DataFrame:
-    """(order, line number) is not unique in the test data: collapse it first."""
-    return (li.groupBy(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("n"))
-              .agg(F.min("l_partkey").alias("pk"), F.min("l_suppkey").alias("sk"),
-                   F.max("l_quantity").cast(MONEY).alias("qty"),
-                   F.max("l_extendedprice").cast(MONEY).alias("amt"),
-                   F.max("l_discount").cast(MONEY).alias("disc"),
-                   F.max("l_tax").cast(MONEY).alias("tax"),
-                   F.min("l_returnflag").alias("rf"),
-                   F.to_date(F.max("l_shipdate")).alias("sd")))
+    """Every line item as a line of its own.
+
+    (order, line number) is not unique in the test data: the line id `lid` is the line number, with
+    the row's place among its namesakes where there are several. Rows equal in all these columns are
+    interchangeable.
+    """
+    own = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"]
+    place = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*own))
+    number = _k(F.col("l_linenumber"))
+    return li.select("l_orderkey", "l_linenumber", *own, place.alias("r")).select(
+        F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("n"),
+        F.when(F.col("r") > 1, F.concat(number, F.lit("."), _k(F.col("r")))).otherwise(number).alias("lid"),
+        F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk"),
+        F.col("l_quantity").cast(MONEY).alias("qty"), F.col("l_extendedprice").cast(MONEY).alias("amt"),
+        F.col("l_discount").cast(MONEY).alias("disc"), F.col("l_tax").cast(MONEY).alias("tax"),
+        F.col("l_returnflag").alias("rf"), F.to_date("l_shipdate").alias("sd"))
 
 
-def _c_line_key(ok: Column, n: Column) -> Column:
-    return F.concat(F.lit("C"), _k(ok), F.lit("-"), _k(n))
+def _c_line_key(ok: Column, lid: Column) -> Column:
+    return F.concat(F.lit("C"), _k(ok), F.lit("-"), lid)
 
 
-def _trk(ok: Column, n: Column) -> Column:
-    return F.concat(F.lit("TRK"), _k(ok), F.lit("-"), _k(n))
+def _trk(ok: Column, lid: Column) -> Column:
+    return F.concat(F.lit("TRK"), _k(ok), F.lit("-"), lid)
 
 
 def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -94,8 +103,8 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
                   .join(part, ln.pk == part.p_partkey))
         prio = F.col("o_orderpriority")
         common = [
-            F.col("pk").alias("item_id"),
-            _nullif(F.col("sk"), 5).alias("ship_node"),
+            _k(F.col("pk")).alias("item_id"),
+            _nullif(_k(F.col("sk")), "5").alias("ship_node"),
             F.col("price").alias("unit_price"),
             F.col("qty").alias("orig_qty"),
             F.col("o_orderdate").alias("order_ts"),
@@ -103,14 +112,14 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
              .when(prio == "5-LOW", F.lit(None)).otherwise("Air").alias("carrier_service"),
             F.concat(F.lit("SC"), _k(F.col("sk") % 4)).alias("line_scac"),
         ]
-        c_key = _c_line_key(F.col("ok"), F.col("n"))
+        c_key = _c_line_key(F.col("ok"), F.col("lid"))
         c = base.select(c_key.alias("line_key"),
                         F.concat(F.lit("C"), _k(F.col("ok"))).alias("order_key"),
                         F.lit(None).cast("string").alias("chain_order_key"),
                         F.lit(None).cast("string").alias("chain_line_key"),
                         _k(F.col("p_size")).alias("cat"), *common)
         p = (base.filter(F.col("o_orderstatus") != "O")
-                 .select(F.concat(F.lit("P"), _k(F.col("ok")), F.lit("-"), _k(F.col("n"))).alias("line_key"),
+                 .select(F.concat(F.lit("P"), _k(F.col("ok")), F.lit("-"), F.col("lid")).alias("line_key"),
                          F.concat(F.lit("P"), _k(F.col("ok"))).alias("order_key"),
                          F.when(F.col("ok") % 10 == 0, F.lit(None))
                           .otherwise(F.concat(F.lit("C"), _k(F.col("ok")))).alias("chain_order_key"),
@@ -119,12 +128,12 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         return c.unionByName(p)
 
     def ship_node():
-        return t["supplier"].select(F.col("s_suppkey").alias("ship_node"),
+        return t["supplier"].select(_k(F.col("s_suppkey")).alias("ship_node"),
                                     F.col("s_name").alias("node_desc"))
 
     def rel_status():
         p = ln.join(po_orders, ln.ok == po_orders.o_orderkey)
-        line_key = F.concat(F.lit("P"), _k(F.col("ok")), F.lit("-"), _k(F.col("n")))
+        line_key = F.concat(F.lit("P"), _k(F.col("ok")), F.lit("-"), F.col("lid"))
         order_key = F.concat(F.lit("P"), _k(F.col("ok")))
         scheds = F.when(F.col("n") % 3 == 0, F.array(F.lit("1"), F.lit("2"))).otherwise(F.array(F.lit("1")))
         steps = F.array(*(F.struct(F.lit(s).alias("status"), F.lit(o).alias("off"))
@@ -170,7 +179,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     def cancel_line():
         r = ln.filter(F.col("rf") == "R")
         sk, pk = F.col("sk"), F.col("pk")
-        cols = [_c_line_key(F.col("ok"), F.col("n")).alias("line_key"),
+        cols = [_c_line_key(F.col("ok"), F.col("lid")).alias("line_key"),
                 F.col("qty").alias("cancel_qty"),
                 F.when(sk % 4 == 0, "REMORSE").when(sk % 4 == 1, "SLA").when(sk % 4 == 2, "OOS").alias("code"),
                 F.when(pk % 7 == 0, "Closed for Federal Holiday").when(pk % 7 == 1, F.lit(None))
@@ -182,7 +191,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     def po_line():
         return (ln.join(part, ln.pk == part.p_partkey).filter(F.col("pk") % 9 != 0)
                   .select(F.concat(F.lit("PO-"), _k(F.col("ok"))).alias("po_no"),
-                          F.col("pk").alias("article_no"), "price",
+                          _k(F.col("pk")).alias("article_no"), "price",
                           F.col("sd").alias("deliv_date"),
                           (F.col("sk") % 25).cast("int").alias("store_no"),
                           F.col("sk").alias("vendor_id")))
@@ -193,14 +202,14 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
                                   F.when(nk % 5 == 0, 10).otherwise(30).alias("chan"))
 
     def fsc():
-        ok, n = F.col("ok"), F.col("n")
+        ok, n, lid = F.col("ok"), F.col("n"), F.col("lid")
         return ln.select(
             F.when(ok % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("PO-"), _k(ok))).alias("po"),
             F.concat(F.lit("SO-"), _k(ok)).alias("order_no"),
             F.col("sd").alias("order_date"),
-            _c_line_key(ok, n).alias("line_key"),
+            _c_line_key(ok, lid).alias("line_key"),
             F.when(F.col("rf") == "A", "FDEG").otherwise("UPSN").alias("scac"),
-            _trk(ok, n).alias("trk"),
+            _trk(ok, lid).alias("trk"),
             F.when(n == 7, F.lit(-20).cast(MONEY))
              .otherwise(F.round(F.col("amt") * F.col("disc") * F.lit(Decimal("0.01")), 2) - 25)
              .alias("trans_amt"))
@@ -208,13 +217,13 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     def fdx():
         pk = F.col("pk")
         return ln.filter(F.col("rf") == "A").select(
-            _trk(F.col("ok"), F.col("n")).alias("trk"),
+            _trk(F.col("ok"), F.col("lid")).alias("trk"),
             F.when(pk % 4 == 0, "FedEx Ground").when(pk % 4 == 1, "FedEx 2Day")
              .when(pk % 4 == 2, "Standard Overnight").alias("svc"))
 
     def ups():
         return ln.filter(F.col("rf") != "A").select(
-            _trk(F.col("ok"), F.col("n")).alias("trk"), _k(F.col("pk") % 12).alias("zone"))
+            _trk(F.col("ok"), F.col("lid")).alias("trk"), _k(F.col("pk") % 12).alias("zone"))
 
     def ltl():
         head = fsc()
@@ -226,7 +235,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         return first.unionByName(first.filter(F.col("pro_no").endswith("-5")))
 
     def ltl_yw():
-        return ln.select(_trk(F.col("ok"), F.col("n")).alias("pro_no"),
+        return ln.select(_trk(F.col("ok"), F.col("lid")).alias("pro_no"),
                          F.col("amt").alias("gross"),
                          _nullif(F.col("tax"), 0.08).cast(MONEY).alias("fuel"),
                          (F.col("disc") * 100).cast(MONEY).alias("acc"),
@@ -241,7 +250,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         "oms_line": oms_line, "ship_node": ship_node, "rel_status": rel_status,
         "status_dim": status_dim, "audit": audit, "note": note, "cancel_line": cancel_line,
         "po_line": po_line, "store": store,
-        "article": lambda: t["part"].select(F.col("p_partkey").alias("article_no")),
+        "article": lambda: t["part"].select(_k(F.col("p_partkey")).alias("article_no")),
         "vendor": lambda: t["supplier"].select(F.col("s_suppkey").alias("vendor_id")),
         "ltl_yw": ltl_yw, "ltl": ltl, "flags": flags,
     }
@@ -255,18 +264,14 @@ _STAGE_ORDER = tuple(n for n in schemas.INPUTS if n != "flags") + ("flags",)
 # Histories the jobs filter by a date window are stored clustered by that date,
 # so parquet row-group statistics let the pushed window filters skip data.
 _CLUSTER_BY = {"rel_status": "status_ts", "fsc": "order_date", "ltl": "pickup_date"}
-_LAYOUT_VERSION = "2"
+_LAYOUT_VERSION = "3"
 _staged: dict[str, str] = {}
 _stage_lock = threading.Lock()
 
 
 def _source_signature(sf_dir: str) -> str:
-    parts = []
-    for name in TEST_TABLES:
-        st = os.stat(f"{sf_dir}/{name}.parquet")
-        parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-    key = "|".join([os.path.abspath(sf_dir), _LAYOUT_VERSION, *parts])
-    return hashlib.sha1(key.encode()).hexdigest()[:16]
+    """Names the staged copy of one source folder; inputs don't change while a process runs."""
+    return hashlib.sha1(f"{sf_dir.rstrip('/')}|{_LAYOUT_VERSION}".encode()).hexdigest()[:16]
 
 
 def staged_tpch_inputs(spark: SparkSession, sf_dir: str, root: str | None = None) -> Inputs:
@@ -276,12 +281,11 @@ def staged_tpch_inputs(spark: SparkSession, sf_dir: str, root: str | None = None
     relations the same way keeps each query's plan a plan over table scans
     (with pushdown and size statistics) instead of re-deriving every relation
     at each use. The folder lives under the cluster's checkpoint directory
-    and is keyed by the source files (changed inputs are staged again) and
-    by the process (concurrent processes never share a folder being written).
+    and is keyed by the source folder and by this process alone, so neither another process nor an
+    earlier one (whatever its pid or adapters) shares it.
     """
     root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-inputs"
-    # One folder per process: two processes staging at once never write the same files.
-    target = f"{root}/{_source_signature(sf_dir)}-{os.getpid()}"
+    target = f"{root}/{_source_signature(sf_dir)}-{RUN_FOLDER}"
     with _stage_lock:
         if _staged.get(target) != "done":
             derived = tpch_inputs(spark, sf_dir)
@@ -298,7 +302,7 @@ def staged_tpch_inputs(spark: SparkSession, sf_dir: str, root: str | None = None
 
             # The base relations are independent Spark jobs: submit them side by side.
             with ThreadPoolExecutor(max_workers=4) as pool:
-                list(pool.map(write, [n for n in _STAGE_ORDER if n != "flags"]))
+                list(pool.map(inheritable_thread_target(spark)(write), [n for n in _STAGE_ORDER if n != "flags"]))
             write("flags")
             _staged[target] = "done"
     return parquet_inputs(spark, target)
@@ -323,3 +327,37 @@ def _is_written(spark: SparkSession, path: str) -> bool:
     except AnalysisException:
         return False
 
+
+
+# --- variants that hold every member of the production lists ---------------------------------------------
+
+def full_list_inputs(inputs: Inputs) -> Inputs:
+    """The same relations with values such that each member of the rules' production lists occurs.
+
+    The value follows from the number in the row's own key (`FIXTURES.md` section 2).
+    """
+    def number(key: str) -> Column:
+        return F.regexp_extract(key, "([0-9]+)", 1).cast("long")
+
+    def pick(key: str, values) -> Column:
+        return F.array(*[F.lit(v).cast("string") for v in values])[(number(key) % len(values)).cast("int")]
+
+    codes = [*P.EXEMPT_NOTE_CODES, "Other", None]
+    texts = [*(f"x {t} y" for t in P.EXEMPT_NOTE_TEXTS), "hello", None, "a", "b", "c", "d", "e", "f"]
+    node = F.when(F.col("ship_node").isin("8", "9"), P.EXCLUDED_SHIP_NODES[0]) \
+        .when(F.col("ship_node") == "10", P.EXCLUDED_SHIP_NODES[1]).otherwise(F.col("ship_node"))
+    cat = F.when(F.col("cat") == "1", P.EXCLUDED_CATEGORIES[0]).when(F.col("cat") == "2", P.EXCLUDED_CATEGORIES[1]) \
+        .when(F.col("cat") == "3", P.EXCLUDED_CATEGORIES[2]).otherwise(F.col("cat"))
+    frames = {
+        "fdx": inputs["fdx"].withColumn("svc", pick("trk", [*P.FEDEX_GROUND_TYPES, "FedEx 2Day", "Standard Overnight", None])),
+        "ups": inputs["ups"].withColumn("zone", pick("trk", [*P.UPS_GROUND_ZONES, "302", "9", None])),
+        "oms_line": inputs["oms_line"].withColumn("ship_node", node).withColumn("cat", cat),
+        "ship_node": inputs["ship_node"].withColumn("ship_node", node).dropDuplicates(["ship_node"]),
+        "note": inputs["note"].withColumn("code", pick("table_key", codes)).withColumn("txt", pick("table_key", texts)),
+        "audit": inputs["audit"].withColumn("code", pick("order_key", [*P.AUDIT_EXCLUDE_REASONS, "Price change", None])),
+        "cancel_line": inputs["cancel_line"].withColumn("note", pick("line_key", [*P.CANCEL_NOTE_EXCLUDE_REASONS, "free text", None, "x"])),
+    }
+    out = inputs
+    for name, frame in frames.items():
+        out = out.with_frame(name, schemas.conform(frame, schemas.INPUTS[name]))
+    return out

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 import re
 
-from chargewise import params as P
-
 
 def q(s: str) -> str:
     """SQL string literal."""
@@ -26,24 +24,34 @@ D0, D1, AS_OF = "DATE '1998-01-01'", "DATE '1998-12-31'", "'19990104'"
 WIN = f"BETWEEN {D0} AND {D1}"
 V = "VARCHAR"
 
+# The comment texts of rules 702 and 706, around the tracking number.
+T702 = (q('DMC702 Tracking: '), q(" Vendor expedited shipment without prior authorization from TSC's Dropship team. Please ship using the requested method on the PO"))
+T706 = (q('PRO: '), q(" Vendor must include the words Tractor Supply Company in front of or in place of their company name on the Ship From section of the BOL; failure causes TSC's ship rate discount with the carrier to be removed. Please ensure that all BOLs contain this verbiage going forward."))
+
 # Test-data parameter lists (see chargewise.params.TestDataParams).
+SERVICES = qlist(("Ground", "FedEx Ground"))
 FDX_GROUND = qlist(("FedEx Ground",))
 UPS_GROUND = qlist(("2", "3", "4", "5", "6", "7", "8"))
 NODES_OUT = qlist(("7", "11"))
 CATS_OUT = qlist(("1", "2", "3"))
-NOTE_CODES = qlist(("PO Not Received",))
+NOTE_CODES = ("PO Not Received",)
 NOTE_LIKE = ("Closed for Federal Holiday",)
 AUDIT_OUT = qlist(("Weather Delay",))
 CNOTE_OUT = qlist(("Closed for Federal Holiday",))
 
 CTES: dict[str, str] = {}
 
+# Every line item is a line of its own: where (order, line number) repeats, the line id `lid` counts on.
 CTES["ln"] = """
-SELECT l_orderkey AS ok, l_linenumber AS n, min(l_partkey) AS pk, min(l_suppkey) AS sk,
-       CAST(max(l_quantity) AS DECIMAL(18,2)) AS qty, CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS amt,
-       CAST(max(l_discount) AS DECIMAL(18,2)) AS disc, CAST(max(l_tax) AS DECIMAL(18,2)) AS tax,
-       min(l_returnflag) AS rf, CAST(max(l_shipdate) AS DATE) AS sd
-FROM lineitem GROUP BY l_orderkey, l_linenumber"""
+SELECT l_orderkey AS ok, l_linenumber AS n, CAST(l_linenumber AS VARCHAR)
+         || CASE WHEN r > 1 THEN '.' || CAST(r AS VARCHAR) ELSE '' END AS lid,
+       l_partkey AS pk, l_suppkey AS sk, CAST(l_quantity AS DECIMAL(18,2)) AS qty,
+       CAST(l_extendedprice AS DECIMAL(18,2)) AS amt, CAST(l_discount AS DECIMAL(18,2)) AS disc,
+       CAST(l_tax AS DECIMAL(18,2)) AS tax, l_returnflag AS rf, CAST(l_shipdate AS DATE) AS sd
+FROM (SELECT *, row_number() OVER (
+        PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_shipdate) AS r
+      FROM lineitem) numbered"""
 
 CTES["prt"] = "SELECT p_partkey, p_size, CAST(p_retailprice AS DECIMAL(18,2)) AS price FROM part"
 
@@ -64,23 +72,23 @@ CTES["lo"] = """
 SELECT ln.*, o_orderstatus, o_orderdate, o_orderpriority, p_size, price
 FROM ln JOIN orders ON ok = o_orderkey JOIN prt ON pk = p_partkey"""
 
-CTES["oms_line"] = f"""
-SELECT 'C' || CAST(ok AS {V}) || '-' || CAST(n AS {V}) AS line_key, 'C' || CAST(ok AS {V}) AS order_key,
-       CAST(NULL AS {V}) AS chain_order_key, CAST(NULL AS {V}) AS chain_line_key, pk AS item_id,
-       nullif(sk, 5) AS ship_node, price AS unit_price, qty AS orig_qty, CAST(p_size AS {V}) AS cat,
+CTES["oms_line_given"] = f"""
+SELECT 'C' || CAST(ok AS {V}) || '-' || lid AS line_key, 'C' || CAST(ok AS {V}) AS order_key,
+       CAST(NULL AS {V}) AS chain_order_key, CAST(NULL AS {V}) AS chain_line_key, CAST(pk AS {V}) AS item_id,
+       nullif(CAST(sk AS {V}), '5') AS ship_node, price AS unit_price, qty AS orig_qty, CAST(p_size AS {V}) AS cat,
        o_orderdate AS order_ts, {_SERVICE} AS carrier_service, 'SC' || CAST(sk % 4 AS {V}) AS line_scac
 FROM lo
 UNION ALL
-SELECT 'P' || CAST(ok AS {V}) || '-' || CAST(n AS {V}), 'P' || CAST(ok AS {V}),
+SELECT 'P' || CAST(ok AS {V}) || '-' || lid, 'P' || CAST(ok AS {V}),
        CASE WHEN ok % 10 = 0 THEN NULL ELSE 'C' || CAST(ok AS {V}) END,
-       'C' || CAST(ok AS {V}) || '-' || CAST(n AS {V}), pk, nullif(sk, 5), price, qty,
+       'C' || CAST(ok AS {V}) || '-' || lid, CAST(pk AS {V}), nullif(CAST(sk AS {V}), '5'), price, qty,
        nullif(CAST(p_size AS {V}), '50'), o_orderdate, {_SERVICE}, 'SC' || CAST(sk % 4 AS {V})
 FROM lo WHERE o_orderstatus <> 'O'"""
 
-CTES["ship_node"] = "SELECT s_suppkey AS ship_node, s_name AS node_desc FROM supplier"
+CTES["ship_node_given"] = "SELECT CAST(s_suppkey AS VARCHAR) AS ship_node, s_name AS node_desc FROM supplier"
 
 CTES["po_lines"] = f"""
-SELECT 'P' || CAST(ok AS {V}) || '-' || CAST(n AS {V}) AS line_key, 'P' || CAST(ok AS {V}) AS order_key,
+SELECT 'P' || CAST(ok AS {V}) || '-' || lid AS line_key, 'P' || CAST(ok AS {V}) AS order_key,
        n, rf, sd, qty
 FROM lo WHERE o_orderstatus <> 'O'"""
 
@@ -105,7 +113,7 @@ SELECT * FROM (VALUES ('1100', 'Created', 'PO_FULFILLMENT'), ('3200', 'Released'
                       ('9000', 'Cancelled', 'PO_FULFILLMENT'), ('9000', 'Cancelled', 'ORDER_FULFILLMENT'))
        t(status, descr, ptype)"""
 
-CTES["audit"] = f"""
+CTES["audit_given"] = f"""
 SELECT order_key, code, code || ' noted' AS text FROM (
   SELECT 'P' || CAST(o_orderkey AS {V}) AS order_key,
          CASE WHEN o_custkey % 3 = 0 THEN 'Weather Delay' WHEN o_custkey % 3 = 1 THEN 'Price change' END AS code
@@ -114,46 +122,46 @@ UNION ALL
 SELECT 'P' || CAST(o_orderkey AS {V}), 'Second reason', 'Second reason noted'
 FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey % 2 = 0"""
 
-CTES["note"] = f"""
+CTES["note_given"] = f"""
 SELECT 'P' || CAST(o_orderkey AS {V}) AS table_key,
        CASE WHEN o_custkey % 5 = 0 THEN 'PO Not Received' WHEN o_custkey % 5 = 1 THEN 'Other' END AS code,
        CASE WHEN o_custkey % 5 = 2 THEN 'x Closed for Federal Holiday y' WHEN o_custkey % 5 = 3 THEN 'hello' END AS txt
 FROM orders WHERE o_orderpriority = '2-HIGH'"""
 
-_CANCEL_COLS = """'C' || CAST(ok AS VARCHAR) || '-' || CAST(n AS VARCHAR) AS line_key, qty AS cancel_qty,
+_CANCEL_COLS = """'C' || CAST(ok AS VARCHAR) || '-' || lid AS line_key, qty AS cancel_qty,
        CASE sk % 4 WHEN 0 THEN 'REMORSE' WHEN 1 THEN 'SLA' WHEN 2 THEN 'OOS' END AS code,
        CASE WHEN pk % 7 = 0 THEN 'Closed for Federal Holiday' WHEN pk % 7 = 1 THEN NULL ELSE 'free text' END AS note"""
-CTES["cancel_line"] = f"""
+CTES["cancel_line_given"] = f"""
 SELECT CAST(sd AS TIMESTAMP) AS create_ts, {_CANCEL_COLS} FROM ln WHERE rf = 'R'
 UNION ALL
 SELECT CAST(sd + 1 AS TIMESTAMP), {_CANCEL_COLS} FROM ln WHERE rf = 'R' AND n % 2 = 0"""
 
 CTES["po_line"] = f"""
-SELECT 'PO-' || CAST(ok AS {V}) AS po_no, pk AS article_no, price, sd AS deliv_date,
+SELECT 'PO-' || CAST(ok AS {V}) AS po_no, CAST(pk AS {V}) AS article_no, price, sd AS deliv_date,
        CAST(sk % 25 AS INTEGER) AS store_no, sk AS vendor_id
 FROM ln JOIN prt ON pk = p_partkey WHERE pk % 9 <> 0"""
 
 CTES["store"] = """
 SELECT n_nationkey AS store_no, CASE WHEN n_nationkey % 5 = 0 THEN 10 ELSE 30 END AS chan FROM nation"""
-CTES["article"] = "SELECT p_partkey AS article_no FROM part"
+CTES["article"] = "SELECT CAST(p_partkey AS VARCHAR) AS article_no FROM part"
 CTES["vendor"] = "SELECT s_suppkey AS vendor_id FROM supplier"
 
 CTES["fsc"] = f"""
 SELECT CASE WHEN ok % 11 = 0 THEN NULL ELSE 'PO-' || CAST(ok AS {V}) END AS po,
        'SO-' || CAST(ok AS {V}) AS order_no, sd AS order_date,
-       'C' || CAST(ok AS {V}) || '-' || CAST(n AS {V}) AS line_key,
+       'C' || CAST(ok AS {V}) || '-' || lid AS line_key,
        CASE WHEN rf = 'A' THEN 'FDEG' ELSE 'UPSN' END AS scac,
-       'TRK' || CAST(ok AS {V}) || '-' || CAST(n AS {V}) AS trk,
+       'TRK' || CAST(ok AS {V}) || '-' || lid AS trk,
        CAST(CASE WHEN n = 7 THEN -20 ELSE round(amt * disc * 0.01, 2) - 25 END AS DECIMAL(18,2)) AS trans_amt
 FROM ln"""
 
-CTES["fdx"] = f"""
-SELECT 'TRK' || CAST(ok AS {V}) || '-' || CAST(n AS {V}) AS trk,
+CTES["fdx_given"] = f"""
+SELECT 'TRK' || CAST(ok AS {V}) || '-' || lid AS trk,
        CASE pk % 4 WHEN 0 THEN 'FedEx Ground' WHEN 1 THEN 'FedEx 2Day' WHEN 2 THEN 'Standard Overnight' END AS svc
 FROM ln WHERE rf = 'A'"""
 
-CTES["ups"] = f"""
-SELECT 'TRK' || CAST(ok AS {V}) || '-' || CAST(n AS {V}) AS trk, CAST(pk % 12 AS {V}) AS zone
+CTES["ups_given"] = f"""
+SELECT 'TRK' || CAST(ok AS {V}) || '-' || lid AS trk, CAST(pk % 12 AS {V}) AS zone
 FROM ln WHERE rf <> 'A'"""
 
 CTES["ltl_head"] = """
@@ -164,23 +172,29 @@ FROM fsc"""
 CTES["ltl"] = "SELECT * FROM ltl_head UNION ALL SELECT * FROM ltl_head WHERE pro_no LIKE '%-5'"
 
 CTES["ltl_yw"] = f"""
-SELECT 'TRK' || CAST(ok AS {V}) || '-' || CAST(n AS {V}) AS pro_no, amt AS gross,
+SELECT 'TRK' || CAST(ok AS {V}) || '-' || lid AS pro_no, amt AS gross,
        CAST(nullif(tax, 0.08) AS DECIMAL(18,2)) AS fuel, CAST(disc * 100 AS DECIMAL(18,2)) AS acc,
        disc AS disc_amt
 FROM ln"""
 
+for _name in ("fdx", "ups", "oms_line", "ship_node", "note", "audit", "cancel_line"):
+    CTES[_name] = f"SELECT * FROM {_name}_given"
+
 # --- rule 706 ---------------------------------------------------------------
-CTES["bol_input"] = f"""
-SELECT y.pro_no AS TRACKING_NUMBER, trim(upper(max(d.ltl_po_no))) AS PO_NUMBER,
-       max(d.shipper_name) AS SHIPPER_NAME, max(d.pickup_date) AS PICKUP_DATE,
-       CAST(sum(y.gross) AS DECIMAL(18,2)) AS GROSS_CHARGE_AMT,
-       CAST(sum(y.fuel) AS DECIMAL(18,2)) AS FUEL_SURCHARGE_AMT,
-       CAST(sum(y.acc) AS DECIMAL(18,2)) AS ACCESSORIAL_AMT,
-       CAST(sum(y.disc_amt) AS DECIMAL(18,2)) AS DISC_AMT,
-       CAST(sum(y.gross + y.fuel + y.acc) AS DECIMAL(18,2)) AS TOTAL_CHARGE_AMT
-FROM ltl_yw y JOIN ltl d ON d.pro_no = y.pro_no
-WHERE d.pickup_date {WIN}
-GROUP BY y.pro_no"""
+# Charges are summed per PRO number alone; each header row of the PRO counts them once more.
+CTES["bol_heads"] = f"""
+SELECT pro_no, count(*) AS heads, trim(upper(max(ltl_po_no))) AS po, max(shipper_name) AS shipper, max(pickup_date) AS pickup
+FROM ltl WHERE pickup_date {WIN} GROUP BY pro_no"""
+CTES["bol_charges"] = """
+SELECT pro_no, sum(gross) AS gross, sum(fuel) AS fuel, sum(acc) AS acc, sum(disc_amt) AS disc_amt,
+       sum(CASE WHEN gross IS NOT NULL AND fuel IS NOT NULL AND acc IS NOT NULL THEN gross + fuel + acc END) AS total
+FROM ltl_yw GROUP BY pro_no"""
+CTES["bol_input"] = """
+SELECT pro_no AS TRACKING_NUMBER, po AS PO_NUMBER, shipper AS SHIPPER_NAME, pickup AS PICKUP_DATE,
+       CAST(heads * gross AS DECIMAL(18,2)) AS GROSS_CHARGE_AMT, CAST(heads * fuel AS DECIMAL(18,2)) AS FUEL_SURCHARGE_AMT,
+       CAST(heads * acc AS DECIMAL(18,2)) AS ACCESSORIAL_AMT, CAST(heads * disc_amt AS DECIMAL(18,2)) AS DISC_AMT,
+       CAST(heads * total AS DECIMAL(18,2)) AS TOTAL_CHARGE_AMT
+FROM bol_heads INNER JOIN bol_charges USING (pro_no)"""
 
 CTES["flags"] = """
 SELECT TRACKING_NUMBER, PO_NUMBER, TOTAL_CHARGE_AMT,
@@ -191,145 +205,142 @@ FROM bol_input"""
 
 CTES["feed706"] = f"""
 SELECT 5509 AS SITE, {AS_OF} AS AUDIT_TIMESTAMP, PO_NUMBER, 'DMC706' AS RULE_NUMBER, VIOLATE_FLAG,
-       {q(P.COMMENT_706_PREFIX)} || CAST(TRACKING_NUMBER AS {V}) || {q(P.COMMENT_706_SUFFIX)} AS AUDIT_COMMENTS,
+       {T706[0]} || CAST(TRACKING_NUMBER AS {V}) || {T706[1]} AS AUDIT_COMMENTS,
        CAST(abs(TOTAL_CHARGE_AMT * 0.65) AS DOUBLE) AS CHARGEBACK_AMOUNT, 'x' AS ANCHOR_CONST
 FROM flags
 WHERE PICKUP_DATE >= {D0} AND PICKUP_DATE <= {D1} AND VIOLATE_FLAG = 'Y'"""
 
 # --- rule 702 ---------------------------------------------------------------
-CTES["audit702"] = f"""
-SELECT DISTINCT f.po AS PO_NUMBER, f.order_no AS ORDER_NO, f.order_date AS ORDER_DATE,
-       l.line_scac AS OMS_ORDER_LINE_SCAC, l.carrier_service AS OMS_ORDER_LINE_CARRIER_SERVICE_CODE,
-       l.ship_node AS SHIPMENT_SHIP_NODE, f.scac AS SCAC, f.trk AS TRACKING_NUMBER, f.trans_amt AS TRANS_AMT,
-       f.trans_amt + 20 AS CHARGEBACK_AMOUNT, x.svc AS SC_FDX_SERVICE_TYPE, u.zone AS SC_UPS_ZONE
-FROM fsc f
-LEFT JOIN oms_line l ON l.line_key = f.line_key
-LEFT JOIN fdx x ON x.trk = f.trk
-LEFT JOIN ups u ON u.trk = f.trk
-LEFT JOIN time_dim td ON td.cal_date = f.order_date
-WHERE l.carrier_service IN ('Ground', 'FedEx Ground')
-  AND (x.svc NOT IN ({FDX_GROUND}) OR u.zone NOT IN ({UPS_GROUND}))
-  AND f.po IS NOT NULL
-  AND f.order_date {WIN}"""
-
-CTES["feed702"] = f"""
+# A parcel's invoices: every service type met with every zone, either side may be missing.
+CTES["invoiced"] = """
+SELECT coalesce(a.trk, b.trk) AS trk, a.svc, b.zone
+FROM (SELECT DISTINCT trk, svc FROM fdx) a FULL OUTER JOIN (SELECT DISTINCT trk, zone FROM ups) b ON a.trk = b.trk"""
+
+
+def _audit702(services: str, types: str, zones: str) -> str:
+    return f"""
+WITH expedited AS (
+  SELECT * FROM invoiced WHERE coalesce(svc NOT IN ({types}), FALSE) OR coalesce(zone NOT IN ({zones}), FALSE)
+), ground AS (
+  SELECT line_key, line_scac, carrier_service, ship_node FROM oms_line WHERE carrier_service IN ({services})
+)
+SELECT po AS PO_NUMBER, order_no AS ORDER_NO, order_date AS ORDER_DATE, line_scac AS OMS_ORDER_LINE_SCAC,
+       carrier_service AS OMS_ORDER_LINE_CARRIER_SERVICE_CODE, ship_node AS SHIPMENT_SHIP_NODE, scac AS SCAC,
+       trk AS TRACKING_NUMBER, trans_amt AS TRANS_AMT, trans_amt + 20 AS CHARGEBACK_AMOUNT,
+       svc AS SC_FDX_SERVICE_TYPE, zone AS SC_UPS_ZONE
+FROM fsc INNER JOIN ground USING (line_key) INNER JOIN expedited USING (trk)
+WHERE order_date {WIN} AND po IS NOT NULL
+GROUP BY ALL"""
+
+
+def _feed702(audit: str, nodes: str) -> str:
+    return f"""
 SELECT {AS_OF} AS AUDIT_TIMESTAMP, PO_NUMBER, 'DMC702' AS RULE_NUMBER, 'Y' AS VIOLATE_FLAG,
-       {q(P.COMMENT_702_PREFIX)} || coalesce(CAST(TRACKING_NUMBER AS {V}), '') || {q(P.COMMENT_702_SUFFIX)}
-         AS AUDIT_COMMENTS,
+       {T702[0]} || coalesce(CAST(TRACKING_NUMBER AS {V}), '') || {T702[1]} AS AUDIT_COMMENTS,
        CAST(abs(CHARGEBACK_AMOUNT) AS DOUBLE) AS CHARGEBACK_AMOUNT, 'x' AS ANCHOR_CONSTANT, 5509 AS SITE
-FROM audit702
-WHERE CAST(SHIPMENT_SHIP_NODE AS {V}) NOT IN ({NODES_OUT}) AND CHARGEBACK_AMOUNT <> 0"""
+FROM {audit}
+WHERE CAST(SHIPMENT_SHIP_NODE AS {V}) NOT IN ({nodes}) AND CHARGEBACK_AMOUNT <> 0"""
+
+
+CTES["audit702"] = _audit702(SERVICES, FDX_GROUND, UPS_GROUND)
+CTES["feed702"] = _feed702("audit702", NODES_OUT)
 
 # --- rule 710 ---------------------------------------------------------------
-CTES["sched_latest"] = """
-SELECT r.order_key, r.line_key, r.sched, max(r.status_ts) AS latest_ts
-FROM rel_status r
-JOIN oms_line l ON l.line_key = r.line_key
-JOIN oms_order o ON o.order_key = r.order_key
-JOIN time_dim tm ON tm.cal_date = CAST(l.order_ts AS DATE)
-WHERE o.doc_type = '0005'
-GROUP BY r.order_key, r.line_key, r.sched"""
-
-CTES["ranked"] = """
-SELECT dense_rank() OVER (PARTITION BY l.line_key ORDER BY r.status DESC) AS rco,
-       r.status, s.descr, o.order_no, l.item_id, l.line_key, r.status_ts, r.status_key,
-       m.sched, r.release_key, r.order_key, r.qty, o.doc_type
-FROM rel_status r
-JOIN oms_line l ON l.line_key = r.line_key
-JOIN oms_order o ON o.order_key = r.order_key
-JOIN sched_latest m ON m.line_key = l.line_key AND m.latest_ts = r.status_ts
-JOIN status_dim s ON s.status = r.status AND s.ptype = 'PO_FULFILLMENT'
-WHERE o.doc_type = '0005'"""
-
-CTES["top"] = "SELECT * FROM ranked WHERE rco = 1"
-
-CTES["created"] = """
-SELECT order_key, line_key, qty, status, min(status_ts) AS first_ts
-FROM rel_status WHERE status = '1100'
-GROUP BY order_key, line_key, qty, status"""
+# Status rows of PO lines, and whether the line's order day is on the calendar.
+CTES["po_rows"] = """
+SELECT r.line_key, r.order_key, r.sched, r.status, r.status_ts, r.status_key, r.release_key, r.qty, l.item_id,
+       o.order_no, o.doc_type, CAST(l.order_ts AS DATE) IN (SELECT cal_date FROM time_dim) AS dated
+FROM oms_order o, rel_status r, oms_line l
+WHERE o.doc_type = '0005' AND r.order_key = o.order_key AND l.line_key = r.line_key"""
+
+# The last time of each schedule; a line's rows at such a time compete, once per schedule.
+CTES["last_times"] = """
+SELECT line_key, order_key AS of_order, sched AS of_sched, max(status_ts) AS status_ts
+FROM po_rows WHERE dated GROUP BY ALL"""
+
+CTES["top"] = """
+SELECT 1 AS rco, status, descr, order_no, item_id, line_key, status_ts, status_key, of_sched AS sched,
+       release_key, order_key, qty, doc_type
+FROM po_rows INNER JOIN last_times USING (line_key, status_ts)
+INNER JOIN (SELECT status, descr FROM status_dim WHERE ptype = 'PO_FULFILLMENT') d USING (status)
+QUALIFY status = max(status) OVER (PARTITION BY line_key)"""
 
 CTES["latest_cancel"] = """
-SELECT c.line_key, c.code, c.note, m.total_qty
-FROM (SELECT line_key, max(create_ts) AS latest_ts, sum(cancel_qty) AS total_qty
-      FROM cancel_line GROUP BY line_key) m
-JOIN cancel_line c ON c.line_key = m.line_key AND c.create_ts = m.latest_ts"""
+SELECT line_key, code, note, sum(cancel_qty) OVER whole AS total_qty
+FROM cancel_line
+WINDOW whole AS (PARTITION BY line_key)
+QUALIFY create_ts = max(create_ts) OVER whole"""
 
 CTES["unit_cost"] = """
-SELECT p.po_no, a.article_no, p.price
-FROM time_dim t
-JOIN po_line p ON t.cal_date = p.deliv_date
-JOIN store s ON s.store_no = p.store_no
-JOIN article a ON a.article_no = p.article_no
-JOIN vendor v ON v.vendor_id = p.vendor_id
-WHERE s.chan = 30
-GROUP BY p.po_no, a.article_no, p.price"""
-
-_FROM_710 = """
-FROM oms_order o
-JOIN time_dim td ON CAST(o.order_ts AS DATE) = td.cal_date
-JOIN oms_line l ON l.order_key = o.order_key
-LEFT JOIN oms_order o1 ON o1.order_key = l.chain_order_key
-JOIN oms_line l1 ON l1.line_key = l.chain_line_key
-JOIN ship_node sn ON sn.ship_node = l.ship_node
-LEFT JOIN audit oa ON oa.order_key = o.order_key AND oa.code IS NOT NULL"""
-_PO_NO = "CASE WHEN o1.order_no IS NOT NULL THEN o.order_no END"
-_ORDER_NO = "CASE WHEN o1.order_no IS NULL THEN o.order_no ELSE o1.order_no END"
-_NOTE_FLAG = ("CASE WHEN nt.code IN (" + NOTE_CODES + ") THEN 'Y' "
-              + " ".join(f"WHEN nt.txt LIKE {q('%' + t + '%')} THEN 'Y'" for t in NOTE_LIKE)
-              + " ELSE 'N' END")
-
-CTES["exempt"] = f"""
-SELECT CAST(rd.status_ts AS DATE) AS STATUS_DATE, {_PO_NO} AS PO_ORDER_NO, {_ORDER_NO} AS ORDER_NO,
-       {_NOTE_FLAG} AS DSV_EXCEPTION
-{_FROM_710}
-LEFT JOIN note nt ON nt.table_key = o.order_key
-JOIN top rd ON rd.line_key = l.line_key
-JOIN created rs ON rs.line_key = l.line_key
-LEFT JOIN latest_cancel oc ON oc.line_key = l1.line_key
-WHERE o.doc_type = '0005' AND CAST(rd.status_ts AS DATE) >= {D0} AND CAST(rd.status_ts AS DATE) <= {D1}"""
-
-CTES["cand"] = f"""
-SELECT CAST(o.order_ts AS DATE) AS ORDER_DATE, CAST(rd.status_ts AS DATE) AS STATUS_DATE,
-       {_PO_NO} AS PO_ORDER_NO, {_ORDER_NO} AS ORDER_NO, l.item_id AS OMS_ITEM_ID,
-       l.unit_price AS OMS_ORDER_LINE_UNIT_PRICE, rd.qty AS STATUS_QTY,
-       CASE WHEN rs.qty IS NOT NULL THEN rs.qty ELSE l.orig_qty END AS DEMAND_QTY,
-       CAST(CASE WHEN rs.qty IS NOT NULL THEN l.unit_price * rs.qty ELSE l.orig_qty * l.unit_price END
-            AS DECIMAL(18,4)) AS DEMAND_SALES,
-       rd.status AS OMS_ORDER_RELEASE_STATUS, rd.descr AS OMS_STATUS_DESC,
-       oa.code AS OMS_ORDER_AUDIT_RESN_CODE, oa.text AS OMS_ORDER_AUDIT_RESN_TEXT,
-       oc.code AS OMS_ORDER_CANCEL_RESN_CODE, oc.note AS OMS_ORDER_CANCEL_RESN_NOTE,
-       sn.ship_node AS OMS_SHIP_NODE_KEY, sn.node_desc AS OMS_SHIP_NODE_DESC
-{_FROM_710}
-JOIN top rd ON rd.line_key = l.line_key
-JOIN created rs ON rs.line_key = l.line_key
-LEFT JOIN latest_cancel oc ON oc.line_key = l1.line_key
-WHERE o.doc_type = '0005' AND rd.status = '9000' AND l.cat NOT IN ({CATS_OUT})
-  AND CAST(rd.status_ts AS DATE) >= {D0} AND CAST(rd.status_ts AS DATE) <= {D1}"""
-
-_CAND_KEYS = ("ORDER_DATE, STATUS_DATE, PO_ORDER_NO, ORDER_NO, OMS_ITEM_ID, OMS_ORDER_LINE_UNIT_PRICE, STATUS_QTY, "
-              "DEMAND_QTY, DEMAND_SALES, OMS_ORDER_RELEASE_STATUS, OMS_STATUS_DESC, OMS_ORDER_AUDIT_RESN_CODE, "
-              "OMS_ORDER_AUDIT_RESN_TEXT, OMS_ORDER_CANCEL_RESN_CODE, OMS_ORDER_CANCEL_RESN_NOTE, "
-              "OMS_SHIP_NODE_KEY, OMS_SHIP_NODE_DESC")
-CTES["cancels"] = f"""
-SELECT {_CAND_KEYS}, CAST(c4.price * STATUS_QTY AS DECIMAL(18,4)) AS ITEM_COST
-FROM cand LEFT JOIN unit_cost c4 ON cand.PO_ORDER_NO = c4.po_no AND cand.OMS_ITEM_ID = c4.article_no
-GROUP BY {_CAND_KEYS}, c4.price"""
-
-CTES["feed710"] = f"""
-SELECT 5509 AS SITE, {AS_OF} AS AUDIT_TIMESTAMP, PO_NUMBER, 'DMC710' AS RULE_NUMBER, 'Y' AS VIOLATE_FLAG,
-       AUDIT_COMMENTS, 'x' AS ANCHOR_CONSTANT, CAST(coalesce(sum(charge), 0) AS DOUBLE) AS CHARGEBACK_AMOUNT
-FROM (
-  SELECT c.PO_ORDER_NO AS PO_NUMBER,
-         'Order Date: ' || CAST(c.ORDER_DATE AS {V}) || ';' || 'Cancellation Date: '
-           || CAST(c.STATUS_DATE AS {V}) || ';' AS AUDIT_COMMENTS,
-         abs(coalesce(c.ITEM_COST, 0)) * 0.03 AS charge
-  FROM cancels c
-  WHERE c.OMS_ORDER_CANCEL_RESN_CODE <> 'REMORSE'
-    AND NOT EXISTS (SELECT 1 FROM exempt e WHERE e.DSV_EXCEPTION = 'Y' AND e.PO_ORDER_NO = c.PO_ORDER_NO)
-    AND (c.OMS_ORDER_AUDIT_RESN_CODE NOT IN ({AUDIT_OUT}) OR c.OMS_ORDER_AUDIT_RESN_CODE IS NULL)
-    AND (c.OMS_ORDER_CANCEL_RESN_NOTE NOT IN ({CNOTE_OUT}) OR c.OMS_ORDER_CANCEL_RESN_NOTE IS NULL)
-) k
-GROUP BY PO_NUMBER, AUDIT_COMMENTS"""
+SELECT DISTINCT po_no, article_no, price
+FROM po_line
+WHERE deliv_date IN (SELECT cal_date FROM time_dim) AND store_no IN (SELECT store_no FROM store WHERE chan = 30)
+  AND article_no IN (SELECT article_no FROM article) AND vendor_id IN (SELECT vendor_id FROM vendor)"""
+
+# The window's top rows with their line, their dated PO order and the chained order's number.
+CTES["week_lines"] = f"""
+SELECT top.line_key, CAST(top.status_ts AS DATE) AS day, top.status, top.descr, top.qty, own.order_key, own.order_no AS own_no,
+       CAST(own.order_ts AS DATE) AS ordered, other.order_no AS other_no, line.item_id, line.unit_price, line.orig_qty,
+       line.cat, line.ship_node, line.chain_line_key
+FROM top INNER JOIN oms_line line USING (line_key)
+INNER JOIN oms_order own ON own.order_key = line.order_key AND own.doc_type = '0005'
+LEFT JOIN oms_order other ON other.order_key = line.chain_order_key
+WHERE CAST(top.status_ts AS DATE) {WIN}
+  AND EXISTS (FROM time_dim WHERE cal_date = CAST(own.order_ts AS DATE))
+  AND EXISTS (FROM oms_line chained WHERE chained.line_key = line.chain_line_key)
+  AND EXISTS (FROM rel_status born WHERE born.line_key = line.line_key AND born.status = '1100')"""
+
+
+def _note_flags(codes, texts) -> str:
+    tests = [f"code IN ({qlist(codes)})", *(f"contains(txt, {q(t)})" for t in texts)]
+    return f"SELECT DISTINCT table_key, CASE WHEN {' OR '.join(f'coalesce({t}, FALSE)' for t in tests)} THEN 'Y' ELSE 'N' END AS flag FROM note"
+
+
+def _exempt(flags: str) -> str:
+    return f"""
+SELECT DISTINCT day AS STATUS_DATE, CASE WHEN other_no IS NULL THEN NULL ELSE own_no END AS PO_ORDER_NO,
+       coalesce(other_no, own_no) AS ORDER_NO, coalesce(flag, 'N') AS DSV_EXCEPTION
+FROM week_lines LEFT JOIN {flags} ON table_key = order_key
+WHERE ship_node IN (SELECT ship_node FROM ship_node)"""
+
+
+def _cancels(categories: str) -> str:
+    return f"""
+SELECT DISTINCT ordered AS ORDER_DATE, day AS STATUS_DATE, CASE WHEN other_no IS NULL THEN NULL ELSE own_no END AS PO_ORDER_NO,
+       coalesce(other_no, own_no) AS ORDER_NO, item_id AS OMS_ITEM_ID, unit_price AS OMS_ORDER_LINE_UNIT_PRICE,
+       w.qty AS STATUS_QTY, coalesce(born.qty, orig_qty) AS DEMAND_QTY,
+       CAST(unit_price * coalesce(born.qty, orig_qty) AS DECIMAL(18,4)) AS DEMAND_SALES,
+       status AS OMS_ORDER_RELEASE_STATUS, descr AS OMS_STATUS_DESC,
+       reason.code AS OMS_ORDER_AUDIT_RESN_CODE, reason.text AS OMS_ORDER_AUDIT_RESN_TEXT,
+       gone.code AS OMS_ORDER_CANCEL_RESN_CODE, gone.note AS OMS_ORDER_CANCEL_RESN_NOTE,
+       node.ship_node AS OMS_SHIP_NODE_KEY, node_desc AS OMS_SHIP_NODE_DESC, price
+FROM (SELECT * FROM week_lines WHERE status = '9000' AND cat NOT IN ({categories})) w
+INNER JOIN ship_node node ON node.ship_node = w.ship_node
+INNER JOIN (SELECT DISTINCT line_key, qty FROM rel_status WHERE status = '1100') born ON born.line_key = w.line_key
+LEFT JOIN (SELECT DISTINCT order_key, code, text FROM audit WHERE code IS NOT NULL) reason ON reason.order_key = w.order_key
+LEFT JOIN (SELECT DISTINCT line_key, code, note FROM latest_cancel) gone ON gone.line_key = w.chain_line_key
+LEFT JOIN unit_cost ON po_no = CASE WHEN other_no IS NULL THEN NULL ELSE own_no END AND article_no = item_id"""
+
+
+def _feed710(cancels: str, exempt: str, reasons: str, notes: str) -> str:
+    return f"""
+WITH free AS (SELECT DISTINCT PO_ORDER_NO FROM {exempt} WHERE DSV_EXCEPTION = 'Y' AND PO_ORDER_NO IS NOT NULL)
+SELECT 5509 AS SITE, {AS_OF} AS AUDIT_TIMESTAMP, c.PO_ORDER_NO AS PO_NUMBER, 'DMC710' AS RULE_NUMBER, 'Y' AS VIOLATE_FLAG,
+       concat('Order Date: ', strftime(ORDER_DATE, '%Y-%m-%d'), ';Cancellation Date: ', strftime(STATUS_DATE, '%Y-%m-%d'), ';')
+         AS AUDIT_COMMENTS,
+       'x' AS ANCHOR_CONSTANT, CAST(sum(CASE WHEN ITEM_COST IS NULL THEN 0 ELSE abs(ITEM_COST) * 0.03 END) AS DOUBLE) AS CHARGEBACK_AMOUNT
+FROM {cancels} c LEFT JOIN free ON free.PO_ORDER_NO = c.PO_ORDER_NO
+WHERE free.PO_ORDER_NO IS NULL AND OMS_ORDER_CANCEL_RESN_CODE <> 'REMORSE'
+  AND coalesce(OMS_ORDER_AUDIT_RESN_CODE NOT IN ({reasons}), TRUE)
+  AND coalesce(OMS_ORDER_CANCEL_RESN_NOTE NOT IN ({notes}), TRUE)
+GROUP BY ALL"""
+
+
+CTES["note_flags"] = _note_flags(NOTE_CODES, NOTE_LIKE)
+CTES["exempt"] = _exempt("note_flags")
+CTES["priced"] = _cancels(CATS_OUT)
+CTES["cancels"] = "SELECT * EXCLUDE (price), CAST(price * STATUS_QTY AS DECIMAL(18,4)) AS ITEM_COST FROM priced"
+CTES["feed710"] = _feed710("cancels", "exempt", AUDIT_OUT, CNOTE_OUT)
 
 # --- combine ----------------------------------------------------------------
 _ALL = ("ANCHOR_CONST", "ANCHOR_CONSTANT", "AUDIT_COMMENTS", "AUDIT_TIMESTAMP", "CHARGEBACK_AMOUNT",
@@ -355,6 +366,53 @@ SELECT {', '.join(_REST)},
             THEN PO_NUMBER ELSE PO_NUMBER || '_dup' END AS PO_NUMBER
 FROM combined_union"""
 
+# --- the production lists -------------------------------------------------------
+# The members of the rules' lists, written a second time.
+ALL_FDX = ("Fedex Ground", "FedEx Ground", "FedEx Ground Economy", "FedEx Home Delivery (Ground)", "FedEx Intl. Economy Export",
+           "FedEx Intl. Economy Freight", "FedEx Intl. Economy Import")
+ALL_UPS = ("2", "3", "4", "5", "6", "7", "8", "002", "003", "004", "005", "006", "007", "008", "44", "45", "46", "044", "045", "046")
+ALL_NODES = ("800554", "800715")
+ALL_CATS = ("983", "981", "782")
+ALL_NOTE_CODES = (
+    "Customer Requests Cancellation witin SLA", "Customer Requests Cancellation within SLA", "TSC Requests Cancellation Exempt",
+    "TSC Requests Cancellation  Exempt", "Vendor Can't Ship to Address", "PO Not Received", "PO has not been received", "Weather Delay",
+    "Item is cancelled - Cannot ship to State selected")
+ALL_NOTE_TEXTS = (
+    "Vendor cannot ship to address - customer input needed", "Carrier pick up requested, but not picked up yet",
+    "Closed for Federal Holiday", "Vendor closed for Inventory Audit", "PO received with 0$ cost")
+ALL_REASONS = (
+    "Customer Requests Cancellation witin SLA", "Customer Requests Cancellation within SLA", "Customer Requests Cancellation in SLA",
+    "Customer Request Cancellation within SLA", "TSC Requests Cancellation Exempt", "TSC Requests Cancellation  Exempt",
+    "Vendor Can't Ship to Address", "PO Not Received", "Weather Delay")
+ALL_CANCEL_NOTES = ("Closed for Federal Holiday", "Vendor closed for Inventory Audit", "PO received with 0$ cost")
+
+
+def _pick(key: str, values) -> str:
+    """The list member at the place that the number in the key gives."""
+    members = ", ".join("NULL" if v is None else q(v) for v in values)
+    return f"([{members}])[1 + CAST(regexp_extract({key}, '([0-9]+)', 1) AS BIGINT) % {len(values)}]"
+
+
+_NODE = f"CASE WHEN ship_node IN ('8', '9') THEN {q(ALL_NODES[0])} WHEN ship_node = '10' THEN {q(ALL_NODES[1])} ELSE ship_node END"
+_CAT = f"CASE cat WHEN '1' THEN {q(ALL_CATS[0])} WHEN '2' THEN {q(ALL_CATS[1])} WHEN '3' THEN {q(ALL_CATS[2])} ELSE cat END"
+_TEXTS = (*(f"x {t} y" for t in ALL_NOTE_TEXTS), "hello", None, "a", "b", "c", "d", "e", "f")
+FULL_LISTS: dict[str, str] = {
+    "fdx": f"SELECT trk, {_pick('trk', (*ALL_FDX, 'FedEx 2Day', 'Standard Overnight', None))} AS svc FROM fdx_given",
+    "ups": f"SELECT trk, {_pick('trk', (*ALL_UPS, '302', '9', None))} AS zone FROM ups_given",
+    "oms_line": f"SELECT * REPLACE ({_NODE} AS ship_node, {_CAT} AS cat) FROM oms_line_given",
+    "ship_node": f"SELECT {_NODE} AS ship_node, min(node_desc) AS node_desc FROM ship_node_given GROUP BY 1",
+    "note": f"SELECT table_key, {_pick('table_key', (*ALL_NOTE_CODES, 'Other', None))} AS code, {_pick('table_key', _TEXTS)} AS txt FROM note_given",
+    "audit": f"SELECT order_key, {_pick('order_key', (*ALL_REASONS, 'Price change', None))} AS code, text FROM audit_given",
+    "cancel_line": f"SELECT * REPLACE ({_pick('line_key', (*ALL_CANCEL_NOTES, 'free text', None, 'x'))} AS note) FROM cancel_line_given",
+    "audit702": _audit702(SERVICES, qlist(ALL_FDX), qlist(ALL_UPS)),
+    "feed702": _feed702("audit702", qlist(ALL_NODES)),
+    "note_flags": _note_flags(ALL_NOTE_CODES, ALL_NOTE_TEXTS),
+    "priced": _cancels(qlist(ALL_CATS)),
+    "feed710": _feed710("cancels", "exempt", qlist(ALL_REASONS), qlist(ALL_CANCEL_NOTES)),
+}
+CTES["combined_two_union"] = _aligned("feed702", _F702) + "\nUNION\n" + _aligned("feed706", _F706)
+CTES["combined_two"] = CTES["combined"].replace("combined_union", "combined_two_union")
+
 # --- final queries ------------------------------------------------------------
 FINAL: dict[str, str] = {
     "rule_702": "SELECT * FROM feed702",
@@ -372,20 +430,25 @@ SELECT line_key AS OMS_ORDER_LINE_KEY, code AS OMS_ORDER_CANCEL_RESN_CODE, note
        CAST(total_qty AS DECIMAL(18,2)) AS OMS_ORDER_CANCEL_QTY
 FROM latest_cancel""",
     "unit_cost": "SELECT po_no AS PO_NO, article_no AS ARTICLE_NO, price AS PO_LINE_UNIT_PRICE FROM unit_cost",
-    "rule_710_exempt": "SELECT DISTINCT * FROM exempt",
+    "rule_710_exempt": "SELECT * FROM exempt",
     "rule_710_cancels": "SELECT * FROM cancels",
     "rule_710": "SELECT * FROM feed710",
     "combine": "SELECT * FROM combined",
+    "combine_tables": "SELECT * FROM combined_two",
     "run_log_top5": f"""
-SELECT * FROM (
-  SELECT job AS JOB, {D0} AS WINDOW_START, {D1} AS WINDOW_END, DATE '1999-01-04' AS RUN_DATE,
-         CAST(n AS BIGINT) AS ROWS_OUT, CAST(amt AS DECIMAL(38,6)) AS AMOUNT_TOTAL
-  FROM (SELECT 'rule_702' AS job, count(*) AS n, sum(CAST(CHARGEBACK_AMOUNT AS DECIMAL(38,6))) AS amt FROM feed702
-        UNION ALL SELECT 'rule_706_input', count(*), NULL FROM bol_input
-        UNION ALL SELECT 'rule_706', count(*), sum(CAST(CHARGEBACK_AMOUNT AS DECIMAL(38,6))) FROM feed706
-        UNION ALL SELECT 'rule_710', count(*), sum(CAST(CHARGEBACK_AMOUNT AS DECIMAL(38,6))) FROM feed710
-        UNION ALL SELECT 'combine', count(*), sum(CAST(CHARGEBACK_AMOUNT AS DECIMAL(38,6))) FROM combined) s
-) r ORDER BY RUN_DATE DESC, JOB ASC LIMIT 5""",
+SELECT JOB, WINDOW_START, WINDOW_END, RUN_DATE, STARTED_AT, ROWS_IN, ROWS_OUT, AMOUNT_TOTAL
+FROM (
+  SELECT 'rule_706' AS JOB, CAST(m AS DATE) AS WINDOW_START, last_day(m) AS WINDOW_END, last_day(m) + 2 AS RUN_DATE,
+         CAST(last_day(m) + 2 AS TIMESTAMP) + INTERVAL 6 HOUR AS STARTED_AT, count(*) AS ROWS_IN,
+         count(*) FILTER (WHERE VIOLATE_FLAG = 'Y') AS ROWS_OUT,
+         CAST(sum(CAST(abs(TOTAL_CHARGE_AMT * 0.65) AS DECIMAL(38,6))) FILTER (WHERE VIOLATE_FLAG = 'Y') AS DECIMAL(38,6)) AS AMOUNT_TOTAL
+  FROM flags, LATERAL (SELECT date_trunc('month', PICKUP_DATE) AS m) GROUP BY m
+  UNION ALL
+  SELECT 'rule_706_input', CAST(m AS DATE), last_day(m), last_day(m) + 2, CAST(last_day(m) + 2 AS TIMESTAMP) + INTERVAL 5 HOUR,
+         count(*), (SELECT count(*) FROM bol_input WHERE date_trunc('month', PICKUP_DATE) = m), NULL
+  FROM ltl, LATERAL (SELECT date_trunc('month', pickup_date) AS m) WHERE pickup_date {WIN} GROUP BY m
+) runs
+QUALIFY row_number() OVER (PARTITION BY JOB ORDER BY STARTED_AT DESC) <= 5""",
     "op_not_in_or": """
 SELECT l_returnflag, count(*) AS n_rows
 FROM lineitem
@@ -402,8 +465,8 @@ FROM (SELECT o_orderstatus, nullif(o_orderpriority, '5-LOW') AS prio FROM orders
 GROUP BY o_orderstatus""",
     "op_left_anti_null": """
 SELECT o_orderstatus, k IS NULL AS null_key, count(*) AS n_rows
-FROM (SELECT o_orderstatus, nullif(o_custkey % 50, 0) AS k FROM orders) r
-WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal < 0 AND nullif(c.c_custkey % 50, 0) = r.k)
+FROM (SELECT o_orderstatus, CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE o_custkey END AS k FROM orders) r
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal < 0 AND c.c_custkey % 7 <> 0 AND c.c_custkey = r.k)
 GROUP BY o_orderstatus, k IS NULL""",
     "op_distinct_wide_narrow": """
 SELECT l_orderkey, l_returnflag FROM (SELECT DISTINCT l_orderkey, l_partkey, l_returnflag FROM lineitem) d""",
@@ -422,8 +485,8 @@ WHERE CAST(ts AS DATE) BETWEEN wk.s AND wk.s + 6
 GROUP BY event_type""",
     "op_comment_builder": f"""
 SELECT o_orderkey,
-       {q(P.COMMENT_702_PREFIX)} || coalesce(CAST(trk AS {V}), '') || {q(P.COMMENT_702_SUFFIX)} AS c702,
-       {q(P.COMMENT_706_PREFIX)} || CAST(trk AS {V}) || {q(P.COMMENT_706_SUFFIX)} AS c706,
+       {T702[0]} || coalesce(CAST(trk AS {V}), '') || {T702[1]} AS c702,
+       {T706[0]} || CAST(trk AS {V}) || {T706[1]} AS c706,
        'Order Date: ' || CAST(d AS {V}) || ';' || 'Cancellation Date: ' || CAST(cd AS {V}) || ';' AS c710,
        strftime(d, '%Y%m%d') AS stamp
 FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS trk,
@@ -453,15 +516,16 @@ def _deps(sql: str) -> list[str]:
     return [name for name in CTES if re.search(rf"\b{name}\b", sql)]
 
 
-def build(final: str) -> str:
-    """Prefix `final` with the CTEs it needs, in dependency order."""
+def build(final: str, instead: dict[str, str] | None = None) -> str:
+    """Prefix `final` with the CTEs it needs, in dependency order; `instead`: other texts for some of them."""
+    texts = {**CTES, **(instead or {})}
     order: list[str] = []
 
     def visit(name: str, seen: set[str]) -> None:
         if name in order or name in seen:
             return
         seen.add(name)
-        for dep in _deps(CTES[name]):
+        for dep in _deps(texts[name]):
             if dep != name:
                 visit(dep, seen)
         order.append(name)
@@ -470,12 +534,13 @@ def build(final: str) -> str:
         visit(name, set())
     if not order:
         return final.strip()
-    body = ",\n".join(f"{name} AS ({CTES[name].strip()})" for name in order)
+    body = ",\n".join(f"{name} AS MATERIALIZED ({texts[name].strip()})" for name in order)
     return f"WITH {body}\n{final.strip()}"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: build(sql) for name, sql in FINAL.items()}
+    full = {f"{name}_full_lists": build(FINAL[name], FULL_LISTS) for name in ("rule_702", "rule_710")}
+    return {name: build(sql) for name, sql in FINAL.items()} | full
 
 
 def adapter_sql(name: str) -> str:

@@ -167,7 +167,7 @@ def test_combine_reports_skipped_and_fails_when_none(spark):
     f = spark.createDataFrame([("p", 1.0)], "PO_NUMBER string, CHARGEBACK_AMOUNT double")
     res = combine_frames({"702": f, "999": None}, "702,999")
     assert res.merged == ["702"] and res.skipped == ["999"]
-    assert "Skipped: 999" in res.status()
+    assert "no feed for 999" in res.status()
     with pytest.raises(RuntimeError):
         combine_frames({"999": None}, "999")
 

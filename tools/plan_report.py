@@ -13,9 +13,7 @@ join (filtered map-side) or a shuffle Exchange.
 from __future__ import annotations
 
 import argparse
-import contextlib
 import datetime as dt
-import io
 import os
 import re
 import sys
@@ -23,6 +21,8 @@ import threading
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tools.plans import METADATA_LENGTH, plan_text, scans  # noqa: E402
+
 WEEK = (dt.date(1998, 6, 7), dt.date(1998, 6, 13))
 
 
@@ -33,8 +33,7 @@ def plan_text(df, mode=None) -> str:
     return buf.getvalue()
 
 
-def scans(df) -> list[str]:
-    simple = plan_text(df).split("\n")
+def report_lines(df) -> list[str]:
     formatted = plan_text(df, "formatted")
     pushed = {}
     for block in formatted.split("\n\n"):
@@ -44,26 +43,11 @@ def scans(df) -> list[str]:
             rs = re.search(r"ReadSchema: struct<(.*?)>", block)
             cols = ",".join(c.split(":")[0] for c in rs.group(1).split(",")) if rs else ""
             pushed.setdefault(m.group(1), set()).add((pf.group(1) if pf else "[]", cols))
-    out = []
-    for i, line in enumerate(simple):
-        m = re.search(r"FileScan parquet .*?/([\w-]+)\]", line)
-        if not m:
-            continue
-        table = m.group(1)
-        depth = len(line) - len(line.lstrip(" :+-"))
-        parent = "-"
-        for j in range(i - 1, -1, -1):
-            dj = len(simple[j]) - len(simple[j].lstrip(" :+-"))
-            if dj < depth:
-                depth = dj
-                node = simple[j].strip(" :+-").split(" ")[0].split("(")[0]
-                if node in ("Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin"):
-                    parent = node + (" (" + simple[j].split(",")[-2].strip() + ")" if node.endswith("Join") else "")
-                    break
-        out.append(f"{table:>14} -> {parent}")
+    out = {f"{table:>14} -> {above}" + ", pruned by a bloom filter" * any("might_contain" in x for x in between)
+           for table, above, between in scans(plan_text(df))}
     details = [f"{t:>14}    pushed {pf}  reads {cols}" for t, vals in sorted(pushed.items()) for pf, cols in sorted(vals)
                if not re.fullmatch(r"[0-9a-f]{32}", t)]
-    return sorted(set(out)) + details
+    return sorted(out) + details
 
 
 def main() -> None:
@@ -80,13 +64,13 @@ def main() -> None:
     inputs = CQ.inputs_for(spark, args.sf)
     for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
         spark.conf.set(key, args.limit)
-    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # keep scan locations whole
+    spark.conf.set(METADATA_LENGTH, "1000")  # keep scan locations whole
     original = working_set.materialize
     step = [0]
 
     def report(title, df):
         print(f"\n## {title}")
-        for line in scans(df):
+        for line in report_lines(df):
             print("   " + line)
 
     lock = threading.Lock()  # some slices are written from two threads; explain() output is captured globally

@@ -18,6 +18,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """`df`, in a session whose Arrow batches are bounded by bytes: by rows alone, long texts make them large."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    return df
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder that the session names in `spark.checkpoint.dir`.
 
@@ -37,13 +43,13 @@ def scratch(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """`df` as a Parquet table in the scratch folder: cuts the lineage and survives lost executors."""
     path = scratch(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
+    bounded(df).write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def texts_of(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns and nothing else; a null text counts as the empty text."""
-    return docs.select(*[F.col(c) for c in columns], F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return bounded(docs).select(*[F.col(c) for c in columns], F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargewise.llm.common import batch, rows_of, slices_of
+from chargewise.llm.common import batch, bounded, rows_of, slices_of
 
 DIMS = 1 << 13
 GRAMS = (2, 3, 4)
@@ -107,7 +107,7 @@ def fit(train: DataFrame, clusters: int = 4, sample: int = 400, reject_at: float
     `sample`: labelled documents per language that the centroids are fitted on, about. `reject_at`:
     a text is rejected below this part of the similarity that 99.5 % of those documents reach.
     """
-    train = train.select("text", "lang").where("text is not null and lang is not null")
+    train = bounded(train).select("text", "lang").where("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
              .limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
@@ -160,7 +160,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
         columns = [pa.array([x for p in parts for x in p[i]], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
         return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "rejected"])
 
-    kept = docs.select(*[F.col(c) for c in docs.columns if c not in names], predict("text").alias("_language"))
+    kept = bounded(docs).select(*[F.col(c) for c in docs.columns if c not in names], predict("text").alias("_language"))
     return kept.select(*[c for c in docs.columns if c not in names], "_language.*")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from chargewise.llm.common import slices_of
+from chargewise.llm.common import bounded, slices_of
 
 MIN_SITES = 10
 SALTS = 16
@@ -78,7 +78,7 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     text stays null, with 0 lines. Repeated rows each count once per row and keep their own result.
     Columns named n_lines or n_removed are replaced; an empty table gives an empty result.
     """
-    lines = _lines(docs, site)
+    lines = _lines(bounded(docs), site)
     gone = (lines.join(boilerplate(lines, min_sites), ["k1", "k2"], "left_semi")
             .groupBy("row_key").agg(F.collect_set("pos").alias("_gone")))
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]

@@ -1,4 +1,4 @@
-"""A Bloom filter of fixed size over a table of 64-bit keys, built in tasks and broadcast by its users."""
+"""A Bloom filter of given size over a table of 64-bit keys, built in tasks and broadcast by its users."""
 
 from __future__ import annotations
 

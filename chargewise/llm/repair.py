@@ -33,7 +33,7 @@ PAIRS_PER_ROUND = 1024
 MAX_ROUNDS = 8
 MIN_COUNT = 4
 MIN_GAIN = 0.02
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 700_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 # Texts of these characters only are split by the plain pattern, to the words of the byte-level pre-tokenizer.
@@ -200,7 +200,8 @@ def compress(ids: np.ndarray, pairs_per_round: int = PAIRS_PER_ROUND, max_rounds
         at = np.flatnonzero(take)
         if not len(at):
             break
-        used, number = np.unique(place[at], return_inverse=True)
+        taken = np.bincount(place[at], minlength=len(pairs)) > 0
+        used, number = np.flatnonzero(taken), (np.cumsum(taken) - 1)[place[at]]
         size = len(sequence)
         sequence[at] = (first + rules + number).astype(np.uint32)
         stay = np.ones(size, bool)

@@ -1,22 +1,28 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: counted n-gram seeds, then Smith-Waterman alignment.
 
 The test items are the stated query set. They are taken in blocks of at most `block_words` words, so
 what a task holds (the block's vocabulary and seeds) is bounded; every block meets every document.
 
-1. One pass counts, over all documents, how many contain each word n-gram of the items.
-2. Each item keeps the rarer half of its n-grams as seeds (all that are as rare as the last of them),
-   so an item whose every n-gram is frequent, because it leaked into many documents, still has seeds.
-3. A second pass joins documents to items by their seeds. Around every seed hit the passage is aligned
-   with the item by Smith-Waterman over words (match 2, mismatch -1, gap -1). The score is the best
-   alignment's share of the item's own score; a passage that can't reach `min_score` even if all its
-   words that the item has were matched isn't aligned.
+An item of m words matches where its best alignment scores at least `min_score` (s) of its own 2 m: with
+M words matched, mismatches and gaps number at most 2 M - 2 s m. Each of them parts at most two matched words
+that follow each other on both sides, so at least (1 - 2 (n - 1) (1 - s)) m - (n - 1) of the item's word
+n-grams stand unbroken in the passage, at different places, and the passage has at most (3 - 2 s) m words.
+
+1. Each item is sought by its n-grams, n the largest up to `seed_words` that leaves at least one unbroken
+   (pairs for items of 6 words and more at 0.6, else single words). Up to half of that number, the n-grams
+   that most items share, are left out, and so many fewer are asked for.
+2. One pass over the documents looks the n-grams up and keeps the passages that hold enough of them. In those
+   the item is aligned by Smith-Waterman over words (match 2, mismatch -1, gap -1). The score is the best
+   alignment's share of the item's own score; a passage that can't reach `min_score` even if all its words
+   that the item has were matched isn't aligned. So no match is lost, however often an item or its copies occur.
 
 Words are lower-cased runs of characters other than ASCII white space, control and punctuation characters.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import math
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -30,6 +36,7 @@ from chargewise.llm.common import batch, rows_of, slices_of, texts_of
 SEED_WORDS = 3
 MIN_SCORE = 0.6
 BLOCK_WORDS = 500_000
+STRETCH = 1_000_000
 
 _FOLD = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
 _MATCH, _MISMATCH, _GAP = 2, -1, 1
@@ -68,28 +75,53 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return score, end - back, end
 
 
+def _seed_length(m: int, seed_words: int, min_score: float) -> tuple[int, int]:
+    """n and the number of n-grams that every match of an item of m words has unbroken."""
+    for n in range(min(seed_words, m), 1, -1):
+        least = math.ceil(m * (1 - 2 * (n - 1) * (1 - min_score)) - (n - 1) - 1e-9)
+        if least > 0:
+            return n, least
+    return 1, max(1, math.ceil(m * min_score - 1e-9))
+
+
 @dataclass
 class Items:
-    """A block of test items: word ids (0: no word of the block) and, per n-gram length, the n-grams."""
+    """A block of test items: word ids (0: no word of the block) and, per n-gram length, the n-grams they are sought by."""
 
     ids: list
     words: list[np.ndarray]
     vocabulary: dict[bytes, int]
     grams: dict[int, np.ndarray]                       # length -> sorted codes
-    places: dict[int, list[list[tuple[int, int]]]]     # length -> (item, place in it) of each code
+    holders: dict[int, tuple[np.ndarray, np.ndarray]]  # length -> offsets (one for each code and the end), items
+    least: np.ndarray                                  # n-grams a passage must hold, of each item
+    span: np.ndarray                                   # words a match has at most, of each item
+    min_score: float
 
     @classmethod
-    def of(cls, rows: list[tuple], seed_words: int) -> Items:
+    def of(cls, rows: list[tuple], seed_words: int, min_score: float) -> Items:
         vocabulary: dict[bytes, int] = {}
         words = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(t)], np.int64) for _, t in rows]
+        least, own = np.ones(len(rows), np.int64), {}
+        shared: dict[int, Counter] = defaultdict(Counter)
+        for i, item in enumerate(words):
+            if len(item):
+                n, least[i] = _seed_length(len(item), seed_words, min_score)
+                own[i] = n, Counter(_codes(item, n, len(vocabulary) + 1).tolist())
+                shared[n].update(own[i][1].keys())
         found: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
-        for i, own in enumerate(words):
-            if n := min(seed_words, len(own)):
-                for at, code in enumerate(_codes(own, n, len(vocabulary) + 1).tolist()):
-                    found[n][code].append((i, at))
+        for i, (n, codes) in own.items():
+            spare = int(least[i]) // 2
+            for code in sorted(codes, key=lambda c: (-shared[n][c], c)):
+                if codes[code] <= spare and shared[n][code] > 1:
+                    spare -= codes[code]
+                    least[i] -= codes[code]
+                else:
+                    found[n][code].append(i)
         return cls([i for i, _ in rows], words, vocabulary,
                    {n: np.array(sorted(c), np.int64) for n, c in found.items()},
-                   {n: [c[k] for k in sorted(c)] for n, c in found.items()})
+                   {n: (np.cumsum([0] + [len(c[k]) for k in sorted(c)]), np.array([i for k in sorted(c) for i in c[k]], np.int64))
+                    for n, c in found.items()},
+                   least, np.array([math.floor(len(w) * (3 - 2 * min_score) + 1e-9) for w in words], np.int64), min_score)
 
     def read(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
@@ -120,108 +152,94 @@ def _codes(ids: np.ndarray, n: int, base: int) -> np.ndarray:
     return code
 
 
-def _frequencies(texts: DataFrame, items: Items) -> dict[int, np.ndarray]:
-    """Per n-gram of the block, the documents that contain it, over all documents."""
-    def run(batches):
-        total = {n: np.zeros(len(g), np.int64) for n, g in items.grams.items()}
-        for b in batches:
-            for (text,) in rows_of([b]):
-                ids = items.read(words_of(text))
-                for n in total:
-                    total[n][np.unique(items.hits(ids, n)[1])] += 1
-        for n, counts in total.items():
-            at = np.flatnonzero(counts)
-            yield batch(pa.schema([("n", pa.int32()), ("slot", pa.int32()), ("docs", pa.int64())]),
-                        [np.full(len(at), n, np.int32), at.astype(np.int32), counts[at]])
-
-    counts = {n: np.zeros(len(g), np.int64) for n, g in items.grams.items()}
-    for r in texts.select("text").mapInArrow(run, "n int, slot int, docs long").groupBy("n", "slot").agg(F.sum("docs").alias("docs")).collect():
-        counts[r["n"]][r["slot"]] = r["docs"]          # at most one row for each n-gram of the block
-    return counts
-
-
 class Matcher:
     """Finds the items of a block that a text contains, exactly or edited."""
 
-    def __init__(self, items: Items, frequencies: dict[int, np.ndarray], min_score: float):
-        self.items, self.min_score = items, min_score
-        own: dict[int, list[int]] = defaultdict(list)
-        for n, places in items.places.items():
-            for slot, found in enumerate(places):
-                for i in {i for i, _ in found}:
-                    own[i].append(int(frequencies[n][slot]))
-        limit = {i: sorted(f)[(len(f) - 1) // 2] for i, f in own.items()}
-        self.seeds = {n: [[(i, at) for i, at in found if frequencies[n][slot] <= limit[i]] for slot, found in enumerate(places)]
-                      for n, places in items.places.items()}
-        self.is_seed = {n: np.array([bool(s) for s in seeds], bool) for n, seeds in self.seeds.items()}
+    def __init__(self, items: Items):
+        self.items, self.min_score = items, items.min_score
+
+    def passages(self, ids: np.ndarray):
+        """(item, first word, end word) of passages that may hold the item: every match lies within one."""
+        for n in self.items.grams:
+            at, slot = self.items.hits(ids, n)
+            for k in self._stretches(n, at, slot):
+                yield from self._held(n, at[k], slot[k], len(ids))
+
+    def _stretches(self, n: int, at: np.ndarray, slot: np.ndarray):
+        """The hits in pieces of bounded work that overlap by the longest match."""
+        offsets, span = self.items.holders[n][0], int(self.items.span.max())
+        work = np.cumsum(offsets[slot + 1] - offsets[slot])
+        lo = 0
+        while lo < len(at):
+            hi = max(int(np.searchsorted(work, (work[lo - 1] if lo else 0) + STRETCH, "right")),
+                     int(np.searchsorted(at, at[lo] + 2 * span)))
+            yield slice(lo, hi)
+            lo = int(np.searchsorted(at, at[hi] - span, "right")) if hi < len(at) else len(at)
+
+    def _held(self, n: int, at: np.ndarray, slot: np.ndarray, size: int):
+        """(item, first word, end word) around hits close enough to be those of a match."""
+        offsets, holders = self.items.holders[n]
+        sizes = offsets[slot + 1] - offsets[slot]
+        place = np.repeat(at, sizes)
+        item = holders[np.arange(len(place)) + np.repeat(offsets[slot] - np.cumsum(sizes) + sizes, sizes)]
+        enough = np.bincount(item, minlength=len(self.items.least)) >= self.items.least
+        place, item = place[enough[item]], item[enough[item]]
+        order = np.argsort(item, kind="stable")            # by item, then by place
+        place, item = place[order], item[order]
+        last = np.arange(len(item)) + self.items.least[item] - 1
+        first = np.flatnonzero(last < len(item))
+        last = last[first]
+        near = (item[first] == item[last]) & (place[last] + n - place[first] <= self.items.span[item[first]])
+        first, last = first[near], last[near]
+        own, span = item[first], self.items.span[item[first]]
+        los, his = np.maximum(place[last] + n - span, 0), np.minimum(place[first] + span, size)
+        held = None
+        for i, lo, hi in zip(own.tolist(), los.tolist(), his.tolist()):
+            if held and held[0] == i and lo <= held[2] and held[2] - held[1] < 50 * len(self.items.words[i]) + 1000:
+                held = i, held[1], hi
+                continue
+            if held:
+                yield held
+            held = i, lo, hi
+        if held:
+            yield held
 
     def matches(self, text: str | None) -> list[tuple[int, float, int, int]]:
         """(item number, score, first word, end word) for each item found."""
         ids = self.items.read(words_of(text))
-        starts: dict[int, set[int]] = defaultdict(set)
-        for n in self.items.grams:
-            at, slot = self.items.hits(ids, n)
-            if len(at):
-                seed = self.is_seed[n][slot]
-                for p, k in zip(at[seed].tolist(), slot[seed].tolist()):
-                    for i, q in self.seeds[n][k]:
-                        starts[i].add(p - q)
-        found = []
-        for i, begins in starts.items():
+        found: dict[int, tuple[int, int, int]] = {}
+        for i, lo, hi in self.passages(ids):
             item = self.items.words[i]
-            m, best = len(item), (0, 0, 0)
-            own = np.zeros(len(self.items.vocabulary) + 1, bool) if len(begins) * m > 4000 else None
-            if own is not None:
-                own[item] = True
-            slack = m // 4 + 1
-            for lo, hi in _windows(sorted(begins), m, slack, len(ids)):
-                passage = ids[lo:hi]
-                has = own[passage] if own is not None else np.isin(passage, item)
-                # Any alignment lies within m + slack words; it can't match more than these hold.
-                most = np.cumsum(np.concatenate(([0], has)))
-                span = min(len(has), m + 2 * slack)
-                if (most[span:] - most[:len(most) - span]).max() < self.min_score * m:
-                    continue
-                score, start, end = align(item, passage)
-                best = max(best, (score, lo + start, lo + end), key=lambda x: (x[0], -x[1]))
-            if best[0] >= self.min_score * _MATCH * m:
-                found.append((i, best[0] / (_MATCH * m), best[1], best[2]))
-        return found
-
-
-def _windows(begins: list[int], m: int, slack: int, size: int):
-    """Passages around the places where an item may begin, overlapping ones joined, in pieces of bounded length."""
-    lo = hi = None
-    for b in begins:
-        if hi is not None and b - slack <= hi and hi - lo < 50 * m + 1000:
-            hi = b + m + slack
-            continue
-        if lo is not None:
-            yield max(lo, 0), min(hi, size)
-        lo, hi = b - slack, b + m + slack
-    if lo is not None:
-        yield max(lo, 0), min(hi, size)
-
-
-def _blocks(items: DataFrame, seed_words: int, block_words: int):
+            m, passage = len(item), ids[lo:hi]
+            # A match lies within `span` words; it can't match more than these hold.
+            most = np.cumsum(np.concatenate(([0], np.isin(passage, item))))
+            span = min(len(passage), int(self.items.span[i]))
+            if (most[span:] - most[:len(most) - span]).max() < self.min_score * m - 1e-9:
+                continue
+            score, start, end = align(item, passage)
+            if score and score >= self.min_score * _MATCH * m - 1e-9:
+                found[i] = max(found.get(i, (0, 0, 0)), (score, lo + start, lo + end), key=lambda x: (x[0], -x[1]))
+        return [(i, score / (_MATCH * len(self.items.words[i])), lo, hi) for i, (score, lo, hi) in sorted(found.items())]
+
+
+def _blocks(items: DataFrame, seed_words: int, min_score: float, block_words: int):
     rows, size = [], 0
     for r in items.select("item_id", "text").toLocalIterator():
         rows.append((r["item_id"], r["text"]))
         size += len(words_of(r["text"]))
         if size >= block_words:
-            yield Items.of(rows, seed_words)
+            yield Items.of(rows, seed_words, min_score)
             rows, size = [], 0
     if rows:
-        yield Items.of(rows, seed_words)
+        yield Items.of(rows, seed_words, min_score)
 
 
-def _matchers(docs: DataFrame, items: DataFrame, min_score: float, seed_words: int, block_words: int):
-    texts = texts_of(docs)
-    for block in _blocks(items, seed_words, block_words):
+def _matchers(items: DataFrame, min_score: float, seed_words: int, block_words: int):
+    for block in _blocks(items, seed_words, min_score, block_words):
         if len(block.vocabulary) + 1 >= 1 << (62 // seed_words):
             raise ValueError("block_words is too large for this seed length")
         if block.vocabulary:
-            yield Matcher(block, _frequencies(texts, block), min_score)
+            yield Matcher(block)
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE,
@@ -237,7 +255,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, min_score: float = MIN
     ddl = "doc_id long, item_id long, score double, first_word long, end_word long"
     texts, spark = texts_of(docs, "doc_id"), docs.sparkSession
     result = spark.createDataFrame([], ddl)
-    for matcher in _matchers(docs, items, min_score, seed_words, block_words):
+    for matcher in _matchers(items, min_score, seed_words, block_words):
         held = spark.sparkContext.broadcast(matcher)
 
         def run(batches, held=held):
@@ -261,6 +279,6 @@ def clean(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE,
         return leaks
 
     kept = docs
-    for matcher in _matchers(docs, items, min_score, seed_words, block_words):
+    for matcher in _matchers(items, min_score, seed_words, block_words):
         kept = kept.where(~finder(docs.sparkSession.sparkContext.broadcast(matcher))("text"))
     return kept

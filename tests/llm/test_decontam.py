@@ -51,6 +51,51 @@ def test_copies_exact_and_edited(spark, rng):
     assert {r["doc_id"] for r in D.clean(table, tests).collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def edited(rng, own, every, kind):
+    out = []
+    for k, w in enumerate(own, 1):
+        if k % every:
+            out.append(w)
+        elif kind != "drop":
+            out += [w, rng.choice("xyz")] if kind == "insert" else [rng.choice("xyz")]
+    return out
+
+
+def test_dense_edits_with_and_without_an_exact_copy(spark, rng):
+    vocabulary = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(15, 60)))) for i in range(16)]
+    edits = [(n, "replace") for n in (4, 5, 6)] + [(n, "drop") for n in (4, 5)] + [(n, "insert") for n in (2, 3)]
+    docs = []
+    for i, text in items:
+        for every, kind in edits:
+            filler = [rng.choice(vocabulary) for _ in range(40)]
+            docs.append((len(docs), " ".join(filler[:20] + edited(rng, text.split(), every, kind) + filler[20:])))
+        docs += [(len(docs) + k, text) for k in range(0 if i % 2 else 3)]
+    want = {(d, i) for d, text in docs for i, item in items
+            if slow_align(D.words_of(item), D.words_of(text)) >= D.MIN_SCORE * 2 * len(D.words_of(item))}
+    assert len(want) >= len(items) * len(edits)
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in D.contaminated_pairs(table, tests).collect()} == want
+    assert {r["doc_id"] for r in D.clean(table, tests).collect()} == {d for d, _ in docs} - {d for d, _ in want}
+
+
+def test_no_match_is_lost(rng, monkeypatch):
+    for stretch in (D.STRETCH, 20):
+        monkeypatch.setattr(D, "STRETCH", stretch)
+        for least in (0.4, 0.6, 0.7, 0.85, 1.0):
+            for words in (4, 30):
+                items = [(i, " ".join(str(rng.randrange(words)) for _ in range(rng.randint(1, 25)))) for i in range(12)]
+                matcher = D.Matcher(D.Items.of(items, D.SEED_WORDS, least))
+                for _ in range(15):
+                    text = " ".join(str(rng.randrange(words + 2)) for _ in range(rng.randint(0, 60)))
+                    own = rng.choice(items)[1].split()
+                    text += " " + " ".join(edited(rng, own, rng.randint(2, 8), rng.choice(["replace", "drop", "insert"])))
+                    scores = [slow_align(D.words_of(item), D.words_of(text)) / (2 * len(D.words_of(item))) for _, item in items]
+                    got = {i: score for i, score, _, _ in matcher.matches(text)}
+                    assert got == {i: s for i, s in enumerate(scores) if s >= least - 1e-9}
+
+
 def test_awkward_rows(spark, awkward, empty):
     items = spark.createDataFrame([(1, None), (None, "same text twice same text twice"), (3, ""), (4, "café"), (4, "café"), (5, "long " * 50)],
                                   "item_id long, text string")

@@ -6,7 +6,8 @@ fall into several styles isn't averaged into one. A text gets the language of th
 centroid (cosine); it is rejected when it is further from that centroid than training texts are.
 
 Document frequencies count every training document. The centroids and the rejection distance are
-fitted on a sample of about `sample` labelled documents per language (documented bound). Every
+fitted on the `sample` distinct texts of smallest hash of each language (documented bound): copies
+count once there, so every language with a labelled text is learned, and no task gets more. Every
 document is classified on its whole text; the model is languages x `clusters` x `DIMS` floats.
 """
 
@@ -17,7 +18,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chargewise.llm.common import batch, bounded, rows_of, slices_of
@@ -104,12 +105,13 @@ class Model:
 def fit(train: DataFrame, clusters: int = 4, sample: int = 400, reject_at: float = 0.35) -> Model:
     """Learn from `train` (text, lang); rows with a null text or lang don't count.
 
-    `sample`: labelled documents per language that the centroids are fitted on, about. `reject_at`:
+    `sample`: distinct texts per language that the centroids are fitted on, at most. `reject_at`:
     a text is rejected below this part of the similarity that 99.5 % of those documents reach.
     """
     train = bounded(train).select("text", "lang").where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .limit(MAX_LANGUAGES + 1).collect()}
+    place = F.shiftrightunsigned(F.xxhash64("text"), 1)
+    found = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(place).alias("texts")).limit(MAX_LANGUAGES + 1).collect()
+    sizes = {r["lang"]: r["n"] for r in found}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"over {MAX_LANGUAGES} languages: is lang a language column?")
     if not sizes:
@@ -128,11 +130,16 @@ def fit(train: DataFrame, clusters: int = 4, sample: int = 400, reject_at: float
         df[r["slot"]] = r["n"]
     idf = (np.log((1 + sum(sizes.values())) / (1 + df)) + 1).astype(np.float32)
 
-    share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(int(min(1.0, sample / n) * (1 << 30)))) for k, n in sizes.items()])
-    chosen = train.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share)
+    # Texts under twice the hash that `sample` of them are expected to have hold the `sample` smallest (the estimate is good
+    # to some 5 %, a small language is taken whole); only those are folded and ranked.
+    bound = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min((1 << 63) - 1, int((2 * sample + 100) / max(1, r["texts"]) * (1 << 63)))))
+                         for r in found])
+    distinct = train.withColumn("place", place).where(F.col("place") <= bound).groupBy("lang", "place", "text").agg(F.lit(1).alias("one"))
+    smallest = Window.partitionBy("lang").orderBy("place", "text")
+    chosen = distinct.withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= sample).select("lang", "n", "text")
 
     def centroids(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        x = vectors([t for t in rows["text"] if has_letter(t)] or [""], idf)
+        x = vectors([t for t in rows.sort_values("n")["text"] if has_letter(t)] or [""], idf)
         c = spherical_kmeans(x, min(clusters, len(x)))
         limit = float(np.quantile((x @ c.T).max(axis=1), 0.005)) * reject_at
         return pd.DataFrame({"lang": key[0], "centroid": [v.astype("<f4").tobytes() for v in c], "reach": limit})

@@ -40,6 +40,20 @@ def test_far_texts_are_rejected(spark):
     assert rejected[2:].all() and names[3] == langid.UNDETERMINED
 
 
+def test_copies_count_once_in_the_sample(spark):
+    """Languages that are copies of a few texts are learned, and copies don't push other texts out."""
+    german, french = "das haus und der garten in der stadt, nummer ", "la maison et le jardin de la ville, numero "
+    rows = [(f"the house and the garden number {i} of the town", "en") for i in range(300)]
+    rows += [("copy of one page about a river and a bridge", "en")] * 1500
+    rows += [(f"{german}{i % 5}", "de") for i in range(2000)] + [(f"{french}{i % 5}", lang) for i in range(2000) for lang in ("fr", "fc")]
+    train = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    model = langid.fit(train, sample=40)
+    assert set(model.languages) == {"en", "de", "fr", "fc"}
+    names, _, rejected = model.predict([german + "7", french + "7", "the house and the garden of the town"])
+    assert names[0] == "de" and names[1] in ("fr", "fc") and names[2] == "en" and not rejected.any()
+    assert langid.fit(train.distinct(), sample=40).languages == model.languages
+
+
 def test_held_out_is_by_crc(spark):
     import zlib
     rows = spark.range(200).select("id", langid.is_held_out(F.col("id"), 7, 2).alias("h")).collect()

@@ -3,12 +3,14 @@
 A text becomes a TF-IDF vector of hashed character n-grams (UTF-8 bytes, 2 to 4, letters only). Each
 language has several centroids (spherical k-means of its training texts), so a language whose texts
 fall into several styles isn't averaged into one. A text gets the language of the most similar
-centroid (cosine); it is rejected when it is further from that centroid than training texts are.
+centroid (cosine). It is rejected when it is further from every language than held-out training texts
+and stretches of them of like length are; the distance is the mean surprise of its n-grams under the
+language's own n-gram frequencies, as cosines of long texts of random letters reach those of real ones.
 
 Document frequencies count every training document. The centroids and the rejection distance are
 fitted on the `sample` distinct texts of smallest hash of each language (documented bound): copies
 count once there, so every language with a labelled text is learned, and no task gets more. Every
-document is classified on its whole text; the model is languages x `clusters` x `DIMS` floats.
+document is classified on its whole text; the model is languages x (`clusters` + 1) x `DIMS` floats.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from chargewise.llm.common import batch, bounded, rows_of, slices_of
 
 DIMS = 1 << 13
 GRAMS = (2, 3, 4)
+LENGTHS = (16, 64, 256, 1024)      # n-grams; the last stands for all longer texts too
 UNDETERMINED = "und"
 MAX_LANGUAGES = 1000
 
@@ -55,13 +58,18 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def vectors(texts: list[str], idf: np.ndarray) -> np.ndarray:
-    """Normalised TF-IDF vectors; a text without n-grams has the zero vector."""
-    x = np.stack([np.log1p(counts(t)) for t in texts]) * idf
+def vectors(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Normalised TF-IDF vectors of counts; a text without n-grams has the zero vector."""
+    x = np.log1p(x) * idf
     norm = np.linalg.norm(x, axis=1, keepdims=True)
     return np.divide(x, norm, out=x, where=norm > 0)
 
 
+def likelihoods(x: np.ndarray, frequencies: np.ndarray) -> np.ndarray:
+    """Mean logarithm of the frequency of a text's n-grams, for counts (rows) and languages (columns)."""
+    return (x @ frequencies.T) / np.maximum(x.sum(axis=1, keepdims=True), 1)
+
+
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     """Up to k unit centroids: farthest-point starts, then assignment and mean in turns."""
     centres = [x.mean(axis=0)]
@@ -81,7 +89,8 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray = field(default_factory=lambda: np.zeros((0, DIMS), np.float32))
     languages: list[str] = field(default_factory=list)   # of each centroid
-    limits: list[float] = field(default_factory=list)    # least similarity accepted, of each centroid
+    frequencies: np.ndarray = field(default_factory=lambda: np.zeros((0, DIMS), np.float32))    # logarithms, of each language
+    limits: list[list[float]] = field(default_factory=list)    # least mean logarithm accepted, of each language at LENGTHS
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score (0 to 1) and whether the text is rejected, for each text."""
@@ -89,24 +98,55 @@ class Model:
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         languages, scores, rejected = [], np.zeros(len(texts)), np.ones(len(texts), bool)
-        limits = np.array(self.limits)
         for lo in range(0, len(texts), 256):
             part = named[lo:lo + 256]
-            near = np.clip(vectors([t or "" for t in part], self.idf) @ self.centroids.T, 0, 1)
+            x = np.stack([counts(t or "") for t in part])
+            length = np.log(np.maximum(x.sum(axis=1), 1))
+            limits = np.stack([np.interp(length, np.log(LENGTHS), own) for own in self.limits], axis=1)
+            far = (likelihoods(x, self.frequencies) < limits).all(axis=1)
+            near = np.clip(vectors(x, self.idf) @ self.centroids.T, 0, 1)
             best = near.argmax(axis=1)
             for i, t in enumerate(part):
                 languages.append(UNDETERMINED if t is None else self.languages[best[i]])
                 if t is not None:
                     scores[lo + i] = near[i, best[i]]
-                    rejected[lo + i] = near[i, best[i]] < limits[best[i]]
+                    rejected[lo + i] = far[i]
         return languages, scores, rejected
 
 
-def fit(train: DataFrame, clusters: int = 4, sample: int = 400, reject_at: float = 0.35) -> Model:
+def _logarithms(total: np.ndarray) -> np.ndarray:
+    """Logarithms of smoothed frequencies, from counts."""
+    return np.log((total + 0.5) / (total.sum() + 0.5 * DIMS)).astype("<f4")
+
+
+def _limits(texts: list[str], total: np.ndarray, slack: float) -> list[float]:
+    """The least mean logarithm accepted at each of LENGTHS; each text is held out of the counts that it is measured by."""
+    near: list[list[float]] = [[] for _ in LENGTHS]
+    for i, text in enumerate(texts):
+        parts = [text]
+        for length in LENGTHS:
+            size = max(1, length // len(GRAMS))
+            if size < len(text):
+                at = i * 7919 % (len(text) - size + 1)
+                parts.append(text[at:at + size])
+        x = np.stack([counts(t) for t in parts])
+        sizes = x.sum(axis=1)
+        slot = np.abs(np.log(np.maximum(sizes, 1))[:, None] - np.log(LENGTHS)).argmin(axis=1)
+        value = likelihoods(x, _logarithms(total - x[0] if len(texts) > 1 else total)[None])[:, 0]
+        for k in np.flatnonzero(sizes).tolist():
+            near[slot[k]].append(float(value[k]))
+    lows = [float(np.quantile(own, 0.005)) - slack if own else np.inf for own in near]
+    least = np.minimum.accumulate(lows[::-1])[::-1]     # a shorter text is never held to a higher limit than a longer one
+    seen = least[np.isfinite(least)]
+    return np.where(np.isfinite(least), least, seen[-1] if len(seen) else 0.0).tolist()
+
+
+def fit(train: DataFrame, clusters: int = 4, sample: int = 400, slack: float = 1.25) -> Model:
     """Learn from `train` (text, lang); rows with a null text or lang don't count.
 
-    `sample`: distinct texts per language that the centroids are fitted on, at most. `reject_at`:
-    a text is rejected below this part of the similarity that 99.5 % of those documents reach.
+    `sample`: distinct texts per language that the centroids and limits are fitted on, at most. `slack`: a
+    text is rejected where its mean logarithm is below what 99.5 % of those texts, each held out, and
+    stretches of them of like length reach, by more than this.
     """
     train = bounded(train).select("text", "lang").where("text is not null and lang is not null")
     place = F.shiftrightunsigned(F.xxhash64("text"), 1)
@@ -130,8 +170,8 @@ def fit(train: DataFrame, clusters: int = 4, sample: int = 400, reject_at: float
         df[r["slot"]] = r["n"]
     idf = (np.log((1 + sum(sizes.values())) / (1 + df)) + 1).astype(np.float32)
 
-    # Texts under twice the hash that `sample` of them are expected to have hold the `sample` smallest (the estimate is good
-    # to some 5 %, a small language is taken whole); only those are folded and ranked.
+    # Texts under twice the hash that `sample` of them are expected to have hold the `sample` smallest (the estimate is
+    # good to some 5 %, a small language is taken whole); only those are folded and ranked.
     bound = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min((1 << 63) - 1, int((2 * sample + 100) / max(1, r["texts"]) * (1 << 63)))))
                          for r in found])
     distinct = train.withColumn("place", place).where(F.col("place") <= bound).groupBy("lang", "place", "text").agg(F.lit(1).alias("one"))
@@ -139,17 +179,22 @@ def fit(train: DataFrame, clusters: int = 4, sample: int = 400, reject_at: float
     chosen = distinct.withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= sample).select("lang", "n", "text")
 
     def centroids(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        x = vectors([t for t in rows.sort_values("n")["text"] if has_letter(t)] or [""], idf)
+        texts = [t for t in rows.sort_values("n")["text"] if has_letter(t)] or [""]
+        x = np.stack([counts(t) for t in texts])
+        total = x.sum(axis=0, dtype=np.float64)
+        frequencies, limits = _logarithms(total), _limits(texts, total, slack)
+        x = vectors(x, idf)
         c = spherical_kmeans(x, min(clusters, len(x)))
-        limit = float(np.quantile((x @ c.T).max(axis=1), 0.005)) * reject_at
-        return pd.DataFrame({"lang": key[0], "centroid": [v.astype("<f4").tobytes() for v in c], "reach": limit})
+        return pd.DataFrame({"lang": key[0], "centroid": [v.astype("<f4").tobytes() for v in c],
+                             "frequencies": [frequencies.tobytes()] + [None] * (len(c) - 1), "reach": [limits] + [None] * (len(c) - 1)})
 
-    rows = chosen.groupBy("lang").applyInPandas(centroids, "lang string, centroid binary, reach double").collect()
+    rows = chosen.groupBy("lang").applyInPandas(centroids, "lang string, centroid binary, frequencies binary, reach array<double>").collect()
     rows = sorted(rows, key=lambda r: (r["lang"], bytes(r["centroid"])))
     if not rows:
         return Model(idf)
-    return Model(idf, np.stack([np.frombuffer(r["centroid"], "<f4") for r in rows]),
-                 [r["lang"] for r in rows], [r["reach"] for r in rows])
+    whole = [r for r in rows if r["frequencies"] is not None]
+    return Model(idf, np.stack([np.frombuffer(r["centroid"], "<f4") for r in rows]), [r["lang"] for r in rows],
+                 np.stack([np.frombuffer(r["frequencies"], "<f4") for r in whole]), [list(r["reach"]) for r in whole])
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,3 +1,6 @@
+import base64
+
+import pytest
 from pyspark.sql import functions as F
 
 from chargewise.llm import langid
@@ -40,6 +43,26 @@ def test_far_texts_are_rejected(spark):
     assert rejected[2:].all() and names[3] == langid.UNDETERMINED
 
 
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja " \
+    "heidän on toimittava toisiaan kohtaan veljeyden hengessä."
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_junk_and_unlearned_languages_are_rejected(spark, rng, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    held_out = langid.is_held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(~held_out))
+    junk = [FINNISH, FINNISH * 20]
+    for n in (20, 200, 2000):
+        for letters in ("abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz"):
+            junk += [" ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n)) for _ in range(10)]
+        junk += [base64.b64encode(rng.randbytes(5 * n)).decode() for _ in range(10)]
+    assert model.predict(junk)[2].all()
+    clean = [r["text"] for r in docs.where(held_out).select("text").collect()]
+    clean += [t[:n] for t in clean for n in (40, 100, 400) if len(t) > n]
+    assert model.predict(clean)[2].mean() <= 0.005
+
+
 def test_copies_count_once_in_the_sample(spark):
     """Languages that are copies of a few texts are learned, and copies don't push other texts out."""
     german, french = "das haus und der garten in der stadt, nummer ", "la maison et le jardin de la ville, numero "

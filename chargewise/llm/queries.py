@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chargewise.llm import ann, bpe, decontam, katz, langid, linededup, pii, repair, rlbwt, simhash
+from chargewise.llm import ann, bpe, decontam, fingerprint, katz, langid, linededup, pii, repair, rlbwt, simhash, trie
 from chargewise.llm.common import read_table, scratch
 
 
@@ -79,6 +79,14 @@ def op10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.checksums(spark, path)
 
 
+def op11_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited(read_table(spark, sf_dir, "documents"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 OP7_SQL = """
 WITH lines AS (
   SELECT source, trim(unnest(string_split(text, chr(10)))) AS line FROM documents
@@ -109,6 +117,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rlbwt": op8_rlbwt,
     "op9_decontam": op9_decontam,
     "op10_repair": op10_repair,
+    "op11_scaled": op11_scaled,
+    "op13_trie": op13_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_linededup": OP7_SQL}

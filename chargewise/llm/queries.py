@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chargewise.llm import ann, bpe, decontam, fingerprint, katz, langid, linededup, pii, repair, rlbwt, simhash, trie
+from chargewise.llm import ann, bpe, colloc, decontam, fingerprint, katz, langid, linededup, pii, repair, rlbwt, simhash, trie
 from chargewise.llm.common import read_table, scratch
 
 
@@ -83,6 +83,10 @@ def op11_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited(read_table(spark, sf_dir, "documents"))
 
 
+def op12_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return colloc.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
 
@@ -106,6 +110,81 @@ SELECT doc_id,
 FROM kept
 """
 
+OP12_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), sizes AS (
+  SELECT unnest(range(1, 6)) AS k
+), grams AS (
+  SELECT lang, k, list_slice(w, i, i + k - 1) AS p
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words JOIN sizes ON len(w) >= k)
+), f AS (
+  SELECT lang, k, p, count(*) AS a FROM grams GROUP BY lang, k, p HAVING count(*) >= 100
+), cuts AS (
+  SELECT c.lang, c.k, c.p, c.a, t.n, x.k AS at, x.a AS l, y.a AS r,
+         ((1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM f c JOIN totals t ON t.lang = c.lang
+  JOIN f x ON x.lang = c.lang AND x.k < c.k AND x.p = list_slice(c.p, 1, x.k)
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - x.k AND y.p = list_slice(c.p, x.k + 1, c.k)
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, at) = 1
+), kept AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM best b
+  WHERE NOT EXISTS (SELECT 1 FROM f x WHERE x.lang = b.lang AND x.k > b.k AND x.a >= b.a
+                    AND contains(' ' || array_to_string(x.p, ' ') || ' ', ' ' || array_to_string(b.p, ' ') || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM kept
+QUALIFY rank <= 2000
+"""
+
+OP13_SQL = """
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS at,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), digits AS (
+  SELECT conv_id, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT) AS codes
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(codes, lambda crc, b: list_reduce(range(8),
+               lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, b)),
+             4294967295::BIGINT), 4294967295) % 6 AS h
+  FROM digits
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS part, t.at, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.at < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.at, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.at >= c.h
+), paths AS (
+  SELECT conv_id, row_number() OVER before AS depth, length(text) AS chars,
+         string_agg(md5(role) || md5(text), '' ORDER BY part, at) OVER before AS path
+  FROM rebuilt WINDOW before AS (PARTITION BY conv_id ORDER BY part, at)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), ended AS (
+  SELECT conv_id, max(depth) AS last FROM paths GROUP BY conv_id
+), nodes AS (
+  SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         CASE WHEN any_value(depth) > 0 THEN left(path, length(path) - 64) END AS above,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = last), '')) AS ends_sha256
+  FROM paths JOIN ended USING (conv_id) GROUP BY path
+), families AS (
+  SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.above = n.path) AS n_children FROM nodes n
+), subtrees AS (
+  SELECT left(path, 64 * d) AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM families) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves::BIGINT AS n_leaves,
+       s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM families n JOIN subtrees s ON s.path = n.path LEFT JOIN nodes p ON p.path = n.above
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_katz": op2_katz,
@@ -118,7 +197,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontam": op9_decontam,
     "op10_repair": op10_repair,
     "op11_scaled": op11_scaled,
+    "op12_transducer": op12_transducer,
     "op13_trie": op13_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_linededup": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_linededup": OP7_SQL, "op12_transducer": OP12_SQL, "op13_trie": OP13_SQL}

@@ -127,13 +127,13 @@ WITH pieces AS (
 ), f AS (
   SELECT lang, k, p, count(*) AS a FROM grams GROUP BY lang, k, p HAVING count(*) >= 100
 ), cuts AS (
-  SELECT c.lang, c.k, c.p, c.a, t.n, x.k AS at, x.a AS l, y.a AS r,
+  SELECT c.lang, c.k, c.p, c.a, t.n, x.k AS pos, x.a AS l, y.a AS r,
          ((1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a))::BIGINT AS score
   FROM f c JOIN totals t ON t.lang = c.lang
   JOIN f x ON x.lang = c.lang AND x.k < c.k AND x.p = list_slice(c.p, 1, x.k)
   JOIN f y ON y.lang = c.lang AND y.k = c.k - x.k AND y.p = list_slice(c.p, x.k + 1, c.k)
 ), best AS (
-  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, at) = 1
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, pos) = 1
 ), kept AS (
   SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM best b
   WHERE NOT EXISTS (SELECT 1 FROM f x WHERE x.lang = b.lang AND x.k > b.k AND x.a >= b.a
@@ -146,7 +146,7 @@ QUALIFY rank <= 2000
 
 OP13_SQL = """
 WITH turns AS (
-  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS at,
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos,
          coalesce(role, '') AS role, coalesce(text, '') AS text
   FROM conversations WHERE conv_id IS NOT NULL
 ), digits AS (
@@ -159,13 +159,13 @@ WITH turns AS (
              4294967295::BIGINT), 4294967295) % 6 AS h
   FROM digits
 ), rebuilt AS (
-  SELECT c.conv_id, 0 AS part, t.at, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.at < c.h
+  SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
   UNION ALL
-  SELECT c.conv_id, 1, t.at, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.at >= c.h
+  SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h
 ), paths AS (
-  SELECT conv_id, row_number() OVER before AS depth, length(text) AS chars,
-         string_agg(md5(role) || md5(text), '' ORDER BY part, at) OVER before AS path
-  FROM rebuilt WINDOW before AS (PARTITION BY conv_id ORDER BY part, at)
+  SELECT conv_id, row_number() OVER so_far AS depth, length(text) AS chars,
+         string_agg(md5(role) || md5(text), '') OVER so_far AS path
+  FROM rebuilt WINDOW so_far AS (PARTITION BY conv_id ORDER BY part, pos)
   UNION ALL SELECT conv_id, 0, 0, '' FROM convs
 ), ended AS (
   SELECT conv_id, max(depth) AS last FROM paths GROUP BY conv_id

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 WORDS = 5
 ONE_IN = 16
 FLOOR = 64
-RANGE_CHARS = 32 << 20      # characters of a range of doc_id, while there are no more than MAX_RANGES
+RANGE_CHARS = 4 << 20      # characters of a range of doc_id, while there are no more than MAX_RANGES
 MAX_RANGES = 1 << 16
 
 _LEAST = -(1 << 63)

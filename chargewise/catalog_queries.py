@@ -10,14 +10,15 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chargewise.functions import dates
 from chargewise.params import TestDataParams
+from chargewise.operators.working_set import remove
 from chargewise.plans import combine, families, rule_702, rule_706, rule_710, runlog
-from chargewise.session import tune
+from chargewise.session import ensure_checkpoint_dir, tune
 from chargewise.sources import sinks
 from chargewise.sources.tpch import TEST_AS_OF, TEST_WINDOW, full_list_inputs, staged_tpch_inputs
 
@@ -56,32 +57,55 @@ def _months() -> list[tuple[dt.date, dt.date]]:
     return [(d, (d.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)) for d in firsts]
 
 
-def _run_log(inputs) -> DataFrame:
-    """A year of monthly runs of both 706 jobs; each job's newest five."""
-    rows = None
+def _runs(inputs):
+    """The year's runs of all five jobs, the 706 jobs month by month: (run, its output)."""
+    def run(job, first, last, run_date, hour, amount="CHARGEBACK_AMOUNT"):
+        return runlog.Run(job, first, last, run_date, amount=amount, started_at=dt.datetime.combine(run_date, dt.time(hour)))
+
     for first, last in _months():
         run_date = last + dt.timedelta(days=2)
-        pickup = dates.within(F.col("PICKUP_DATE"), first, last)
-        for job, out, hour, rows_in, amount in (
-                ("rule_706", rule_706.rule_706(inputs["flags"], first, last, run_date), 6,
-                 inputs["flags"].filter(pickup), "CHARGEBACK_AMOUNT"),
-                ("rule_706_input", rule_706.bol_input(inputs, first, last), 5,
-                 inputs["ltl"].filter(dates.within(F.col("pickup_date"), first, last)), None)):
-            started = dt.datetime.combine(run_date, dt.time(hour))
-            row = runlog.run_summary(out, job, first, last, run_date, amount, started, rows_in)
-            rows = row if rows is None else rows.unionByName(row)
-    return runlog.latest_runs(rows, 5)
+        yield (r := run("rule_706_input", first, last, run_date, 5, None)), rule_706.bol_input(inputs, first, last, r.audit)
+        yield (r := run("rule_706", first, last, run_date, 6)), rule_706.rule_706(inputs["flags"], first, last, run_date, r.audit)
+    yield (r := run("rule_702", START, END, TEST_AS_OF, 7)), rule_702.rule_702(inputs, START, END, TEST_AS_OF, TP.rule_702, r.audit)
+    yield (r := run("rule_710", START, END, TEST_AS_OF, 8)), rule_710.run_rule_710(inputs, START, END, TEST_AS_OF, TP.rule_710, r.audit)
+    feeds = {"702": feed_702(inputs), "706": feed_706(inputs), "710": feed_710(inputs)}
+    yield (r := run("combine", START, END, TEST_AS_OF, 9)), combine.combine_frames(feeds, "702,706,710", r.audit).frame
+
+
+def _logged(inputs) -> DataFrame:
+    """The run log of `_runs`: each output is computed once, and its row holds what was observed on the way."""
+    spark = inputs["flags"].sparkSession
+    rows = []
+    for run, out in _runs(inputs):
+        run.audit.written(out, run.amount).write.format("noop").mode("overwrite").save()
+        rows.append(run.row(spark))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _run_log(inputs) -> DataFrame:
+    return runlog.latest_runs(_logged(inputs), 5).select(*runlog.REPORT_COLUMNS)
+
+
+def _run_drops(inputs) -> DataFrame:
+    """Rows that each exclusion took away, per job over the year."""
+    drops = _logged(inputs).select("JOB", F.explode("DROPPED").alias("EXCLUSION", "ROWS"))
+    return drops.groupBy("JOB", "EXCLUSION").agg(F.sum("ROWS").alias("ROWS_DROPPED"))
 
 
 def _combine_tables(inputs) -> DataFrame:
-    """Two feeds as catalog tables, the third rule without one."""
+    """Two feeds published as catalog tables and logged, the third rule never published; combined by the log."""
     spark = inputs["flags"].sparkSession
     tables = {rule: f"chargewise_feed_{rule}_{uuid.uuid4().hex}" for rule in ("702", "706", "710")}
+    log_path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-work/log-{uuid.uuid4().hex}"
     try:
-        sinks.overwrite_table(feed_702(inputs), tables["702"])
-        sinks.overwrite_table(feed_706(inputs), tables["706"])
-        return combine.combine_tables(spark, "702,706,710", tables=tables).frame     # written before the tables go
+        for rule, feed in (("702", feed_702), ("706", feed_706)):
+            run = runlog.Run(f"rule_{rule}", START, END, TEST_AS_OF, tables[rule])
+            with runlog.logged(spark, run, log_path) as audit:
+                sinks.publish(audit.written(feed(inputs), run.amount), tables[rule])
+        return combine.combine_tables(spark, "702,706,710", tables=tables, log=runlog.read_log(spark, log_path),
+                                      windows={"702": (START, END)}).frame     # written before the tables go
     finally:
+        remove(spark, log_path)
         for rule in ("702", "706"):
             spark.sql(f"DROP TABLE IF EXISTS {tables[rule]}")
 
@@ -102,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_702_full_lists": _q(lambda i: rule_702.rule_702(full_list_inputs(i), START, END, TEST_AS_OF)),
     "rule_710_full_lists": _q(lambda i: rule_710.run_rule_710(full_list_inputs(i), START, END, TEST_AS_OF)),
     "run_log_top5": _q(_run_log),
+    "run_log_drops": _q(_run_drops),
     "op_not_in_or": families.not_in_or,
     "op_null_tolerant_exclusion": families.null_tolerant_exclusion,
     "op_left_anti_null": families.left_anti_null,

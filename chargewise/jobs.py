@@ -1,8 +1,9 @@
 """Job entry points, one per scheduled job.
 
 Each computes the reporting window from the run date (the previous full
-Sunday-Saturday week for rules 702 and 710), runs the rule, overwrites its
-output table, appends one row to the run log, and returns the written frame.
+Sunday-Saturday week for rules 702 and 710), runs the rule, publishes its
+output table (the old one stands until the new one is written and checked),
+logs the run, also a failed one, and returns the published frame.
 
     python -m chargewise.jobs rule_710 --inputs-root /data/inputs --as-of 2025-08-04 --staging
     python -m chargewise.jobs combine --rules 702,710
@@ -16,9 +17,11 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chargewise import params as P
-from chargewise.functions.dates import previous_week, ts_within, within
+from chargewise import schemas
+from chargewise.functions.dates import previous_week
 from chargewise.operators.working_set import scoped
 from chargewise.plans import combine, rule_702, rule_706, rule_710, runlog
 from chargewise.session import tune
@@ -32,6 +35,7 @@ STAGE_710_CANCELS = "CHARGEBACK_CANCELS_QUERY"
 OUT_706_INPUT = "BOL_706_OFFSHORE_INPUT"
 OUT_706 = "BOL_706_FINAL_OUTPUT"
 OUT_710 = "DMC710_OUT"
+WEEKLY_RULES = ("702", "710")
 
 
 def _today(spark: SparkSession) -> dt.date:
@@ -39,83 +43,90 @@ def _today(spark: SparkSession) -> dt.date:
     return spark.range(1).select(F.current_date()).first()[0]
 
 
-def _finish(spark: SparkSession, feed: DataFrame, table: str, job: str, start, end, as_of: dt.date,
-            log_path: str | None, started_at: dt.datetime, rows_in: DataFrame | None,
-            amount: str | None = "CHARGEBACK_AMOUNT") -> DataFrame:
-    sinks.overwrite_table(feed, table)
-    written = spark.table(table)
-    if log_path:
-        runlog.append_run(runlog.run_summary(written, job, start, end, as_of, amount, started_at, rows_in), log_path)
-    return written
-
-
-def _now() -> dt.datetime:
-    return dt.datetime.now(dt.UTC).replace(tzinfo=None)
+def _publish(run: runlog.Run, feed: DataFrame, schema: T.StructType, history: bool = False) -> DataFrame:
+    """Write the run's output, check it and put it in place; with `history`, file it under its window too."""
+    audited = run.audit.written(feed, run.amount)
+    published = sinks.publish(audited, run.output, schema, [sinks.no_nulls(run.amount)] if run.amount else [])
+    if history:
+        sinks.keep_window(published, run.output, run.start, run.end)
+    return published
 
 
 @scoped
 def run_rule_702(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = None,
                  table: str = OUT_702, log_path: str | None = None,
-                 p: P.Rule702Params = P.Rule702Params(), staging: bool = False) -> DataFrame:
-    """`staging=True` also keeps the audit rows the feed is built from, as a table."""
-    began, as_of = _now(), as_of or _today(spark)
+                 p: P.Rule702Params = P.Rule702Params(), staging: bool = False, history: bool = False) -> DataFrame:
+    """`staging=True` also keeps the audit rows the feed is built from, as a table; `history=True` every window's feed."""
+    as_of = as_of or _today(spark)
     start, end = previous_week(as_of)
-    audit = rule_702.expedited_audit(inputs, start, end, p)
-    if staging:
-        sinks.overwrite_table(audit, STAGE_702)
-        audit = spark.table(STAGE_702)
-    feed = rule_702.feed_from_audit(audit, as_of, p)
-    return _finish(spark, feed, table, "rule_702", start, end, as_of, log_path, began,
-                   inputs["fsc"].filter(within(F.col("order_date"), start, end)))
+    run = runlog.Run("rule_702", start, end, as_of, table)
+    with runlog.logged(spark, run, log_path) as audit:
+        rows = rule_702.expedited_audit(inputs, start, end, p, audit)
+        if staging:
+            rows = sinks.publish(rows, STAGE_702)
+        feed = rule_702.feed_from_audit(rows, as_of, p, audit)
+        return _publish(run, feed, schemas.feed_schema(P.FEED_702_COLUMNS), history)
 
 
 @scoped
 def run_rule_706_input(spark: SparkSession, inputs: Inputs, start: dt.date, end: dt.date,
                        table: str = OUT_706_INPUT, log_path: str | None = None) -> DataFrame:
     """Step 1: the per-PRO table the reviewers flag."""
-    began = _now()
-    out = rule_706.bol_input(inputs, start, end)
-    return _finish(spark, out, table, "rule_706_input", start, end, _today(spark), log_path, began,
-                   inputs["ltl"].filter(within(F.col("pickup_date"), start, end)), None)
+    run = runlog.Run("rule_706_input", start, end, _today(spark), table, amount=None)
+    with runlog.logged(spark, run, log_path) as audit:
+        return _publish(run, rule_706.bol_input(inputs, start, end, audit), schemas.BOL_INPUT)
 
 
 @scoped
 def run_rule_706(spark: SparkSession, flags: DataFrame, start: dt.date, end: dt.date,
                  as_of: dt.date | None = None, table: str = OUT_706,
-                 log_path: str | None = None) -> DataFrame:
+                 log_path: str | None = None, history: bool = False) -> DataFrame:
     """Step 2: charge the rows the reviewers flagged."""
-    began, as_of = _now(), as_of or _today(spark)
-    feed = rule_706.rule_706(flags, start, end, as_of)
-    return _finish(spark, feed, table, "rule_706", start, end, as_of, log_path, began,
-                   flags.filter(within(F.col("PICKUP_DATE"), start, end)))
+    as_of = as_of or _today(spark)
+    run = runlog.Run("rule_706", start, end, as_of, table)
+    with runlog.logged(spark, run, log_path) as audit:
+        feed = rule_706.rule_706(flags, start, end, as_of, audit)
+        audited = audit.written(feed, run.amount)       # a total may be missing (a NULL charge part)
+        published = sinks.publish(audited, table, schemas.feed_schema(P.FEED_706_COLUMNS))
+        if history:
+            sinks.keep_window(published, table, start, end)
+        return published
 
 
 @scoped
 def run_rule_710(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = None,
                  table: str = OUT_710, log_path: str | None = None,
-                 p: P.Rule710Params = P.Rule710Params(), staging: bool = False) -> DataFrame:
-    """`staging=True` also keeps the exemption list and the candidates as tables."""
-    began, as_of = _now(), as_of or _today(spark)
+                 p: P.Rule710Params = P.Rule710Params(), staging: bool = False, history: bool = False) -> DataFrame:
+    """`staging=True` also keeps the exemption list and the candidates as tables; `history=True` every window's feed."""
+    as_of = as_of or _today(spark)
     start, end = previous_week(as_of)
-    week = rule_710.prepare_week(inputs, start, end)
-    cancels = rule_710.rule_710_cancels(inputs, start, end, p, week)
-    exempt = rule_710.rule_710_exempt(inputs, start, end, p, week)
-    if staging:
-        sinks.overwrite_table(exempt, STAGE_710_EXEMPT)
-        sinks.overwrite_table(cancels, STAGE_710_CANCELS)
-        exempt, cancels = spark.table(STAGE_710_EXEMPT), spark.table(STAGE_710_CANCELS)
-    feed = rule_710.rule_710(cancels, exempt, as_of, p)
-    return _finish(spark, feed, table, "rule_710", start, end, as_of, log_path, began,
-                   inputs["rel_status"].filter(ts_within(F.col("status_ts"), start, end)))
+    run = runlog.Run("rule_710", start, end, as_of, table)
+    with runlog.logged(spark, run, log_path) as audit:
+        week = rule_710.prepare_week(inputs, start, end, audit)
+        cancels = rule_710.rule_710_cancels(inputs, start, end, p, week, audit)
+        exempt = rule_710.rule_710_exempt(inputs, start, end, p, week)
+        if staging:
+            exempt, cancels = sinks.publish(exempt, STAGE_710_EXEMPT), sinks.publish(cancels, STAGE_710_CANCELS)
+        feed = rule_710.rule_710(cancels, exempt, as_of, p, audit)
+        return _publish(run, feed, schemas.feed_schema(P.FEED_710_COLUMNS), history)
 
 
 @scoped
-def run_combine(spark: SparkSession, rules: str = "702,710",
-                table: str = combine.COMBINED_TABLE, log_path: str | None = None) -> str:
-    """Combine the rule tables that exist; returns the status message."""
-    began = _now()
-    result = combine.combine_tables(spark, rules)
-    _finish(spark, result.frame, table, "combine", None, None, _today(spark), log_path, began, result.rows_in)
+def run_combine(spark: SparkSession, rules: str = "702,710", table: str = combine.COMBINED_TABLE,
+                log_path: str | None = None, as_of: dt.date | None = None,
+                tables: dict[str, str] | None = None) -> str:
+    """Combine the rules' feeds; returns the status message.
+
+    With a run log, the feeds must be whole and of the newest, successful runs, those of the weekly rules of the week before
+    `as_of`; `StaleFeeds` is raised otherwise and the combined table stays as it was.
+    """
+    as_of = as_of or _today(spark)
+    run = runlog.Run("combine", None, None, as_of, table)
+    with runlog.logged(spark, run, log_path) as audit:
+        known = runlog.read_log(spark, log_path) if log_path else None
+        weekly = {rule: previous_week(as_of) for rule in WEEKLY_RULES}
+        result = combine.combine_tables(spark, rules, tables=tables, log=known, windows=weekly, audit=audit)
+        sinks.publish(audit.written(result.frame, run.amount if run.amount in result.frame.columns else None), table)
     return result.status(table)
 
 
@@ -139,6 +150,7 @@ def main(argv=None) -> None:
     ap.add_argument("--rules", default="702,710")
     ap.add_argument("--run-log")
     ap.add_argument("--staging", action="store_true", help="also write the rules' staging tables")
+    ap.add_argument("--history", action="store_true", help="also keep every window's feed, in <table>_HISTORY")
     args = ap.parse_args(argv)
     if args.job.startswith("rule_706") and (args.start is None or args.end is None):
         ap.error(f"{args.job} needs --start and --end")
@@ -148,16 +160,16 @@ def main(argv=None) -> None:
         ap.error(f"{args.job} needs --inputs-root or --catalog-map")
     spark = tune(SparkSession.builder.getOrCreate())
     if args.job == "combine":
-        print(run_combine(spark, args.rules, log_path=args.run_log))
+        print(run_combine(spark, args.rules, log_path=args.run_log, as_of=args.as_of))
     elif args.job == "rule_706":
         run_rule_706(spark, reviewer_flags(spark, args.flags, args.flags_format), args.start, args.end, args.as_of,
-                     log_path=args.run_log)
+                     log_path=args.run_log, history=args.history)
     elif args.job == "rule_706_input":
         run_rule_706_input(spark, _inputs(spark, args), args.start, args.end, log_path=args.run_log)
     elif args.job == "rule_702":
-        run_rule_702(spark, _inputs(spark, args), args.as_of, log_path=args.run_log, staging=args.staging)
+        run_rule_702(spark, _inputs(spark, args), args.as_of, log_path=args.run_log, staging=args.staging, history=args.history)
     else:
-        run_rule_710(spark, _inputs(spark, args), args.as_of, log_path=args.run_log, staging=args.staging)
+        run_rule_710(spark, _inputs(spark, args), args.as_of, log_path=args.run_log, staging=args.staging, history=args.history)
 
 
 if __name__ == "__main__":

@@ -109,11 +109,14 @@ def dup_suffix(spark, sf_dir) -> DataFrame:
 
 
 def aligned_union_q(spark, sf_dir) -> DataFrame:
-    """P5/U1: union over the sorted column superset; duplicates removed across inputs."""
-    a = _t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("NATIONKEY"),
-                                             F.col("c_mktsegment").alias("SEGMENT"))
+    """P5/U1: union over the sorted column superset, each column in the type that holds both sides exactly;
+    duplicates removed across inputs. ID is text with leading zeros on one side and a number on the other."""
+    a = _t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("NATIONKEY"), F.col("c_mktsegment").alias("SEGMENT"),
+                                             F.lpad((F.col("c_custkey") % 100).cast("string"), 3, "0").alias("ID"),
+                                             F.col("c_acctbal").cast("decimal(12,2)").alias("AMOUNT"))
     b = _t(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 3).cast("string").alias("BUCKET"),
-                                             F.col("s_nationkey").alias("NATIONKEY"))
+                                             F.col("s_nationkey").alias("NATIONKEY"), F.col("s_suppkey").alias("ID"),
+                                             (F.col("s_suppkey") % 5).cast("int").alias("AMOUNT"))
     return aligned_union([a, b])
 
 

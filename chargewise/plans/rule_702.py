@@ -17,6 +17,7 @@ from chargewise import params as P
 from chargewise import schemas
 from chargewise.functions import dates, money, text
 from chargewise.operators import joins, predicates as pred
+from chargewise.operators.audit import NO_AUDIT, Audit
 from chargewise.operators.working_set import materialize
 
 AUDIT_COLUMNS = (
@@ -27,15 +28,14 @@ AUDIT_COLUMNS = (
 
 
 def expedited_audit(inputs, start: dt.date, end: dt.date,
-                    p: P.Rule702Params = P.Rule702Params()) -> DataFrame:
+                    p: P.Rule702Params = P.Rule702Params(), audit: Audit = NO_AUDIT) -> DataFrame:
     """Distinct ground-ordered shipments in the window with a non-ground invoice."""
     # The window's freight rows are a small slice of the freight history; written
     # first, their real size decides between broadcasting them against the line
     # and invoice histories and a shuffled join (with bloom-filtered history scans).
     # A parcel without a tracking number has no invoice, so nothing can charge it.
-    freight = materialize(inputs["fsc"]
-                          .filter(F.col("po").isNotNull() & F.col("trk").isNotNull()
-                                  & dates.within(F.col("order_date"), start, end))
+    window = audit.read(inputs["fsc"].filter(dates.within(F.col("order_date"), start, end)))
+    freight = materialize(audit.exclude(window, F.col("po").isNotNull() & F.col("trk").isNotNull(), "no PO or tracking number")
                           .select("po", "order_no", "order_date", "line_key", "scac", "trk", "trans_amt"))
     # Left join + a filter on the line's service code = inner join.
     # Line and invoice histories cut to the window's keys by semi joins (no history
@@ -51,9 +51,9 @@ def expedited_audit(inputs, start: dt.date, end: dt.date,
     joined = (freight
               .join(ground_lines, F.col("line_key") == F.col("ol_line_key"), "inner")
               .join(fdx, F.col("trk") == F.col("fdx_trk"), "left")
-              .join(ups, F.col("trk") == F.col("ups_trk"), "left")
-              .filter(pred.outside_either(F.col("svc"), p.fedex_ground_types,
-                                          F.col("zone"), p.ups_ground_zones)))
+              .join(ups, F.col("trk") == F.col("ups_trk"), "left"))
+    joined = audit.exclude(joined, pred.outside_either(F.col("svc"), p.fedex_ground_types, F.col("zone"), p.ups_ground_zones),
+                           "no invoice above ground")
     return joined.select(
         F.col("po").alias("PO_NUMBER"), F.col("order_no").alias("ORDER_NO"),
         F.col("order_date").alias("ORDER_DATE"), F.col("line_scac").alias("OMS_ORDER_LINE_SCAC"),
@@ -65,16 +65,15 @@ def expedited_audit(inputs, start: dt.date, end: dt.date,
     ).distinct()
 
 
-def feed_from_audit(audit: DataFrame, as_of: dt.date | None,
-                    p: P.Rule702Params = P.Rule702Params()) -> DataFrame:
+def feed_from_audit(rows: DataFrame, as_of: dt.date | None,
+                    p: P.Rule702Params = P.Rule702Params(), audit: Audit = NO_AUDIT) -> DataFrame:
     """Charge the audit rows: excluded nodes and zero (or NULL) amounts drop out.
 
     The 8 feed columns are taken without a second DISTINCT, so two audit rows
     that differ only in dropped columns give two equal feed rows.
     """
-    kept = (audit
-            .filter(pred.text_not_in_dropping_null(F.col("SHIPMENT_SHIP_NODE"), p.excluded_ship_nodes))
-            .filter(pred.differs_dropping_null(F.col("CHARGEBACK_AMOUNT"), 0)))
+    kept = audit.exclude(rows, pred.text_not_in_dropping_null(F.col("SHIPMENT_SHIP_NODE"), p.excluded_ship_nodes), "ship node")
+    kept = audit.exclude(kept, pred.differs_dropping_null(F.col("CHARGEBACK_AMOUNT"), 0), "no amount")
     feed = kept.select(
         dates.audit_stamp(as_of).alias("AUDIT_TIMESTAMP"),
         F.col("PO_NUMBER"),
@@ -89,5 +88,5 @@ def feed_from_audit(audit: DataFrame, as_of: dt.date | None,
 
 
 def rule_702(inputs, start: dt.date, end: dt.date, as_of: dt.date | None,
-             p: P.Rule702Params = P.Rule702Params()) -> DataFrame:
-    return feed_from_audit(expedited_audit(inputs, start, end, p), as_of, p)
+             p: P.Rule702Params = P.Rule702Params(), audit: Audit = NO_AUDIT) -> DataFrame:
+    return feed_from_audit(expedited_audit(inputs, start, end, p, audit), as_of, p, audit)

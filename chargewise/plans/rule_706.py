@@ -19,10 +19,11 @@ from chargewise import params as P
 from chargewise import schemas
 from chargewise.functions import dates, money, text
 from chargewise.operators import joins
+from chargewise.operators.audit import NO_AUDIT, Audit
 from chargewise.operators.working_set import materialize
 
 
-def bol_input(inputs, start: dt.date, end: dt.date) -> DataFrame:
+def bol_input(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT) -> DataFrame:
     """Per PRO number: header attributes (MAX) and charge sums over header x charge rows.
 
     The source joins headers to charges many-to-many and sums over the joined
@@ -31,8 +32,7 @@ def bol_input(inputs, start: dt.date, end: dt.date) -> DataFrame:
     each side first and multiplying by the header count gives the same
     numbers without building the product.
     """
-    headers = materialize(inputs["ltl"]
-                          .filter(dates.within(F.col("pickup_date"), start, end))
+    headers = materialize(audit.read(inputs["ltl"].filter(dates.within(F.col("pickup_date"), start, end)))
                           .groupBy("pro_no")
                           .agg(F.count(F.lit(1)).alias("n_head"),
                                F.max("ltl_po_no").alias("po_max"),
@@ -59,11 +59,11 @@ def bol_input(inputs, start: dt.date, end: dt.date) -> DataFrame:
     return schemas.conform(out, schemas.BOL_INPUT)
 
 
-def rule_706(flags: DataFrame, start: dt.date, end: dt.date, as_of: dt.date | None) -> DataFrame:
+def rule_706(flags: DataFrame, start: dt.date, end: dt.date, as_of: dt.date | None,
+             audit: Audit = NO_AUDIT) -> DataFrame:
     """Charge every flagged row picked up in the window."""
-    rows = (flags
-            .filter(dates.within(F.col("PICKUP_DATE"), start, end))
-            .filter(F.col("VIOLATE_FLAG") == F.lit(P.VIOLATE)))
+    window = audit.read(flags.filter(dates.within(F.col("PICKUP_DATE"), start, end)))
+    rows = audit.exclude(window, F.col("VIOLATE_FLAG") == F.lit(P.VIOLATE), "not flagged")
     feed = rows.select(
         F.lit(P.SITE).alias("SITE"),
         dates.audit_stamp(as_of).alias("AUDIT_TIMESTAMP"),

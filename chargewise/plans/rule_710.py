@@ -29,6 +29,7 @@ from chargewise import params as P
 from chargewise import schemas
 from chargewise.functions import dates, money, text
 from chargewise.operators import joins, predicates as pred
+from chargewise.operators.audit import NO_AUDIT, Audit
 from chargewise.operators.ranking import latest_with_total, top_ties
 from chargewise.operators.working_set import materialize
 
@@ -56,11 +57,10 @@ TOP_STATUS_COLUMNS = {
 # Shared sub-results
 # ---------------------------------------------------------------------------
 
-def lines_active_in(inputs, start: dt.date, end: dt.date) -> DataFrame:
+def lines_active_in(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT) -> DataFrame:
     """Line keys with at least one release-status row dated in the window."""
-    return (inputs["rel_status"]
-            .filter(dates.ts_within(F.col("status_ts"), start, end))
-            .select("line_key").distinct())
+    window = audit.read(inputs["rel_status"].filter(dates.ts_within(F.col("status_ts"), start, end)))
+    return window.select("line_key").distinct()
 
 
 def with_line_and_order(inputs, status_rows: DataFrame, how: str = "inner",
@@ -143,7 +143,7 @@ class Week:
         return self._lines
 
 
-def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
+def prepare_week(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT) -> Week:
     """Cut the status, line and order histories to the window's lines, then rank.
 
     Every history table is met through a semi join against a written key set
@@ -151,7 +151,7 @@ def prepare_week(inputs, start: dt.date, end: dt.date) -> Week:
     joins after that run on the written slices, whose real sizes the planner
     sees.
     """
-    keys = materialize(lines_active_in(inputs, start, end))
+    keys = materialize(lines_active_in(inputs, start, end, audit))
     # `keys` is a distinct set already. The status and line slices are independent
     # jobs; submitting them together lets both history scans run at once.
     write = inheritable_thread_target(keys.sparkSession)(materialize)     # threads keep the job group
@@ -273,7 +273,8 @@ def rule_710_exempt(inputs, start: dt.date, end: dt.date,
 
 
 def rule_710_cancels(inputs, start: dt.date, end: dt.date,
-                     p: P.Rule710Params = P.Rule710Params(), week: Week | None = None) -> DataFrame:
+                     p: P.Rule710Params = P.Rule710Params(), week: Week | None = None,
+                     audit: Audit = NO_AUDIT) -> DataFrame:
     """Cancelled in-window PO lines with demand, audit, cancel and cost columns,
     distinct over all 18 columns (the unit price takes part in the distinct).
 
@@ -282,10 +283,10 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
     """
     week = week or prepare_week(inputs, start, end)
     # The category filter is on the line, so it commutes with the inner joins of `lines()`.
-    frame = (week.lines()
-             .filter(F.col("status") == P.STATUS_CANCELLED)
-             .filter(pred.not_in_dropping_null(F.col("cat"), p.excluded_categories)))
-    nodes = (joins.exists_in(inputs["ship_node"], frame, "ship_node")
+    cancelled = week.lines().filter(F.col("status") == P.STATUS_CANCELLED)
+    kept = pred.not_in_dropping_null(F.col("cat"), p.excluded_categories)
+    frame = audit.exclude(cancelled, kept, "category")
+    nodes = (joins.exists_in(inputs["ship_node"], cancelled.filter(kept), "ship_node")
              .select(F.col("ship_node").alias("_sn"), "node_desc"))
     audits = (joins.exists_in(inputs["audit"].filter(F.col("code").isNotNull()), week.lines(), "order_key", "_o_key",
                               written=week.materialized)
@@ -322,14 +323,15 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
 
 
 def rule_710(cancels: DataFrame, exempt: DataFrame, as_of: dt.date | None,
-             p: P.Rule710Params = P.Rule710Params()) -> DataFrame:
+             p: P.Rule710Params = P.Rule710Params(), audit: Audit = NO_AUDIT) -> DataFrame:
     """Charge 3 % of item cost per PO and comment, after the exclusions."""
     exempt_pos = exempt.filter(F.col("DSV_EXCEPTION") == F.lit("Y")).select("PO_ORDER_NO")
-    rows = cancels.filter(pred.differs_dropping_null(F.col("OMS_ORDER_CANCEL_RESN_CODE"), P.REMORSE_CODE))
-    rows = joins.anti_keeping_null(rows, exempt_pos, "PO_ORDER_NO")
-    rows = (rows
-            .filter(pred.not_in_keeping_null(F.col("OMS_ORDER_AUDIT_RESN_CODE"), p.audit_exclude_reasons))
-            .filter(pred.not_in_keeping_null(F.col("OMS_ORDER_CANCEL_RESN_NOTE"), p.cancel_note_exclude_reasons)))
+    rows = audit.exclude(cancels, pred.differs_dropping_null(F.col("OMS_ORDER_CANCEL_RESN_CODE"), P.REMORSE_CODE),
+                         "remorse or no cancel code")
+    rows = audit.without(rows, lambda r: joins.anti_keeping_null(r, exempt_pos, "PO_ORDER_NO"), "exempt PO")
+    rows = audit.exclude(rows, pred.not_in_keeping_null(F.col("OMS_ORDER_AUDIT_RESN_CODE"), p.audit_exclude_reasons), "audit reason")
+    rows = audit.exclude(rows, pred.not_in_keeping_null(F.col("OMS_ORDER_CANCEL_RESN_NOTE"), p.cancel_note_exclude_reasons),
+                         "cancel note")
     base = rows.select(
         F.col("PO_ORDER_NO").alias("PO_NUMBER"),
         text.comment_710(F.col("ORDER_DATE"), F.col("STATUS_DATE")).alias("AUDIT_COMMENTS"),
@@ -350,8 +352,8 @@ def rule_710(cancels: DataFrame, exempt: DataFrame, as_of: dt.date | None,
 
 
 def run_rule_710(inputs, start: dt.date, end: dt.date, as_of: dt.date | None,
-                 p: P.Rule710Params = P.Rule710Params()) -> DataFrame:
+                 p: P.Rule710Params = P.Rule710Params(), audit: Audit = NO_AUDIT) -> DataFrame:
     """Both staging results over one shared working set, then the feed."""
-    week = prepare_week(inputs, start, end)
-    return rule_710(rule_710_cancels(inputs, start, end, p, week),
-                    rule_710_exempt(inputs, start, end, p, week), as_of, p)
+    week = prepare_week(inputs, start, end, audit)
+    return rule_710(rule_710_cancels(inputs, start, end, p, week, audit),
+                    rule_710_exempt(inputs, start, end, p, week), as_of, p, audit)

@@ -447,8 +447,51 @@ FROM (
   SELECT 'rule_706_input', CAST(m AS DATE), last_day(m), last_day(m) + 2, CAST(last_day(m) + 2 AS TIMESTAMP) + INTERVAL 5 HOUR,
          count(*), (SELECT count(*) FROM bol_input WHERE date_trunc('month', PICKUP_DATE) = m), NULL
   FROM ltl, LATERAL (SELECT date_trunc('month', pickup_date) AS m) WHERE pickup_date {WIN} GROUP BY m
+  UNION ALL
+  SELECT 'rule_702', {D0}, {D1}, DATE '1999-01-04', TIMESTAMP '1999-01-04 07:00:00',
+         (SELECT count(*) FROM fsc WHERE order_date {WIN}), count(*), sum(CAST(CHARGEBACK_AMOUNT AS DECIMAL(38,6))) FROM feed702
+  UNION ALL
+  SELECT 'rule_710', {D0}, {D1}, DATE '1999-01-04', TIMESTAMP '1999-01-04 08:00:00',
+         (SELECT count(*) FROM rel_status WHERE CAST(status_ts AS DATE) {WIN}), count(*), sum(CAST(CHARGEBACK_AMOUNT AS DECIMAL(38,6))) FROM feed710
+  UNION ALL
+  SELECT 'combine', {D0}, {D1}, DATE '1999-01-04', TIMESTAMP '1999-01-04 09:00:00',
+         (SELECT count(*) FROM feed702) + (SELECT count(*) FROM feed706) + (SELECT count(*) FROM feed710),
+         count(*), sum(CAST(CHARGEBACK_AMOUNT AS DECIMAL(38,6))) FROM combined
 ) runs
 QUALIFY row_number() OVER (PARTITION BY JOB ORDER BY STARTED_AT DESC) <= 5""",
+    "run_log_drops": f"""
+WITH parcels AS (
+  SELECT svc, zone FROM fsc INNER JOIN oms_line USING (line_key)
+  LEFT JOIN (SELECT DISTINCT trk, svc FROM fdx) a ON a.trk = fsc.trk LEFT JOIN (SELECT DISTINCT trk, zone FROM ups) b ON b.trk = fsc.trk
+  WHERE order_date {WIN} AND po IS NOT NULL AND fsc.trk IS NOT NULL AND carrier_service IN ({SERVICES})
+), judged AS (
+  SELECT CASE WHEN OMS_ORDER_CANCEL_RESN_CODE IS NULL OR OMS_ORDER_CANCEL_RESN_CODE = 'REMORSE' THEN 'remorse or no cancel code'
+              WHEN PO_ORDER_NO IN (SELECT PO_ORDER_NO FROM exempt WHERE DSV_EXCEPTION = 'Y' AND PO_ORDER_NO IS NOT NULL) THEN 'exempt PO'
+              WHEN OMS_ORDER_AUDIT_RESN_CODE IN ({AUDIT_OUT}) THEN 'audit reason'
+              WHEN OMS_ORDER_CANCEL_RESN_NOTE IN ({CNOTE_OUT}) THEN 'cancel note' ELSE 'charged' END AS fate
+  FROM cancels
+)
+SELECT 'rule_702' AS JOB, 'no PO or tracking number' AS EXCLUSION, count(*) AS ROWS_DROPPED
+FROM fsc WHERE order_date {WIN} AND (po IS NULL OR trk IS NULL)
+UNION ALL
+SELECT 'rule_702', 'no invoice above ground', count(*) FROM parcels
+WHERE (svc IS NULL OR svc IN ({FDX_GROUND})) AND (zone IS NULL OR zone IN ({UPS_GROUND}))
+UNION ALL
+SELECT 'rule_702', 'ship node', count(*) FROM audit702 WHERE SHIPMENT_SHIP_NODE IS NULL OR SHIPMENT_SHIP_NODE IN ({NODES_OUT})
+UNION ALL
+SELECT 'rule_702', 'no amount', count(*) FROM audit702
+WHERE SHIPMENT_SHIP_NODE NOT IN ({NODES_OUT}) AND coalesce(CHARGEBACK_AMOUNT, 0) = 0
+UNION ALL
+SELECT 'rule_706', 'not flagged', count(*) FROM flags WHERE PICKUP_DATE {WIN} AND VIOLATE_FLAG IS DISTINCT FROM 'Y'
+UNION ALL
+SELECT 'rule_710', 'category', count(*) FROM week_lines WHERE status = '9000' AND (cat IS NULL OR cat IN ({CATS_OUT}))
+UNION ALL
+SELECT 'rule_710', step, count(fate)
+FROM (VALUES ('remorse or no cancel code'), ('exempt PO'), ('audit reason'), ('cancel note')) t(step) LEFT JOIN judged ON fate = step
+GROUP BY step
+UNION ALL
+SELECT 'combine', 'repeated row', (SELECT count(*) FROM feed702) + (SELECT count(*) FROM feed706) + (SELECT count(*) FROM feed710)
+       - (SELECT count(*) FROM combined_union)""",
     "op_not_in_or": """
 SELECT l_returnflag, count(*) AS n_rows
 FROM lineitem
@@ -501,9 +544,11 @@ SELECT CASE WHEN row_number() OVER (PARTITION BY ROW_ID ORDER BY o_orderstatus A
 FROM (SELECT CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS ROW_ID,
              o_orderstatus, o_orderpriority, o_orderkey % 3 AS bucket FROM orders) r""",
     "op_aligned_union": """
-SELECT CAST(NULL AS VARCHAR) AS BUCKET, c_nationkey AS NATIONKEY, c_mktsegment AS SEGMENT FROM customer
+SELECT CAST(c_acctbal AS DECIMAL(12,2)) AS AMOUNT, CAST(NULL AS VARCHAR) AS BUCKET, lpad(CAST(c_custkey % 100 AS VARCHAR), 3, '0') AS ID,
+       c_nationkey AS NATIONKEY, c_mktsegment AS SEGMENT FROM customer
 UNION
-SELECT CAST(s_suppkey % 3 AS VARCHAR), s_nationkey, CAST(NULL AS VARCHAR) FROM supplier""",
+SELECT CAST(s_suppkey % 5 AS DECIMAL(12,2)), CAST(s_suppkey % 3 AS VARCHAR), CAST(s_suppkey AS VARCHAR), s_nationkey, CAST(NULL AS VARCHAR)
+FROM supplier""",
     "op_case_flag": """
 SELECT p_partkey,
        CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'Y'

@@ -11,6 +11,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,38 +58,44 @@ def _months() -> list[tuple[dt.date, dt.date]]:
     return [(d, (d.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)) for d in firsts]
 
 
-def _runs(inputs):
-    """The year's runs of all five jobs, the 706 jobs month by month: (run, its output)."""
-    def run(job, first, last, run_date, hour, amount="CHARGEBACK_AMOUNT"):
-        return runlog.Run(job, first, last, run_date, amount=amount, started_at=dt.datetime.combine(run_date, dt.time(hour)))
+def _run(job, first, last, run_date, hour, amount="CHARGEBACK_AMOUNT"):
+    return runlog.Run(job, first, last, run_date, amount=amount, started_at=dt.datetime.combine(run_date, dt.time(hour)))
 
-    for first, last in _months():
+
+def _runs_706(inputs, windows):
+    """Runs of both 706 jobs: (run, its output)."""
+    for first, last in windows:
         run_date = last + dt.timedelta(days=2)
-        yield (r := run("rule_706_input", first, last, run_date, 5, None)), rule_706.bol_input(inputs, first, last, r.audit)
-        yield (r := run("rule_706", first, last, run_date, 6)), rule_706.rule_706(inputs["flags"], first, last, run_date, r.audit)
-    yield (r := run("rule_702", START, END, TEST_AS_OF, 7)), rule_702.rule_702(inputs, START, END, TEST_AS_OF, TP.rule_702, r.audit)
-    yield (r := run("rule_710", START, END, TEST_AS_OF, 8)), rule_710.run_rule_710(inputs, START, END, TEST_AS_OF, TP.rule_710, r.audit)
+        yield (r := _run("rule_706_input", first, last, run_date, 5, None)), rule_706.bol_input(inputs, first, last, r.audit)
+        yield (r := _run("rule_706", first, last, run_date, 6)), rule_706.rule_706(inputs["flags"], first, last, run_date, r.audit)
+
+
+def _runs_of_the_year(inputs):
+    """One run of each of the other jobs."""
+    yield (r := _run("rule_702", START, END, TEST_AS_OF, 7)), rule_702.rule_702(inputs, START, END, TEST_AS_OF, TP.rule_702, r.audit)
+    yield (r := _run("rule_710", START, END, TEST_AS_OF, 8)), rule_710.run_rule_710(inputs, START, END, TEST_AS_OF, TP.rule_710, r.audit)
     feeds = {"702": feed_702(inputs), "706": feed_706(inputs), "710": feed_710(inputs)}
-    yield (r := run("combine", START, END, TEST_AS_OF, 9)), combine.combine_frames(feeds, "702,706,710", r.audit).frame
+    yield (r := _run("combine", START, END, TEST_AS_OF, 9)), combine.combine_frames(feeds, "702,706,710", r.audit).frame
 
 
-def _logged(inputs) -> DataFrame:
-    """The run log of `_runs`: each output is computed once, and its row holds what was observed on the way."""
+def _logged(inputs, windows_706) -> DataFrame:
+    """The run log of all five jobs: each output is computed once, and its row holds what was observed on the way."""
     spark = inputs["flags"].sparkSession
     rows = []
-    for run, out in _runs(inputs):
+    for run, out in chain(_runs_706(inputs, windows_706), _runs_of_the_year(inputs)):
         run.audit.written(out, run.amount).write.format("noop").mode("overwrite").save()
         rows.append(run.row(spark))
     return reduce(DataFrame.unionByName, rows)
 
 
 def _run_log(inputs) -> DataFrame:
-    return runlog.latest_runs(_logged(inputs), 5).select(*runlog.REPORT_COLUMNS)
+    """Each job's newest five runs, the 706 jobs run month by month."""
+    return runlog.latest_runs(_logged(inputs, _months()), 5).select(*runlog.REPORT_COLUMNS)
 
 
 def _run_drops(inputs) -> DataFrame:
     """Rows that each exclusion took away, per job over the year."""
-    drops = _logged(inputs).select("JOB", F.explode("DROPPED").alias("EXCLUSION", "ROWS"))
+    drops = _logged(inputs, [(START, END)]).select("JOB", F.explode("DROPPED").alias("EXCLUSION", "ROWS"))
     return drops.groupBy("JOB", "EXCLUSION").agg(F.sum("ROWS").alias("ROWS_DROPPED"))
 
 

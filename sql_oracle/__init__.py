@@ -413,6 +413,18 @@ FULL_LISTS: dict[str, str] = {
 CTES["combined_two_union"] = _aligned("feed702", _F702) + "\nUNION\n" + _aligned("feed706", _F706)
 CTES["combined_two"] = CTES["combined"].replace("combined_union", "combined_two_union")
 
+# What the run log says was dropped: parcels before their invoices are judged, candidates by the first exclusion met.
+CTES["parcels702"] = f"""
+  SELECT svc, zone FROM fsc INNER JOIN oms_line USING (line_key)
+  LEFT JOIN (SELECT DISTINCT trk, svc FROM fdx) a ON a.trk = fsc.trk LEFT JOIN (SELECT DISTINCT trk, zone FROM ups) b ON b.trk = fsc.trk
+  WHERE order_date {WIN} AND po IS NOT NULL AND fsc.trk IS NOT NULL AND carrier_service IN ({SERVICES})"""
+CTES["judged710"] = f"""
+  SELECT CASE WHEN OMS_ORDER_CANCEL_RESN_CODE IS NULL OR OMS_ORDER_CANCEL_RESN_CODE = 'REMORSE' THEN 'remorse or no cancel code'
+              WHEN PO_ORDER_NO IN (SELECT PO_ORDER_NO FROM exempt WHERE DSV_EXCEPTION = 'Y' AND PO_ORDER_NO IS NOT NULL) THEN 'exempt PO'
+              WHEN OMS_ORDER_AUDIT_RESN_CODE IN ({AUDIT_OUT}) THEN 'audit reason'
+              WHEN OMS_ORDER_CANCEL_RESN_NOTE IN ({CNOTE_OUT}) THEN 'cancel note' ELSE 'charged' END AS fate
+  FROM cancels"""
+
 # --- final queries ------------------------------------------------------------
 FINAL: dict[str, str] = {
     "rule_702": "SELECT * FROM feed702",
@@ -460,21 +472,10 @@ FROM (
 ) runs
 QUALIFY row_number() OVER (PARTITION BY JOB ORDER BY STARTED_AT DESC) <= 5""",
     "run_log_drops": f"""
-WITH parcels AS (
-  SELECT svc, zone FROM fsc INNER JOIN oms_line USING (line_key)
-  LEFT JOIN (SELECT DISTINCT trk, svc FROM fdx) a ON a.trk = fsc.trk LEFT JOIN (SELECT DISTINCT trk, zone FROM ups) b ON b.trk = fsc.trk
-  WHERE order_date {WIN} AND po IS NOT NULL AND fsc.trk IS NOT NULL AND carrier_service IN ({SERVICES})
-), judged AS (
-  SELECT CASE WHEN OMS_ORDER_CANCEL_RESN_CODE IS NULL OR OMS_ORDER_CANCEL_RESN_CODE = 'REMORSE' THEN 'remorse or no cancel code'
-              WHEN PO_ORDER_NO IN (SELECT PO_ORDER_NO FROM exempt WHERE DSV_EXCEPTION = 'Y' AND PO_ORDER_NO IS NOT NULL) THEN 'exempt PO'
-              WHEN OMS_ORDER_AUDIT_RESN_CODE IN ({AUDIT_OUT}) THEN 'audit reason'
-              WHEN OMS_ORDER_CANCEL_RESN_NOTE IN ({CNOTE_OUT}) THEN 'cancel note' ELSE 'charged' END AS fate
-  FROM cancels
-)
 SELECT 'rule_702' AS JOB, 'no PO or tracking number' AS EXCLUSION, count(*) AS ROWS_DROPPED
 FROM fsc WHERE order_date {WIN} AND (po IS NULL OR trk IS NULL)
 UNION ALL
-SELECT 'rule_702', 'no invoice above ground', count(*) FROM parcels
+SELECT 'rule_702', 'no invoice above ground', count(*) FROM parcels702
 WHERE (svc IS NULL OR svc IN ({FDX_GROUND})) AND (zone IS NULL OR zone IN ({UPS_GROUND}))
 UNION ALL
 SELECT 'rule_702', 'ship node', count(*) FROM audit702 WHERE SHIPMENT_SHIP_NODE IS NULL OR SHIPMENT_SHIP_NODE IN ({NODES_OUT})
@@ -487,7 +488,7 @@ UNION ALL
 SELECT 'rule_710', 'category', count(*) FROM week_lines WHERE status = '9000' AND (cat IS NULL OR cat IN ({CATS_OUT}))
 UNION ALL
 SELECT 'rule_710', step, count(fate)
-FROM (VALUES ('remorse or no cancel code'), ('exempt PO'), ('audit reason'), ('cancel note')) t(step) LEFT JOIN judged ON fate = step
+FROM (VALUES ('remorse or no cancel code'), ('exempt PO'), ('audit reason'), ('cancel note')) t(step) LEFT JOIN judged710 ON fate = step
 GROUP BY step
 UNION ALL
 SELECT 'combine', 'repeated row', (SELECT count(*) FROM feed702) + (SELECT count(*) FROM feed706) + (SELECT count(*) FROM feed710)

@@ -16,15 +16,18 @@ from itertools import chain
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chargewise.functions import dates
+from chargewise.operators.working_set import materialize, remove
 from chargewise.params import TestDataParams
-from chargewise.operators.working_set import remove
-from chargewise.plans import combine, families, rule_702, rule_706, rule_710, runlog
+from chargewise.plans import combine, families, rule_702, rule_706, rule_710, runlog, top_state
 from chargewise.session import ensure_checkpoint_dir, tune
 from chargewise.sources import sinks
+from chargewise.sources.inputs import reviewer_file
 from chargewise.sources.tpch import TEST_AS_OF, TEST_WINDOW, full_list_inputs, staged_tpch_inputs
 
 TP = TestDataParams()
 START, END = TEST_WINDOW
+START_STATE = dt.date(1998, 6, 6)      # the top-status state of the weekly query begins with the rows up to here
 
 
 def inputs_for(spark: SparkSession, sf_dir: str):
@@ -117,11 +120,48 @@ def _combine_tables(inputs) -> DataFrame:
             spark.sql(f"DROP TABLE IF EXISTS {tables[rule]}")
 
 
+def _returned(inputs):
+    """The reviewers' file as CSV, with faults planted in some lines: read back and checked against what was sent."""
+    spark, trk = inputs["flags"].sparkSession, F.col("TRACKING_NUMBER")
+    text = inputs["flags"].select(*[F.col(c).cast("string").alias(c) for c in inputs["flags"].columns])
+    total = F.col("TOTAL_CHARGE_AMT")
+    faulty = text.withColumns({
+        "TOTAL_CHARGE_AMT": F.when(trk.like("%7-2"), F.lit("n/a")).when(trk.like("%9-2"), F.lit("1.005"))
+                             .when(trk.like("%8-1"), (total.cast("decimal(18,2)") + 1).cast("string")).otherwise(total),
+        "PICKUP_DATE": F.when(trk.like("%3-1"), F.lit("1998-02-30")).otherwise(F.col("PICKUP_DATE")),
+        "TRACKING_NUMBER": F.when(trk.like("%5-1"), F.concat(trk, F.lit("-x"))).otherwise(trk)})
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-work/returned-{uuid.uuid4().hex}"
+    faulty.write.option("header", "true").csv(path)
+    return reviewer_file(spark, path, rule_706.bol_input(inputs, START, END))
+
+
+def _rejects(inputs) -> DataFrame:
+    return _returned(inputs).rejects.select(F.split("RECORD", ",")[0].alias("TRACKING_NUMBER"), "REASON")
+
+
+def _weekly_top(inputs) -> DataFrame:
+    """Top status from a state that starts with the first years and is merged with three weeks and the rest."""
+    history = inputs["rel_status"]
+    state = materialize(top_state.competing(top_state.until(history, START_STATE)))
+    first = START_STATE
+    for last in (*(START_STATE + dt.timedelta(days=7 * i) for i in (1, 2, 3)), dt.date(9999, 12, 30)):
+        window = history.filter(dates.ts_within(F.col("status_ts"), first + dt.timedelta(days=1), last))
+        state, first = materialize(top_state.merged(state, window, top_state.until(history, last))), last
+    return rule_710.report(rule_710.top_status_of(inputs, state))
+
+
+def _without_ids(inputs) -> DataFrame:
+    """W4: feeds without an id column; the rows are numbered."""
+    feeds = {"702": feed_702(inputs).drop("PO_NUMBER"), "710": feed_710(inputs).drop("PO_NUMBER")}
+    return combine.combine_frames(feeds, "702,710").frame
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_702": _q(feed_702),
     "rule_706_input": _q(lambda i: rule_706.bol_input(i, START, END)),
     "rule_706": _q(feed_706),
     "top_status": _q(rule_710.top_status_report),
+    "top_status_weekly": _q(_weekly_top),
     "latest_cancel": _q(lambda i: rule_710.latest_cancel(i).withColumn(
         "OMS_ORDER_CANCEL_QTY", F.col("OMS_ORDER_CANCEL_QTY").cast("decimal(18,2)"))),
     "unit_cost": _q(rule_710.unit_cost),
@@ -130,6 +170,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_710": _q(feed_710),
     "combine": _q(combined),
     "combine_tables": _q(_combine_tables),
+    "combine_without_ids": _q(_without_ids),
+    "rule_706_returned": _q(lambda i: rule_706.rule_706(_returned(i).flags, START, END, TEST_AS_OF)),
+    "rule_706_rejects": _q(_rejects),
     "rule_702_full_lists": _q(lambda i: rule_702.rule_702(full_list_inputs(i), START, END, TEST_AS_OF)),
     "rule_710_full_lists": _q(lambda i: rule_710.run_rule_710(full_list_inputs(i), START, END, TEST_AS_OF)),
     "run_log_top5": _q(_run_log),
@@ -142,6 +185,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op_week_window": families.week_window,
     "op_comment_builder": families.comment_builder,
     "op_dup_suffix": families.dup_suffix,
+    "op_row_numbers": families.row_numbers,
     "op_aligned_union": families.aligned_union_q,
     "op_case_flag": families.case_flag,
 }

@@ -21,12 +21,13 @@ from pyspark.sql import types as T
 
 from chargewise import params as P
 from chargewise import schemas
-from chargewise.functions.dates import previous_week
+from chargewise.functions.dates import previous_week, ts_within
 from chargewise.operators.working_set import scoped
-from chargewise.plans import combine, rule_702, rule_706, rule_710, runlog
+from chargewise.plans import combine, rule_702, rule_706, rule_710, runlog, top_state
 from chargewise.session import tune
 from chargewise.sources import sinks
-from chargewise.sources.inputs import Inputs, catalog_inputs, parquet_inputs, reviewer_flags
+from chargewise.sources.inputs import (Inputs, Reviewed, catalog_inputs, optional_table, parquet_inputs, reviewer_file,
+                                       reviewer_flags)
 
 OUT_702 = "DMC702_OUT"
 STAGE_702 = "EXPEDITED_AUDIT"
@@ -34,7 +35,9 @@ STAGE_710_EXEMPT = "CANCELLATION_EXEMPT_QUERY"
 STAGE_710_CANCELS = "CHARGEBACK_CANCELS_QUERY"
 OUT_706_INPUT = "BOL_706_OFFSHORE_INPUT"
 OUT_706 = "BOL_706_FINAL_OUTPUT"
+REJECTS_706 = "BOL_706_REJECTS"
 OUT_710 = "DMC710_OUT"
+TOP_STATE = "OMS_TOP_STATUS_STATE"
 WEEKLY_RULES = ("702", "710")
 
 
@@ -80,11 +83,14 @@ def run_rule_706_input(spark: SparkSession, inputs: Inputs, start: dt.date, end:
 @scoped
 def run_rule_706(spark: SparkSession, flags: DataFrame, start: dt.date, end: dt.date,
                  as_of: dt.date | None = None, table: str = OUT_706,
-                 log_path: str | None = None, history: bool = False) -> DataFrame:
-    """Step 2: charge the rows the reviewers flagged."""
+                 log_path: str | None = None, history: bool = False, rejects: DataFrame | None = None) -> DataFrame:
+    """Step 2: charge the rows the reviewers flagged. `rejects`: lines of their file that can't be used
+    (`sources.inputs.reviewer_file`), published as a table of their own."""
     as_of = as_of or _today(spark)
     run = runlog.Run("rule_706", start, end, as_of, table)
     with runlog.logged(spark, run, log_path) as audit:
+        if rejects is not None:
+            sinks.publish(rejects, REJECTS_706)
         feed = rule_706.rule_706(flags, start, end, as_of, audit)
         audited = audit.written(feed, run.amount)       # a total may be missing (a NULL charge part)
         published = sinks.publish(audited, table, schemas.feed_schema(P.FEED_706_COLUMNS))
@@ -111,6 +117,24 @@ def run_rule_710(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = No
         return _publish(run, feed, schemas.feed_schema(P.FEED_710_COLUMNS), history)
 
 
+@scoped
+def run_top_state(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = None, table: str = TOP_STATE,
+                  log_path: str | None = None) -> DataFrame:
+    """Merge the reporting week's status rows into the top-status state; the first run ranks the whole history up to it."""
+    as_of = as_of or _today(spark)
+    start, end = previous_week(as_of)
+    history = top_state.until(inputs["rel_status"], end)
+    run = runlog.Run("top_state", start, end, as_of, table, amount=None)
+    with runlog.logged(spark, run, log_path) as audit:
+        state = optional_table(spark, table)
+        if state is None:
+            state = top_state.competing(audit.read(history))
+        else:
+            week = audit.read(history.filter(ts_within(F.col("status_ts"), start, end)))
+            state = top_state.merged(state, week, history)
+        return _publish(run, schemas.conform(state, schemas.INPUTS["rel_status"]), schemas.INPUTS["rel_status"])
+
+
 @scoped
 def run_combine(spark: SparkSession, rules: str = "702,710", table: str = combine.COMBINED_TABLE,
                 log_path: str | None = None, as_of: dt.date | None = None,
@@ -139,7 +163,7 @@ def _inputs(spark: SparkSession, args) -> Inputs:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="chargewise.jobs")
-    ap.add_argument("job", choices=["rule_702", "rule_706_input", "rule_706", "rule_710", "combine"])
+    ap.add_argument("job", choices=["rule_702", "rule_706_input", "rule_706", "rule_710", "top_state", "combine"])
     ap.add_argument("--inputs-root", help="folder holding one parquet folder per input relation")
     ap.add_argument("--catalog-map", help="JSON file mapping input relation names to catalog tables")
     ap.add_argument("--flags", help="reviewer flag file for rule 706")
@@ -162,10 +186,16 @@ def main(argv=None) -> None:
     if args.job == "combine":
         print(run_combine(spark, args.rules, log_path=args.run_log, as_of=args.as_of))
     elif args.job == "rule_706":
-        run_rule_706(spark, reviewer_flags(spark, args.flags, args.flags_format), args.start, args.end, args.as_of,
-                     log_path=args.run_log, history=args.history)
+        if args.flags_format == "csv":
+            returned = reviewer_file(spark, args.flags, optional_table(spark, OUT_706_INPUT))
+        else:
+            returned = Reviewed(reviewer_flags(spark, args.flags, args.flags_format), None)
+        run_rule_706(spark, returned.flags, args.start, args.end, args.as_of,
+                     log_path=args.run_log, history=args.history, rejects=returned.rejects)
     elif args.job == "rule_706_input":
         run_rule_706_input(spark, _inputs(spark, args), args.start, args.end, log_path=args.run_log)
+    elif args.job == "top_state":
+        run_top_state(spark, _inputs(spark, args), args.as_of, log_path=args.run_log)
     elif args.job == "rule_702":
         run_rule_702(spark, _inputs(spark, args), args.as_of, log_path=args.run_log, staging=args.staging, history=args.history)
     else:

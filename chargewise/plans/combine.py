@@ -4,7 +4,7 @@ Takes the feeds by rule id, aligns them on the sorted superset of their
 columns (absent columns NULL), unions them (duplicate rows removed when two
 or more feeds are combined) and makes the row id unique by suffixing
 repeats with '_dup'. The row id is ROW_ID if present, else PO_NUMBER, else
-a generated id.
+a number in the order of all columns.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from chargewise.operators.audit import NO_AUDIT, Audit
 from chargewise.operators.dedup import suffix_duplicate_ids
+from chargewise.operators.numbering import number_rows
 from chargewise.operators.union import aligned_union
 from chargewise.plans.runlog import StaleFeeds, stale_feeds
 from chargewise.sources.inputs import optional_table
@@ -63,10 +64,9 @@ def combine_frames(feeds: Mapping[str, DataFrame | None], rules: str | Sequence[
         df = audit.without(df, DataFrame.distinct, "repeated row")
     id_col = next((c for c in ID_CANDIDATES if c in df.columns), None)
     if id_col is None:
-        # Generated ids depend on partition layout; they are pinned by the
-        # written working set below, so a retried task cannot hand out others.
+        # Numbered in the order of all columns: the same rows get the same ids, however they are partitioned.
         id_col = ID_CANDIDATES[0]
-        df = df.withColumn(id_col, F.monotonically_increasing_id().cast("string"))
+        df = number_rows(df, id_col).withColumn(id_col, F.col(id_col).cast("string"))
     # The suffix step reads its input more than once; write the (feed-sized)
     # union once instead of recomputing every rule's feed per read.
     # With two or more feeds the union removed duplicate rows already.

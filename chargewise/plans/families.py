@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from chargewise.functions import dates, text
 from chargewise.operators import joins, predicates as pred
 from chargewise.operators.dedup import suffix_duplicate_ids
+from chargewise.operators.numbering import number_rows
+from chargewise.session import tune
 from chargewise.operators.union import aligned_union
 
 MONEY = "decimal(18,2)"
@@ -108,6 +110,15 @@ def dup_suffix(spark, sf_dir) -> DataFrame:
     return suffix_duplicate_ids(rows, "ROW_ID")
 
 
+def row_numbers(spark, sf_dir) -> DataFrame:
+    """W4: rows, some repeated, some with NULLs, numbered in the order of all their columns."""
+    li = _t(spark, sf_dir, "lineitem")
+    rows = li.select("l_returnflag", F.when(F.col("l_linenumber") < 7, F.col("l_linenumber")).alias("line"),
+                     (F.col("l_suppkey") % 10).alias("bucket"), F.to_date("l_shipdate").alias("day"))
+    tune(spark)
+    return number_rows(rows, "ROW_ID")
+
+
 def aligned_union_q(spark, sf_dir) -> DataFrame:
     """P5/U1: union over the sorted column superset, each column in the type that holds both sides exactly;
     duplicates removed across inputs. ID is text with leading zeros on one side and a number on the other."""

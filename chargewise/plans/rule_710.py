@@ -32,6 +32,7 @@ from chargewise.operators import joins, predicates as pred
 from chargewise.operators.audit import NO_AUDIT, Audit
 from chargewise.operators.ranking import latest_with_total, top_ties
 from chargewise.operators.working_set import materialize
+from chargewise.plans.top_state import competing
 
 COST = "decimal(18,4)"
 
@@ -171,15 +172,23 @@ def prepare_week(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT)
 def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Top-status rows over the whole history, or over the window's lines."""
     if start is None:
-        # The joined rows are read three times (latest times, candidates, their maximum):
-        # written once, the history is read once.
-        return rank_top_status(inputs, materialize(with_line_and_order(inputs, inputs["rel_status"])))
+        # Only rows at some schedule's latest time can be top rows; they are found and written before lines and
+        # orders are joined, so a copy of the whole joined history is never made.
+        return rank_top_status(inputs, with_line_and_order(inputs, materialize(competing(inputs["rel_status"]))))
     return prepare_week(inputs, start, end).top
 
 
+def top_status_of(inputs, state: DataFrame) -> DataFrame:
+    """Top-status rows from the weekly state (`plans.top_state`): the same rows as from the whole history."""
+    return rank_top_status(inputs, with_line_and_order(inputs, state))
+
+
 def top_status_report(inputs) -> DataFrame:
     """`top_status` over the whole history, with the source's column names."""
-    top = top_status(inputs)
+    return report(top_status(inputs))
+
+
+def report(top: DataFrame) -> DataFrame:
     return top.select(*(F.col(src).alias(name) for name, src in TOP_STATUS_COLUMNS.items()))
 
 

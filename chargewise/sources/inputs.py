@@ -12,9 +12,11 @@ is an error, never a column of NULLs.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chargewise import schemas
 
@@ -81,18 +83,78 @@ def optional_table(spark: SparkSession, name: str) -> DataFrame | None:
 
 
 def reviewer_flags(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The flag file reviewers send back for rule 706.
-
-    CSV files need a header with the declared columns in any order; a value that does not fit its
-    type fails the read instead of turning into NULL.
-    """
+    """The flag file reviewers send back for rule 706; a CSV with a line that can't be used is an error here, never a
+    NULL (`reviewer_file` sets such lines aside instead)."""
     if fmt != "csv":
         return named(spark.read.format(fmt).load(path), "flags")
-    header = named(spark.read.option("header", "true").csv(path), "flags")
+    read = reviewer_file(spark, path)
+    if bad := read.rejects.orderBy("FILE", "LINE_NO").first():
+        raise ValueError(f"reviewer file {path}, line {bad['LINE_NO']}: {bad['REASON']}")
+    return read.flags
+
+
+@dataclass
+class Reviewed:
+    """A returned reviewer file: the rows to charge from, and the lines that can't be used."""
+
+    flags: DataFrame
+    rejects: DataFrame | None      # FILE, LINE_NO, RECORD, REASON; None for a file that isn't text
+
+
+def reviewer_file(spark: SparkSession, path: str, sent: DataFrame | None = None) -> Reviewed:
+    """Read the CSV that reviewers return, one record a line, with a header (the declared columns in any order).
+
+    A line that doesn't parse, a value that doesn't fit its column's type, a missing tracking number and, with `sent` (the
+    table that went out, `BOL_706_OFFSHORE_INPUT`), a tracking number that wasn't sent or a total that was changed make a
+    reject, with its file, line number and reasons; the other rows are read as usual. The header is read once; a wrong one is
+    an error, as no row could be trusted. Lines are numbered in parallel, by their splits of the file.
+    """
     types = {f.name: f.dataType for f in schemas.INPUTS["flags"].fields}
-    order = [next(n for n in types if n.lower() == c.strip().lower())
-             for c in spark.read.option("header", "true").csv(path).columns if c.strip().lower() in {n.lower() for n in types}]
-    if len(order) != len(spark.read.option("header", "true").csv(path).columns):
-        raise ValueError(f"reviewer file {path}: only the columns {', '.join(header.columns)} are expected")
-    reader = spark.read.schema(", ".join(f"`{n}` {types[n].simpleString()}" for n in order))
-    return reader.options(header="true", enforceSchema="false", mode="FAILFAST").csv(path).select(*types)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("FILE"),
+                                         F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    head = lines.filter(F.col("_block") == 0).groupBy("FILE").agg(F.min_by("value", "_at").alias("head")).select("head").distinct().take(2)
+    if len(head) != 1:
+        raise ValueError(f"reviewer file {path}: {'no header' if not head else 'its parts have different headers'}")
+    order = _header(head[0]["head"], types, path)
+
+    # A line's number: its place in its split of the file, after the lines of the splits before.
+    split = Window.partitionBy("FILE", "_block").orderBy("_at")
+    sizes = lines.groupBy("FILE", "_block").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("FILE", "_block", (F.sum("n").over(Window.partitionBy("FILE").orderBy("_block")) - F.col("n")).alias("_before"))
+    numbered = (lines.withColumn("_own", F.row_number().over(split)).join(before, ["FILE", "_block"])
+                .select("FILE", (F.col("_before") + F.col("_own")).alias("LINE_NO"), F.col("value").alias("RECORD"))
+                .filter((F.col("LINE_NO") > 1) & (F.trim("RECORD") != "")))
+
+    schema = ", ".join(f"`{n}` string" for n in order) + ", _corrupt string"
+    parsed = numbered.withColumn("r", F.from_csv("RECORD", F.lit(schema), {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}))
+
+    def value(n):
+        if isinstance(types[n], T.DecimalType):         # a third decimal place is no amount, not a rounded one
+            fits = F.col(f"r.{n}").try_cast(types[n])
+            return F.when(F.col(f"r.{n}").try_cast("decimal(38,10)") == fits, fits)
+        return F.col(f"r.{n}") if isinstance(types[n], T.StringType) else F.col(f"r.{n}").try_cast(types[n])
+
+    unfit = [F.when(F.col(f"r.{n}").isNotNull() & value(n).isNull(), F.concat(F.lit(f"{n} is no {types[n].simpleString()}: "), F.col(f"r.{n}")))
+             for n in order if not isinstance(types[n], T.StringType)]
+    reasons = F.array(F.when(F.col("r._corrupt").isNotNull(), F.lit(f"not {len(order)} columns")), *unfit,
+                      F.when(F.coalesce(F.col("r.TRACKING_NUMBER"), F.lit("")) == "", F.lit("no TRACKING_NUMBER")))
+    judged = parsed.select("FILE", "LINE_NO", "RECORD", *[value(n).alias(n) for n in types], F.array_compact(reasons).alias("_why"))
+    if sent is not None:
+        known = sent.select(F.col("TRACKING_NUMBER").alias("_sent"), F.col("TOTAL_CHARGE_AMT").alias("_total")).dropDuplicates(["_sent"])
+        judged = judged.join(known, F.col("TRACKING_NUMBER") == F.col("_sent"), "left")
+        more = F.array(F.when(F.col("_sent").isNull(), F.lit("this TRACKING_NUMBER was not sent")),
+                       F.when(F.col("_sent").isNotNull() & ~F.col("TOTAL_CHARGE_AMT").eqNullSafe(F.col("_total")), F.lit("TOTAL_CHARGE_AMT was changed")))
+        judged = judged.withColumn("_why", F.when(F.size("_why") == 0, F.array_compact(more)).otherwise(F.col("_why")))
+    good = judged.filter(F.size("_why") == 0).select(*types)
+    bad = judged.filter(F.size("_why") > 0).select("FILE", "LINE_NO", "RECORD", F.array_join("_why", "; ").alias("REASON"))
+    return Reviewed(good, bad)
+
+
+def _header(line: str, types: Mapping[str, T.DataType], path: str) -> list[str]:
+    """The declared columns in the file's order."""
+    by_name = {n.lower(): n for n in types}
+    found = [c.strip().strip('"').strip() for c in line.lstrip("\ufeff").split(",")]
+    order = [by_name.get(c.lower()) for c in found]
+    if sorted(filter(None, order)) != sorted(types) or None in order:
+        raise ValueError(f"reviewer file {path}: the columns {', '.join(types)} are expected, its header is {line!r}")
+    return order

@@ -12,7 +12,7 @@ from chargewise import jobs, schemas, session
 from chargewise.functions import dates
 from chargewise.operators import joins, working_set
 from chargewise.plans import rule_702, rule_706, runlog
-from chargewise.sources.inputs import catalog_inputs, parquet_inputs, reviewer_flags
+from chargewise.sources.inputs import catalog_inputs, parquet_inputs, reviewer_file, reviewer_flags
 from tests.conftest import SF_ORACLE
 
 DAY = dt.date(2024, 3, 4)
@@ -66,6 +66,45 @@ def test_reviewer_csv(spark, tmp_path):
         reviewer_flags(spark, names, "csv")
 
 
+HEADER = "TRACKING_NUMBER,PO_NUMBER,TOTAL_CHARGE_AMT,VIOLATE_FLAG,PICKUP_DATE"
+
+
+def test_bad_lines_are_set_aside_with_number_and_reason(spark, tmp_path):
+    path = csv(tmp_path, "some.csv", HEADER, "t1,po1,10.00,Y,2024-03-04", "t2,po2,ten,Y,2024-02-30", "", "t3,po3,1,Y", '"t4","po, 4",2.5,N,2024-03-04',
+               ",po5,1,Y,2024-03-04", "t6,po6,1.005,Y,2024-03-04", "t7,po7,1.50,Y,2024-03-04")
+    sent = spark.createDataFrame([("t1", Decimal("10.00")), ("t4", Decimal("3.00"))], "TRACKING_NUMBER string, TOTAL_CHARGE_AMT decimal(18,2)")
+    read = reviewer_file(spark, path)
+    assert sorted((r.TRACKING_NUMBER, r.PO_NUMBER, r.TOTAL_CHARGE_AMT) for r in read.flags.collect()) == [
+        ("t1", "po1", Decimal("10.00")), ("t4", "po, 4", Decimal("2.50")), ("t7", "po7", Decimal("1.50"))]
+    assert sorted((r.LINE_NO, r.REASON) for r in read.rejects.collect()) == [
+        (3, "TOTAL_CHARGE_AMT is no decimal(18,2): ten; PICKUP_DATE is no date: 2024-02-30"), (5, "not 5 columns"), (7, "no TRACKING_NUMBER"),
+        (8, "TOTAL_CHARGE_AMT is no decimal(18,2): 1.005")]
+    assert [r.RECORD for r in read.rejects.where("LINE_NO = 5").collect()] == ["t3,po3,1,Y"]
+    checked = reviewer_file(spark, path, sent)
+    assert [r.TRACKING_NUMBER for r in checked.flags.collect()] == ["t1"]
+    assert {(6, "TOTAL_CHARGE_AMT was changed"), (9, "this TRACKING_NUMBER was not sent")} <= {(r.LINE_NO, r.REASON) for r in checked.rejects.collect()}
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    lines = [f"t{i},po,{'x' if i % 97 == 0 else i}.00,Y,2024-03-04" for i in range(5000)]
+    path = csv(tmp_path, "long.csv", HEADER, *lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        assert sorted(r.LINE_NO for r in reviewer_file(spark, path).rejects.collect()) == [i + 2 for i in range(0, 5000, 97)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_the_job_lists_rejects(spark, tmp_path):
+    path = csv(tmp_path, "flags.csv", HEADER, "t1,po1,10.00,Y,2024-03-04", "t2,po2,?,Y,2024-03-04")
+    jobs.main(["rule_706", "--flags", path, "--flags-format", "csv", "--start", "2024-03-04", "--end", "2024-03-04", "--as-of", "2024-03-06"])
+    assert [r.PO_NUMBER for r in spark.table(jobs.OUT_706).collect()] == ["po1"]
+    assert [(r.LINE_NO, r.REASON) for r in spark.table(jobs.REJECTS_706).collect()] == [(3, "TOTAL_CHARGE_AMT is no decimal(18,2): ?")]
+    spark.sql(f"DROP TABLE {jobs.OUT_706}")
+    spark.sql(f"DROP TABLE {jobs.REJECTS_706}")
+
+
 def test_reviewer_csv_through_the_job(spark, tmp_path):
     path = csv(tmp_path, "flags.csv", "TRACKING_NUMBER,PO_NUMBER,TOTAL_CHARGE_AMT,VIOLATE_FLAG,PICKUP_DATE",
                "t1,po1,10.00,Y,2024-03-04", "t2,po2,10.00,N,2024-03-04")
@@ -136,7 +175,7 @@ def test_left_join_keeps_null_keys(spark):
 
 
 def test_newest_runs_of_each_job(spark):
-    rows = [(job, None, None, DAY, dt.datetime(2024, 3, 4, h), 1, h, None) for job in ("a", "b") for h in range(8)]
+    rows = [(job, None, None, DAY, dt.datetime(2024, 3, 4, h), 1, h, None, "PUBLISHED", None, None, None) for job in ("a", "b") for h in range(8)]
     log = spark.createDataFrame(rows, runlog.RUN_LOG_SCHEMA)
     assert [(r.JOB, r.ROWS_OUT) for r in runlog.latest_runs(log, 2).collect()] == [("a", 7), ("b", 7), ("a", 6), ("b", 6)]
     assert [r.ROWS_OUT for r in runlog.latest_runs(log, 3, "b").collect()] == [7, 6, 5]

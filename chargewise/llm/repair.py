@@ -18,6 +18,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress as compress_list
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from chargewise.llm.bpe import load
 from chargewise.llm.common import batch, pack, rows_of, texts_of, unpack
+from chargewise.llm.wordbpe import MAX_BYTES, WordBpe
 
 SHARD_IDS = 1 << 20
 PAIRS_PER_ROUND = 1024
@@ -50,6 +52,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
+        self.words = WordBpe(path)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -63,7 +66,13 @@ class Encoder:
             new = words
         kept = {w: self.older[w] for w in new if w in self.older}
         self.known.update(kept)
-        fresh = list(new.difference(kept))
+        fresh = new.difference(kept)
+        if self.words.usable:
+            raw = [w.encode() for w in fresh]
+            short = [len(r) <= MAX_BYTES for r in raw]
+            self.known.update(zip(compress_list(fresh, short), self.words.encode(list(compress_list(raw, short)))))
+            fresh = [w for w, s in zip(fresh, short) if not s]
+        fresh = list(fresh)
         for w, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
             ids = e.ids
             self.known[w] = struct.pack(f"<{len(ids)}I", *ids)

@@ -1,0 +1,41 @@
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from chargewise.llm.common import read_table
+from chargewise.llm.repair import Encoder
+from chargewise.llm.wordbpe import MAX_BYTES, WordBpe
+from tests.llm.conftest import SF
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def wanted(library, word):
+    """Ids of one pre-token, by the library's model."""
+    return [t.id for t in library.model.tokenize("".join(p for p, _ in library.pre_tokenizer.pre_tokenize_str(word)))]
+
+
+def test_equals_the_library_on_words(library):
+    rng = random.Random(2)
+    words = ["a", " a", "aaaaaaaaaaaa", " the", " internationalisation", "é", " straße", "字" * 10, "😀", "0" * 40, " " + "ab" * 20, "'s", "\t"]
+    words += ["".join(rng.choice("etaoin shrdlu" if rng.random() < .9 else "éüß字0.") for _ in range(rng.randrange(1, 16))).strip() or "x" for _ in range(4000)]
+    words = [w for w in words if len(w.encode()) <= MAX_BYTES and len(library.pre_tokenizer.pre_tokenize_str(w)) == 1]
+    got = WordBpe(PATH).encode([w.encode() for w in words])
+    for w, ids in zip(words, got):
+        assert [int.from_bytes(ids[i:i + 4], "little") for i in range(0, len(ids), 4)] == wanted(library, w), w
+    assert WordBpe(PATH).encode([]) == [] and WordBpe(PATH).encode([b""]) == [b""]
+
+
+def test_equals_the_library_on_texts(spark, library):
+    texts = [r["text"] or "" for r in read_table(spark, SF, "documents").collect()]
+    encoder = Encoder(PATH)
+    assert encoder.words.usable
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert [int.from_bytes(ids[i:i + 4], "little") for i in range(0, len(ids), 4)] == library.encode(text, add_special_tokens=False).ids

@@ -7,10 +7,14 @@
    Hilbert key. Spark range-partitions and sorts (curve, key); ranks follow from partition sizes.
 3. On each curve a query meets all classes within `window` ranks of its own. Curves are cut into pieces
    of PIECE ranks; a query goes to the pieces that its window covers. Pieces are by rank, so no task
-   depends on how keys are spread. Here vectors travel as 8-bit codes and each piece reports each
-   query's best few.
-4. The neighbouring windows of all curves are merged and the best `rerank` classes are scored by the
-   original vectors in double precision.
+   depends on how keys are spread. Here vectors travel as 8-bit codes, each with its distance from the
+   vector, so a code's cosine gives bounds of the true one. Each piece reports each query's best few and the
+   upper bound of the rest.
+4. The neighbouring windows of all curves are merged. Every class whose upper bound reaches the k-th best lower bound is
+   scored by the original vectors in double precision.
+5. Where that may be more than `rerank` classes, or ones that a piece didn't report, the codes can't decide: the
+   query lies in a group of near copies, larger than windows and finer than codes. Such queries are compared with
+   all classes in double precision, block by block.
 
 `window` is `share` of the classes (256 at least). On vectors without any structure (as in the test
 tables: neighbours at cosine 0.45 among independent directions in 64 dimensions) no ordering keeps
@@ -23,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chargewise.llm.common import batch, ints, sorted_groups, written
@@ -35,6 +39,8 @@ SAMPLE = 5000
 PIECE = 2048
 PER_PIECE = 16
 RERANK = 48
+BLOCK = 16_384              # classes, and queries, of a block of the exact search
+DIGITS = 12                 # scores that agree in so many decimals are ties
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -102,6 +108,14 @@ def _codes(unit: np.ndarray) -> np.ndarray:
     return np.rint(unit / np.abs(unit).max(axis=1, keepdims=True) * 127).astype(np.int8)
 
 
+def _with_error(unit: np.ndarray) -> list[bytes]:
+    """Each vector's code, followed by the distance between the directions of vector and code (32-bit, rounded up)."""
+    code = _codes(unit)
+    near = code / np.linalg.norm(code.astype(np.float64), axis=1, keepdims=True)
+    off = (np.linalg.norm(unit - near, axis=1) * 1.001 + 2e-6).astype("<f4")
+    return [c.tobytes() + e.tobytes() for c, e in zip(code, off)]
+
+
 def _matrix(column: list[bytes], dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype).reshape(len(column), -1)
 
@@ -130,8 +144,8 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_
             curves: int = CURVES, share: float = SHARE, rerank: int = RERANK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found for each row whose id is divisible by `every`.
 
-    Nearest by cosine of the original vectors in double precision, ties to the smaller id, the query's
-    own id left out. Rows with a null id, a null, zero, non-finite or odd-sized vector (other than the
+    Nearest by cosine of the original vectors in double precision, ties (equal in DIGITS decimals) to the smaller id,
+    the query's own id left out. Rows with a null id, a null, zero, non-finite or odd-sized vector (other than the
     commonest size), or one holding nulls take no part. Repeated rows count once; an id that stands
     with several vectors counts with each. Fewer than k others: all of them. An empty table gives an
     empty result; other columns are ignored.
@@ -146,13 +160,68 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_
     queries = written(rows.where(F.col("vec_id") % every == 0).join(classes.select("vector", "cid"), "vector").select("vec_id", "cid"), "ann-queries")
     n = classes.count()
     window = max(256, round(share * n))
-    pairs = _candidates(classes, queries.select(F.col("cid")).distinct(), n, size, window, curves, rerank) if n else \
-        spark.createDataFrame([], "qcid long, cid long")
+    if not n:
+        return _ranked(spark.createDataFrame([], "qcid long, cid long"), classes, queries, k)
+    asked = queries.select("cid").distinct()
+    bounds = written(_bounds(classes, asked, n, size, window, curves), "ann-bounds")
+    # The k-th best lower bound of each query, and whether all classes whose upper bound reaches it are known and few.
+    best = Window.partitionBy("qcid").orderBy(F.desc("low"), "cid")
+    least = (bounds.where("cid >= 0").withColumn("n", F.row_number().over(best)).where(F.col("n") <= k)
+             .groupBy("qcid").agg(F.when(F.count(F.lit(1)) == k, F.min("low")).otherwise(F.lit(-2.0)).alias("least")))
+    reach = bounds.join(least, "qcid", "left").where(F.col("least").isNull() | (F.col("high") >= F.col("least")))
+    open_ = written(reach.groupBy("qcid").agg(F.count_if(F.col("cid") < 0).alias("rest"), F.count(F.lit(1)).alias("n"))
+                    .where((F.col("rest") > 0) | (F.col("n") > rerank)).select("qcid"), "ann-open")
+    pairs = reach.where("cid >= 0").join(open_, "qcid", "left_anti").select("qcid", "cid")
+    n_open = open_.count()
+    if n_open:
+        pairs = pairs.unionByName(_exact(classes, open_, n, n_open, k))
     return _ranked(pairs, classes, queries, k)
 
 
-def _candidates(classes: DataFrame, query_classes: DataFrame, n: int, size: int, window: int, curves: int, rerank: int) -> DataFrame:
-    """(qcid, cid): the most promising `rerank` classes within the windows of each query class."""
+def _up_to(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+
+
+def _exact(classes: DataFrame, open_: DataFrame, n: int, n_open: int, k: int) -> DataFrame:
+    """(qcid, cid): the k + 1 best classes of each open query among all classes, in double precision; queries and
+    classes meet in blocks."""
+    rows, parts = -(-n // BLOCK), -(-n_open // BLOCK)
+    first = F.col("ids")[0].alias("first")
+    held = classes.select(F.pmod(F.xxhash64("cid"), F.lit(rows)).alias("block"), F.explode(_up_to(parts)).alias("part"),
+                          F.lit(0).alias("asks"), "cid", first, "vector")
+    asked = (classes.join(open_, classes["cid"] == open_["qcid"])
+             .select(F.explode(_up_to(rows)).alias("block"), F.pmod(F.xxhash64("cid"), F.lit(parts)).alias("part"),
+                     F.lit(1).alias("asks"), "cid", first, "vector"))
+    schema = pa.schema([("qcid", pa.int64()), ("cid", pa.int64()), ("first", pa.int64()), ("near", pa.float64())])
+
+    def search(batches):
+        for _, _, asks, cid, least, vector in sorted_groups(batches, 2):
+            unit = _unit(_matrix(vector.tolist(), "<f8"))
+            here, ask = np.flatnonzero(asks == 0), np.flatnonzero(asks == 1)
+            if not len(here):
+                continue
+            data, ids, firsts = unit[here], cid[here], least[here]
+            for lo in range(0, len(ask), 64):
+                own = ask[lo:lo + 64]
+                near = np.round(unit[own] @ data.T, DIGITS)
+                near[cid[own][:, None] == ids[None, :]] = -2
+                cut = np.partition(near, -min(k + 1, len(here)), axis=1)[:, -min(k + 1, len(here))]
+                q, c = np.nonzero((near >= cut[:, None]) & (near > -2))
+                order = np.lexsort((firsts[c], -near[q, c], q))
+                q, c = q[order], c[order]
+                place = np.arange(len(q)) - np.searchsorted(q, q)
+                q, c = q[place <= k], c[place <= k]
+                yield batch(schema, [cid[own][q], ids[c], firsts[c], near[q, c]])
+
+    found = (held.unionByName(asked).repartition("block", "part").sortWithinPartitions("block", "part", "asks")
+             .mapInArrow(search, "qcid long, cid long, first long, near double"))
+    best = Window.partitionBy("qcid").orderBy(F.desc("near"), "first")
+    return found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("qcid", "cid")
+
+
+def _bounds(classes: DataFrame, query_classes: DataFrame, n: int, size: int, window: int, curves: int) -> DataFrame:
+    """(qcid, cid, low, high): bounds of the cosines of the classes within the windows of each query class that a piece reports,
+    and with cid -1 the greatest upper bound of those that none does."""
     chance = min(1.0, SAMPLE / n)
     sample = [r["vector"] for r in classes.where(F.pmod(F.xxhash64("vector"), F.lit(1 << 20)) <= int(chance * (1 << 20)))
               .select("vector").limit(2 * SAMPLE).collect()]
@@ -165,7 +234,7 @@ def _candidates(classes: DataFrame, query_classes: DataFrame, n: int, size: int,
             for lo in range(0, b.num_rows, 1024):
                 part = b.slice(lo, 1024)
                 unit = _unit(_matrix(part.column(1).to_pylist(), "<f8"))
-                code = [c.tobytes() for c in _codes(unit)]
+                code = _with_error(unit)
                 for i, key in enumerate(held.value.keys(unit)):
                     yield batch(schema, [np.full(len(key), i, np.int32), key, part.column(0), code])
 
@@ -201,26 +270,32 @@ def _candidates(classes: DataFrame, query_classes: DataFrame, n: int, size: int,
         .unionByName(asked.select("curve", piece.alias("piece"), F.lit(1).alias("asks"), "rank", "cid", "code"))
 
     def search(batches):
-        schema = pa.schema([("qcid", pa.int64()), ("cid", pa.int64()), ("near", pa.float32())])
+        schema = pa.schema([("qcid", pa.int64()), ("cid", pa.int64()), ("low", pa.float32()), ("high", pa.float32())])
         for group in sorted_groups(batches, 2):
             _, _, asks, rank, cid, code = group
-            code = _matrix(code.tolist(), np.int8).astype(np.float32)
+            raw = _matrix(code.tolist(), np.int8)
+            off = np.ascontiguousarray(raw[:, -4:]).view("<f4")[:, 0]
+            code = raw[:, :-4].astype(np.float32)
             code /= np.linalg.norm(code, axis=1, keepdims=True)
-            here, ask = asks == 0, np.flatnonzero(asks == 1)
-            for lo in range(0, len(ask), 256):
+            here, ask = np.flatnonzero(asks == 0), np.flatnonzero(asks == 1)
+            for lo in range(0, len(ask) if len(here) else 0, 256):
                 own = ask[lo:lo + 256]
-                near = code[own] @ code[here].T
-                near[(np.abs(rank[own][:, None] - rank[here][None, :]) > window) | (cid[own][:, None] == cid[here][None, :])] = -2
-                best = np.argpartition(-near, min(PER_PIECE, near.shape[1] - 1), axis=1)[:, :PER_PIECE] if near.shape[1] else np.zeros((len(own), 0), int)
-                value = np.take_along_axis(near, best, axis=1)
-                q, c = np.nonzero(value > -2)
-                yield batch(schema, [cid[own][q], cid[here][best[q, c]], value[q, c]])
+                out = (np.abs(rank[own][:, None] - rank[here][None, :]) > window) | (cid[own][:, None] == cid[here][None, :])
+                high = code[own] @ code[here].T + (off[own][:, None] + off[here][None, :])
+                high[out] = -9
+                best = np.argpartition(-high, min(PER_PIECE, high.shape[1] - 1), axis=1)[:, :PER_PIECE]
+                value = np.take_along_axis(high, best, axis=1)
+                q, c = np.nonzero(value > -9)
+                at = best[q, c]
+                yield batch(schema, [cid[own][q], cid[here][at], value[q, c] - 2 * (off[own][q] + off[here][at]), value[q, c]])
+                np.put_along_axis(high, best, -9, axis=1)
+                rest = high.max(axis=1)
+                more = np.flatnonzero(rest > -9)
+                yield batch(schema, [cid[own][more], np.full(len(more), -1), np.full(len(more), -9, np.float32), rest[more]])
 
     found = (both.repartition("curve", "piece").sortWithinPartitions("curve", "piece", "asks")
-             .mapInArrow(search, "qcid long, cid long, near float"))
-    best = Window.partitionBy("qcid").orderBy(F.desc("near"), "cid")
-    return (found.groupBy("qcid", "cid").agg(F.max("near").alias("near"))
-            .withColumn("n", F.row_number().over(best)).where(F.col("n") <= rerank).select("qcid", "cid"))
+             .mapInArrow(search, "qcid long, cid long, low float, high float"))
+    return found.groupBy("qcid", "cid").agg(F.max("low").alias("low"), F.max("high").alias("high"))
 
 
 def _ranked(pairs: DataFrame, classes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -243,7 +318,7 @@ def _ranked(pairs: DataFrame, classes: DataFrame, queries: DataFrame, k: int) ->
 
     scored = (pairs.join(classes, "cid").join(asked, "qcid").select("qcid", "asked", "vector", "ids")
               .mapInArrow(score, "qcid long, vec_id long, score double"))
-    best = Window.partitionBy("qcid").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("qcid").orderBy(F.desc(F.round("score", DIGITS)), "vec_id")
     # The k + 1 best ids of a class hold the k best of each of its queries, whichever of them that is.
     lists = (scored.groupBy("qcid", "vec_id").agg(F.max("score").alias("score"))
              .withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)

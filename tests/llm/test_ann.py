@@ -57,9 +57,37 @@ def test_hilbert_curve_visits_neighbours():
         assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
 
 
+def recall(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    want, got = slow(rows), found(ann.nearest(df))                      # default parameters
+    assert want.keys() == got.keys()
+    share = {q: len({j for j, _ in want[q]} & {j for j, _ in got[q]}) / len(want[q]) for q in want}
+    return share, want, got
+
+
+@pytest.mark.parametrize("noise", [0.01, 0.003, 0.0003])
+def test_recall_in_a_group_of_near_copies(spark, noise):
+    """A third of the rows are one vector and some noise: finer than codes, larger than windows."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4500, 64))
+    x[::3] = x[0] + noise * np.linalg.norm(x[0]) / 8 * rng.normal(size=(1500, 64))
+    share, _, _ = recall(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    assert np.mean([s for q, s in share.items() if q % 3 == 0]) >= 0.99 and np.mean(list(share.values())) >= 0.9
+
+
+def test_scaled_copies_are_ties(spark):
+    """Parallel vectors have one direction: of equal scores the smaller ids count."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 32))
+    x[::3] = x[0] * rng.uniform(0.1, 9, size=(1000, 1))
+    share, want, got = recall(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    assert all(s == 1 for q, s in share.items() if q % 3 == 0)
+    assert [j for j, _ in got[300]] == [j for j, _ in want[300]] == [0, 3, 6, 9, 12]
+
+
 def test_recall_on_the_test_vectors(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
-    want, got = slow(rows), found(ann.nearest(table, curves=8, share=0.1))
+    want, got = slow(rows), found(ann.nearest(table))
     hits = sum(len({j for j, _ in want[q]} & {j for j, _ in got[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))

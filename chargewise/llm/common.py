@@ -33,7 +33,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     global _local_dir
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+        if spark.conf.get("spark.master", "").split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         _local_dir = _local_dir or tempfile.mkdtemp(prefix="chargewise-llm-")
         base = _local_dir
@@ -52,6 +52,19 @@ def texts_of(docs: DataFrame, *columns: str) -> DataFrame:
     return bounded(docs).select(*[F.col(c) for c in columns], F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def whole_rows(docs: DataFrame, *columns: str) -> DataFrame:
+    """`docs` as one column `row`, beside the named columns: whatever names it has, none can clash with others. `row.*` gives it back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[F.col(c) for c in columns])
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """`name`, with underscores behind it as long as `docs` has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=f.type)

@@ -197,14 +197,13 @@ def fit(train: DataFrame, clusters: int = 4, sample: int = 400, slack: float = 1
                  np.stack([np.frombuffer(r["frequencies"], "<f4") for r in whole]), [list(r["reach"]) for r in whole])
 
 
-def classify(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with lang_pred, score (0 to 1) and rejected added, from its column text alone.
+def classify(docs: DataFrame, model: Model, names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
+    """`docs` with lang_pred, score (0 to 1) and rejected (or as `names` calls them) added, from its column text alone.
 
     A null text, or one without a letter, is `und`, score 0 and rejected; so is every text if the
     model learned nothing. Columns of those names in `docs` are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)    # bounded: see MAX_LANGUAGES and DIMS
-    names = {"lang_pred", "score", "rejected"}
 
     @F.arrow_udf("lang_pred string, score double, rejected boolean")
     def predict(texts: pa.Array) -> pa.Array:
@@ -212,8 +211,9 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
         columns = [pa.array([x for p in parts for x in p[i]], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
         return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "rejected"])
 
-    kept = bounded(docs).select(*[F.col(c) for c in docs.columns if c not in names], predict("text").alias("_language"))
-    return kept.select(*[c for c in docs.columns if c not in names], "_language.*")
+    found = bounded(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), predict("text").alias("language"))
+    return found.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in names],
+                        *[F.col(f"language.{given}").alias(name) for given, name in zip(("lang_pred", "score", "rejected"), names)])
 
 
 def is_held_out(doc_id, parts: int = 5, rest: int = 0):

@@ -70,20 +70,22 @@ def _without(texts: pa.Array, drop: pa.Array) -> pa.Array:
     return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
-def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """`docs` with boilerplate lines taken out of `text`, and n_lines and n_removed added.
+def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES,
+                       n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
+    """`docs` with boilerplate lines taken out of `text`, and the columns `n_lines` and `n_removed` added.
 
     Lines are parted by a newline and compared without leading and trailing spaces; blank lines stay.
     A null site is no site, so it spreads nothing, but its rows lose boilerplate lines too. A null
     text stays null, with 0 lines. Repeated rows each count once per row and keep their own result.
-    Columns named n_lines or n_removed are replaced; an empty table gives an empty result.
+    Columns of these two names are replaced, all others kept, whatever they are called; an empty table gives an empty result.
     """
     lines = _lines(bounded(docs), site)
     gone = (lines.join(boilerplate(lines, min_sites), ["k1", "k2"], "left_semi")
-            .groupBy("row_key").agg(F.collect_set("pos").alias("_gone")))
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.select(*kept, _row_key(docs, site)).join(gone, "row_key", "left")
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
-    n_removed = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long")
-    return joined.select(*[_without("text", "_gone").alias("text") if c == "text" else F.col(c) for c in kept],
-                         n_lines.alias("n_lines"), n_removed.alias("n_removed"))
+            .groupBy("row_key").agg(F.collect_set("pos").alias("gone")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"), _row_key(docs, site))
+    joined = rows.join(gone, "row_key", "left")
+    lines_of = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
+    gone_of = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long")
+    kept = [c for c in docs.columns if c not in (n_lines, n_removed)]
+    return joined.select(*[_without("text", "gone").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in kept],
+                         lines_of.alias(n_lines), gone_of.alias(n_removed))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargewise.llm.common import batch, slices_of, sorted_groups, texts_of, written
+from chargewise.llm.common import batch, slices_of, sorted_groups, texts_of, whole_rows, written
 from chargewise.llm.components import connected_components
 
 MAX_BITS = 3
@@ -218,7 +218,8 @@ def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, words: int = SHINGLE_
         return pa.array([None if t is None else format(fingerprint(t, words), "016x") for own in slices_of(texts) for t in own], pa.string())
 
     # The text decides only where several documents share the id; elsewhere no fingerprint is computed again.
-    joined = docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]))
-    text = F.when(F.col("_many"), F.coalesce(docs["text"], F.lit("")))
+    rows = whole_rows(docs, "doc_id", "text")
+    joined = rows.join(first, rows["doc_id"].eqNullSafe(first["_id"]))
+    text = F.when(F.col("_many"), F.coalesce(F.col("text"), F.lit("")))
     return (joined.withColumn("_own", print_of(text)).where("_own is null or _own = _fp")
-            .dropDuplicates(["root"]).select(*[docs[c] for c in docs.columns]))
+            .dropDuplicates(["root"]).select("row.*"))

@@ -156,6 +156,12 @@ def _without_ids(inputs) -> DataFrame:
     return combine.combine_frames(feeds, "702,710").frame
 
 
+def _from_lineage(inputs) -> DataFrame:
+    """The feed's charges, summed from the lines behind them."""
+    lines = rule_710.rule_710_lineage(inputs, START, END, TP.rule_710).filter(F.col("REASON") == rule_710.CHARGED)
+    return lines.groupBy("PO_NUMBER", "AUDIT_COMMENTS").agg(F.sum("CHARGE").cast("double").alias("CHARGEBACK_AMOUNT"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_702": _q(feed_702),
     "rule_706_input": _q(lambda i: rule_706.bol_input(i, START, END)),
@@ -168,6 +174,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_710_exempt": _q(lambda i: rule_710.rule_710_exempt(i, START, END, TP.rule_710)),
     "rule_710_cancels": _q(lambda i: rule_710.rule_710_cancels(i, START, END, TP.rule_710)),
     "rule_710": _q(feed_710),
+    "rule_710_lineage": _q(lambda i: rule_710.rule_710_lineage(i, START, END, TP.rule_710)),
+    "rule_710_from_lineage": _q(_from_lineage),
     "combine": _q(combined),
     "combine_tables": _q(_combine_tables),
     "combine_without_ids": _q(_without_ids),

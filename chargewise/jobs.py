@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from chargewise import params as P
 from chargewise import schemas
 from chargewise.functions.dates import previous_week, ts_within
-from chargewise.operators.working_set import scoped
+from chargewise.operators.working_set import materialize, scoped
 from chargewise.plans import combine, rule_702, rule_706, rule_710, runlog, top_state
 from chargewise.session import tune
 from chargewise.sources import sinks
@@ -35,6 +35,7 @@ STAGE_710_EXEMPT = "CANCELLATION_EXEMPT_QUERY"
 STAGE_710_CANCELS = "CHARGEBACK_CANCELS_QUERY"
 OUT_706_INPUT = "BOL_706_OFFSHORE_INPUT"
 OUT_706 = "BOL_706_FINAL_OUTPUT"
+LINEAGE_710 = "DMC710_LINEAGE"
 REJECTS_706 = "BOL_706_REJECTS"
 OUT_710 = "DMC710_OUT"
 TOP_STATE = "OMS_TOP_STATUS_STATE"
@@ -102,15 +103,21 @@ def run_rule_706(spark: SparkSession, flags: DataFrame, start: dt.date, end: dt.
 @scoped
 def run_rule_710(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = None,
                  table: str = OUT_710, log_path: str | None = None,
-                 p: P.Rule710Params = P.Rule710Params(), staging: bool = False, history: bool = False) -> DataFrame:
-    """`staging=True` also keeps the exemption list and the candidates as tables; `history=True` every window's feed."""
+                 p: P.Rule710Params = P.Rule710Params(), staging: bool = False, history: bool = False,
+                 lineage: bool = False) -> DataFrame:
+    """`staging=True` also keeps the exemption list and the candidates as tables, `lineage=True` the lines behind each
+    charge (`rule_710.rule_710_lineage`); `history=True` every window's feed."""
     as_of = as_of or _today(spark)
     start, end = previous_week(as_of)
     run = runlog.Run("rule_710", start, end, as_of, table)
     with runlog.logged(spark, run, log_path) as audit:
         week = rule_710.prepare_week(inputs, start, end, audit)
-        cancels = rule_710.rule_710_cancels(inputs, start, end, p, week, audit)
+        rows = rule_710.candidate_rows(inputs, start, end, p, week, audit)
         exempt = rule_710.rule_710_exempt(inputs, start, end, p, week)
+        if lineage:
+            rows, exempt = materialize(rows), materialize(exempt)
+            sinks.publish(rule_710.rule_710_lineage(inputs, start, end, p, week, rows, exempt), LINEAGE_710)
+        cancels = rule_710.distinct_candidates(rows)
         if staging:
             exempt, cancels = sinks.publish(exempt, STAGE_710_EXEMPT), sinks.publish(cancels, STAGE_710_CANCELS)
         feed = rule_710.rule_710(cancels, exempt, as_of, p, audit)
@@ -174,6 +181,7 @@ def main(argv=None) -> None:
     ap.add_argument("--rules", default="702,710")
     ap.add_argument("--run-log")
     ap.add_argument("--staging", action="store_true", help="also write the rules' staging tables")
+    ap.add_argument("--lineage", action="store_true", help="also write the lines behind each charge of rule 710")
     ap.add_argument("--history", action="store_true", help="also keep every window's feed, in <table>_HISTORY")
     args = ap.parse_args(argv)
     if args.job.startswith("rule_706") and (args.start is None or args.end is None):
@@ -199,7 +207,8 @@ def main(argv=None) -> None:
     elif args.job == "rule_702":
         run_rule_702(spark, _inputs(spark, args), args.as_of, log_path=args.run_log, staging=args.staging, history=args.history)
     else:
-        run_rule_710(spark, _inputs(spark, args), args.as_of, log_path=args.run_log, staging=args.staging, history=args.history)
+        run_rule_710(spark, _inputs(spark, args), args.as_of, log_path=args.run_log, staging=args.staging, history=args.history,
+                     lineage=args.lineage)
 
 
 if __name__ == "__main__":

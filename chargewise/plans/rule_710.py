@@ -285,7 +285,23 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
                      p: P.Rule710Params = P.Rule710Params(), week: Week | None = None,
                      audit: Audit = NO_AUDIT) -> DataFrame:
     """Cancelled in-window PO lines with demand, audit, cancel and cost columns,
-    distinct over all 18 columns (the unit price takes part in the distinct).
+    distinct over all 18 columns (the unit price takes part in the distinct)."""
+    return distinct_candidates(candidate_rows(inputs, start, end, p, week, audit))
+
+
+def distinct_candidates(rows: DataFrame) -> DataFrame:
+    """The candidates of `candidate_rows`, whatever lines they come from."""
+    distinct = rows.select(*CANCEL_COLUMNS[:-1], "PO_LINE_UNIT_PRICE").distinct()
+    return distinct.select(*CANCEL_COLUMNS[:-1], _item_cost().alias("ITEM_COST"))
+
+
+def _item_cost():
+    return (F.col("PO_LINE_UNIT_PRICE") * F.col("STATUS_QTY")).cast(COST)
+
+
+def candidate_rows(inputs, start: dt.date, end: dt.date, p: P.Rule710Params = P.Rule710Params(),
+                   week: Week | None = None, audit: Audit = NO_AUDIT) -> DataFrame:
+    """The candidates with the line each comes from (`line_key`) and its unit price; rows can repeat.
 
     The candidate lines are materialized first; the cancel and PO-line
     histories are then read only for the candidates' chained lines and POs.
@@ -311,7 +327,7 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
     frame = frame.join(cancels, F.col("chain_line_key") == F.col("OMS_ORDER_LINE_KEY"), "left")
     demand_qty = F.coalesce(F.col("_r_qty"), F.col("orig_qty"))
     cand = frame.select(
-        F.col("_o_date").alias("ORDER_DATE"), "STATUS_DATE", "PO_ORDER_NO", "ORDER_NO",
+        "line_key", F.col("_o_date").alias("ORDER_DATE"), "STATUS_DATE", "PO_ORDER_NO", "ORDER_NO",
         F.col("_l_item").alias("OMS_ITEM_ID"), F.col("unit_price").alias("OMS_ORDER_LINE_UNIT_PRICE"),
         "STATUS_QTY", demand_qty.alias("DEMAND_QTY"),
         (F.col("unit_price") * demand_qty).cast(COST).alias("DEMAND_SALES"),
@@ -324,11 +340,52 @@ def rule_710_cancels(inputs, start: dt.date, end: dt.date,
     priced = cand.filter(F.col("PO_ORDER_NO").isNotNull()).join(
         costs, (F.col("PO_ORDER_NO") == F.col("PO_NO")) & (F.col("OMS_ITEM_ID") == F.col("ARTICLE_NO")), "left")
     cost = costs.schema["PO_LINE_UNIT_PRICE"].dataType
-    with_cost = priced.select(*cand.columns, "PO_LINE_UNIT_PRICE").unionByName(
+    return priced.select(*cand.columns, "PO_LINE_UNIT_PRICE").unionByName(
         cand.filter(F.col("PO_ORDER_NO").isNull()).withColumn("PO_LINE_UNIT_PRICE", F.lit(None).cast(cost)))
-    keys = list(CANCEL_COLUMNS[:-1])
-    distinct = with_cost.select(*keys, "PO_LINE_UNIT_PRICE").distinct()
-    return distinct.select(*keys, (F.col("PO_LINE_UNIT_PRICE") * F.col("STATUS_QTY")).cast(COST).alias("ITEM_COST"))
+
+
+CHARGED = "charged"
+
+
+def rule_710_lineage(inputs, start: dt.date, end: dt.date, p: P.Rule710Params = P.Rule710Params(),
+                     week: Week | None = None, rows: DataFrame | None = None, exempt: DataFrame | None = None) -> DataFrame:
+    """Which cancelled lines of the window each charge comes from, and why the others are not charged.
+
+    (LINE_KEY, PO_NUMBER, AUDIT_COMMENTS, CHARGE, REASON, SAME_AS): a row per line and candidate. Summed per PO and comment,
+    CHARGE gives the feed exactly. Lines that give the same candidate are charged once: the one with the least key carries
+    the charge, the others name it in SAME_AS. A line that never becomes a candidate has one row with the reason. `rows`,
+    `exempt`: `candidate_rows` and `rule_710_exempt`, where they are written already.
+    """
+    week = week or prepare_week(inputs, start, end)
+    rows = materialize(rows if rows is not None else candidate_rows(inputs, start, end, p, week))
+    exempt = exempt if exempt is not None else rule_710_exempt(inputs, start, end, p, week)
+    # Lines of one candidate are found by a digest of its columns, so that they can be folded before they meet.
+    candidate = F.sha2(F.to_json(F.struct(*CANCEL_COLUMNS[:-1], "PO_LINE_UNIT_PRICE"), {"ignoreNullFields": "false"}), 256)
+    rows = rows.withColumn("_candidate", candidate).distinct()
+    owners = rows.groupBy("_candidate").agg(F.min("line_key").alias("_owner"))
+    exempt_pos = (exempt.filter((F.col("DSV_EXCEPTION") == F.lit("Y")) & F.col("PO_ORDER_NO").isNotNull())
+                  .select(F.col("PO_ORDER_NO").alias("_exempt")).distinct())
+    judged = joins.left_join(rows.join(owners, "_candidate"), exempt_pos, "PO_ORDER_NO", "_exempt")
+    code, note = F.col("OMS_ORDER_CANCEL_RESN_CODE"), F.col("OMS_ORDER_CANCEL_RESN_NOTE")
+    reason = (F.when(code.isNull() | (code == P.REMORSE_CODE), "remorse or no cancel code")
+              .when(F.col("_exempt").isNotNull(), "exempt PO")
+              .when(F.col("OMS_ORDER_AUDIT_RESN_CODE").isin(list(p.audit_exclude_reasons)), "audit reason")
+              .when(note.isin(list(p.cancel_note_exclude_reasons)), "cancel note")
+              .when(F.col("line_key") != F.col("_owner"), "same candidate as another line").otherwise(CHARGED))
+    charge = money.rate(money.zero_if_missing(_item_cost()), P.CANCEL_RATE)
+    judged = judged.withColumn("REASON", reason).select(
+        F.col("line_key").alias("LINE_KEY"), F.col("PO_ORDER_NO").alias("PO_NUMBER"),
+        text.comment_710(F.col("ORDER_DATE"), F.col("STATUS_DATE")).alias("AUDIT_COMMENTS"),
+        F.when(F.col("REASON") == CHARGED, charge).alias("CHARGE"), "REASON",
+        F.when(F.col("REASON") == "same candidate as another line", F.col("_owner")).alias("SAME_AS"))
+    cancelled = week.lines().filter(F.col("status") == P.STATUS_CANCELLED)
+    others = joins.anti_keeping_null(cancelled, rows.select("line_key"), "line_key").withColumn(
+        "REASON", F.when(pred.not_in_dropping_null(F.col("cat"), p.excluded_categories), "no ship node or created row").otherwise("category"))
+    left_out = others.select(
+        F.col("line_key").alias("LINE_KEY"), F.col("PO_ORDER_NO").alias("PO_NUMBER"),
+        text.comment_710(F.col("_o_date"), F.col("STATUS_DATE")).alias("AUDIT_COMMENTS"),
+        F.lit(None).cast(judged.schema["CHARGE"].dataType).alias("CHARGE"), "REASON", F.lit(None).cast("string").alias("SAME_AS")).distinct()
+    return judged.unionByName(left_out)
 
 
 def rule_710(cancels: DataFrame, exempt: DataFrame, as_of: dt.date | None,

@@ -428,6 +428,20 @@ FULL_LISTS: dict[str, str] = {
 CTES["combined_two_union"] = _aligned("feed702", _F702) + "\nUNION\n" + _aligned("feed706", _F706)
 CTES["combined_two"] = CTES["combined"].replace("combined_union", "combined_two_union")
 
+# The candidates line by line: the fate of each, and the least line among those that give the same candidate.
+CTES["by_line"] = _cancels(CATS_OUT).replace("SELECT DISTINCT ordered", "SELECT DISTINCT w.line_key, ordered")
+_CANDIDATE = "ORDER_DATE, STATUS_DATE, PO_ORDER_NO, ORDER_NO, OMS_ITEM_ID, OMS_ORDER_LINE_UNIT_PRICE, STATUS_QTY, DEMAND_QTY, DEMAND_SALES, " \
+    "OMS_ORDER_RELEASE_STATUS, OMS_STATUS_DESC, OMS_ORDER_AUDIT_RESN_CODE, OMS_ORDER_AUDIT_RESN_TEXT, OMS_ORDER_CANCEL_RESN_CODE, " \
+    "OMS_ORDER_CANCEL_RESN_NOTE, OMS_SHIP_NODE_KEY, OMS_SHIP_NODE_DESC, price"
+CTES["traced"] = f"""
+SELECT *, concat('Order Date: ', strftime(ORDER_DATE, '%Y-%m-%d'), ';Cancellation Date: ', strftime(STATUS_DATE, '%Y-%m-%d'), ';') AS AUDIT_COMMENTS,
+       CASE WHEN coalesce(OMS_ORDER_CANCEL_RESN_CODE, 'REMORSE') = 'REMORSE' THEN 'remorse or no cancel code'
+            WHEN PO_ORDER_NO IN (SELECT PO_ORDER_NO FROM exempt WHERE DSV_EXCEPTION = 'Y' AND PO_ORDER_NO IS NOT NULL) THEN 'exempt PO'
+            WHEN OMS_ORDER_AUDIT_RESN_CODE IN ({AUDIT_OUT}) THEN 'audit reason'
+            WHEN OMS_ORDER_CANCEL_RESN_NOTE IN ({CNOTE_OUT}) THEN 'cancel note'
+            WHEN line_key <> owner THEN 'same candidate as another line' ELSE 'charged' END AS REASON
+FROM (SELECT *, min(line_key) OVER (PARTITION BY {_CANDIDATE}) AS owner FROM by_line) o"""
+
 # What the run log says was dropped: parcels before their invoices are judged, candidates by the first exclusion met.
 CTES["parcels702"] = f"""
   SELECT svc, zone FROM fsc INNER JOIN oms_line USING (line_key)
@@ -460,6 +474,17 @@ FROM latest_cancel""",
     "rule_710_exempt": "SELECT * FROM exempt",
     "rule_710_cancels": "SELECT * FROM cancels",
     "rule_710": "SELECT * FROM feed710",
+    "rule_710_lineage": """
+SELECT line_key AS LINE_KEY, PO_ORDER_NO AS PO_NUMBER, AUDIT_COMMENTS, REASON,
+       CASE WHEN REASON = 'charged' THEN CAST(CASE WHEN price IS NULL OR STATUS_QTY IS NULL THEN 0 ELSE abs(CAST(price * STATUS_QTY AS DECIMAL(18,4))) * 0.03 END AS DECIMAL(38,6)) END AS CHARGE,
+       CASE WHEN REASON = 'same candidate as another line' THEN owner END AS SAME_AS
+FROM traced
+UNION ALL
+SELECT DISTINCT line_key, CASE WHEN other_no IS NULL THEN NULL ELSE own_no END,
+       concat('Order Date: ', strftime(ordered, '%Y-%m-%d'), ';Cancellation Date: ', strftime(day, '%Y-%m-%d'), ';'),
+       CASE WHEN cat IS NULL OR cat IN (""" + CATS_OUT + """) THEN 'category' ELSE 'no ship node or created row' END, NULL, NULL
+FROM week_lines w WHERE status = '9000' AND line_key NOT IN (SELECT line_key FROM traced)""",
+    "rule_710_from_lineage": "SELECT PO_NUMBER, AUDIT_COMMENTS, CHARGEBACK_AMOUNT FROM feed710",
     "combine": "SELECT * FROM combined",
     "combine_tables": "SELECT * FROM combined_two",
     "combine_without_ids": """

@@ -114,6 +114,32 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+_BYTE = np.random.default_rng(1612).integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power(n: int, base: int) -> np.ndarray:
+    """base^0 to base^(n-1), modulo 2^64."""
+    if len(_powers.get(base, ())) < n:
+        held = np.full(max(n, 1 << 20), base, np.uint64)
+        held[0] = 1
+        _powers[base] = np.cumprod(held, dtype=np.uint64)
+    return _powers[base][:n]
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each run, wherever it stands: sums of powers, one pass over the data."""
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _power(len(data), _BASE), dtype=np.uint64)))
+    h = (total[ends] - total[starts]) * _power(len(data) + 1, pow(_BASE, -1, 1 << 64))[starts]
+    return h ^ (ends - starts).astype(np.uint64)
+
+
 def key_runs(keys: list[np.ndarray]) -> np.ndarray:
     """Start offsets of the runs of equal keys (and the end) in arrays sorted by them."""
     n = len(keys[0])

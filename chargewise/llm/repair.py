@@ -18,7 +18,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress as compress_list
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chargewise.llm.bpe import load
-from chargewise.llm.common import batch, pack, rows_of, texts_of, unpack
+from chargewise.llm.common import batch, pack, rows_of, run_hashes, texts_of, unpack
 from chargewise.llm.wordbpe import MAX_BYTES, WordBpe
 
 SHARD_IDS = 1 << 20
@@ -37,10 +36,43 @@ MIN_COUNT = 4
 MIN_GAIN = 0.02
 _CACHE_WORDS = 700_000
 
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-# Texts of these characters only are split by the plain pattern, to the words of the byte-level pre-tokenizer.
+# Texts of these characters only are split here, to the words of the byte-level pre-tokenizer.
 _PLAIN = re.compile("[\t-\r -~À-ɏ]*")
-_PLAIN_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+")
+_LETTER, _DIGIT, _SPACE, _OTHER, _END = range(5)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[*range(65, 91), *range(97, 123), *range(0x80, 0xCA)]] = _LETTER      # bytes of À to ɏ, but for × and ÷
+_CLASS[[*range(48, 58)]] = _DIGIT
+_CLASS[[*range(9, 14), 32]] = _SPACE
+_CLASS[0] = _END
+
+
+def plain_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of plain texts, each followed by a zero byte.
+
+    Words are runs of letters, of digits or of other characters, with one blank before them if there is one; 's 't 're 've
+    'm 'll 'd; and what white space is left.
+    """
+    kind = _CLASS[data]
+    sign = np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
+    kind[sign] = kind[sign + 1] = _OTHER
+    n = len(data)
+    cut = np.ones(n + 1, bool)
+    cut[1:n] = kind[1:] != kind[:-1]
+    ends_space = np.flatnonzero((kind[:-1] == _SPACE) & (kind[1:] != _SPACE) & (kind[1:] != _END))     # last of a run before a word
+    cut[ends_space] = True                              # it leaves the run
+    cut[ends_space[data[ends_space] == 32] + 1] = False  # and a blank joins the word
+    # Contractions: an apostrophe alone, without a blank before it, and the letters behind it.
+    quote = np.flatnonzero((data[:-2] == 39) & cut[:n - 2] & cut[1:n - 1] & (kind[1:n - 1] == _LETTER))
+    one, two = data[quote + 1], data[np.minimum(quote + 2, n - 1)]
+    size = np.where(np.isin(one, np.frombuffer(b"stmd", np.uint8)), 1, 0)
+    size[(two == 101) & ((one == 114) | (one == 118)) | (two == 108) & (one == 108)] = 2
+    quote, size = quote[size > 0], size[size > 0]
+    cut[quote + 1] = False
+    cut[quote + 1 + size] = True
+    at = np.flatnonzero(cut)
+    starts, ends = at[:-1], at[1:]
+    real = data[starts] != 0
+    return starts[real], ends[real]
 
 
 class Encoder:
@@ -53,41 +85,52 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.words = WordBpe(path)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
 
-    def _learn(self, words: set[str]) -> None:
-        """Makes `known` hold all of `words`."""
-        new = words.difference(self.known)       # looks each word up; with keys() it would walk the whole table
+    def _learn(self, words: list[bytes]) -> None:
+        """Makes `known` hold all of `words` (distinct)."""
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > _CACHE_WORDS:
             self.known, self.older = {}, self.known
             new = words
-        kept = {w: self.older[w] for w in new if w in self.older}
+        kept = {w: self.older[w] for w in new if w in self.older} if self.older else {}
         self.known.update(kept)
-        fresh = new.difference(kept)
+        fresh = [w for w in new if w not in kept] if kept else new
         if self.words.usable:
-            raw = [w.encode() for w in fresh]
-            short = [len(r) <= MAX_BYTES for r in raw]
-            self.known.update(zip(compress_list(fresh, short), self.words.encode(list(compress_list(raw, short)))))
-            fresh = [w for w, s in zip(fresh, short) if not s]
-        fresh = list(fresh)
-        for w, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
+            short = [w for w in fresh if len(w) <= MAX_BYTES]
+            self.known.update(zip(short, self.words.encode(short)))
+            fresh = [w for w in fresh if len(w) > MAX_BYTES]
+        for w, e in zip(fresh, self.tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)):
             ids = e.ids
             self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_PLAIN_WORD.findall(t) if _PLAIN.fullmatch(t) and not (self.special and self.special.search(t)) else None
-                 for t in texts]
-        self._learn(set().union(*(w for w in split if w is not None)))
-        out = []
-        for text, words in zip(texts, split):
-            if words is None:
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-            else:
-                out.append(b"".join(map(self.known.__getitem__, words)))
-        return out
+        plain = [bool(_PLAIN.fullmatch(t)) and not (self.special and self.special.search(t)) for t in texts]
+        done = iter(self._plain([t.encode() for t, p in zip(texts, plain) if p]))
+        return [next(done) if p else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+                for t, p in zip(texts, plain)]
+
+    def _plain(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of plain texts: their words are told apart by hashes, each distinct one is looked up once, and ids are gathered."""
+        raw = b"".join([t + b"\0" for t in texts])
+        data = np.frombuffer(raw, np.uint8)
+        if len(data) < 3:
+            return [b"".join(struct.pack("<I", i) for i in self.tokenizer.encode(t.decode(), add_special_tokens=False).ids) for t in texts]
+        starts, ends = plain_words(data)
+        _, first, word = np.unique(run_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        self._learn(words)
+        known = list(map(self.known.__getitem__, words))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) >> 2
+        begin, n = np.cumsum(sizes) - sizes, sizes[word]
+        at = np.cumsum(n)
+        ids = np.frombuffer(b"".join(known), "<u4")[np.repeat(begin[word] - (at - n), n) + np.arange(int(n.sum()))].tobytes()
+        # Words of each text: those that begin before its zero byte.
+        stops = np.concatenate(([0], at))[np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]) - 1)].tolist()
+        return [ids[4 * a:4 * b] for a, b in zip([0, *stops[:-1]], stops)]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -1,5 +1,7 @@
 import base64
+import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +83,54 @@ def test_held_out_is_by_crc(spark):
     import zlib
     rows = spark.range(200).select("id", langid.is_held_out(F.col("id"), 7, 2).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 7 == 2) for r in rows)
+
+
+def plain_counts(text):
+    """n-gram counts by plain Python, before hashing."""
+    raw = " " + " ".join("".join(chr(c).lower() if chr(c).isascii() and chr(c).isalpha() else chr(c) if c >= 128 else " "
+                                 for c in text.encode()).split()) + " "
+    grams = {}
+    for n in (2, 3, 4):
+        for i in range(len(raw) - n + 1):
+            grams[raw[i:i + n]] = grams.get(raw[i:i + n], 0) + 1
+    return grams
+
+
+def test_model_against_a_plain_version(spark):
+    """Document frequencies, the cosine and the prediction, computed with dictionaries and without the library's vectors."""
+    rows = [(f"the house and the garden number {i} of the town {'by the sea' * (i % 3)}", "en") for i in range(30)]
+    rows += [(f"das haus und der garten nummer {i} in der stadt {'am meer' * (i % 4)}", "de") for i in range(30)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string").repartition(3))
+
+    def slot(gram):
+        h = 0
+        for c in gram:
+            h = (h * 257 + ord(c)) % (1 << 32)
+        return h * 2654435761 % (1 << 32) >> 32 - 13
+
+    def hashed(text):
+        out = {}
+        for g, n in plain_counts(text).items():
+            out[slot(g)] = out.get(slot(g), 0) + n
+        return out
+
+    seen = {}
+    for text, _ in rows:
+        for k in hashed(text):
+            seen[k] = seen.get(k, 0) + 1
+    idf = [math.log((1 + len(rows)) / (1 + seen.get(k, 0))) + 1 for k in range(langid.DIMS)]
+    assert np.allclose(model.idf, idf, rtol=1e-5)
+    for text in [rows[3][0], rows[40][0], "der garten", "a town by the sea", "zzz qqq"]:
+        v = {k: math.log1p(n) * idf[k] for k, n in hashed(text).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        near = [sum(x / norm * float(c[k]) for k, x in v.items()) for c in model.centroids]
+        names, scores, rejected = model.predict([text])
+        best = max(range(len(near)), key=near.__getitem__)
+        assert abs(scores[0] - max(0, near[best])) < 1e-5
+        assert names[0] == model.languages[best] or near[best] - max(n for n, g in zip(near, model.languages) if g == names[0]) < 1e-5
+        total = sum(hashed(text).values())
+        own = [sum(n * float(f[k]) for k, n in hashed(text).items()) / total for f in model.frequencies]
+        limits = [np.interp(math.log(total), np.log(langid.LENGTHS), limit) for limit in model.limits]
+        assert rejected[0] == all(x < y for x, y in zip(own, limits))
+    for c in model.centroids:                       # centroids are unit means of their language's texts
+        assert abs(float((c * c).sum()) - 1) < 1e-5

@@ -1,11 +1,13 @@
 import random
+import struct
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from chargewise.llm.common import read_table
-from chargewise.llm.repair import Encoder
+from chargewise.llm.repair import Encoder, plain_words
 from chargewise.llm.wordbpe import MAX_BYTES, WordBpe
 from tests.llm.conftest import SF
 
@@ -39,3 +41,21 @@ def test_equals_the_library_on_texts(spark, library):
     assert encoder.words.usable
     for text, ids in zip(texts, encoder.encode(texts)):
         assert [int.from_bytes(ids[i:i + 4], "little") for i in range(0, len(ids), 4)] == library.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_words_are_those_of_the_pre_tokenizer(library):
+    rng = random.Random(8)
+    parts = ["a", "Zé", "ß", "ɏ", "7", "42", " ", "  ", "\n", "\t", "'", "''", "'s", "'re", "'ve", "'ll", "'l", "'d", "'t", "'m", "'S", "'ré", ".", "×", "÷", "-", "s", "re", "{", " '", "' "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(6000)] + ["", " ", "'", "'s", "a", "é", "  ", "x '"]
+    raw = [t.encode() + b"\0" for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    starts, ends = plain_words(data)
+    want = []
+    got = [b"".join(raw)[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
+    for t in texts:
+        want += [t[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(t)]
+    assert got == want
+    encoder = Encoder(PATH)
+    for t, ids in zip(texts, encoder.encode(texts)):
+        assert [int.from_bytes(ids[i:i + 4], "little") for i in range(0, len(ids), 4)] == library.encode(t, add_special_tokens=False).ids, t
+    assert [encoder.encode([t])[0] for t in ("", "x", "é")] == [struct.pack(f"<{len(i)}I", *i) for i in (library.encode(t).ids for t in ("", "x", "é"))]

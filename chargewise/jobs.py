@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from chargewise import params as P
 from chargewise import schemas
 from chargewise.functions.dates import previous_week, ts_within
-from chargewise.operators.working_set import materialize, scoped
+from chargewise.operators.working_set import expire, materialize, scoped
 from chargewise.plans import combine, rule_702, rule_706, rule_710, runlog, top_state
 from chargewise.session import tune
 from chargewise.sources import sinks
@@ -170,7 +170,7 @@ def _inputs(spark: SparkSession, args) -> Inputs:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="chargewise.jobs")
-    ap.add_argument("job", choices=["rule_702", "rule_706_input", "rule_706", "rule_710", "top_state", "combine"])
+    ap.add_argument("job", choices=["rule_702", "rule_706_input", "rule_706", "rule_710", "top_state", "combine", "expire"])
     ap.add_argument("--inputs-root", help="folder holding one parquet folder per input relation")
     ap.add_argument("--catalog-map", help="JSON file mapping input relation names to catalog tables")
     ap.add_argument("--flags", help="reviewer flag file for rule 706")
@@ -181,6 +181,7 @@ def main(argv=None) -> None:
     ap.add_argument("--rules", default="702,710")
     ap.add_argument("--run-log")
     ap.add_argument("--staging", action="store_true", help="also write the rules' staging tables")
+    ap.add_argument("--days", type=float, default=14, help="expire: delete working sets that are older than this")
     ap.add_argument("--lineage", action="store_true", help="also write the lines behind each charge of rule 710")
     ap.add_argument("--history", action="store_true", help="also keep every window's feed, in <table>_HISTORY")
     args = ap.parse_args(argv)
@@ -188,10 +189,12 @@ def main(argv=None) -> None:
         ap.error(f"{args.job} needs --start and --end")
     if args.job == "rule_706" and not args.flags:
         ap.error("rule_706 needs --flags")
-    if args.job != "combine" and args.job != "rule_706" and not (args.inputs_root or args.catalog_map):
+    if args.job not in ("combine", "rule_706", "expire") and not (args.inputs_root or args.catalog_map):
         ap.error(f"{args.job} needs --inputs-root or --catalog-map")
     spark = tune(SparkSession.builder.getOrCreate())
-    if args.job == "combine":
+    if args.job == "expire":
+        print("\n".join(expire(spark, dt.timedelta(days=args.days))))
+    elif args.job == "combine":
         print(run_combine(spark, args.rules, log_path=args.run_log, as_of=args.as_of))
     elif args.job == "rule_706":
         if args.flags_format == "csv":

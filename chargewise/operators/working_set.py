@@ -27,6 +27,9 @@ from chargewise.session import ensure_checkpoint_dir
 # policy on the checkpoint folder can expire whole runs by age.
 RUN_FOLDER = f"{datetime.datetime.now():%Y%m%d-%H%M%S}-{os.getpid()}-{uuid.uuid4().hex[:8]}"
 
+# Folders under the checkpoint folder that hold one entry per run or table.
+WORK_FOLDERS = ("chargewise-work", "chargewise-llm")
+
 _job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
@@ -60,6 +63,27 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def expire(spark: SparkSession, keep: datetime.timedelta) -> list[str]:
+    """Delete what runs have left under the checkpoint folder and nobody has written to for longer than `keep`.
+
+    Jobs remove their own working sets; this is for those of jobs that died, of queries whose results are read later, and
+    of the training-data operators. One entry per run or table reaches the driver.
+    """
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf, gone = spark.sparkContext._jsc.hadoopConfiguration(), []
+    limit = (datetime.datetime.now() - keep).timestamp() * 1000
+    for top in WORK_FOLDERS:
+        base = fs_path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{top}")
+        fs = base.getFileSystem(conf)
+        if not fs.exists(base):
+            continue
+        for entry in fs.listStatus(base):
+            inside = [entry, *(fs.listStatus(entry.getPath()) if entry.isDirectory() else [])]
+            if max(s.getModificationTime() for s in inside) < limit and fs.delete(entry.getPath(), True):
+                gone.append(entry.getPath().toString())
+    return gone
+
+
 def scoped(job):
     """A job whose first argument is the session and whose result is a written table or a message."""
     @functools.wraps(job)

@@ -319,12 +319,12 @@ def candidate_rows(inputs, start: dt.date, end: dt.date, p: P.Rule710Params = P.
                       F.col("text").alias("_a_text")).distinct())
     created = (created_lines(week.status_rows)
                .select(F.col("line_key").alias("_r_line"), F.col("qty").alias("_r_qty")).distinct())
-    frame = materialize(frame.join(nodes, F.col("ship_node") == F.col("_sn"))
-                             .join(audits, F.col("_o_key") == F.col("_a_key"), "left")
-                             .join(created, F.col("line_key") == F.col("_r_line")))
-    cancels = (latest_cancel(inputs, frame.select(F.col("chain_line_key").alias("line_key")))
+    slice_ = materialize(frame.join(nodes, F.col("ship_node") == F.col("_sn"))
+                              .join(audits, F.col("_o_key") == F.col("_a_key"), "left")
+                              .join(created, F.col("line_key") == F.col("_r_line")))
+    cancels = (latest_cancel(inputs, slice_.select(F.col("chain_line_key").alias("line_key")))
                .drop("OMS_ORDER_CANCEL_QTY").distinct())
-    frame = frame.join(cancels, F.col("chain_line_key") == F.col("OMS_ORDER_LINE_KEY"), "left")
+    frame = slice_.join(cancels, F.col("chain_line_key") == F.col("OMS_ORDER_LINE_KEY"), "left")
     demand_qty = F.coalesce(F.col("_r_qty"), F.col("orig_qty"))
     cand = frame.select(
         "line_key", F.col("_o_date").alias("ORDER_DATE"), "STATUS_DATE", "PO_ORDER_NO", "ORDER_NO",
@@ -335,7 +335,7 @@ def candidate_rows(inputs, start: dt.date, end: dt.date, p: P.Rule710Params = P.
         F.col("_a_code").alias("OMS_ORDER_AUDIT_RESN_CODE"), F.col("_a_text").alias("OMS_ORDER_AUDIT_RESN_TEXT"),
         "OMS_ORDER_CANCEL_RESN_CODE", "OMS_ORDER_CANCEL_RESN_NOTE",
         F.col("_sn").alias("OMS_SHIP_NODE_KEY"), F.col("node_desc").alias("OMS_SHIP_NODE_DESC"))
-    costs = unit_cost(inputs, materialize(frame.select(F.col("PO_ORDER_NO").alias("po_no")).distinct()))
+    costs = unit_cost(inputs, slice_.select(F.col("PO_ORDER_NO").alias("po_no")))
     # Rows without a PO can't match; they stay out of the join's shuffle.
     priced = cand.filter(F.col("PO_ORDER_NO").isNotNull()).join(
         costs, (F.col("PO_ORDER_NO") == F.col("PO_NO")) & (F.col("OMS_ITEM_ID") == F.col("ARTICLE_NO")), "left")

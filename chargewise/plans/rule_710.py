@@ -172,9 +172,11 @@ def prepare_week(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT)
 def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Top-status rows over the whole history, or over the window's lines."""
     if start is None:
-        # Only rows at some schedule's latest time can be top rows; they are found and written before lines and
-        # orders are joined, so a copy of the whole joined history is never made.
-        return rank_top_status(inputs, with_line_and_order(inputs, materialize(competing(inputs["rel_status"]))))
+        # Only rows at some schedule's latest time can be top rows. They are found in a copy of the status rows' own
+        # columns, so the history is read once, and lines and orders are joined to them alone. (Week by week,
+        # `plans.top_state` does without the copy.)
+        rows = materialize(competing(materialize(inputs["rel_status"])))
+        return rank_top_status(inputs, with_line_and_order(inputs, rows))
     return prepare_week(inputs, start, end).top
 
 

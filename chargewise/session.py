@@ -68,7 +68,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir() if context is not None else None
     folder = configured or current or _fallback_dir
     if not folder:
-        if not str(spark.conf.get("spark.master", "")).startswith("local"):
+        if str(spark.conf.get("spark.master", "")).split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = _fallback_dir = tempfile.mkdtemp(prefix="chargewise-ckpt-")
     if context is not None and not current:

@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick automaton finds every anchor of a text in a single pass: at-signs, URL schemes,
-identifier cues, plus signs and digits. At each anchor a small deterministic parser expands to the
+identifier cues (in any case), plus signs and digits. At each anchor a small deterministic parser expands to the
 left and right, finds the boundary and validates what it holds. Parsers never rescan what an earlier
 expansion of their kind has covered, so the work is linear in the text.
 
@@ -29,7 +29,7 @@ SCHEMES = ("http://", "https://", "ftp://", "www.")
 IBAN_CUES = ("iban",)
 ACCOUNT_CUES = ("account", "acct", "konto", "compte", "cuenta", "ssn", "social security")
 SECRET_CUES = ("password=", "passwd=", "api_key=", "apikey=", "secret=", "token=")
-STREET_WORDS = ("Street", "Avenue", "Road", "Lane", "Drive", "Boulevard")
+STREET_WORDS = ("street", "avenue", "road", "lane", "drive", "boulevard", "st", "ave", "rd", "ln", "dr", "blvd")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -38,10 +38,11 @@ _DIGITS = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s\"'<>()\[\]{}]+")
-_HOST = re.compile(r"(?:https?://|ftp://)?(?:[^/@\s]*@)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?(?=[/?#]|$)")
+_HOST = re.compile(r"(?:(?i:https?|ftp)://)?(?:[^/@\s]*@)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?(?=[/?#]|$)")
 _IBAN = re.compile(r"[\s:#.]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
 _ACCOUNT = re.compile(r"(?i:s)?(?: ?(?i:no|number|nr|num)\b\.?)?[\s:#]{1,4}([0-9]{6,17}|[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9A-Za-z-])")
 _SECRET = re.compile(r"[^\s\"'<>,;]{6,}")
+_ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 _HOUSE = re.compile(r"([0-9]{1,5} (?:[A-Z][a-z]{1,24} ){1,4})$")
 
 
@@ -56,8 +57,7 @@ def _automaton():
     for parser, words in (("url", SCHEMES), ("iban", IBAN_CUES), ("account", ACCOUNT_CUES),
                           ("secret", SECRET_CUES), ("address", STREET_WORDS)):
         for word in words:
-            for form in {word, word.capitalize(), word.upper()} if parser != "address" else {word}:
-                found.add_word(form, (parser, len(form)))
+            found.add_word(word, (parser, len(word)))
     found.make_automaton()
     return found
 
@@ -95,7 +95,8 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
         done[kind] = end
         found.append((start, kind, end))
 
-    for last, (parser, length) in _automaton().iter(text):
+    # Anchors in any case: the automaton reads a copy with A-Z lowered, place by place; the parsers read the text.
+    for last, (parser, length) in _automaton().iter(text.translate(_ASCII_LOWER)):
         at = last - length + 1
         if parser == "digit":
             # A base pattern that fails at the start of a digit run fails within the run as well.
@@ -134,7 +135,7 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
                 keep(6, *m.span(1))
         elif parser == "address":
             before = text[max(done[7], at - 120, 0):at]
-            if not text[last + 1:last + 2].isalnum() and (m := _HOUSE.search(before)) is not None:
+            if "A" <= text[at] <= "Z" and not text[last + 1:last + 2].isalnum() and (m := _HOUSE.search(before)) is not None:
                 keep(7, at - len(m[1]), last + 1)
         elif parser == "secret":
             if at >= done[8] and (m := _SECRET.match(text, last + 1)) is not None:

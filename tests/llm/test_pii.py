@@ -51,6 +51,12 @@ def test_kinds_that_the_method_adds():
     assert ("account", "123-45-6789") in found("ssn 123-45-6789")
     assert ("address", "221 Baker Street") in found("He lives at 221 Baker Street in London")
     assert ("secret", "hunter22") in found("password=hunter22;")
+    assert ("account", "123-45-6789") in found("Social Security 123-45-6789")
+    assert ("secret", "hunter22") in found("Api_Key=hunter22")
+    assert ("url", "HtTps://example.com") in found("HtTps://example.com")
+    assert ("address", "12 Elm St") in found("at 12 Elm St.") and ("address", "9 Oak Hill Blvd") in found("9 Oak Hill Blvd, Ohio")
+    assert not any(k == "address" for k, _ in found("12 Elm Stone, 7 Days st and 5 Birds Drift"))
+    assert found("İ Straße 10 Kelvin K 221 Baker Street")[-1] == ("address", "221 Baker Street")     # places don't shift
 
 
 def test_awkward_rows(awkward, empty):

@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,11 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def chunk_name(number: int) -> str:
+    """Name of a task's chunk: the same at every attempt, so what is computed again after a lost executor fits what was sent."""
+    return f"{TaskContext.get().partitionId():08x}-{number:06x}"
+
+
 def texts_of(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns and nothing else; a null text counts as the empty text."""
     return bounded(docs).select(*[F.col(c) for c in columns], F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -42,7 +42,6 @@ _HOST = re.compile(r"(?:(?i:https?|ftp)://)?(?:[^/@\s]*@)?[A-Za-z0-9-]+(?:\.[A-Z
 _IBAN = re.compile(r"[\s:#.]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
 _ACCOUNT = re.compile(r"(?i:s)?(?: ?(?i:no|number|nr|num)\b\.?)?[\s:#]{1,4}([0-9]{6,17}|[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9A-Za-z-])")
 _SECRET = re.compile(r"[^\s\"'<>,;]{6,}")
-_ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 _HOUSE = re.compile(r"([0-9]{1,5} (?:[A-Z][a-z]{1,24} ){1,4})$")
 
 
@@ -57,11 +56,15 @@ def _automaton():
     for parser, words in (("url", SCHEMES), ("iban", IBAN_CUES), ("account", ACCOUNT_CUES),
                           ("secret", SECRET_CUES), ("address", STREET_WORDS)):
         for word in words:
-            found.add_word(word, (parser, len(word)))
+            found.add_word(f" {word}" if parser == "address" else word, (parser, len(word)))
     found.make_automaton()
     return found
 
 
+def _lowered(text: str) -> str:
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -96,7 +99,7 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
         found.append((start, kind, end))
 
     # Anchors in any case: the automaton reads a copy with A-Z lowered, place by place; the parsers read the text.
-    for last, (parser, length) in _automaton().iter(text.translate(_ASCII_LOWER)):
+    for last, (parser, length) in _automaton().iter(_lowered(text)):
         at = last - length + 1
         if parser == "digit":
             # A base pattern that fails at the start of a digit run fails within the run as well.

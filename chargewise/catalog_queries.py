@@ -21,7 +21,7 @@ from chargewise.operators.working_set import materialize, remove
 from chargewise.params import TestDataParams
 from chargewise.plans import combine, families, rule_702, rule_706, rule_710, runlog, top_state
 from chargewise.session import ensure_checkpoint_dir, tune
-from chargewise.sources import sinks
+from chargewise.sources import layout, sinks
 from chargewise.sources.inputs import reviewer_file
 from chargewise.sources.tpch import TEST_AS_OF, TEST_WINDOW, full_list_inputs, staged_tpch_inputs
 
@@ -150,6 +150,15 @@ def _weekly_top(inputs) -> DataFrame:
     return rule_710.report(rule_710.top_status_of(inputs, state))
 
 
+def _by_date(inputs, *relations: str):
+    """The inputs with these histories stored by month."""
+    spark = inputs[relations[0]].sparkSession
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-work/by-date-{uuid.uuid4().hex}"
+    for relation in relations:
+        layout.write_by_date(inputs[relation], relation, f"{root}/{relation}", "month")
+    return layout.with_dates(inputs, {r: f"{root}/{r}" for r in relations}, spark)
+
+
 def _without_ids(inputs) -> DataFrame:
     """W4: feeds without an id column; the rows are numbered."""
     feeds = {"702": feed_702(inputs).drop("PO_NUMBER"), "710": feed_710(inputs).drop("PO_NUMBER")}
@@ -164,6 +173,9 @@ def _from_lineage(inputs) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_702": _q(feed_702),
+    "rule_702_by_date": _q(lambda i: feed_702(_by_date(i, "fsc"))),
+    "rule_706_input_by_date": _q(lambda i: rule_706.bol_input(_by_date(i, "ltl"), START, END)),
+    "rule_710_by_date": _q(lambda i: feed_710(_by_date(i, "rel_status"))),
     "rule_706_input": _q(lambda i: rule_706.bol_input(i, START, END)),
     "rule_706": _q(feed_706),
     "top_status": _q(rule_710.top_status_report),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,6 +46,31 @@ def ts_within(col: Column, start: dt.date, end: dt.date) -> Column:
     return (col >= lo) & (col < hi)
 
 
+# Names of the partition columns by which a history may be stored: the date column's name and one of these.
+PARTITION_UNITS = ("day", "month")
+
+
+def partition_date(column: str, unit: str) -> Column:
+    """The value of the partition column `<column>_<unit>`: the row's day, or the first day of its month."""
+    if unit not in PARTITION_UNITS:
+        raise ValueError(f"histories are stored by {' or '.join(PARTITION_UNITS)}, not by {unit!r}")
+    return F.to_date(column) if unit == "day" else F.trunc(F.to_date(column), "month")
+
+
+def rows_in(history: DataFrame, column: str, start: dt.date, end: dt.date) -> DataFrame:
+    """The rows whose DATE or timestamp `column` falls in the window, both days included.
+
+    Where the history is stored by that date (it has `<column>_day` or `<column>_month`), the window also bounds the
+    partition column, so other partitions are not listed or opened; the bounds on the raw column decide in either case.
+    """
+    holds = within if dict(history.dtypes)[column] == "date" else ts_within
+    rows = history.filter(holds(F.col(column), start, end))
+    for unit, first in zip(PARTITION_UNITS, (start, start.replace(day=1))):
+        if f"{column}_{unit}" in history.columns:
+            rows = rows.filter(within(F.col(f"{column}_{unit}"), first, end))
+    return rows
+
+
 def audit_stamp(as_of: dt.date | None) -> Column:
     """Run date as 'yyyyMMdd' text; today's date when no run date is given."""
     day = F.current_date() if as_of is None else F.lit(as_of)

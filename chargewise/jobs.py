@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from chargewise import params as P
 from chargewise import schemas
-from chargewise.functions.dates import previous_week, ts_within
+from chargewise.functions.dates import previous_week, rows_in
 from chargewise.operators.working_set import expire, materialize, scoped
 from chargewise.plans import combine, rule_702, rule_706, rule_710, runlog, top_state
 from chargewise.session import tune
@@ -137,7 +137,7 @@ def run_top_state(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = N
         if state is None:
             state = top_state.competing(audit.read(history))
         else:
-            week = audit.read(history.filter(ts_within(F.col("status_ts"), start, end)))
+            week = audit.read(rows_in(history, "status_ts", start, end))
             state = top_state.merged(state, week, history)
         return _publish(run, schemas.conform(state, schemas.INPUTS["rel_status"]), schemas.INPUTS["rel_status"])
 

@@ -34,7 +34,7 @@ def expedited_audit(inputs, start: dt.date, end: dt.date,
     # first, their real size decides between broadcasting them against the line
     # and invoice histories and a shuffled join (with bloom-filtered history scans).
     # A parcel without a tracking number has no invoice, so nothing can charge it.
-    window = audit.read(inputs["fsc"].filter(dates.within(F.col("order_date"), start, end)))
+    window = audit.read(dates.rows_in(inputs["fsc"], "order_date", start, end))
     freight = materialize(audit.exclude(window, F.col("po").isNotNull() & F.col("trk").isNotNull(), "no PO or tracking number")
                           .select("po", "order_no", "order_date", "line_key", "scac", "trk", "trans_amt"))
     # Left join + a filter on the line's service code = inner join.

@@ -32,7 +32,7 @@ def bol_input(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT) ->
     each side first and multiplying by the header count gives the same
     numbers without building the product.
     """
-    headers = materialize(audit.read(inputs["ltl"].filter(dates.within(F.col("pickup_date"), start, end)))
+    headers = materialize(audit.read(dates.rows_in(inputs["ltl"], "pickup_date", start, end))
                           .groupBy("pro_no")
                           .agg(F.count(F.lit(1)).alias("n_head"),
                                F.max("ltl_po_no").alias("po_max"),

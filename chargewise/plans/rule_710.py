@@ -60,7 +60,7 @@ TOP_STATUS_COLUMNS = {
 
 def lines_active_in(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT) -> DataFrame:
     """Line keys with at least one release-status row dated in the window."""
-    window = audit.read(inputs["rel_status"].filter(dates.ts_within(F.col("status_ts"), start, end)))
+    window = audit.read(dates.rows_in(inputs["rel_status"], "status_ts", start, end))
     return window.select("line_key").distinct()
 
 

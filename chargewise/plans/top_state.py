@@ -34,7 +34,7 @@ def competing(rows: DataFrame) -> DataFrame:
 def merged(state: DataFrame, new_rows: DataFrame, history: DataFrame) -> DataFrame:
     """The state with the rows of another window. `history`: all status rows, those of the window too; it is read only for
     the lines of late rows."""
-    new_rows = materialize(new_rows)
+    new_rows = materialize(new_rows.select(*state.columns))       # without the partition column of a history stored by date
     through = state.agg(F.max("status_ts")).first()[0]
     if through is None:
         return competing(new_rows)

@@ -59,6 +59,9 @@ INPUTS: dict[str, T.StructType] = {
                      ("VIOLATE_FLAG", S), ("PICKUP_DATE", D)),
 }
 
+# The date of each relation that a reporting window bounds.
+WINDOW_DATE: dict[str, str] = {"rel_status": "status_ts", "fsc": "order_date", "ltl": "pickup_date"}
+
 # The warehouse's name of each column.
 SOURCE_COLUMNS: dict[str, dict[str, str]] = {
     "fsc": {"po": "PO_ORDER_NO", "order_no": "ORDER_NO", "order_date": "ORDER_DATE", "line_key": "ORDER_LINE_KEY",

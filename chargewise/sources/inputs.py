@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chargewise import schemas
+from chargewise.functions.dates import PARTITION_UNITS
 
 
 class Inputs(Mapping[str, DataFrame]):
@@ -49,7 +50,10 @@ class Inputs(Mapping[str, DataFrame]):
 
 
 def named(df: DataFrame, relation: str) -> DataFrame:
-    """The relation's columns under their short names and declared types, found by source or short name."""
+    """The relation's columns under their short names and declared types, found by source or short name.
+
+    The partition column of a history stored by date (`sources.layout.write_by_date`) stays.
+    """
     have = {c.lower(): c for c in df.columns}
     columns, absent = [], []
     for f in schemas.INPUTS[relation].fields:
@@ -61,7 +65,8 @@ def named(df: DataFrame, relation: str) -> DataFrame:
             columns.append(F.col(f"`{found}`").cast(f.dataType).alias(f.name))
     if absent:
         raise ValueError(f"relation {relation}: no column for {', '.join(absent)}; it has {', '.join(df.columns)}")
-    return df.select(*columns)
+    date = schemas.WINDOW_DATE.get(relation)
+    return df.select(*columns, *[c for c in df.columns if c in {f"{date}_{unit}" for unit in PARTITION_UNITS}])
 
 
 def catalog_inputs(spark: SparkSession, tables: Mapping[str, str]) -> Inputs:

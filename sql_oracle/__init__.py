@@ -643,7 +643,9 @@ def build(final: str, instead: dict[str, str] | None = None) -> str:
 
 def oracle_sql() -> dict[str, str]:
     full = {f"{name}_full_lists": build(FINAL[name], FULL_LISTS) for name in ("rule_702", "rule_710")}
-    return {name: build(sql) for name, sql in FINAL.items()} | full
+    # How a history is stored changes no row.
+    by_date = {f"{name}_by_date": build(FINAL[name]) for name in ("rule_702", "rule_706_input", "rule_710")}
+    return {name: build(sql) for name, sql in FINAL.items()} | full | by_date
 
 
 def adapter_sql(name: str) -> str:

@@ -11,13 +11,13 @@ grows with the scale factor.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
 import threading
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -54,12 +54,12 @@ def _lines(li: DataFrame) -> DataFrame:
 
     (order, line number) is not unique in the test data: the line id `lid` is the line number, with
     the row's place among its namesakes where there are several. Rows equal in all these columns are
-    interchangeable.
+    interchangeable. Dealt by the order alone, the rows can meet their orders without another shuffle.
     """
     own = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"]
     place = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*own))
     number = _k(F.col("l_linenumber"))
-    return li.select("l_orderkey", "l_linenumber", *own, place.alias("r")).select(
+    return li.repartition("l_orderkey").select("l_orderkey", "l_linenumber", *own, place.alias("r")).select(
         F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("n"),
         F.when(F.col("r") > 1, F.concat(number, F.lit("."), _k(F.col("r")))).otherwise(number).alias("lid"),
         F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk"),
@@ -76,17 +76,46 @@ def _trk(ok: Column, lid: Column) -> Column:
     return F.concat(F.lit("TRK"), _k(ok), F.lit("-"), lid)
 
 
-def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    t = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TEST_TABLES}
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TEST_TABLES}
+
+
+def _wide_lines(t: dict[str, DataFrame]) -> DataFrame:
+    """The lines with the orders (`o`) and parts (`p`) of their keys as arrays: one row per line whatever it meets.
+
+    Written once, every relation of lines is a scan of it, and exploding an array is the inner join on its key.
+    """
+    orders = t["orders"].filter(F.col("o_orderkey").isNotNull()).groupBy("o_orderkey").agg(
+        F.collect_list(F.struct("o_orderstatus", "o_orderdate", "o_orderpriority")).alias("o"))
+    part = t["part"].filter(F.col("p_partkey").isNotNull()).groupBy("p_partkey").agg(
+        F.collect_list(F.struct("p_size", F.col("p_retailprice").cast(MONEY).alias("price"))).alias("p"))
     ln = _lines(t["lineitem"])
+    return (ln.join(orders, ln.ok == orders.o_orderkey, "left").join(part, ln.pk == part.p_partkey, "left")
+              .drop("o_orderkey", "p_partkey"))
+
+
+def tpch_inputs(spark: SparkSession, sf_dir: str, lines: Callable[[], DataFrame] | None = None) -> Inputs:
+    """The relations; `lines` gives `_wide_lines` as written."""
+    t = _tables(spark, sf_dir)
+    wide = (lines or functools.cache(lambda: _wide_lines(t)))
+
+    def ln() -> DataFrame:
+        return wide().drop("o", "p")
+
+    def with_matches(*arrays: str) -> DataFrame:
+        """Lines joined to their orders (`o`) or parts (`p`)."""
+        frame = wide()
+        for a in arrays:
+            frame = frame.withColumn(a, F.explode(a))
+        return frame.select("ok", "n", "lid", "pk", "sk", "qty", "amt", "disc", "tax", "rf", "sd", *[f"{a}.*" for a in arrays])
+
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
                                 "o_orderpriority")
-    part = t["part"].select("p_partkey", "p_size", F.col("p_retailprice").cast(MONEY).alias("price"))
     po_orders = orders.filter(F.col("o_orderstatus") != "O")
 
     def time_dim():
         return (orders.select(F.to_date("o_orderdate").alias("cal_date"))
-                .union(ln.select(F.col("sd").alias("cal_date"))).distinct())
+                .union(ln().select(F.col("sd").alias("cal_date"))).distinct())
 
     def oms_order():
         key = _k(F.col("o_orderkey"))
@@ -99,8 +128,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         return c.unionByName(p)
 
     def oms_line():
-        base = (ln.join(orders, ln.ok == orders.o_orderkey)
-                  .join(part, ln.pk == part.p_partkey))
+        base = with_matches("o", "p")
         prio = F.col("o_orderpriority")
         common = [
             _k(F.col("pk")).alias("item_id"),
@@ -132,7 +160,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
                                     F.col("s_name").alias("node_desc"))
 
     def rel_status():
-        p = ln.join(po_orders, ln.ok == po_orders.o_orderkey)
+        p = with_matches("o").filter(F.col("o_orderstatus") != "O")
         line_key = F.concat(F.lit("P"), _k(F.col("ok")), F.lit("-"), F.col("lid"))
         order_key = F.concat(F.lit("P"), _k(F.col("ok")))
         scheds = F.when(F.col("n") % 3 == 0, F.array(F.lit("1"), F.lit("2"))).otherwise(F.array(F.lit("1")))
@@ -177,7 +205,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
             F.when(cust % 5 == 2, "x Closed for Federal Holiday y").when(cust % 5 == 3, "hello").alias("txt"))
 
     def cancel_line():
-        r = ln.filter(F.col("rf") == "R")
+        r = ln().filter(F.col("rf") == "R")
         sk, pk = F.col("sk"), F.col("pk")
         cols = [_c_line_key(F.col("ok"), F.col("lid")).alias("line_key"),
                 F.col("qty").alias("cancel_qty"),
@@ -189,7 +217,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         return first.unionByName(second)
 
     def po_line():
-        return (ln.join(part, ln.pk == part.p_partkey).filter(F.col("pk") % 9 != 0)
+        return (with_matches("p").filter(F.col("pk") % 9 != 0)
                   .select(F.concat(F.lit("PO-"), _k(F.col("ok"))).alias("po_no"),
                           _k(F.col("pk")).alias("article_no"), "price",
                           F.col("sd").alias("deliv_date"),
@@ -203,7 +231,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
     def fsc():
         ok, n, lid = F.col("ok"), F.col("n"), F.col("lid")
-        return ln.select(
+        return ln().select(
             F.when(ok % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("PO-"), _k(ok))).alias("po"),
             F.concat(F.lit("SO-"), _k(ok)).alias("order_no"),
             F.col("sd").alias("order_date"),
@@ -216,13 +244,13 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
     def fdx():
         pk = F.col("pk")
-        return ln.filter(F.col("rf") == "A").select(
+        return ln().filter(F.col("rf") == "A").select(
             _trk(F.col("ok"), F.col("lid")).alias("trk"),
             F.when(pk % 4 == 0, "FedEx Ground").when(pk % 4 == 1, "FedEx 2Day")
              .when(pk % 4 == 2, "Standard Overnight").alias("svc"))
 
     def ups():
-        return ln.filter(F.col("rf") != "A").select(
+        return ln().filter(F.col("rf") != "A").select(
             _trk(F.col("ok"), F.col("lid")).alias("trk"), _k(F.col("pk") % 12).alias("zone"))
 
     def ltl():
@@ -235,7 +263,7 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         return first.unionByName(first.filter(F.col("pro_no").endswith("-5")))
 
     def ltl_yw():
-        return ln.select(_trk(F.col("ok"), F.col("lid")).alias("pro_no"),
+        return ln().select(_trk(F.col("ok"), F.col("lid")).alias("pro_no"),
                          F.col("amt").alias("gross"),
                          _nullif(F.col("tax"), 0.08).cast(MONEY).alias("fuel"),
                          (F.col("disc") * 100).cast(MONEY).alias("acc"),
@@ -259,14 +287,11 @@ def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return inputs
 
 
-# Relations that are derived from other staged relations are written last.
-_STAGE_ORDER = tuple(n for n in schemas.INPUTS if n != "flags") + ("flags",)
 # Histories the jobs filter by a date window are stored clustered by that date,
 # so parquet row-group statistics let the pushed window filters skip data.
 _CLUSTER_BY = {"rel_status": "status_ts", "fsc": "order_date", "ltl": "pickup_date"}
-_LAYOUT_VERSION = "3"
-_staged: dict[str, str] = {}
-_stage_lock = threading.Lock()
+_LAYOUT_VERSION = "4"
+_stage_lock = threading.RLock()      # staging `flags` stages what it is made of
 
 
 def _source_signature(sf_dir: str) -> str:
@@ -275,37 +300,41 @@ def _source_signature(sf_dir: str) -> str:
 
 
 def staged_tpch_inputs(spark: SparkSession, sf_dir: str, root: str | None = None) -> Inputs:
-    """The adapter relations written once as parquet tables, then read back.
+    """The adapter relations, each written as a parquet table when it is first asked for, then read back.
 
     In production the rules read warehouse tables; staging the derived test
     relations the same way keeps each query's plan a plan over table scans
     (with pushdown and size statistics) instead of re-deriving every relation
-    at each use. The folder lives under the cluster's checkpoint directory
+    at each use. The lines with their orders and parts are written before the first relation that
+    reads them, so `lineitem` is shuffled once. The folder lives under the cluster's checkpoint directory
     and is keyed by the source folder and by this process alone, so neither another process nor an
     earlier one (whatever its pid or adapters) shares it.
     """
     root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/chargewise-inputs"
     target = f"{root}/{_source_signature(sf_dir)}-{RUN_FOLDER}"
-    with _stage_lock:
-        if _staged.get(target) != "done":
-            derived = tpch_inputs(spark, sf_dir)
-            staged = parquet_inputs(spark, target)
-
-            def write(name: str) -> None:
-                path = f"{target}/{name}"
-                if _is_written(spark, path):
-                    return
-                frame = derived[name] if name != "flags" else tpch_inputs_flags(staged)
-                if name in _CLUSTER_BY:
-                    frame = frame.sortWithinPartitions(_CLUSTER_BY[name])
-                frame.write.mode("overwrite").parquet(path)
-
-            # The base relations are independent Spark jobs: submit them side by side.
-            with ThreadPoolExecutor(max_workers=4) as pool:
-                list(pool.map(inheritable_thread_target(spark)(write), [n for n in _STAGE_ORDER if n != "flags"]))
-            write("flags")
-            _staged[target] = "done"
-    return parquet_inputs(spark, target)
+
+    def written(name: str, frame: Callable[[], DataFrame]) -> str:
+        path = f"{target}/{name}"
+        with _stage_lock:
+            if not _is_written(spark, path):
+                frame().write.mode("overwrite").parquet(path)
+        return path
+
+    def lines() -> DataFrame:
+        return spark.read.parquet(written("_lines", lambda: _wide_lines(_tables(spark, sf_dir))))
+
+    derived = tpch_inputs(spark, sf_dir, functools.cache(lines))
+
+    def relation(name: str) -> DataFrame:
+        frame = derived[name] if name != "flags" else tpch_inputs_flags(staged)
+        return frame.sortWithinPartitions(_CLUSTER_BY[name]) if name in _CLUSTER_BY else frame
+
+    def load(name: str) -> DataFrame:
+        written(name, lambda: relation(name))
+        return parquet_inputs(spark, target)[name]
+
+    staged = Inputs({name: functools.partial(load, name) for name in schemas.INPUTS})
+    return staged
 
 
 def tpch_inputs_flags(staged: Inputs) -> DataFrame:

@@ -53,6 +53,11 @@ TOP_STATUS_COLUMNS = {
     "OMS_DOC_TYPE": "doc_type",
 }
 
+# The columns of a top-status row, and those of them that the rule reads.
+RANKED_COLUMNS = ("status", "descr", "order_no", "item_id", "line_key", "status_ts", "status_key", "sched", "release_key",
+                  "order_key", "qty", "doc_type")
+NARROW_COLUMNS = ("status", "descr", "line_key", "status_ts", "qty")
+
 
 # ---------------------------------------------------------------------------
 # Shared sub-results
@@ -82,7 +87,7 @@ def with_line_and_order(inputs, status_rows: DataFrame, how: str = "inner",
                        .join(orders, F.col("order_key") == F.col("_ord_key"), how))
 
 
-def rank_top_status(inputs, rows: DataFrame) -> DataFrame:
+def rank_top_status(inputs, rows: DataFrame, narrow: bool = False) -> DataFrame:
     """Per PO line: the status rows with the greatest status code among the rows
     sitting at some schedule's latest timestamp (ties kept).
 
@@ -91,7 +96,13 @@ def rank_top_status(inputs, rows: DataFrame) -> DataFrame:
     the latest timestamp of any schedule of its line; it appears once per such
     schedule (the join is on line and timestamp, not on the schedule). Lines
     whose order date is not on the calendar have no latest timestamp and drop out.
+
+    `narrow`: only `NARROW_COLUMNS` of the top rows are asked for. The rows are written before each of the two steps that
+    read them twice, which would repeat the joins behind them.
     """
+    columns = NARROW_COLUMNS if narrow else RANKED_COLUMNS
+    if narrow:
+        rows = materialize(rows.select("status", "line_key", "status_ts", "order_key", "sched", "qty", "_ol_ts"))
     latest = (joins.on_calendar(rows, F.to_date("_ol_ts"), inputs["time_dim"])
               .groupBy(F.col("order_key").alias("_m_order"), F.col("line_key").alias("_m_line"),
                        F.col("sched").alias("_m_sched"))
@@ -100,12 +111,9 @@ def rank_top_status(inputs, rows: DataFrame) -> DataFrame:
                 .select(F.col("status").alias("_st"), "descr"))
     ranked = (rows.join(latest, (F.col("line_key") == F.col("_m_line")) & (F.col("status_ts") == F.col("_m_ts")))
                   .join(statuses, F.col("status") == F.col("_st"))
-                  .select("status", "descr", "order_no", "item_id", "line_key", "status_ts", "status_key",
-                          "_m_sched", "release_key", "order_key", "qty", "doc_type"))
-    top = top_ties(ranked, ["line_key"], "status")
-    return top.select(F.lit(1).alias("rco"), "status", "descr", "order_no", "item_id", "line_key",
-                      "status_ts", "status_key", F.col("_m_sched").alias("sched"), "release_key",
-                      "order_key", "qty", "doc_type")
+                  .select(*[F.col("_m_sched").alias(c) if c == "sched" else F.col(c) for c in columns]))
+    top = top_ties(materialize(ranked) if narrow else ranked, ["line_key"], "status")
+    return top.select(F.lit(1).alias("rco"), *columns)
 
 
 @dataclass
@@ -117,7 +125,8 @@ class Week:
     without a row in the window cannot have a top row there; keeping whole
     lines keeps maxima and ranks exact. `lines_slice` / `orders_slice`: the
     order lines of those status rows and every order they refer to (own,
-    chained), cut from the histories once. `top`: the lines' top-status rows.
+    chained), cut from the histories once. `top`: the lines' top-status rows; `matched`: the status rows
+    with their line and order, from which the top rows are ranked.
     """
 
     inputs: object
@@ -127,6 +136,7 @@ class Week:
     top: DataFrame
     lines_slice: DataFrame | None = None
     orders_slice: DataFrame | None = None
+    matched: DataFrame | None = None
     materialized: bool = True
     _lines: DataFrame | None = field(default=None, repr=False)
 
@@ -136,7 +146,8 @@ class Week:
     def lines(self) -> DataFrame:
         """In-window top rows with their line, PO order and chained order (built once)."""
         if self._lines is None:
-            rows = self.top_in_window().select(
+            top = self.top if self.matched is None else rank_top_status(self.inputs, self.matched, narrow=True)
+            rows = top.filter(dates.ts_within(F.col("status_ts"), self.start, self.end)).select(
                 "line_key", F.to_date("status_ts").alias("STATUS_DATE"), "status", "descr",
                 F.col("qty").alias("STATUS_QTY"))
             frame = _line_order_frame(self.inputs, rows, self.lines_slice, self.orders_slice)
@@ -166,7 +177,7 @@ def prepare_week(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT)
     orders = materialize(joins.exists_in(inputs["oms_order"], order_keys, "order_key", "k", written=True))
     status_rows = with_line_and_order(inputs, active, "left", lines, orders)
     matched = status_rows.filter(F.col("_ol_line").isNotNull() & F.col("_ord_key").isNotNull())
-    return Week(inputs, start, end, active, rank_top_status(inputs, matched), lines, orders)
+    return Week(inputs, start, end, active, rank_top_status(inputs, matched), lines, orders, matched)
 
 
 def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:

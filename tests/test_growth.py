@@ -1,12 +1,13 @@
-"""What the rules over larger tables shuffle and write: histories are staged once and on demand."""
+"""What the rules over larger tables shuffle and write: histories staged once and on demand, pruned before a shuffle, ranked narrow."""
 
 import os
 
 from pyspark.sql import functions as F
 
 from chargewise import catalog_queries as CQ
+from chargewise.plans import rule_710
 from chargewise.sources.tpch import staged_tpch_inputs, tpch_inputs
-from tests.conftest import SF_SMALL, rows
+from tests.conftest import SF_ORACLE, SF_SMALL, rows
 from tools.plans import plan_text
 
 
@@ -44,3 +45,22 @@ def test_lines_meet_every_order_and_part_of_their_key(spark, tmp_path):
     assert rows(got["po_line"].groupBy("article_no").count()) == rows(
         li.join(part, F.col("l_partkey") == F.col("p_partkey")).filter("l_partkey % 9 <> 0")
           .groupBy(F.col("l_partkey").cast("string").alias("article_no")).count())
+
+
+def test_a_history_of_some_hundred_megabytes_is_pruned_before_its_shuffle(spark):
+    CQ.inputs_for(spark, SF_SMALL)
+    size = spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold")
+    assert spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size) <= 100 << 20
+
+
+def test_the_window_is_ranked_in_the_columns_the_rule_reads(spark, monkeypatch):
+    inputs = CQ.inputs_for(spark, SF_ORACLE)
+    week = rule_710.prepare_week(inputs, CQ.START, CQ.END)
+    wide, written = week.top_in_window(), []
+    original = rule_710.materialize
+    monkeypatch.setattr(rule_710, "materialize", lambda df: written.append(df.columns) or original(df))
+    narrow = rule_710.rank_top_status(inputs, week.matched, narrow=True).filter(F.col("status_ts").between(
+        F.lit(CQ.START).cast("timestamp_ntz"), F.lit(CQ.END).cast("timestamp_ntz")))
+    assert rows(narrow, *rule_710.NARROW_COLUMNS) == rows(wide, *rule_710.NARROW_COLUMNS)
+    week.lines()
+    assert len(written) == 5 and all("status_key" not in c and "release_key" not in c for c in written)

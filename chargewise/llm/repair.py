@@ -75,37 +75,100 @@ def plain_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[real], ends[real]
 
 
+class Words:
+    """Ids of words by the words' hashes: a hash table in arrays, where a whole batch is looked up at once.
+
+    Words whose places clash follow each other from there. When the table is full it is emptied, so memory is bounded.
+    """
+
+    def __init__(self, bits: int = 21, most: int = _CACHE_WORDS):
+        self.bits, self.most, self.n = bits, most, 0
+        self.keys = np.zeros(1 << bits, np.uint64)          # 0: a free place
+        self.begin, self.size = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _first(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        place = self._first(hashes)
+        found = self.keys[place]
+        place[found == 0] = -1
+        at = np.flatnonzero((found != 0) & (found != hashes))
+        while len(at):
+            place[at] = (place[at] + 1) & ((1 << self.bits) - 1)
+            found = self.keys[place[at]]
+            place[at[found == 0]] = -1
+            at = at[(found != 0) & (found != hashes[at])]
+        return place
+
+    def add(self, hashes: np.ndarray, encoded: list[bytes]) -> None:
+        """Words that the table doesn't hold, each once, with their ids."""
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) >> 2
+        ids = np.frombuffer(b"".join(encoded), "<u4")
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids[:self.used], np.zeros(self.used + 2 * len(ids), np.uint32)))
+        self.ids[self.used:self.used + len(ids)] = ids
+        begin, place, at = self.used + np.cumsum(sizes) - sizes, self._first(hashes), np.arange(len(hashes))
+        while len(at):
+            free = at[self.keys[place[at]] == 0]
+            self.keys[place[free]] = hashes[free]           # of those at one place the last stays
+            at = at[self.keys[place[at]] != hashes[at]]
+            place[at] = (place[at] + 1) & ((1 << self.bits) - 1)
+        self.begin[place], self.size[place] = begin, sizes
+        self.used, self.n = self.used + len(ids), self.n + len(hashes)
+
+    def has_room(self, n: int) -> bool:
+        return self.n + n <= self.most
+
+    def clear(self) -> None:
+        self.keys[:], self.n, self.used = 0, 0, 0
+
+
 class Encoder:
     """Ids of whole texts, as bytes (little-endian unsigned 32-bit).
 
-    The ids of words are kept, so a word seen lately isn't encoded again; when the table is full it
-    becomes the older one of two, so memory is bounded and frequent words stay.
+    The ids of words are kept (`Words`), so a word seen lately isn't encoded again.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.words = WordBpe(path)
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.known = Words()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Makes `known` hold all of `words` (distinct)."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > _CACHE_WORDS:
-            self.known, self.older = {}, self.known
-            new = words
-        kept = {w: self.older[w] for w in new if w in self.older} if self.older else {}
-        self.known.update(kept)
-        fresh = [w for w in new if w not in kept] if kept else new
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(words)
+        left = range(len(words))
         if self.words.usable:
-            short = [w for w in fresh if len(w) <= MAX_BYTES]
-            self.known.update(zip(short, self.words.encode(short)))
-            fresh = [w for w in fresh if len(w) > MAX_BYTES]
-        for w, e in zip(fresh, self.tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)):
-            ids = e.ids
-            self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
+            short = [i for i in left if len(words[i]) <= MAX_BYTES]
+            for i, ids in zip(short, self.words.encode([words[i] for i in short])):
+                out[i] = ids
+            left = [i for i in left if len(words[i]) > MAX_BYTES]
+        for i, e in zip(left, self.tokenizer.encode_batch([words[i].decode() for i in left], add_special_tokens=False)):
+            out[i] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        return out
+
+    def _places(self, raw: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[Words, np.ndarray]:
+        """A table that holds all of the words, and the place of each."""
+        known = self.known
+        place = known.find(hashes)
+        new = np.flatnonzero(place < 0)
+        if not len(new):
+            return known, place
+        distinct, first = np.unique(hashes[new], return_index=True)
+        if not known.has_room(len(distinct)):
+            known.clear()
+            distinct, first = np.unique(hashes, return_index=True)
+            new = np.arange(len(hashes))
+            if not known.has_room(len(distinct)):       # a batch of one huge text: a table of its own
+                known = Words((2 * len(distinct)).bit_length(), len(distinct))
+        first = new[first]
+        known.add(distinct, self._ids_of([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]))
+        place[new] = known.find(hashes[new])
+        return known, place
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [bool(_PLAIN.fullmatch(t)) and not (self.special and self.special.search(t)) for t in texts]
@@ -114,20 +177,18 @@ class Encoder:
                 for t, p in zip(texts, plain)]
 
     def _plain(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of plain texts: their words are told apart by hashes, each distinct one is looked up once, and ids are gathered."""
+        """Ids of plain texts: their words are told apart by hashes, each new one is encoded once, and ids are gathered."""
         raw = b"".join([t + b"\0" for t in texts])
         data = np.frombuffer(raw, np.uint8)
         if len(data) < 3:
             return [b"".join(struct.pack("<I", i) for i in self.tokenizer.encode(t.decode(), add_special_tokens=False).ids) for t in texts]
         starts, ends = plain_words(data)
-        _, first, word = np.unique(run_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        self._learn(words)
-        known = list(map(self.known.__getitem__, words))
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) >> 2
-        begin, n = np.cumsum(sizes) - sizes, sizes[word]
+        hashes = run_hashes(data, starts, ends)
+        hashes[hashes == 0] = 1
+        known, place = self._places(raw, hashes, starts, ends)
+        n = known.size[place]
         at = np.cumsum(n)
-        ids = np.frombuffer(b"".join(known), "<u4")[np.repeat(begin[word] - (at - n), n) + np.arange(int(n.sum()))].tobytes()
+        ids = known.ids[np.repeat(known.begin[place] - (at - n), n) + np.arange(int(n.sum()))].astype("<u4", copy=False).tobytes()
         # Words of each text: those that begin before its zero byte.
         stops = np.concatenate(([0], at))[np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]) - 1)].tolist()
         return [ids[4 * a:4 * b] for a, b in zip([0, *stops[:-1]], stops)]
@@ -195,15 +256,15 @@ class Grammar:
         return cls(int(first[0]), left.astype(np.int64), right.astype(np.int64), lengths.astype(np.int64), sequence.astype(np.int64))
 
 
-def _frequent_pairs(a: np.ndarray, b: np.ndarray, most: int, least: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
-    """Up to `most` of the most frequent pairs, each with `least` occurrences or more, most frequent first; and
-    each place's pair number or -1.
+def _frequent_pairs(a: np.ndarray, b: np.ndarray, most: int, least: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Up to `most` of the most frequent pairs, each with `least` occurrences or more, most frequent first; the places
+    where they stand and each such place's pair number.
 
     Pairs are counted by a hash, another one each turn; of the pairs that share a hash value one is looked
     at, by its exact count, and the others wait for another turn.
     """
     bits = 18
-    slot = (a * np.uint32(2654435761 + 2 * turn) + b * np.uint32(2246822519 - 4 * turn)) >> np.uint32(32 - bits)
+    slot = ((a * np.uint32(2654435761 + 2 * turn) + b * np.uint32(2246822519 - 4 * turn)) >> np.uint32(32 - bits)).astype(np.intp)
     counts = np.bincount(slot, minlength=1 << bits)
     top = np.argpartition(-counts, most)[:most]
     chosen = np.zeros(1 << bits, bool)
@@ -218,9 +279,10 @@ def _frequent_pairs(a: np.ndarray, b: np.ndarray, most: int, least: int, turn: i
     order = order[np.argsort(-counts[order], kind="stable")]
     number = np.full(1 << bits, -1, np.int32)
     number[order] = np.arange(len(order), dtype=np.int32)
-    place = np.full(len(a), -1, np.int32)
-    place[at[same]] = number[own[same]]
-    return pair[order], place
+    numbered = number[own]
+    numbered[~same] = -1
+    kept = numbered >= 0
+    return pair[order], at[kept], numbered[kept]
 
 
 def compress(ids: np.ndarray, pairs_per_round: int = PAIRS_PER_ROUND, max_rounds: int = MAX_ROUNDS,
@@ -233,27 +295,27 @@ def compress(ids: np.ndarray, pairs_per_round: int = PAIRS_PER_ROUND, max_rounds
     for turn in range(max_rounds):
         if len(sequence) < 2:
             break
-        pairs, place = _frequent_pairs(sequence[:-1], sequence[1:], pairs_per_round, min_count, turn)
+        pairs, at, own = _frequent_pairs(sequence[:-1], sequence[1:], pairs_per_round, min_count, turn)
         if not len(pairs):
             break
         # Take a place whose pair goes before those that overlap it; in a run of one symbol every second place.
         none = np.int32(len(pairs))
-        rank = np.concatenate(([none], np.where(place < 0, none, place), [none]))
-        own = rank[1:-1]
-        take = (own < none) & (own < rank[2:]) & (own < rank[:-2])
-        runs = (own < none) & ((own == rank[2:]) | (own == rank[:-2]))
-        if runs.any():
-            at = np.flatnonzero(runs)
-            starts = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1] + 1) | (own[at[1:]] != own[at[:-1]]))))
-            sizes = np.diff(np.append(starts, len(at)))
-            lo, hi = at[starts], at[starts] + sizes - 1
-            free = (own[lo] < rank[lo]) & (own[lo] < rank[hi + 2])
-            take[at[np.repeat(free, sizes) & ((np.arange(len(at)) - np.repeat(starts, sizes)) % 2 == 0)]] = True
-        at = np.flatnonzero(take)
+        beside = at[1:] == at[:-1] + 1
+        before = np.concatenate(([none], np.where(beside, own[:-1], none)))
+        behind = np.concatenate((np.where(beside, own[1:], none), [none]))
+        take = (own < behind) & (own < before)
+        runs = np.flatnonzero((own == behind) | (own == before))
+        if len(runs):
+            starts = np.flatnonzero(np.concatenate(([True], (at[runs[1:]] != at[runs[:-1]] + 1) | (own[runs[1:]] != own[runs[:-1]]))))
+            sizes = np.diff(np.append(starts, len(runs)))
+            lo, hi = runs[starts], runs[starts + sizes - 1]
+            free = (own[lo] < before[lo]) & (own[lo] < behind[hi])
+            take[runs[np.repeat(free, sizes) & ((np.arange(len(runs)) - np.repeat(starts, sizes)) % 2 == 0)]] = True
+        at, own = at[take], own[take]
         if not len(at):
             break
-        taken = np.bincount(place[at], minlength=len(pairs)) > 0
-        used, number = np.flatnonzero(taken), (np.cumsum(taken) - 1)[place[at]]
+        taken = np.bincount(own, minlength=len(pairs)) > 0
+        used, number = np.flatnonzero(taken), (np.cumsum(taken) - 1)[own]
         size = len(sequence)
         sequence[at] = (first + rules + number).astype(np.uint32)
         stay = np.ones(size, bool)

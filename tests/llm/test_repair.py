@@ -63,3 +63,29 @@ def test_files_hold_what_the_library_gives(spark):
 def test_awkward_rows(spark, awkward, empty):
     round_trip(spark, awkward, [r[:2] for r in AWKWARD])
     round_trip(spark, empty, [])
+
+
+def test_known_words_are_looked_up_without_sorting_them(monkeypatch):
+    """A batch whose words are all known costs a look-up in arrays: nothing is sorted or encoded again."""
+    texts = ["Some words, some more words and 17 numbers.", "words and more numbers"]
+    encoder = R.Encoder(PATH)
+    first = encoder.encode(texts)
+
+    def fail(*args, **kwargs):
+        raise AssertionError
+
+    monkeypatch.setattr(R.np, "unique", fail)
+    monkeypatch.setattr(encoder.words, "encode", fail)
+    assert encoder.encode(texts) == first
+
+
+def test_a_full_word_table_is_emptied(monkeypatch):
+    tokenizer = Tokenizer.from_file(PATH)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(300)) for _ in range(20)]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for most in (100, 700, 100_000):            # smaller than a text's words, than all words, larger
+        encoder = R.Encoder(PATH)
+        encoder.known = R.Words(10 if most < 1000 else 17, most)       # places clash
+        assert [encoder.encode([t])[0] for t in texts] == want
+        assert encoder.encode(texts) == want and encoder.known.n <= most

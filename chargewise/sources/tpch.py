@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from chargewise import params as P
 from chargewise import schemas
-from chargewise.operators.working_set import RUN_FOLDER
+from chargewise.operators.working_set import COMPRESSION, RUN_FOLDER
 from chargewise.plans import rule_706
 from chargewise.session import ensure_checkpoint_dir
 from chargewise.sources.inputs import Inputs, parquet_inputs
@@ -317,7 +317,7 @@ def staged_tpch_inputs(spark: SparkSession, sf_dir: str, root: str | None = None
         path = f"{target}/{name}"
         with _stage_lock:
             if not _is_written(spark, path):
-                frame().write.mode("overwrite").parquet(path)
+                frame().write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
         return path
 
     def lines() -> DataFrame:

@@ -1,10 +1,12 @@
 """What the rules over larger tables shuffle and write: histories staged once and on demand, pruned before a shuffle, ranked narrow."""
 
+import math
 import os
 
 from pyspark.sql import functions as F
 
 from chargewise import catalog_queries as CQ
+from chargewise.operators.working_set import materialize
 from chargewise.plans import rule_710
 from chargewise.sources.tpch import staged_tpch_inputs, tpch_inputs
 from tests.conftest import SF_ORACLE, SF_SMALL, rows
@@ -64,3 +66,20 @@ def test_the_window_is_ranked_in_the_columns_the_rule_reads(spark, monkeypatch):
     assert rows(narrow, *rule_710.NARROW_COLUMNS) == rows(wide, *rule_710.NARROW_COLUMNS)
     week.lines()
     assert len(written) == 5 and all("status_key" not in c and "release_key" not in c for c in written)
+
+
+def test_written_slices_and_staged_tables_are_compact(spark, tmp_path):
+    """zstd: snappy leaves about twice as much of keys that repeat their neighbours' beginnings."""
+    CQ.inputs_for(spark, SF_SMALL)
+    staged = staged_tpch_inputs(spark, SF_SMALL, root=str(tmp_path))
+    for df in (staged["cancel_line"], materialize(staged["cancel_line"])):
+        assert all(f.endswith(".zstd.parquet") for f in df.inputFiles())
+
+
+def test_bloom_filters_hold_the_keys_of_the_six_gigabyte_tables(spark):
+    """Few bits a key, so that small slices ship little; and 28.6 million keys (a year's parcels) still prune."""
+    CQ.inputs_for(spark, SF_SMALL)
+    root = "spark.sql.optimizer.runtime.bloomFilter."
+    items, bits = int(spark.conf.get(root + "expectedNumItems")), int(spark.conf.get(root + "numBits"))
+    hashes = max(1, round(bits / items * math.log(2)))
+    assert hashes <= 3 and (1 - math.exp(-hashes * 28.6e6 / bits)) ** hashes < 0.15

@@ -111,7 +111,7 @@ def run_rule_710(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = No
     start, end = previous_week(as_of)
     run = runlog.Run("rule_710", start, end, as_of, table)
     with runlog.logged(spark, run, log_path) as audit:
-        week = rule_710.prepare_week(inputs, start, end, audit)
+        week = rule_710.prepare_week(inputs, start, end, audit, narrow=True)
         rows = rule_710.candidate_rows(inputs, start, end, p, week, audit)
         exempt = rule_710.rule_710_exempt(inputs, start, end, p, week)
         if lineage:

@@ -57,6 +57,10 @@ TOP_STATUS_COLUMNS = {
 RANKED_COLUMNS = ("status", "descr", "order_no", "item_id", "line_key", "status_ts", "status_key", "sched", "release_key",
                   "order_key", "qty", "doc_type")
 NARROW_COLUMNS = ("status", "descr", "line_key", "status_ts", "qty")
+# What the rule reads of the status and line histories; the other columns stay out of the window's slices and their shuffles.
+STATUS_COLUMNS = ("line_key", "order_key", "sched", "status", "status_ts", "qty")
+LINE_COLUMNS = ("line_key", "order_key", "chain_order_key", "chain_line_key", "cat", "item_id", "ship_node", "unit_price",
+                "orig_qty", "order_ts")
 
 
 # ---------------------------------------------------------------------------
@@ -125,15 +129,16 @@ class Week:
     without a row in the window cannot have a top row there; keeping whole
     lines keeps maxima and ranks exact. `lines_slice` / `orders_slice`: the
     order lines of those status rows and every order they refer to (own,
-    chained), cut from the histories once. `top`: the lines' top-status rows; `matched`: the status rows
-    with their line and order, from which the top rows are ranked.
+    chained), cut from the histories once. `top`: the lines' top-status rows (None where the slices hold only
+    the columns that the rule reads); `matched`: the status rows with their line and order, from which the top
+    rows are ranked.
     """
 
     inputs: object
     start: dt.date
     end: dt.date
     status_rows: DataFrame
-    top: DataFrame
+    top: DataFrame | None
     lines_slice: DataFrame | None = None
     orders_slice: DataFrame | None = None
     matched: DataFrame | None = None
@@ -155,29 +160,33 @@ class Week:
         return self._lines
 
 
-def prepare_week(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT) -> Week:
+def prepare_week(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT, narrow: bool = False) -> Week:
     """Cut the status, line and order histories to the window's lines, then rank.
 
     Every history table is met through a semi join against a written key set
     (broadcast when small, so the history is scanned but not shuffled); the
     joins after that run on the written slices, whose real sizes the planner
-    sees.
+    sees. `narrow`: the slices hold what the rule reads, so there are no top-status
+    rows with all their columns.
     """
+    status_rows, line_rows = inputs["rel_status"], inputs["oms_line"].select(*LINE_COLUMNS)
+    if narrow:
+        status_rows = status_rows.select(*STATUS_COLUMNS)
     keys = materialize(lines_active_in(inputs, start, end, audit))
     # `keys` is a distinct set already. The status and line slices are independent
     # jobs; submitting them together lets both history scans run at once.
     write = inheritable_thread_target(keys.sparkSession)(materialize)     # threads keep the job group
     with ThreadPoolExecutor(max_workers=2) as pool:
-        active_job = pool.submit(copy_context().run, write, joins.exists_in(inputs["rel_status"], keys, "line_key", written=True))
-        lines_job = pool.submit(copy_context().run, write, joins.exists_in(inputs["oms_line"], keys, "line_key", written=True))
+        active_job = pool.submit(copy_context().run, write, joins.exists_in(status_rows, keys, "line_key", written=True))
+        lines_job = pool.submit(copy_context().run, write, joins.exists_in(line_rows, keys, "line_key", written=True))
         active, lines = active_job.result(), lines_job.result()
     order_keys = materialize(active.select(F.col("order_key").alias("k"))
                              .union(lines.select(F.col("order_key").alias("k")))
                              .union(lines.select(F.col("chain_order_key").alias("k"))).distinct())
     orders = materialize(joins.exists_in(inputs["oms_order"], order_keys, "order_key", "k", written=True))
-    status_rows = with_line_and_order(inputs, active, "left", lines, orders)
-    matched = status_rows.filter(F.col("_ol_line").isNotNull() & F.col("_ord_key").isNotNull())
-    return Week(inputs, start, end, active, rank_top_status(inputs, matched), lines, orders, matched)
+    matched = with_line_and_order(inputs, active, "left", lines, orders).filter(
+        F.col("_ol_line").isNotNull() & F.col("_ord_key").isNotNull())
+    return Week(inputs, start, end, active, None if narrow else rank_top_status(inputs, matched), lines, orders, matched)
 
 
 def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
@@ -279,7 +288,7 @@ def rule_710_exempt(inputs, start: dt.date, end: dt.date,
     semi joins; the audit and cancel joins of the source feed no column of
     this result and are left out (rows only repeat, and the result is distinct).
     """
-    week = week or prepare_week(inputs, start, end)
+    week = week or prepare_week(inputs, start, end, narrow=True)
     frame = week.lines().select("line_key", "STATUS_DATE", "PO_ORDER_NO", "ORDER_NO", "ship_node", "_o_key")
     frame = joins.exists_in(frame, inputs["ship_node"], "ship_node")
     frame = joins.exists_in(frame, created_lines(week.status_rows), "line_key")
@@ -319,7 +328,7 @@ def candidate_rows(inputs, start: dt.date, end: dt.date, p: P.Rule710Params = P.
     The candidate lines are materialized first; the cancel and PO-line
     histories are then read only for the candidates' chained lines and POs.
     """
-    week = week or prepare_week(inputs, start, end)
+    week = week or prepare_week(inputs, start, end, narrow=True)
     # The category filter is on the line, so it commutes with the inner joins of `lines()`.
     cancelled = week.lines().filter(F.col("status") == P.STATUS_CANCELLED)
     kept = pred.not_in_dropping_null(F.col("cat"), p.excluded_categories)
@@ -369,7 +378,7 @@ def rule_710_lineage(inputs, start: dt.date, end: dt.date, p: P.Rule710Params =
     the charge, the others name it in SAME_AS. A line that never becomes a candidate has one row with the reason. `rows`,
     `exempt`: `candidate_rows` and `rule_710_exempt`, where they are written already.
     """
-    week = week or prepare_week(inputs, start, end)
+    week = week or prepare_week(inputs, start, end, narrow=True)
     rows = materialize(rows if rows is not None else candidate_rows(inputs, start, end, p, week))
     exempt = exempt if exempt is not None else rule_710_exempt(inputs, start, end, p, week)
     # Lines of one candidate are found by a digest of its columns, so that they can be folded before they meet.
@@ -433,6 +442,6 @@ def rule_710(cancels: DataFrame, exempt: DataFrame, as_of: dt.date | None,
 def run_rule_710(inputs, start: dt.date, end: dt.date, as_of: dt.date | None,
                  p: P.Rule710Params = P.Rule710Params(), audit: Audit = NO_AUDIT) -> DataFrame:
     """Both staging results over one shared working set, then the feed."""
-    week = prepare_week(inputs, start, end, audit)
+    week = prepare_week(inputs, start, end, audit, narrow=True)
     return rule_710(rule_710_cancels(inputs, start, end, p, week, audit),
                     rule_710_exempt(inputs, start, end, p, week), as_of, p, audit)

@@ -83,3 +83,12 @@ def test_bloom_filters_hold_the_keys_of_the_six_gigabyte_tables(spark):
     items, bits = int(spark.conf.get(root + "expectedNumItems")), int(spark.conf.get(root + "numBits"))
     hashes = max(1, round(bits / items * math.log(2)))
     assert hashes <= 3 and (1 - math.exp(-hashes * 28.6e6 / bits)) ** hashes < 0.15
+
+
+def test_the_windows_slices_hold_what_the_rule_reads(spark, monkeypatch):
+    inputs, written = CQ.inputs_for(spark, SF_SMALL), []
+    original = rule_710.materialize
+    monkeypatch.setattr(rule_710, "materialize", lambda df: written.append(set(df.columns)) or original(df))
+    rule_710.run_rule_710(inputs, CQ.START, CQ.END, CQ.TEST_AS_OF, CQ.TP.rule_710)
+    assert len(written) > 5
+    assert not any({"status_key", "release_key", "carrier_service", "line_scac"} & c for c in written)

@@ -11,7 +11,6 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from functools import reduce
-from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,10 +73,10 @@ def _runs_706(inputs, windows):
 
 
 def _runs_of_the_year(inputs):
-    """One run of each of the other jobs."""
-    yield (r := _run("rule_702", START, END, TEST_AS_OF, 7)), rule_702.rule_702(inputs, START, END, TEST_AS_OF, TP.rule_702, r.audit)
-    yield (r := _run("rule_710", START, END, TEST_AS_OF, 8)), rule_710.run_rule_710(inputs, START, END, TEST_AS_OF, TP.rule_710, r.audit)
-    feeds = {"702": feed_702(inputs), "706": feed_706(inputs), "710": feed_710(inputs)}
+    """One run of each of the other jobs; combine takes the feeds that the runs before it wrote (sent to this generator)."""
+    feeds = {"706": feed_706(inputs)}
+    feeds["702"] = yield (r := _run("rule_702", START, END, TEST_AS_OF, 7)), rule_702.rule_702(inputs, START, END, TEST_AS_OF, TP.rule_702, r.audit)
+    feeds["710"] = yield (r := _run("rule_710", START, END, TEST_AS_OF, 8)), rule_710.run_rule_710(inputs, START, END, TEST_AS_OF, TP.rule_710, r.audit)
     yield (r := _run("combine", START, END, TEST_AS_OF, 9)), combine.combine_frames(feeds, "702,706,710", r.audit).frame
 
 
@@ -85,12 +84,23 @@ def _logged(inputs, windows_706) -> DataFrame:
     """The run log of all five jobs: each output is computed once, and its row holds what was observed on the way."""
     spark = inputs["flags"].sparkSession
     rows = []
-    for run, out in chain(_runs_706(inputs, windows_706), _runs_of_the_year(inputs)):
-        run.audit.written(out, run.amount).write.format("noop").mode("overwrite").save()
-        rows.append(run.row(spark))
+    for runs in (_runs_706(inputs, windows_706), _runs_of_the_year(inputs)):
+        written = None
+        while (following := _next_run(runs, written)) is not None:
+            run, out = following
+            written = materialize(run.audit.written(out, run.amount))
+            rows.append(run.row(spark))
     return reduce(DataFrame.unionByName, rows)
 
 
+def _next_run(runs, written: DataFrame | None):
+    """The next of `runs`, which is given the output written before; None at the end."""
+    try:
+        return runs.send(written)
+    except StopIteration:
+        return None
+
+
 def _run_log(inputs) -> DataFrame:
     """Each job's newest five runs, the 706 jobs run month by month."""
     return runlog.latest_runs(_logged(inputs, _months()), 5).select(*runlog.REPORT_COLUMNS)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chargewise import catalog_queries as CQ
 from chargewise.operators.working_set import materialize
-from chargewise.plans import rule_710
+from chargewise.plans import rule_702, rule_710
 from chargewise.sources.tpch import staged_tpch_inputs, tpch_inputs
 from tests.conftest import SF_ORACLE, SF_SMALL, rows
 from tools.plans import plan_text
@@ -92,3 +92,16 @@ def test_the_windows_slices_hold_what_the_rule_reads(spark, monkeypatch):
     rule_710.run_rule_710(inputs, CQ.START, CQ.END, CQ.TEST_AS_OF, CQ.TP.rule_710)
     assert len(written) > 5
     assert not any({"status_key", "release_key", "carrier_service", "line_scac"} & c for c in written)
+
+
+def test_the_run_log_computes_each_feed_of_the_year_once(spark, monkeypatch):
+    """The combine run takes the feeds that the runs of their rules wrote."""
+    calls = []
+    for module, name in ((rule_702, "rule_702"), (rule_710, "run_rule_710")):
+        original = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, _f=original, _n=name, **k: calls.append(_n) or _f(*a, **k))
+    log = CQ._logged(CQ.inputs_for(spark, SF_SMALL), [(CQ.START, CQ.END)]).collect()
+    assert sorted(calls) == ["rule_702", "run_rule_710"]
+    out = {r["JOB"]: r for r in log}
+    assert sorted(out) == ["combine", "rule_702", "rule_706", "rule_706_input", "rule_710"]
+    assert out["combine"]["ROWS_IN"] >= out["rule_702"]["ROWS_OUT"] + out["rule_710"]["ROWS_OUT"]

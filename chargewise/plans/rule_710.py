@@ -22,7 +22,7 @@ from contextvars import copy_context
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chargewise import params as P
@@ -62,6 +62,12 @@ STATUS_COLUMNS = ("line_key", "order_key", "sched", "status", "status_ts", "qty"
 LINE_COLUMNS = ("line_key", "order_key", "chain_order_key", "chain_line_key", "cat", "item_id", "ship_node", "unit_price",
                 "orig_qty", "order_ts")
 
+# Whole histories are ranked line by line, but for lines (counted by buckets of their hashed keys) with more status rows than a
+# task should take. At most so many buckets are named in a filter.
+LINE_BUCKETS = 1 << 16
+HOT_ROWS = 100_000
+HOT_BUCKETS = 1000
+
 
 # ---------------------------------------------------------------------------
 # Shared sub-results
@@ -120,6 +126,55 @@ def rank_top_status(inputs, rows: DataFrame, narrow: bool = False) -> DataFrame:
     return top.select(F.lit(1).alias("rco"), *columns)
 
 
+def rank_lines(inputs, status_rows: DataFrame) -> DataFrame:
+    """`rank_top_status` for all lines of a history: its rows are shuffled to their order and to their line, and ranked there.
+
+    A window takes a line to one task. Rows of lines that are too large for it (found by a count of hashed line keys before)
+    are ranked by `rank_top_status`, whose aggregates and joins share such a line among tasks.
+    """
+    status_rows = status_rows.filter(F.col("line_key").isNotNull())
+    hot = hot_buckets(status_rows)
+    if not hot:
+        return _rank_in_windows(inputs, status_rows)
+    is_hot = _bucket().isin(hot)
+    hot_rows = materialize(competing(materialize(status_rows.filter(is_hot))))
+    return _rank_in_windows(inputs, status_rows.filter(~is_hot)).unionByName(
+        rank_top_status(inputs, with_line_and_order(inputs, hot_rows)))
+
+
+def _bucket():
+    return F.pmod(F.xxhash64("line_key"), F.lit(LINE_BUCKETS))
+
+
+def hot_buckets(status_rows: DataFrame) -> list[int]:
+    """The buckets of lines that hold more than `HOT_ROWS` status rows, the largest `HOT_BUCKETS` at most."""
+    counts = status_rows.groupBy(_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return [r["bucket"] for r in counts.filter(F.col("n") > HOT_ROWS).orderBy(F.desc("n")).limit(HOT_BUCKETS).collect()]
+
+
+def _rank_in_windows(inputs, status_rows: DataFrame) -> DataFrame:
+    calendar = inputs["time_dim"].select(F.col("cal_date").alias("_cal_date")).distinct()
+    lines = (inputs["oms_line"].join(calendar, F.to_date("order_ts") == F.col("_cal_date"), "left")
+             .select(F.col("line_key").alias("_ol_line"), "item_id", F.col("_cal_date").isNotNull().alias("_dated")))
+    orders = (inputs["oms_order"].filter(F.col("doc_type") == P.PO_DOC_TYPE)
+              .select(F.col("order_key").alias("_ord_key"), "order_no", "doc_type"))
+    # The line's join comes last: its shuffle serves the windows too.
+    rows = (status_rows.join(orders, F.col("order_key") == F.col("_ord_key"))
+                       .join(lines, F.col("line_key") == F.col("_ol_line")))
+    # A line in the table twice gives each of its status rows twice: the line is dated if one of them is.
+    schedule = (Window.partitionBy("line_key", "order_key", "sched")
+                .orderBy(F.col("_dated").desc(), F.col("status_ts").desc_nulls_last()))
+    is_last = (F.row_number().over(schedule) == 1) & F.col("_dated") & F.col("status_ts").isNotNull()
+    ended = F.collect_list(F.when(F.col("_last"), F.struct("sched"))).over(Window.partitionBy("line_key", "status_ts"))
+    statuses = (inputs["status_dim"].filter(F.col("ptype") == P.PO_PROCESS_TYPE)
+                .select(F.col("status").alias("_st"), "descr"))
+    ranked = (rows.withColumn("_last", is_last).withColumn("_ended", ended).filter(F.size("_ended") > 0)
+                  .join(statuses, F.col("status") == F.col("_st"))
+                  .withColumn("_top", F.max("status").over(Window.partitionBy("line_key"))))
+    top = ranked.filter(F.col("status") == F.col("_top")).withColumn("_schedule", F.explode("_ended"))
+    return top.select(F.lit(1).alias("rco"), *[F.col("_schedule.sched").alias(c) if c == "sched" else F.col(c) for c in RANKED_COLUMNS])
+
+
 @dataclass
 class Week:
     """The window's working set, shared by the exemption list and the candidates.
@@ -192,17 +247,13 @@ def prepare_week(inputs, start: dt.date, end: dt.date, audit: Audit = NO_AUDIT,
 def top_status(inputs, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Top-status rows over the whole history, or over the window's lines."""
     if start is None:
-        # Only rows at some schedule's latest time can be top rows. They are found in a copy of the status rows' own
-        # columns, so the history is read once, and lines and orders are joined to them alone. (Week by week,
-        # `plans.top_state` does without the copy.)
-        rows = materialize(competing(materialize(inputs["rel_status"])))
-        return rank_top_status(inputs, with_line_and_order(inputs, rows))
+        return rank_lines(inputs, inputs["rel_status"])
     return prepare_week(inputs, start, end).top
 
 
 def top_status_of(inputs, state: DataFrame) -> DataFrame:
     """Top-status rows from the weekly state (`plans.top_state`): the same rows as from the whole history."""
-    return rank_top_status(inputs, with_line_and_order(inputs, state))
+    return rank_lines(inputs, state)
 
 
 def top_status_report(inputs) -> DataFrame:

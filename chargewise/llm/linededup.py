@@ -23,7 +23,9 @@ SALTS = 16
 
 def _lines(docs: DataFrame, site: str) -> DataFrame:
     """(row_key, pos, site, k1, k2): one row per non-blank line; k1, k2: 128 bits of the trimmed line."""
-    at = docs.select(_row_key(docs, site), F.col(site).alias("site"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    # Keys in a step of their own: beside the generator, each line would have a copy of its whole text hashed.
+    keyed = docs.select(_row_key(docs, site), F.col(site).alias("site"), "text")
+    at = keyed.select("row_key", "site", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     line = F.trim("line")
     return at.where(line != "").select("row_key", "pos", "site", F.xxhash64(line).alias("k1"),
                                        F.xxhash64(F.concat(line, F.lit("\n"))).alias("k2"))
@@ -59,7 +61,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, band: float = 0.25
 
 
 @F.arrow_udf(StringType())      # not "string": that needs a session when the module is imported
-def _without(texts: pa.Array, drop: pa.Array) -> pa.Array:
+def _take_out(texts: pa.Array, drop: pa.Array) -> pa.Array:
     def one(text, at):
         if text is None or at is None:
             return text
@@ -70,6 +72,10 @@ def _without(texts: pa.Array, drop: pa.Array) -> pa.Array:
     return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
+# Else a caller's filter on the text has it run twice in a task, with a Python worker and a copy of the texts for each.
+_without = _take_out.asNondeterministic()
+
+
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES,
                        n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
     """`docs` with boilerplate lines taken out of `text`, and the columns `n_lines` and `n_removed` added.

@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+import corpus_pipeline
 from chargewise.llm import linededup as L
 from tests.llm.conftest import AWKWARD
 
@@ -39,3 +40,22 @@ def test_awkward_rows(awkward, empty):
         compare(awkward, [(d, t, s) for d, t, _, s in AWKWARD], least)
     assert L.remove_boilerplate(empty).collect() == []
     assert set(awkward.columns) <= set(L.remove_boilerplate(awkward).columns)
+
+
+def test_a_filter_on_the_text_has_it_computed_once(spark, awkward, empty):
+    """Twice, each task holds two Python workers and two copies of the texts (the pipeline's second stage)."""
+    docs = awkward.selectExpr("doc_id", "text", "lang", "source", "length(text) n_chars")
+    for df in (corpus_pipeline.line_dedup(spark, docs, ""), L.remove_boilerplate(awkward).where("text <> ''")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+    rows = [(i, f"shared line\n{own}", f"s{i}") for i, own in enumerate(["", " ", "own", "shared line"] * 4)]
+    df = spark.createDataFrame([(*r, "en", 0) for r in rows], "doc_id long, text string, source string, lang string, n_chars long")
+    got = corpus_pipeline.line_dedup(spark, df, "").select("doc_id", "text").collect()
+    want = [(d, t) for d, t, _, gone in slow(rows, L.MIN_SITES) if not gone or t.strip(" ")]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_a_text_is_hashed_once_not_for_each_of_its_lines(awkward):
+    plan = L.remove_boilerplate(awkward)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert any("sha2(" in step for step in plan)
+    assert [step for step in plan if "sha2(" in step and "pos#" in step] == []

@@ -46,8 +46,10 @@ def feed_710(inputs) -> DataFrame:
     return rule_710.run_rule_710(inputs, START, END, TEST_AS_OF, TP.rule_710)
 
 
-def combined(inputs, feeds: dict[str, DataFrame] | None = None) -> DataFrame:
-    feeds = feeds or {"702": feed_702(inputs), "706": feed_706(inputs), "710": feed_710(inputs)}
+def combined(inputs) -> DataFrame:
+    # Each feed is written before the next is planned: in one plan the broadcasts and key filters of all rules would be on the
+    # driver at once.
+    feeds = {rule: materialize(feed(inputs)) for rule, feed in (("702", feed_702), ("706", feed_706), ("710", feed_710))}
     return combine.combine_frames(feeds, "702,706,710").frame
 
 

@@ -40,14 +40,17 @@ def expedited_audit(inputs, start: dt.date, end: dt.date,
     # Left join + a filter on the line's service code = inner join.
     # Line and invoice histories cut to the window's keys by semi joins (no history
     # shuffle); the invoice joins are left outer, which could not broadcast the
-    # small freight side.
-    ground_lines = (joins.exists_in(inputs["oms_line"], freight, "line_key", written=True)
-                    .filter(F.col("carrier_service").isin(list(p.ground_service_codes)))
-                    .select(F.col("line_key").alias("ol_line_key"), "line_scac", "carrier_service", "ship_node"))
+    # small freight side. Each cut is written: a task that hashes a join's side carries the plan below it with the
+    # key filters of all its histories, and the driver holds that several times over.
+    ground_lines = materialize(joins.exists_in(inputs["oms_line"], freight, "line_key", written=True)
+                               .filter(F.col("carrier_service").isin(list(p.ground_service_codes)))
+                               .select(F.col("line_key").alias("ol_line_key"), "line_scac", "carrier_service", "ship_node"))
     # Only the type and the zone are read, under a DISTINCT: an invoice repeated m times
     # met with one repeated n times would be m x n rows.
-    fdx = joins.exists_in(inputs["fdx"], freight, "trk", written=True).select(F.col("trk").alias("fdx_trk"), "svc").distinct()
-    ups = joins.exists_in(inputs["ups"], freight, "trk", written=True).select(F.col("trk").alias("ups_trk"), "zone").distinct()
+    fdx = materialize(joins.exists_in(inputs["fdx"], freight, "trk", written=True)
+                      .select(F.col("trk").alias("fdx_trk"), "svc").distinct())
+    ups = materialize(joins.exists_in(inputs["ups"], freight, "trk", written=True)
+                      .select(F.col("trk").alias("ups_trk"), "zone").distinct())
     joined = (freight
               .join(ground_lines, F.col("line_key") == F.col("ol_line_key"), "inner")
               .join(fdx, F.col("trk") == F.col("fdx_trk"), "left")

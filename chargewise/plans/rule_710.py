@@ -277,7 +277,7 @@ def latest_cancel(inputs, line_keys: DataFrame | None = None) -> DataFrame:
     the result per line does not depend on other lines."""
     cl = inputs["cancel_line"].select("line_key", "create_ts", "cancel_qty", "code", "note")
     if line_keys is not None:
-        cl = joins.exists_in(cl, line_keys, "line_key", written=True)
+        cl = materialize(joins.exists_in(cl, line_keys, "line_key", written=True))    # read twice below
     latest = latest_with_total(cl, "line_key", "create_ts", "cancel_qty", "total_qty")
     return latest.select(F.col("line_key").alias("OMS_ORDER_LINE_KEY"),
                          F.col("code").alias("OMS_ORDER_CANCEL_RESN_CODE"),
@@ -291,7 +291,7 @@ def unit_cost(inputs, po_keys: DataFrame | None = None) -> DataFrame:
     prices gives two rows. With `po_keys` (column `po_no`), only those POs are read."""
     po = inputs["po_line"].select("po_no", "article_no", "price", "deliv_date", "store_no", "vendor_id")
     if po_keys is not None:
-        po = joins.exists_in(po, po_keys, "po_no", written=True)
+        po = materialize(joins.exists_in(po, po_keys, "po_no", written=True))
     po = joins.on_calendar(po, F.col("deliv_date"), inputs["time_dim"])
     po = joins.exists_in(po, inputs["store"].filter(F.col("chan") == P.DROPSHIP_CHANNEL), "store_no")
     po = joins.exists_in(po, inputs["article"], "article_no")

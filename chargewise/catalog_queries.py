@@ -173,7 +173,7 @@ def _by_date(inputs, *relations: str):
 
 def _without_ids(inputs) -> DataFrame:
     """W4: feeds without an id column; the rows are numbered."""
-    feeds = {"702": feed_702(inputs).drop("PO_NUMBER"), "710": feed_710(inputs).drop("PO_NUMBER")}
+    feeds = {rule: materialize(feed(inputs).drop("PO_NUMBER")) for rule, feed in (("702", feed_702), ("710", feed_710))}
     return combine.combine_frames(feeds, "702,710").frame
 
 

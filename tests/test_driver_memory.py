@@ -57,3 +57,9 @@ def test_combine_unites_written_feeds(spark, spied):
     seen = spied(combine)
     CQ.combined(CQ.inputs_for(spark, SF_SMALL))
     assert seen == [set()]
+
+
+def test_combine_without_ids_unites_written_feeds(spark, spied):
+    seen = spied(combine)
+    CQ._without_ids(CQ.inputs_for(spark, SF_SMALL))
+    assert seen == [set()]

@@ -158,7 +158,7 @@ def _weekly_top(inputs) -> DataFrame:
     first = START_STATE
     for last in (*(START_STATE + dt.timedelta(days=7 * i) for i in (1, 2, 3)), dt.date(9999, 12, 30)):
         window = history.filter(dates.ts_within(F.col("status_ts"), first + dt.timedelta(days=1), last))
-        state, first = materialize(top_state.merged(state, window, top_state.until(history, last))), last
+        state, first = top_state.merged(state, window, top_state.until(history, last)), last
     return rule_710.report(rule_710.top_status_of(inputs, state))
 
 

@@ -137,7 +137,7 @@ def run_top_state(spark: SparkSession, inputs: Inputs, as_of: dt.date | None = N
         if state is None:
             state = top_state.competing(audit.read(history))
         else:
-            week = audit.read(rows_in(history, "status_ts", start, end))
+            week = materialize(audit.read(rows_in(history, "status_ts", start, end)))
             state = top_state.merged(state, week, history)
         return _publish(run, schemas.conform(state, schemas.INPUTS["rel_status"]), schemas.INPUTS["rel_status"])
 

@@ -1,6 +1,6 @@
 """Join helpers.
 
-No join is hinted: the planner decides by size. Plan-time broadcast below
+No join is hinted (but for `plans.top_state.merged`, which counts its keys first): the planner decides by size. Plan-time broadcast below
 `spark.sql.autoBroadcastJoinThreshold` (estimated size), AQE's runtime
 switch to broadcast below `spark.sql.adaptive.autoBroadcastJoinThreshold`
 (measured size), otherwise a shuffled join with skew splitting.

@@ -136,19 +136,19 @@ def rank_lines(inputs, status_rows: DataFrame) -> DataFrame:
     hot = hot_buckets(status_rows)
     if not hot:
         return _rank_in_windows(inputs, status_rows)
-    is_hot = _bucket().isin(hot)
+    is_hot = line_bucket().isin(hot)
     hot_rows = materialize(competing(materialize(status_rows.filter(is_hot))))
     return _rank_in_windows(inputs, status_rows.filter(~is_hot)).unionByName(
         rank_top_status(inputs, with_line_and_order(inputs, hot_rows)))
 
 
-def _bucket():
+def line_bucket():
     return F.pmod(F.xxhash64("line_key"), F.lit(LINE_BUCKETS))
 
 
 def hot_buckets(status_rows: DataFrame) -> list[int]:
     """The buckets of lines that hold more than `HOT_ROWS` status rows, the largest `HOT_BUCKETS` at most."""
-    counts = status_rows.groupBy(_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    counts = status_rows.groupBy(line_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     return [r["bucket"] for r in counts.filter(F.col("n") > HOT_ROWS).orderBy(F.desc("n")).limit(HOT_BUCKETS).collect()]
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from chargewise import params as P
 from chargewise import schemas
-from chargewise.operators.working_set import COMPRESSION, RUN_FOLDER
+from chargewise.operators.working_set import RUN_FOLDER, write
 from chargewise.plans import rule_706
 from chargewise.session import ensure_checkpoint_dir
 from chargewise.sources.inputs import Inputs, parquet_inputs
@@ -49,8 +49,8 @@ def _day_ts(day: Column, offset: int = 0) -> Column:
     return F.date_add(day, offset).cast("timestamp_ntz")
 
 
-def _lines(li: DataFrame) -> DataFrame:
-    """Every line item as a line of its own.
+def _lines(li: DataFrame, *more: str) -> DataFrame:
+    """Every line item as a line of its own, with its columns `more`.
 
     (order, line number) is not unique in the test data: the line id `lid` is the line number, with
     the row's place among its namesakes where there are several. Rows equal in all these columns are
@@ -59,13 +59,13 @@ def _lines(li: DataFrame) -> DataFrame:
     own = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"]
     place = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*own))
     number = _k(F.col("l_linenumber"))
-    return li.repartition("l_orderkey").select("l_orderkey", "l_linenumber", *own, place.alias("r")).select(
+    return li.repartition("l_orderkey").select("l_orderkey", "l_linenumber", *own, *more, place.alias("r")).select(
         F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("n"),
         F.when(F.col("r") > 1, F.concat(number, F.lit("."), _k(F.col("r")))).otherwise(number).alias("lid"),
         F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk"),
         F.col("l_quantity").cast(MONEY).alias("qty"), F.col("l_extendedprice").cast(MONEY).alias("amt"),
         F.col("l_discount").cast(MONEY).alias("disc"), F.col("l_tax").cast(MONEY).alias("tax"),
-        F.col("l_returnflag").alias("rf"), F.to_date("l_shipdate").alias("sd"))
+        F.col("l_returnflag").alias("rf"), F.to_date("l_shipdate").alias("sd"), *more)
 
 
 def _c_line_key(ok: Column, lid: Column) -> Column:
@@ -83,15 +83,17 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def _wide_lines(t: dict[str, DataFrame]) -> DataFrame:
     """The lines with the orders (`o`) and parts (`p`) of their keys as arrays: one row per line whatever it meets.
 
-    Written once, every relation of lines is a scan of it, and exploding an array is the inner join on its key.
+    Written once, every relation of lines is a scan of it, and exploding an array is the inner join on its key. The parts
+    come first: where they are too many to broadcast, the line items are shuffled to them as they are read, without their orders.
     """
     orders = t["orders"].filter(F.col("o_orderkey").isNotNull()).groupBy("o_orderkey").agg(
         F.collect_list(F.struct("o_orderstatus", "o_orderdate", "o_orderpriority")).alias("o"))
     part = t["part"].filter(F.col("p_partkey").isNotNull()).groupBy("p_partkey").agg(
         F.collect_list(F.struct("p_size", F.col("p_retailprice").cast(MONEY).alias("price"))).alias("p"))
-    ln = _lines(t["lineitem"])
-    return (ln.join(orders, ln.ok == orders.o_orderkey, "left").join(part, ln.pk == part.p_partkey, "left")
-              .drop("o_orderkey", "p_partkey"))
+    items = t["lineitem"].join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    ln = _lines(items, "p")
+    columns = [c for c in ln.columns if c != "p"]
+    return ln.join(orders, ln.ok == orders.o_orderkey, "left").select(*columns, "o", "p")
 
 
 def tpch_inputs(spark: SparkSession, sf_dir: str, lines: Callable[[], DataFrame] | None = None) -> Inputs:
@@ -317,7 +319,7 @@ def staged_tpch_inputs(spark: SparkSession, sf_dir: str, root: str | None = None
         path = f"{target}/{name}"
         with _stage_lock:
             if not _is_written(spark, path):
-                frame().write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+                write(frame(), path)
         return path
 
     def lines() -> DataFrame:

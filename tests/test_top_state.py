@@ -108,3 +108,39 @@ def test_bucketed_histories_are_not_shuffled(spark):
             spark.conf.set(k, v)
         for table in tables.values():
             spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_competing_shuffles_a_history_once(spark):
+    rows_ = CQ.inputs_for(spark, SF_ORACLE)["rel_status"]
+    assert plan_text(top_state.competing(rows_)).count("Exchange hashpartitioning") == 1
+
+
+def test_a_week_neither_copies_nor_shuffles_the_state(spark, monkeypatch):
+    rng = random.Random(4)
+    data = history(rng, 150)
+    cut = DAY0 + dt.timedelta(days=30)
+    state = materialize(top_state.competing(frame(spark, [r for r in data if r[6] < cut])))
+    written = []
+    monkeypatch.setattr(top_state, "materialize", lambda df: written.append(materialize(df)) or written[-1])
+    week = frame(spark, [r for r in data if r[6] >= cut and r[2] in ("L1", "L2")])
+    result = top_state.merged(state, week, frame(spark, data))
+    assert "Exchange hashpartitioning" not in plan_text(result)
+    assert {r[0] for r in rows(written[-1], "line_key")} == {"L1", "L2"}
+    known = [r for r in data if r[6] < cut or r[2] in ("L1", "L2")]
+    assert rows(result) == rows(top_state.competing(frame(spark, known)))
+
+
+@pytest.mark.parametrize("few, hot", [(0, 100_000), (500_000, 3), (0, 3)])
+def test_large_windows_and_hot_lines_give_the_same_state(spark, monkeypatch, few, hot):
+    monkeypatch.setattr(top_state, "FEW_LINES", few)
+    monkeypatch.setattr(rule_710, "HOT_ROWS", hot)
+    data = history(random.Random(6), 120) + [("n", "r", None, "O", "1", "9000", DAY0, D(1)), ("m", "r", "L3", None, None, "9000", None, D(1))]
+    cut = DAY0 + dt.timedelta(days=25)
+    old, new = [r for r in data if r[6] is None or r[6] < cut], [r for r in data if r[6] and r[6] >= cut]
+    state = top_state.merged(materialize(top_state.competing(frame(spark, old))), frame(spark, new), frame(spark, data))
+    last = {}
+    for r in data:
+        if r[6]:
+            last[r[2:5]] = max(last.get(r[2:5], r[6]), r[6])
+    times = {(k[0], t) for k, t in last.items() if k[0] is not None}
+    assert rows(state) == sorted((r for r in data if (r[2], r[6]) in times), key=lambda t: tuple((v is not None, v) for v in t))

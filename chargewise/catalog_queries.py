@@ -66,9 +66,23 @@ def _run(job, first, last, run_date, hour, amount="CHARGEBACK_AMOUNT"):
     return runlog.Run(job, first, last, run_date, amount=amount, started_at=dt.datetime.combine(run_date, dt.time(hour)))
 
 
+def _cut_706(inputs, windows):
+    """For each window the inputs with all that it reads of the freight histories: headers of the span of days, and the charges of its
+    own PRO numbers. Both are written, the charges once for each window that has a header of their PRO number."""
+    headers = materialize(dates.rows_in(inputs["ltl"], "pickup_date", min(w[0] for w in windows), max(w[1] for w in windows)))
+    within = [F.when(dates.within(F.col("pickup_date"), *w), F.lit(i)) for i, w in enumerate(windows)]
+    numbers = materialize(headers.select(F.col("pro_no").alias("_pro"), F.explode(F.array_compact(F.array(*within))).alias("_window")).distinct())
+    # True of every number: with a predicate on them the planner prunes the history by a filter of the numbers.
+    met = inputs["ltl_yw"].join(numbers.filter(F.col("_pro") >= F.lit("")), F.col("pro_no") == F.col("_pro")).drop("_pro")
+    charges = materialize(met.sortWithinPartitions("_window"))
+    cut = inputs.with_frame("ltl", headers)
+    return [cut.with_frame("ltl_yw", charges.filter(F.col("_window") == i).drop("_window")) for i in range(len(windows))]
+
+
 def _runs_706(inputs, windows):
-    """Runs of both 706 jobs: (run, its output)."""
-    for first, last in windows:
+    """Runs of both 706 jobs: (run, its output). Several windows read the histories once, for slices that hold their rows."""
+    cuts = _cut_706(inputs, windows) if len(windows) > 1 else [inputs]
+    for (first, last), inputs in zip(windows, cuts):
         run_date = last + dt.timedelta(days=2)
         yield (r := _run("rule_706_input", first, last, run_date, 5, None)), rule_706.bol_input(inputs, first, last, r.audit)
         yield (r := _run("rule_706", first, last, run_date, 6)), rule_706.rule_706(inputs["flags"], first, last, run_date, r.audit)
